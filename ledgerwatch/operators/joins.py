@@ -25,9 +25,8 @@ def fits_broadcast(df: DataFrame) -> bool:
     """Whether the plan's size estimate is under Spark's broadcast threshold."""
     spark = df.sparkSession
     limit = spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    size = int(df._jdf.queryExecution().optimizedPlan().stats()
-               .sizeInBytes().toString())
-    return size <= limit
+    plan = df._jdf.queryExecution().optimizedPlan()
+    return int(str(plan.stats().sizeInBytes())) <= limit
 
 
 def hot_keys(df: DataFrame, on: list[str], min_rows: int = HOT_ROWS) -> DataFrame:

@@ -113,7 +113,8 @@ def accept(requests: DataFrame, accounts: DataFrame | None,
     two tables again after a failure repeats the same rows.
     """
     keys = [request_key] if isinstance(request_key, str) else list(request_key)
-    checked = checked_requests(requests, accounts, now or F.current_timestamp())
+    checked = checked_requests(
+        requests, accounts, F.current_timestamp() if now is None else now)
     good = (checked.filter(F.size("violations") == 0)
             .withColumn("id", stable_uuid(*[F.col(k) for k in keys])))
     transactions = good.select(

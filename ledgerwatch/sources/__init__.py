@@ -1 +1 @@
-
+"""Tables, streams, codecs and sinks."""
