@@ -43,8 +43,8 @@ def body(value: Column) -> Column:
 
 
 def quote_base64(value: Column) -> Column:
-    """Binary → base64 as a JSON string literal."""
-    return F.concat(F.lit('"'), F.base64(value), F.lit('"'))
+    """Binary → base64 as a JSON string literal, on one line."""
+    return F.concat(F.lit('"'), F.translate(F.base64(value), "\r\n", ""), F.lit('"'))
 
 
 def unquote_base64(payload: Column) -> Column:

@@ -81,7 +81,7 @@ def classify(df: DataFrame, ledger: DataFrame | None, failure: Column, *,
                       .when(~known_id, F.lit(BAD_EVENT_ID)))
         .withColumn("_error", F.when(F.col("_bad").isNull(), failure))
         .withColumn("_key", F.when(F.col("_bad").isNull(), event_key))
-        .withColumn("_order", F.struct(*order)))
+        .withColumn("_order", F.struct(*order) if order[1:] else F.col(order[0])))
 
     succeeds = F.col("_bad").isNull() & F.col("_error").isNull()
     first_ok = (rows.filter(succeeds).groupBy("_key")

@@ -153,32 +153,26 @@ def histogram(df: DataFrame, value: str, edges: Column, by: Sequence[str] = (),
             .select(*by, "le", "cumulative"))
 
 
-def histogram_quantile(buckets: DataFrame, q: float,
+def histogram_quantile(buckets: DataFrame, qs: Sequence[float] = QUANTILES,
                        by: Sequence[str] = ()) -> DataFrame:
-    """Quantile from cumulative buckets (AGG7): linear within the first bucket
-    that reaches ``q`` of the total. The lowest bucket starts at 0; a rank that
-    falls in the infinite bucket gives the highest finite edge."""
+    """``by, q, value`` from cumulative buckets (AGG7): linear within the first
+    bucket that reaches ``q`` of the total. The lowest bucket starts at 0; a rank
+    in the infinite bucket gives the highest finite edge."""
     ordered = W.partitionBy(*by).orderBy("le")
-    whole = W.partitionBy(*by)
-    infinite = F.col("le") == F.lit(float("inf"))
     rows = (
         buckets
-        .withColumn("_total", F.max("cumulative").over(whole))
+        .withColumn("_total", F.max("cumulative").over(W.partitionBy(*by)))
         .withColumn("_low", F.coalesce(F.lag("le").over(ordered), F.lit(0.0)))
         .withColumn("_before", F.coalesce(F.lag("cumulative").over(ordered), F.lit(0)))
-        .withColumn("_rank", F.lit(float(q)) * F.col("_total")))
-    reach = (F.col("cumulative") >= F.col("_rank")) & (
-        (F.col("_before") < F.col("_rank"))
-        | ((F.col("_rank") == 0) & (F.col("_before") == 0)))
-    share = (F.col("_rank") - F.col("_before")) / (
-        F.col("cumulative") - F.col("_before"))
-    estimate = F.when(infinite, F.col("_low")).otherwise(
-        F.col("_low") + (F.col("le") - F.col("_low")) * share)
-    hit = rows.filter(reach & (F.col("cumulative") > F.col("_before")))
-    first = F.min(F.struct("le", estimate.alias("value")))
-    return (hit.groupBy(*by).agg(first.alias("_f"))
-            .select(*by, F.lit(float(q)).alias("q"),
-                    F.col("_f.value").alias("value")))
+        .withColumn("q", F.explode(F.array(*[F.lit(float(q)) for q in qs]))))
+    rank = F.col("q") * F.col("_total")
+    share = (rank - F.col("_before")) / (F.col("cumulative") - F.col("_before"))
+    inside = F.col("_low") + (F.col("le") - F.col("_low")) * share
+    value = F.when(F.col("le") == float("inf"), F.col("_low")).otherwise(inside)
+    reached = (F.col("cumulative") >= rank) & (F.col("cumulative") > F.col("_before"))
+    return (rows.filter(reached).groupBy(*by, "q")
+            .agg(F.min(F.struct("le", value.alias("value"))).alias("_first"))
+            .select(*by, "q", F.col("_first.value").alias("value")))
 
 
 def lag(offsets: DataFrame, committed: DataFrame) -> DataFrame:

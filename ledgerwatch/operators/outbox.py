@@ -124,10 +124,13 @@ def accept(requests: DataFrame, accounts: DataFrame | None,
                     checked.filter(F.size("violations") > 0))
 
 
-def outbox_pending(outbox: DataFrame, limit: int = BATCH) -> DataFrame:
-    """Oldest unpublished rows (FLT4, SRT1); ties are ordered by id."""
-    return (outbox.filter(~F.col("published"))
-            .orderBy("created_at", "id").limit(limit))
+def outbox_pending(outbox: DataFrame, limit: int | None = BATCH) -> DataFrame:
+    """Oldest unpublished rows (FLT4, SRT1); ties are ordered by id. Without a
+    limit the whole backlog is one unsorted batch."""
+    pending = outbox.filter(~F.col("published"))
+    if limit is None:
+        return pending
+    return pending.orderBy("created_at", "id").limit(limit)
 
 
 def publishable(pending: DataFrame) -> DataFrame:

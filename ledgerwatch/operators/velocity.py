@@ -27,36 +27,55 @@ SLICE = "1 hour"
 _TICK = 1_000  # events carry millisecond times
 
 
-def _window_counts(tx: DataFrame, window: str, key: str, ts: str,
-                   all_windows: bool, slice_len: str) -> DataFrame:
-    """``key, t, n``: events in ``[t - window, t]``, ``t`` in microseconds."""
-    length = micros(window)
-    step = max(micros(slice_len), length)
+def points(tx: DataFrame, key: str = "account_id",
+           ts: str = "occurred_at") -> DataFrame:
+    """``key, t, c``: events per key and time ``t`` in microseconds."""
+    return (tx.select(key, epoch_micros(F.col(ts)).alias("t"))
+            .filter(F.col(key).isNotNull() & F.col("t").isNotNull())
+            .groupBy(key, "t").agg(F.count(F.lit(1)).alias("c")))
 
-    points = (tx.select(key, epoch_micros(F.col(ts)).alias("t"))
-              .filter(F.col(key).isNotNull() & F.col("t").isNotNull())
-              .groupBy(key, "t").agg(F.count(F.lit(1)).alias("c")))
-    if all_windows:
-        later = points.select(key, (F.col("t") + length + _TICK).alias("t"),
-                              F.lit(0).cast("bigint").alias("c"))
-        points = (points.unionByName(later)
-                  .groupBy(key, "t").agg(F.sum("c").alias("c")))
 
-    home = floor_to(F.col("t"), step)
-    reaches_next = (F.col("c") > 0) & (F.col("t") >= F.col("home") + (step - length))
+def slice_step(window: str, slice_len: str = SLICE) -> int:
+    """Slice length in microseconds; a window reaches one slice back at most."""
+    return max(micros(slice_len), micros(window))
+
+
+def window_sums(weights: DataFrame, window: str, key: str, measures: list[str],
+                slice_len: str = SLICE) -> DataFrame:
+    """``key, t`` and each measure summed over ``[t - window, t]``.
+
+    ``weights`` has one row per key and ``t``.
+    """
+    length, step = micros(window), slice_step(window, slice_len)
+    reaches_next = F.col("t") >= F.col("home") + (step - length)
     placed = (
-        points.withColumn("home", home)
+        weights.withColumn("home", floor_to(F.col("t"), step))
         .withColumn("slice", F.explode(F.when(
             reaches_next, F.array(F.col("home"), F.col("home") + step)
         ).otherwise(F.array("home")))))
 
     timeline = W.partitionBy(key, "slice").orderBy("t")
-    upto = F.sum("c").over(timeline.rangeBetween(W.unboundedPreceding, 0))
-    expired = F.sum("c").over(
-        timeline.rangeBetween(W.unboundedPreceding, -(length + 1)))
-    return (placed.withColumn("n", upto - F.coalesce(expired, F.lit(0)))
-            .filter((F.col("slice") == F.col("home")) & (F.col("n") > 0))
-            .select(key, "t", "n"))
+    seen = timeline.rangeBetween(W.unboundedPreceding, 0)
+    gone = timeline.rangeBetween(W.unboundedPreceding, -(length + 1))
+    sums = {m: F.sum(m).over(seen) - F.coalesce(F.sum(m).over(gone), F.lit(0))
+            for m in measures}
+    return (placed.withColumns({f"_{m}": v for m, v in sums.items()})
+            .filter(F.col("slice") == F.col("home"))
+            .select(key, "t", *[F.col(f"_{m}").alias(m) for m in measures]))
+
+
+def _window_counts(tx: DataFrame, window: str, key: str, ts: str,
+                   all_windows: bool, slice_len: str) -> DataFrame:
+    """``key, t, c``: events in ``[t - window, t]``."""
+    events = points(tx, key, ts)
+    if all_windows:
+        ends = events.select(
+            key, (F.col("t") + micros(window) + _TICK).alias("t"),
+            F.lit(0).cast("bigint").alias("c"))
+        events = (events.unionByName(ends)
+                  .groupBy(key, "t").agg(F.sum("c").alias("c")))
+    return (window_sums(events, window, key, ["c"], slice_len)
+            .filter(F.col("c") > 0))
 
 
 def sliding_windows(tx: DataFrame, window: str = WINDOW, key: str = "account_id",
@@ -68,7 +87,7 @@ def sliding_windows(tx: DataFrame, window: str = WINDOW, key: str = "account_id"
         key,
         as_time_of(tx, ts, F.col("t") - micros(window)).alias("window_start"),
         as_time_of(tx, ts, F.col("t")).alias("window_end"),
-        "n")
+        F.col("c").alias("n"))
 
 
 def trailing_counts(tx: DataFrame, window: str = WINDOW, key: str = "account_id",
@@ -77,4 +96,4 @@ def trailing_counts(tx: DataFrame, window: str = WINDOW, key: str = "account_id"
     counts = _window_counts(tx, window, key, ts, False, slice_len)
     return (lookup_join(tx.withColumn("t", epoch_micros(F.col(ts))), counts,
                         [key, "t"])
-            .select(*tx.columns, "n"))
+            .select(*tx.columns, F.col("c").alias("n")))

@@ -420,10 +420,8 @@ def histogram_quantiles(spark, folder):
     edge = F.ceil(F.col("amount") / 50) * 50
     edges = F.when(edge > 300, F.lit(float("inf"))).otherwise(edge.cast("double"))
     buckets = metrics.histogram(rows, "amount", edges, ["description"])
-    parts = [metrics.histogram_quantile(buckets, q, ["description"])
-             for q in metrics.QUANTILES]
-    out = parts[0].unionByName(parts[1]).unionByName(parts[2])
-    return out.withColumn("value", F.round("value", 6))
+    return (metrics.histogram_quantile(buckets, by=["description"])
+            .withColumn("value", F.round("value", 6)))
 
 
 def _lags(spark: SparkSession, folder: str) -> DataFrame:
