@@ -421,4 +421,32 @@ ORACLES = {
                when name = 'lag' and value >= 100 then 'yellow'
                else 'green' end as status
         from m"""),
+    "relay_outbox": _with(["box"], """
+        select id, published or payload <> '"*"' as published,
+               case when published then published_at
+                    when payload <> '"*"' then timestamp '2024-02-01' end as published_at,
+               retry_count + case when payload = '"*"' then 1 else 0 end as retry_count,
+               case when payload = '"*"' then 'payload is not base64' end as last_error,
+               case when published then 0 else 1 end as version
+        from box"""),
+    "stream_consumer": _with(["raw"], """
+        select '00000000-0000-0000-0000-' || lpad(cast(event_id as varchar), 12, '0')
+                 as event_id, "offset", status,
+               case status when 'DLQ' then 3 when 'SENT' then 1 else 0 end as attempts,
+               case status when 'DLQ' then 3000 else 0 end as backoff_ms,
+               case status when 'DLQ' then 'Simulated notification failure for amount: '
+                    || amount_text end as reason
+        from (select *, cast(cast(amount as double) as varchar) as amount_text,
+                     case when cast(cast(amount as double) as varchar) like '%.99'
+                          then 'DLQ' when delivery > 1 then 'DUPLICATE' else 'SENT' end
+                       as status
+              from raw)"""),
 }
+
+# A stream that has processed a whole table ends with the batch result.
+for _stream, _batch in (
+        ("stream_high_value", "high_value_alerts"),
+        ("stream_rapid_large", "rapid_large_alerts"),
+        ("stream_velocity", "velocity_alerts"),
+        ("stream_accept", "accept_transactions")):
+    ORACLES[_stream] = ORACLES[_batch]

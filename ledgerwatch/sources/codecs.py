@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -15,12 +16,11 @@ AVRO_READ = {"mode": "PERMISSIVE"}
 
 def has_avro(spark: SparkSession) -> bool:
     """Whether Spark's Avro module is on the classpath."""
+    from pyspark.sql.avro.functions import to_avro
+
     try:
-        spark._jvm.java.lang.Class.forName(
-            "org.apache.spark.sql.avro.AvroOptions", True,
-            spark._jvm.java.lang.Thread.currentThread().getContextClassLoader())
-        return True
-    except Exception:  # noqa: BLE001  py4j raises its own types here
+        return bool(spark.range(1).select(to_avro("id")).schema)
+    except AnalysisException:
         return False
 
 

@@ -66,8 +66,12 @@ def transactions(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def order_transactions(spark: SparkSession, folder: str) -> DataFrame:
+    return order_rows(_table(spark, folder, "orders"))
+
+
+def order_rows(orders: DataFrame) -> DataFrame:
     """``orders`` as transactions of larger amounts."""
-    return _table(spark, folder, "orders").select(
+    return orders.select(
         F.col("o_orderkey").alias("event_id"),
         F.col("o_orderkey").alias("transaction_id"),
         F.col("o_custkey").alias("account_id"),

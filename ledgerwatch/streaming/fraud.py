@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
@@ -14,6 +14,12 @@ from ..operators import rules, velocity
 from ..operators.lateness import GRACE
 from . import runner
 
+LISTED_SLICES = 100
+
+
+def floor_micros(t: int, step: int) -> int:
+    return t // step * step
+
 
 def start_high_value(tx: DataFrame, accounts: Callable[[SparkSession], DataFrame],
                      sink: runner.Handler, checkpoint: str,
@@ -25,7 +31,7 @@ def start_high_value(tx: DataFrame, accounts: Callable[[SparkSession], DataFrame
         sink(rules.high_value_alerts(batch, accounts(batch.sparkSession), limits),
              batch_id)
 
-    return runner.run_stream(tx, handle, checkpoint, every=every, name=None)
+    return runner.run_stream(tx, handle, checkpoint, every=every)
 
 
 def spend_stream(tx: DataFrame, window: str = rules.SPEND_WINDOW,
@@ -84,22 +90,20 @@ def start_velocity(tx: DataFrame, sink: runner.Handler, checkpoint: str,
         if closed is not None:
             closed -= micros(grace)
             new = new.filter(F.col("t") + length > closed)
-        (new.withColumns({"slice": floor_to(F.col("t"), step),
-                          runner.BATCH: F.lit(batch_id)})
+        reach = Observation()
+        (new.observe(reach, F.min("t").alias("first"), F.max("t").alias("last"))
+         .withColumns({"slice": floor_to(F.col("t"), step),
+                       runner.BATCH: F.lit(batch_id)})
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("slice", runner.BATCH).parquet(counts))
-        reach = _reach(spark, batch, ts)
-        if reach is None:
+        first, last = reach.get["first"], reach.get["last"]
+        if first is None:
             return
-        runner.write_batch(spark.range(1).select(F.lit(reach[1]).alias("t")),
+        runner.write_batch(spark.range(1).select(F.lit(last).alias("t")),
                            progress, batch_id)
 
-        folders = [f"{counts}/slice={s}" for s in range(
-            (reach[0] - length) // step * step, reach[1] + length + 1, step)]
-        folders = [f for f in folders if runner.exists(spark, f)]
-        if not folders:
-            return
-        known = (spark.read.option("basePath", counts).parquet(*folders)
+        known = (_slices(spark, counts, floor_micros(first - length, step),
+                         floor_micros(last + length, step), step)
                  .filter(F.col(runner.BATCH) <= batch_id))
         weights = known.groupBy(key, "t").agg(
             F.sum("c").alias("c"),
@@ -117,10 +121,15 @@ def start_velocity(tx: DataFrame, sink: runner.Handler, checkpoint: str,
     return runner.run_stream(tx, handle, checkpoint, every=every)
 
 
-def _reach(spark: SparkSession, batch: DataFrame, ts: str):
-    """Least and greatest event time of a micro-batch, null when it is empty."""
-    row = batch.agg(F.min(F.unix_micros(ts)), F.max(F.unix_micros(ts))).first()
-    return None if row[0] is None else (row[0], row[1])
+def _slices(spark: SparkSession, counts: str, first: int, last: int,
+            step: int) -> DataFrame:
+    """State of the slices from ``first`` to ``last``. A short span names its
+    folders, so that the rest of the state is not even listed."""
+    reader = spark.read.option("basePath", counts)
+    if (last - first) // step < LISTED_SLICES:
+        folders = [f"{counts}/slice={s}" for s in range(first, last + 1, step)]
+        return reader.parquet(*[f for f in folders if runner.exists(spark, f)])
+    return reader.parquet(counts).filter(F.col("slice").between(first, last))
 
 
 def _stream_time(spark: SparkSession, progress: str, batch_id: int):

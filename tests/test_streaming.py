@@ -1,0 +1,310 @@
+"""Streams end with the batch result, also out of order, after restarts and replays."""
+
+import random
+from datetime import timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from helpers import A1, A2, DAY, accounts, rows, tx, uid
+from ledgerwatch.functions import texts
+from ledgerwatch.operators import consume, rules, velocity
+from ledgerwatch.sources import streams
+from ledgerwatch.streaming import consumer, fraud, runner
+from ledgerwatch.streaming import outbox as relay_job
+
+
+def sample(seed=1, n=240):
+    rnd = random.Random(seed)
+    times = sorted(DAY + timedelta(milliseconds=rnd.randrange(3 * 3600 * 1000))
+                   for _ in range(n))
+    return [(A1 if rnd.random() < 0.5 else f"k{rnd.randrange(6)}",
+             rnd.choice([10, 20.99, 45000, 120000]), t) for t in times]
+
+
+def zoned(df):
+    return df.withColumn("occurred_at", F.col("occurred_at").cast("timestamp"))
+
+
+def add_file(df, folder):
+    df.coalesce(1).write.mode("append").parquet(folder)
+
+
+def split(spark, data, folder, parts=4):
+    size = -(-len(data) // parts)
+    whole = [(d[0], d[1], d[2], "DEBIT", uid(i)) for i, d in enumerate(data)]
+    for p in range(parts):
+        add_file(zoned(tx(spark, whole[p * size:(p + 1) * size])), folder)
+    return zoned(tx(spark, whole))
+
+
+def source(spark, folder):
+    schema = spark.read.parquet(folder).schema
+    return streams.file_stream(spark, folder, schema, max_files=1)
+
+
+def same(one, other, drop=()):
+    columns = [c for c in other.columns if c not in drop]
+    assert rows(one, *columns) == rows(other, *columns)
+    assert one.count() > 0
+
+
+@pytest.fixture
+def work(tmp_path):
+    return str(tmp_path)
+
+
+def test_high_value(spark, work):
+    everything = split(spark, sample(), f"{work}/in")
+    runner.drain(fraud.start_high_value(
+        source(spark, f"{work}/in"), lambda s: accounts(s),
+        runner.write_alerts(f"{work}/out"), f"{work}/cp", every=None))
+    same(runner.latest_alerts(spark, f"{work}/out"),
+         rules.high_value_alerts(everything, accounts(spark)))
+
+
+def test_accounts_are_read_per_batch(spark, work):
+    versions = iter([{A1: "ELITE"}, {A1: "STANDARD"}])
+    split(spark, [(A1, 60000, DAY), (A1, 60000, DAY + timedelta(hours=1))],
+          f"{work}/in", parts=2)
+    runner.drain(fraud.start_high_value(
+        source(spark, f"{work}/in"), lambda s: accounts(s, next(versions)),
+        runner.write_alerts(f"{work}/out"), f"{work}/cp", every=None))
+    assert rows(runner.latest_alerts(spark, f"{work}/out"), "account_tier") == [
+        ("STANDARD",)]
+
+
+def test_rapid_large_updates(spark, work):
+    everything = split(spark, sample(2), f"{work}/in")
+    runner.drain(fraud.start_rapid_large(
+        source(spark, f"{work}/in"), runner.write_alerts(f"{work}/out"), f"{work}/cp",
+        every=None))
+    same(runner.latest_alerts(spark, f"{work}/out"), rules.rapid_large_alerts(everything))
+    versions = spark.read.parquet(f"{work}/out")
+    assert versions.count() > versions.select("alert_id").distinct().count()
+
+
+def test_rapid_large_final_with_dedupe(spark, work):
+    data = sample(3)
+    everything = split(spark, data, f"{work}/in")
+    add_file(everything.limit(0).unionByName(zoned(tx(spark, [
+        (A1, 1, DAY + timedelta(days=1), "DEBIT", uid(9001))]))), f"{work}/in")
+    add_file(zoned(tx(spark, [(A1, 1, DAY + timedelta(days=2), "DEBIT", uid(9002))] * 2)),
+             f"{work}/in")
+    runner.drain(fraud.start_rapid_large(
+        source(spark, f"{work}/in"), runner.write_alerts(f"{work}/out"), f"{work}/cp",
+        dedupe=True, every=None))
+    out = spark.read.parquet(f"{work}/out")
+    assert out.count() == out.select("alert_id").distinct().count()
+    same(out.drop("batch_id"), rules.rapid_large_alerts(everything))
+
+
+def run_velocity(spark, work, sink=None, **kw):
+    runner.drain(fraud.start_velocity(
+        source(spark, f"{work}/in"), sink or runner.write_alerts(f"{work}/out"),
+        f"{work}/cp", f"{work}/state", every=None, **kw))
+
+
+def test_velocity(spark, work):
+    everything = split(spark, sample(4), f"{work}/in")
+    run_velocity(spark, work)
+    same(runner.latest_alerts(spark, f"{work}/out"), rules.velocity_alerts(everything))
+
+
+def test_velocity_out_of_order_within_grace(spark, work):
+    data = sample(5)
+    rnd = random.Random(5)
+    data.sort(key=lambda d: d[2] + timedelta(seconds=rnd.randrange(25)))
+    everything = split(spark, data, f"{work}/in", parts=6)
+    run_velocity(spark, work)
+    same(runner.latest_alerts(spark, f"{work}/out"), rules.velocity_alerts(everything))
+
+
+def test_velocity_closed_windows_stay_closed(spark, work):
+    start = DAY + timedelta(hours=10)
+    late = start + timedelta(seconds=10)
+    split(spark, [(A2, 1, start), (A2, 1, start + timedelta(minutes=1))],
+          f"{work}/in", parts=1)
+    split(spark, [(A1, 1, start + timedelta(minutes=4))], f"{work}/in", parts=1)
+    split(spark, [(A2, 1, late)], f"{work}/in", parts=1)
+    split(spark, [(A2, 1, start + timedelta(minutes=4, seconds=59))], f"{work}/in", 1)
+    run_velocity(spark, work)
+    # the window ending at 10:01:00 is closed when the late event comes, the one
+    # ending at 10:04:59 is open and counts it
+    assert rows(runner.latest_alerts(spark, f"{work}/out"), "reason") == [
+        ("4 transactions in 5-minute window",)]
+
+
+def test_velocity_restart_and_replay(spark, work):
+    """A sink that fails once: the batch comes again and the result is the same."""
+    data = sample(6)
+    everything = split(spark, data, f"{work}/in")
+    write = runner.write_alerts(f"{work}/out")
+    failed = []
+
+    def flaky(alerts, batch_id):
+        if batch_id == 2 and not failed:
+            failed.append(batch_id)
+            raise RuntimeError("sink down")
+        write(alerts, batch_id)
+
+    with pytest.raises(Exception, match="sink down"):
+        run_velocity(spark, work, flaky)
+    run_velocity(spark, work, flaky)
+    same(runner.latest_alerts(spark, f"{work}/out"), rules.velocity_alerts(everything))
+
+
+def test_velocity_state_expires(spark, work):
+    everything = split(spark, sample(7), f"{work}/in")
+    run_velocity(spark, work, slice_len="5 minutes")
+    gone = fraud.expire_velocity(spark, f"{work}/state", slice_len="5 minutes")
+    assert gone and not any(runner.exists(spark, g) for g in gone)
+    more = [(A1, 1, DAY + timedelta(hours=3, seconds=s)) for s in range(5)]
+    add_file(zoned(tx(spark, [(*m, "DEBIT", uid(5000 + i)) for i, m in enumerate(more)])),
+             f"{work}/in")
+    run_velocity(spark, work, slice_len="5 minutes")
+    extra = zoned(tx(spark, more)).select("account_id", "occurred_at")
+    whole = everything.select("account_id", "occurred_at").unionByName(extra)
+    same(runner.latest_alerts(spark, f"{work}/out"), rules.velocity_alerts(whole))
+
+
+def consumer_files(spark, folder, rounds):
+    schema = "event_id STRING, offset LONG, account_id STRING, currency STRING, amount DOUBLE"
+    offset = 0
+    for items in rounds:
+        data = []
+        for event, amount in items:
+            data.append((event, offset, A1, "INR", float(amount)))
+            offset += 1
+        add_file(spark.createDataFrame(data, schema), folder)
+
+
+def start_consumer(spark, work):
+    return consumer.start_consumer(
+        source(spark, f"{work}/in"), work, f"{work}/cp",
+        lambda: texts.simulated_failure(F.col("amount")), every=None)
+
+
+def test_consumer_over_batches(spark, work):
+    rounds = [[(uid(1), 5), (uid(2), 5.99), (uid(1), 5)],
+              [(uid(1), 5), (uid(2), 5.99), (uid(3), 7)]]
+    consumer_files(spark, f"{work}/in", rounds)
+    runner.drain(start_consumer(spark, work))
+    # redelivery after a restart
+    consumer_files(spark, f"{work}/in", [[(uid(3), 7), (uid(4), 1)]])
+    runner.drain(start_consumer(spark, work))
+    outcomes = spark.read.parquet(f"{work}/{consumer.OUTCOMES}")
+    assert rows(outcomes.groupBy("event_id", "status").count(), "event_id", "status",
+                "count") == [
+        (uid(1), "DUPLICATE", 2), (uid(1), "SENT", 1), (uid(2), "DLQ", 2),
+        (uid(3), "DUPLICATE", 1), (uid(3), "SENT", 1), (uid(4), "SENT", 1)]
+    ledger = spark.read.parquet(f"{work}/{consumer.LEDGER}")
+    assert rows(ledger, "event_id") == [(uid(1),), (uid(3),), (uid(4),)]
+    assert rows(consumer.totals(spark, work), "name", "total") == [
+        ("dlq", 2), ("duplicates", 3), ("sent", 3)]
+    assert spark.read.parquet(f"{work}/{consumer.DEAD_LETTERS}").count() == 2
+    assert spark.read.parquet(f"{work}/{consumer.NOTIFICATIONS}").count() == 3
+
+
+def test_consumer_replay(spark, work, monkeypatch):
+    consumer_files(spark, f"{work}/in", [[(uid(1), 5)], [(uid(1), 5), (uid(2), 6)]])
+    real, failed = consume.ledger_rows, []
+
+    def flaky(judged, *args):
+        if not failed and judged.count() == 2:
+            failed.append(1)
+            raise RuntimeError("ledger down")
+        return real(judged, *args)
+
+    monkeypatch.setattr(consume, "ledger_rows", flaky)
+    with pytest.raises(Exception, match="ledger down"):
+        runner.drain(start_consumer(spark, work))
+    runner.drain(start_consumer(spark, work))
+    assert rows(consumer.totals(spark, work), "name", "total") == [
+        ("dlq", 0), ("duplicates", 1), ("sent", 2)]
+
+
+def test_json_requests_to_published_records(spark, work):
+    """Write path end to end: JSON lines, tables, relay, consumer input."""
+    from ledgerwatch import schemas
+    from ledgerwatch.sources import codecs
+    lines = [f'{{"accountId":"{A1}","amount":"{n}.50","type":"DEBIT"}}' for n in range(5)]
+    lines += ["not json", f'{{"accountId":"{A1}","amount":"1","type":"LOAN"}}']
+    spark.createDataFrame([(x,) for x in lines], "value STRING").coalesce(1) \
+        .write.text(f"{work}/in")
+    raw = streams.file_stream(spark, f"{work}/in", "value STRING", "text")
+    parsed = codecs.decode_events(raw.withColumn("line", F.col("value")), "json",
+                                  schemas.REQUEST)
+    requests = parsed.withColumnRenamed("accountId", "account_id")
+    runner.drain(relay_job.start_accept(requests, lambda s: accounts(s), work,
+                                        f"{work}/cp", "line", every=None))
+    made = spark.read.parquet(f"{work}/{relay_job.TRANSACTIONS}")
+    assert made.count() == 5
+    rejected = spark.read.parquet(f"{work}/{relay_job.REJECTED}")
+    assert rows(rejected, "violations") == [
+        (["account_id_missing", "amount_missing", "type_missing", "account_exists"],),
+        (["type_domain"],)]
+    relay_job.relay(spark, f"{work}/{relay_job.OUTBOX}", f"{work}/passes", "p1",
+                    lambda r: streams.write_topics(r, f"{work}/topics", "p1"))
+    frames = consume.split_frames(spark.read.parquet(f"{work}/topics"))
+    events = codecs.to_event(codecs.decode_events(
+        frames.select(F.col("body").alias("value")), "json", schemas.EVENT_V2))
+    assert rows(events, "account_id", "amount") == rows(made, "account_id", "amount")
+    assert rows(events, "transaction_id") == rows(made.selectExpr("id transaction_id"),
+                                                  "transaction_id")
+
+
+def test_observed_counters(spark, work):
+    split(spark, sample(8, 20), f"{work}/in", parts=1)
+    counted = runner.counted(source(spark, f"{work}/in"), "events",
+                             F.count(F.lit(1)).alias("n"))
+    query = runner.run_stream(counted, lambda b, i: runner.write_batch(b, f"{work}/out", i),
+                              f"{work}/cp", every=None)
+    runner.drain(query)
+    seen = [p.observedMetrics["events"].n for p in query.recentProgress
+            if "events" in p.observedMetrics]
+    assert sum(seen) == 20
+
+
+def test_topic_files_can_be_written_again(spark, work):
+    records = spark.createDataFrame([("a", "k", b"1"), ("b", "k", b"2")],
+                                    "topic STRING, key STRING, value BINARY")
+    for _ in range(2):
+        streams.write_topics(records, f"{work}/t", "p1")
+    streams.write_topics(records, f"{work}/t", "p2")
+    assert rows(spark.read.parquet(f"{work}/t").groupBy("topic", "batch").count(),
+                "topic", "batch", "count") == [
+        ("a", "p1", 1), ("a", "p2", 1), ("b", "p1", 1), ("b", "p2", 1)]
+
+
+def test_account_order(spark):
+    data = zoned(tx(spark, [(A1, n, DAY + timedelta(seconds=97 * n % 100))
+                            for n in range(50)]))
+    ordered = streams.by_account(data).select("occurred_at").collect()
+    assert [r[0] for r in ordered] == sorted(r[0] for r in ordered)
+
+
+def test_kafka_records(spark):
+    alerts = rules.high_value_alerts(tx(spark, [(A1, 150000, "10:00:00")]), accounts(spark))
+    out = streams.kafka_records(alerts, F.to_json(F.struct("alert_id")),
+                                topic=F.lit(streams.ALERT_TOPIC))
+    assert out.columns == ["key", "value", "topic"]
+    assert out.first().key == A1
+
+
+def test_kafka_source(spark):
+    try:
+        spark.readStream.format("kafka").option("kafka.bootstrap.servers", "x:1") \
+            .option("subscribe", "t").load()
+    except Exception:  # noqa: BLE001
+        pytest.skip("Spark's Kafka module is not on the classpath")
+    assert streams.kafka_stream(spark, "x:1", "t").isStreaming
+
+
+def test_velocity_slices_limit(spark, work, monkeypatch):
+    """A batch over a long span reads the state by filter instead of by folder."""
+    monkeypatch.setattr(fraud, "LISTED_SLICES", 0)
+    everything = split(spark, sample(9), f"{work}/in", parts=2)
+    run_velocity(spark, work)
+    same(runner.latest_alerts(spark, f"{work}/out"), rules.velocity_alerts(everything))
+    assert velocity.slice_step("5 minutes") == 3_600_000_000
