@@ -42,7 +42,8 @@ def hot_keys(df: DataFrame, on: list[str], min_rows: int = HOT_ROWS) -> DataFram
                   F.pmod(F.spark_partition_id(), F.lit(SHARDS)).alias("shard"))
         .groupBy("shard")
         .agg(F.expr(f"approx_top_k_accumulate({_HASH}, {SKETCH_ITEMS})").alias("s")))
-    top = sketches.agg(F.expr(
+    # Grouped by a constant: no rows then give no group, which the combine needs.
+    top = sketches.groupBy(F.lit(0).alias("all")).agg(F.expr(
         f"approx_top_k_estimate(approx_top_k_combine(s, {SKETCH_ITEMS}), {HOT_KEYS})")
         .alias("top"))
     return (top.select(F.explode("top").alias("t"))

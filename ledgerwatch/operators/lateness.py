@@ -25,10 +25,11 @@ def stream_time(df: DataFrame, ts: str, arrival: list[str], partition: str,
     """Every row with ``stream_time``.
 
     ``arrival`` names the columns that order a partition's records uniquely. The
-    first one is a timestamp or an offset; it cuts a partition into slices
-    (``slice_len``: a duration, or a number of offsets), because one partition is
-    far too much for one task. The greatest event time of earlier slices joins
-    each slice as one extra row, so rows are shuffled once.
+    first one cuts a partition into slices, because one partition is far too much
+    for one task: an offset, whose slices hold at most ``slice_len`` records, or a
+    timestamp with a duration. Prefer the offset where there is one. The greatest
+    event time of earlier slices comes into each slice as one extra row, so rows
+    are shuffled once.
     """
     lead = arrival[0]
     if isinstance(df.schema[lead].dataType, (T.TimestampType, T.TimestampNTZType)):

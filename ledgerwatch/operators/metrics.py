@@ -28,7 +28,7 @@ def counters(df: DataFrame, dims: Sequence[str]) -> DataFrame:
     return df.groupBy(*dims).agg(F.count(F.lit(1)).alias("total"))
 
 
-def pipeline_counters(classified: DataFrame) -> DataFrame:
+def consumer_counters(classified: DataFrame) -> DataFrame:
     """``name, total`` of the consumer's three counters in one aggregate."""
     totals = classified.agg(
         F.count_if(F.col("status") == "SENT").alias("sent"),

@@ -43,9 +43,10 @@ VIEWS = {
         select distinct event_id from tx
         where occurred_at < timestamp '2024-01-08'""",
     "arr": """
-        select *, occurred_at + ((event_id * 7919) % 7200) * interval 1 second
-                    as arrived_at,
-               account_id % 3 as part
+        select event_id, account_id, amount, event_id as "offset",
+               account_id % 3 as partition,
+               occurred_at - ((event_id * 7919) % 7200) * interval 1 second
+                 as occurred_at
         from tx""",
     "box": """
         select '00000000-0000-0000-0000-' || lpad(cast(event_id as varchar), 12, '0') as id,
@@ -60,7 +61,7 @@ VIEWS = {
         from tx""",
     "audit": """
         select *, time_bucket(interval 1 hour, occurred_at) + interval 1 hour as window_end,
-               max(occurred_at) over (partition by part order by arrived_at, event_id
+               max(occurred_at) over (partition by partition order by "offset"
                     rows between unbounded preceding and current row) as stream_time
         from arr""",
     "judged": """
@@ -76,11 +77,11 @@ VIEWS = {
                {_uuid("cast(event_id as varchar)")} as id
         from tx left join acc on tx.account_id = acc.account_id""",
     "lags": """
-        select part as partition,
+        select partition,
                max(event_id) + 1 - coalesce(
                    max(event_id) filter (where occurred_at < timestamp '2024-01-28') + 1, 0)
                  as lag
-        from arr group by part""",
+        from arr group by partition""",
 }
 
 USES = {
@@ -345,7 +346,7 @@ ORACLES = {
         select id, published_at from box
         where not published or published_at >= timestamp '2024-01-23'"""),
     "late_drops": _with(["audit"], """
-        select event_id, part, stream_time, window_end,
+        select event_id, partition, stream_time, window_end,
                window_end <= stream_time - interval 30 seconds as dropped
         from audit"""),
     "hourly_spend_on_time": _with(["audit"], """
@@ -366,7 +367,7 @@ ORACLES = {
         from on_copies c left join on_events e on c.account_id = e.account_id"""),
     "event_counters": _with(["tx"], """
         select description, type, count(*) as total from tx group by description, type"""),
-    "pipeline_counters": _with(["judged"], """
+    "consumer_counters": _with(["judged"], """
         select case status when 'SENT' then 'sent' when 'DLQ' then 'dlq'
                     else 'duplicates' end as name, count(*) as total
         from judged group by status"""),

@@ -335,16 +335,13 @@ def outbox_retention(spark, folder):
 
 @query
 def late_drops(spark, folder):
-    audited = lateness.late_audit(tables.arrivals(spark, folder),
-                                  arrival=["arrived_at", "event_id"],
-                                  partition="part")
-    return audited.select("event_id", "part", "stream_time", "window_end", "dropped")
+    return lateness.late_audit(tables.arrivals(spark, folder)).select(
+        "event_id", "partition", "stream_time", "window_end", "dropped")
 
 
 @query
 def hourly_spend_on_time(spark, folder):
-    kept = lateness.on_time(tables.arrivals(spark, folder),
-                            arrival=["arrived_at", "event_id"], partition="part")
+    kept = lateness.on_time(tables.arrivals(spark, folder))
     return as_double(rules.tumbling_spend(kept), "total")
 
 
@@ -377,8 +374,8 @@ def event_counters(spark, folder):
 
 
 @query
-def pipeline_counters(spark, folder):
-    return metrics.pipeline_counters(outcomes(spark, folder))
+def consumer_counters(spark, folder):
+    return metrics.consumer_counters(outcomes(spark, folder))
 
 
 @query
@@ -425,12 +422,10 @@ def histogram_quantiles(spark, folder):
 
 
 def _lags(spark: SparkSession, folder: str) -> DataFrame:
-    records = tables.arrivals(spark, folder).select(
-        F.col("part").alias("partition"), F.col("event_id").alias("offset"),
-        "occurred_at")
+    records = tables.arrivals(spark, folder)
     committed = (records.filter(F.col("occurred_at") < moment("2024-01-28"))
                  .groupBy("partition").agg((F.max("offset") + 1).alias("offset")))
-    return metrics.lag(records, committed)
+    return metrics.lag(records.select("partition", "offset"), committed)
 
 
 @query
@@ -445,7 +440,7 @@ def total_lag(spark, folder):
 
 @query
 def health_status(spark, folder):
-    counts = metrics.pipeline_counters(outcomes(spark, folder)).select(
+    counts = metrics.consumer_counters(outcomes(spark, folder)).select(
         "name", F.col("total").alias("value"))
     behind = metrics.total_lag(_lags(spark, folder)).select(
         F.lit("lag").alias("name"), F.col("lag").alias("value"))

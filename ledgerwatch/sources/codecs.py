@@ -36,7 +36,7 @@ def decode_json(df: DataFrame, schema: str, value: str = "value") -> DataFrame:
     parsed = df.withColumn("_r", record)
     good = F.col("_r").isNotNull() & F.col("_r._corrupt").isNull() & text.isNotNull()
     return parsed.select(
-        *[c for c in df.columns], good.alias("decoded"),
+        *df.columns, good.alias("decoded"),
         *[F.when(good, F.col(f"_r.{f}")).alias(f) for f in fields])
 
 
@@ -84,8 +84,13 @@ def event_body(columns: list[str], fmt: str, schema: dict | None = None,
 
 def encode_events(df: DataFrame, fmt: str, schema: dict | None = None,
                   key: str | None = None, schema_id: int = 1) -> DataFrame:
-    """``key, value`` records of all columns."""
-    value = event_body(df.columns, fmt, schema, schema_id).alias("value")
+    """``key, value`` records of all columns; ``raw`` and ``text`` pass the column
+    ``value`` on as bytes or as text."""
+    if fmt in ("raw", "text"):
+        value = F.col("value").cast("binary" if fmt == "raw" else "string")
+    else:
+        value = event_body(df.columns, fmt, schema, schema_id)
+    value = value.alias("value")
     if key is None:
         return df.select(value)
     return df.select(F.col(key).cast("string").alias("key"), value)

@@ -28,6 +28,16 @@ def load_tables(spark: SparkSession, folder: str,
     return {n: spark.read.parquet(f"{folder}/{n}.parquet") for n in names}
 
 
+def jdbc_table(spark: SparkSession, url: str, table: str, *, split_by: str,
+               first: str, last: str, tasks: int, **options: str) -> DataFrame:
+    """A relational table read by ``tasks`` ranges of ``split_by`` (SRC6). Filters
+    and column choices go to the database; its driver must be on the classpath."""
+    return (spark.read.format("jdbc")
+            .options(url=url, dbtable=table, partitionColumn=split_by,
+                     lowerBound=first, upperBound=last, numPartitions=tasks,
+                     **options).load())
+
+
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return load_tables(spark, folder, [name])[name]
 
@@ -120,11 +130,13 @@ def ledger(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def arrivals(spark: SparkSession, folder: str) -> DataFrame:
-    """Transactions that arrive up to two hours late, in three partitions."""
+    """Transactions that arrive up to two hours late: records of three partitions,
+    with the event id as offset."""
     delay = F.make_dt_interval(secs=F.pmod(F.col("event_id") * 7919, F.lit(7200)))
     return (transactions(spark, folder)
-            .withColumn("arrived_at", F.col("occurred_at") + delay)
-            .withColumn("part", F.pmod(F.col("account_id"), F.lit(3))))
+            .withColumn("occurred_at", F.col("occurred_at") - delay)
+            .withColumn("offset", F.col("event_id"))
+            .withColumn("partition", F.pmod(F.col("account_id"), F.lit(3))))
 
 
 def outbox(spark: SparkSession, folder: str) -> DataFrame:

@@ -88,6 +88,12 @@ def latest_alerts(spark: SparkSession, folder: str) -> DataFrame:
     return latest_per_key(rows, "alert_id", BATCH).drop(BATCH)
 
 
+def state_rows(spark: SparkSession, checkpoint: str, operator: int = 0) -> DataFrame:
+    """Keyed state of a stopped query as ``key, value`` rows (OP13)."""
+    return (spark.read.format("statestore").option("operatorId", operator)
+            .load(checkpoint).select("key", "value"))
+
+
 def counted(df: DataFrame, name: str, *counters) -> DataFrame:
     """Attach live counters to a stream; they appear in the query's progress
     under ``name`` (AGG4)."""

@@ -152,7 +152,7 @@ def test_long_payload_is_one_line(spark):
 
 def test_counters(spark):
     out = judge(spark, [(uid(1), 5), (uid(1), 5), (uid(2), 5.99)])
-    assert rows(metrics.pipeline_counters(out), "name", "total") == [
+    assert rows(metrics.consumer_counters(out), "name", "total") == [
         ("dlq", 1), ("duplicates", 1), ("sent", 1)]
 
 
@@ -186,3 +186,10 @@ def test_avro_records(spark):
         back = codecs.decode_events(codecs.encode_events(df, fmt, EVENT_V2_AVRO), fmt,
                                     EVENT_V2_AVRO)
         assert back.first().amount == 1.5
+
+
+def test_pass_through_records(spark):
+    df = spark.createDataFrame([("k", b"ab")], "account_id STRING, value BINARY")
+    raw = codecs.encode_events(df, "raw", key="account_id").first()
+    text = codecs.encode_events(df, "text", key="account_id").first()
+    assert (raw.key, raw.value, text.value) == ("k", b"ab", "ab")

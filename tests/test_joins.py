@@ -56,3 +56,13 @@ def test_small_side_is_one_plain_join(spark, capsys):
     left, right = sides(spark)
     joins.lookup_join(left, spark.sql("select 'hot' as k, 1 as w"), "k").explain()
     assert "approx_top_k" not in capsys.readouterr().out
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+def test_empty_sides(spark, no_broadcast, how):
+    left, right = sides(spark)
+    none = left.filter("v < 0")
+    assert joins.hot_keys(none, ["k"], 1).count() == 0
+    assert joins.lookup_join(none, right, "k", how).count() == 0
+    kept = joins.lookup_join(left, right.filter("w < -5"), "k", how, 1000).count()
+    assert kept == (6000 if how in ("left", "left_anti") else 0)

@@ -308,3 +308,25 @@ def test_velocity_slices_limit(spark, work, monkeypatch):
     run_velocity(spark, work)
     same(runner.latest_alerts(spark, f"{work}/out"), rules.velocity_alerts(everything))
     assert velocity.slice_step("5 minutes") == 3_600_000_000
+
+
+def test_state_can_be_read(spark, work):
+    everything = split(spark, sample(10), f"{work}/in")
+    runner.drain(fraud.start_rapid_large(
+        source(spark, f"{work}/in"), runner.write_alerts(f"{work}/out"), f"{work}/cp",
+        grace="1 day", every=None))
+    state = runner.state_rows(spark, f"{work}/cp")
+    assert state.count() == rules.tumbling_spend(everything).count()
+
+
+def test_polling_trigger(spark, work):
+    everything = split(spark, sample(11), f"{work}/in")
+    query = fraud.start_high_value(
+        source(spark, f"{work}/in"), lambda s: accounts(s),
+        runner.write_alerts(f"{work}/out"), f"{work}/cp", every="100 milliseconds")
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    same(runner.latest_alerts(spark, f"{work}/out"),
+         rules.high_value_alerts(everything, accounts(spark)))
