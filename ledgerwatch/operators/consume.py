@@ -66,8 +66,9 @@ def classify(df: DataFrame, ledger: DataFrame | None, failure: Column, *,
     the ledger, so a copy is a duplicate when the ledger has its event or an
     earlier copy succeeded; copies of a failing event each go to the dead letters.
 
-    The first success of each event is an aggregate, combined map-side and looked
-    up per row: no task ever holds all copies of an event.
+    What is known of each event, its first success and its ledger entry, is one
+    aggregate, combined map-side and looked up per row: no task ever holds all
+    copies of an event.
     """
     order = [order_by] if isinstance(order_by, str) else list(order_by)
     columns = df.columns
@@ -84,19 +85,18 @@ def classify(df: DataFrame, ledger: DataFrame | None, failure: Column, *,
         .withColumn("_order", F.struct(*order) if order[1:] else F.col(order[0])))
 
     succeeds = F.col("_bad").isNull() & F.col("_error").isNull()
-    first_ok = (rows.filter(succeeds).groupBy("_key")
-                .agg(F.min("_order").alias("_first_ok")))
-    judged = lookup_join(rows, first_ok, "_key", "left")
-    if ledger is None:
-        judged = judged.withColumn("_processed", F.lit(False))
-    else:
+    seen = (rows.filter(succeeds)
+            .select("_key", "_order", F.lit(False).alias("_in_ledger")))
+    if ledger is not None:
         done = F.lower(F.col(id)) if is_text else F.col(id)
-        done_keys = (ledger.select(done.alias("_key")).distinct()
-                     .withColumn("_in_ledger", F.lit(True)))
-        judged = (lookup_join(judged, done_keys, "_key", "left")
-                  .withColumn("_processed", F.coalesce("_in_ledger", F.lit(False))))
-
-    duplicate = F.col("_processed") | F.coalesce(
+        none = F.lit(None).cast(rows.schema["_order"].dataType)
+        seen = seen.unionByName(ledger.select(
+            done.alias("_key"), none.alias("_order"), F.lit(True).alias("_in_ledger")))
+    per_event = seen.groupBy("_key").agg(
+        F.min("_order").alias("_first_ok"), F.max("_in_ledger").alias("_in_ledger"))
+    judged = lookup_join(rows, per_event, "_key", "left")
+
+    duplicate = F.coalesce(F.col("_in_ledger"), F.lit(False)) | F.coalesce(
         F.col("_order") > F.col("_first_ok"), F.lit(False))
     status = (F.when(F.col("_bad").isNotNull(), F.lit(DLQ))
               .when(duplicate, F.lit(DUPLICATE))
@@ -157,3 +157,25 @@ def retry_due(attempts: DataFrame, now: Column,
         .withColumn("state", F.when(~left, F.lit("EXHAUSTED"))
                     .when(F.col("next_attempt_at") <= now, F.lit("DUE"))
                     .otherwise(F.lit("WAITING"))))
+
+
+def retry_step(attempts: DataFrame, now: Column, failure: Column,
+               max_attempts: int = backoff.MAX_ATTEMPTS,
+               base_ms: int = backoff.BASE_MS) -> DataFrame:
+    """``attempts`` after running the handler on its due rows (OP7).
+
+    Due rows get one more ``attempt`` at ``now``. ``status`` is SENT or DLQ for
+    rows that are finished, RETRY for those that stay in the table.
+    """
+    due = F.col("state") == "DUE"
+    tried = (retry_due(attempts, now, max_attempts, base_ms)
+             .withColumn("_error", F.when(due, failure))
+             .withColumn("attempt", F.col("attempt") + F.when(due, 1).otherwise(0)))
+    kind = dict(attempts.dtypes)["last_attempt_at"]
+    status = (F.when(due & F.col("_error").isNull(), F.lit(SENT))
+              .when(F.col("attempt") >= max_attempts, F.lit(DLQ))
+              .otherwise(F.lit("RETRY")))
+    return (tried.withColumn("status", status)
+            .withColumn("last_attempt_at", F.when(due, now.cast(kind))
+                        .otherwise(F.col("last_attempt_at")))
+            .select(*attempts.columns, "status"))

@@ -247,7 +247,7 @@ ORACLES = {
     "consume_outcomes": _with(["judged"], """
         select uuid_text as event_id, "offset", status,
                case status when 'DLQ' then 3 when 'SENT' then 1 else 0 end as attempts,
-               case status when 'DLQ' then 3000 else 0 end as backoff_ms,
+               cast(case status when 'DLQ' then 3000 else 0 end as bigint) as backoff_ms,
                case status when 'DLQ' then 'Simulated notification failure for amount: '
                     || amount_text end as reason
         from judged"""),
@@ -275,14 +275,26 @@ ORACLES = {
                      case delivery when 1 then occurred_at + interval 1 second
                           when 2 then occurred_at + interval 2 seconds end as next_attempt_at
               from raw where cast(cast(amount as double) as varchar) like '%.99')"""),
+    "retry_step": _with(["raw"], """
+        select event_id, delivery + cast(due as integer) as attempt,
+               case when due then timestamp '2024-01-20' else occurred_at end
+                 as last_attempt_at,
+               description,
+               case when due and description <> 'purchase' then 'SENT'
+                    when delivery + cast(due as integer) >= 3 then 'DLQ'
+                    else 'RETRY' end as status
+        from (select *, delivery < 3 and occurred_at + case delivery
+                            when 1 then interval 1 second else interval 2 seconds end
+                          <= timestamp '2024-01-20' as due
+              from raw where cast(cast(amount as double) as varchar) like '%.99')"""),
     "frame_triage": _with(["tx"], """
-        select schema_id, bad_reason, count(*) as frames
+        select cast(schema_id as bigint) as schema_id, bad_reason, count(*) as frames
         from (select case when description in ('error', 'signup') then null
                           when type = 'DEBIT' then 1 else 2 end as schema_id,
                      case description when 'error' then 'unknown magic byte'
                           when 'signup' then 'frame too short' end as bad_reason
               from tx)
-        group by schema_id, bad_reason"""),
+        group by all"""),
     "frame_bodies": _with(["tx"], """
         select event_id, account_id as schema_id, description as body from tx"""),
     "schema_v1_v2_union": _with(["tx"], """
@@ -434,7 +446,7 @@ ORACLES = {
         select '00000000-0000-0000-0000-' || lpad(cast(event_id as varchar), 12, '0')
                  as event_id, "offset", status,
                case status when 'DLQ' then 3 when 'SENT' then 1 else 0 end as attempts,
-               case status when 'DLQ' then 3000 else 0 end as backoff_ms,
+               cast(case status when 'DLQ' then 3000 else 0 end as bigint) as backoff_ms,
                case status when 'DLQ' then 'Simulated notification failure for amount: '
                     || amount_text end as reason
         from (select *, cast(cast(amount as double) as varchar) as amount_text,

@@ -209,13 +209,25 @@ def ledger_additions(spark, folder):
             .select("event_id", "consumer_group"))
 
 
+def attempts(spark: SparkSession, folder: str) -> DataFrame:
+    """Deliveries of failing amounts as failed attempts."""
+    return (tables.deliveries(spark, folder)
+            .filter(texts.simulated_failure(F.col("amount")).isNotNull())
+            .select("event_id", F.col("delivery").alias("attempt"),
+                    F.col("occurred_at").alias("last_attempt_at"), "description"))
+
+
 @query
 def retry_schedule(spark, folder):
-    attempts = (tables.deliveries(spark, folder)
-                .filter(texts.simulated_failure(F.col("amount")).isNotNull())
-                .select("event_id", F.col("delivery").alias("attempt"),
-                        F.col("occurred_at").alias("last_attempt_at")))
-    return consume.retry_due(attempts, moment("2024-01-20"))
+    return consume.retry_due(attempts(spark, folder).drop("description"),
+                             moment("2024-01-20"))
+
+
+@query
+def retry_step(spark, folder):
+    """One pass in which the handler still fails for purchases."""
+    failure = F.when(F.col("description") == "purchase", F.lit("down"))
+    return consume.retry_step(attempts(spark, folder), moment("2024-01-20"), failure)
 
 
 @query

@@ -96,6 +96,15 @@ def encode_events(df: DataFrame, fmt: str, schema: dict | None = None,
     return df.select(F.col(key).cast("string").alias("key"), value)
 
 
+def wire_names(df: DataFrame) -> DataFrame:
+    """Engine column names → field names of the wire records."""
+    def camel(name: str) -> str:
+        first, *rest = name.split("_")
+        return first + "".join(part.capitalize() for part in rest)
+
+    return df.withColumnsRenamed({c: camel(c) for c in df.columns})
+
+
 def to_event(decoded: DataFrame) -> DataFrame:
     """Wire fields → engine columns (``schemas.EVENT``); times become timestamps
     and amounts decimals. Columns that are not wire fields are kept."""

@@ -148,7 +148,7 @@ def expire_velocity(spark: SparkSession, state: str,
     ``back`` newest micro-batches are disregarded in the stream time, as they may
     still be replayed.
     """
-    step = velocity.slice_step(window, slice_len)
+    step, prefix = velocity.slice_step(window, slice_len), "slice="
     progress = spark.read.parquet(f"{state}/progress")
     last = progress.agg(F.max(runner.BATCH)).first()[0]
     now = (progress.filter(F.col(runner.BATCH) <= last - back)
@@ -156,9 +156,9 @@ def expire_velocity(spark: SparkSession, state: str,
     if now is None:
         return []
     oldest = now - micros(grace) - 2 * micros(window)
-    slices = (spark.read.parquet(f"{state}/counts").select("slice").distinct()
-              .filter(F.col("slice") + step <= oldest))
-    gone = [f"{state}/counts/slice={row[0]}" for row in slices.toLocalIterator()]
+    slices = [int(n[len(prefix):])
+              for n in runner.children(spark, f"{state}/counts") if n.startswith(prefix)]
+    gone = [f"{state}/counts/{prefix}{s}" for s in slices if s + step <= oldest]
     for folder in gone:
         runner.remove(spark, folder)
     return gone

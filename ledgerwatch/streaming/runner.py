@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
 from ..operators.reference import latest_per_key
+from ..operators.rules import stamped
+from ..schemas import ALERT_AVRO
+from ..sources import codecs, streams
 
 BATCH = "batch_id"
 ONE_SECOND = "1 second"
@@ -40,17 +43,29 @@ def drain(query: StreamingQuery) -> None:
     query.awaitTermination()
 
 
-def exists(spark: SparkSession, path: str) -> bool:
+def _files(spark: SparkSession, path: str):
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(
-        spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    return target.getFileSystem(conf), target
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    system, target = _files(spark, path)
+    return system.exists(target)
+
+
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none when it does not exist."""
+    system, target = _files(spark, path)
+    if not system.exists(target):
+        return []
+    return [status.getPath().getName() for status in system.listStatus(target)]
 
 
 def remove(spark: SparkSession, path: str) -> None:
     """Delete one folder of expired state."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(
-        spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    system, target = _files(spark, path)
+    system.delete(target, True)
 
 
 def write_batch(df: DataFrame, folder: str, batch_id: int) -> None:
@@ -69,19 +84,29 @@ def staged(df: DataFrame, folder: str, batch_id: int) -> DataFrame:
     return read_batch(df.sparkSession, folder, batch_id)
 
 
-def read_table(spark: SparkSession, folder: str, schema=None) -> DataFrame:
-    """All batches of a table; empty when nothing was written yet."""
-    if not exists(spark, folder):
-        return spark.createDataFrame([], schema)
-    return spark.read.parquet(folder)
-
-
 def write_alerts(folder: str) -> Handler:
     def handle(alerts: DataFrame, batch_id: int) -> None:
         write_batch(alerts, folder, batch_id)
     return handle
 
 
+def alert_records(alerts: DataFrame, fmt: str = "json", schema_id: int = 1) -> DataFrame:
+    """Alerts as ``key, value`` records of the alert topic, keyed by account (SNK1)."""
+    record = codecs.wire_names(stamped(alerts))
+    avro = None if fmt == "json" else ALERT_AVRO
+    return codecs.encode_events(record, fmt, avro, key="accountId", schema_id=schema_id)
+
+
+def publish_alerts(servers: str, fmt: str = "confluent_avro",
+                   schema_id: int = 1) -> Handler:
+    """Handler that sends alerts to Kafka. A replayed batch is sent again; readers
+    keep the last record per alert id."""
+    def handle(alerts: DataFrame, batch_id: int) -> None:
+        streams.write_kafka(alert_records(alerts, fmt, schema_id), servers,
+                            streams.ALERT_TOPIC)
+    return handle
+
+
 def latest_alerts(spark: SparkSession, folder: str) -> DataFrame:
     """Last version of each alert; update mode may write several (OP4, OP12)."""
     rows = spark.read.parquet(folder)

@@ -193,3 +193,23 @@ def test_pass_through_records(spark):
     raw = codecs.encode_events(df, "raw", key="account_id").first()
     text = codecs.encode_events(df, "text", key="account_id").first()
     assert (raw.key, raw.value, text.value) == ("k", b"ab", "ab")
+
+
+def test_retry_steps_end_in_dead_letters(spark):
+    start = datetime(2024, 3, 5, 10)
+    table = spark.createDataFrame(
+        [("bad", 1, start), ("good", 1, start)],
+        "event_id STRING, attempt INT, last_attempt_at TIMESTAMP_NTZ")
+    fails = F.when(F.col("event_id") == "bad", F.lit("down"))
+
+    def step(df, second):
+        now = F.lit(datetime(2024, 3, 5, 10, 0, second)).cast("timestamp_ntz")
+        return consume.retry_step(df, now, fails)
+
+    assert rows(step(table, 0), "status") == [("RETRY",), ("RETRY",)]
+    one = step(table, 1)
+    assert rows(one, "event_id", "attempt", "status") == [
+        ("bad", 2, "RETRY"), ("good", 2, "SENT")]
+    left = one.filter("status = 'RETRY'").drop("status")
+    assert rows(step(left, 2), "attempt", "status") == [(2, "RETRY")]
+    assert rows(step(left, 3), "attempt", "status") == [(3, "DLQ")]

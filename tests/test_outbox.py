@@ -140,3 +140,11 @@ def test_relay_through_an_outage(spark, tmp_path):
     assert table.count() == 150
     assert table.filter("published").count() == 150
     assert table.filter("retry_count = 1").count() == 100
+
+
+def test_pending_filter_reaches_the_scan(spark, tmp_path, capsys):
+    box(spark, [pending(1), (2, True, DAY, 0, PAYLOAD)]).write.parquet(str(tmp_path / "o"))
+    ob.outbox_pending(spark.read.parquet(str(tmp_path / "o"))).explain()
+    plan = capsys.readouterr().out
+    assert "published" in plan.split("PushedFilters: ")[1].split("]")[0]
+    assert "TakeOrderedAndProject" in plan

@@ -10,6 +10,7 @@ from helpers import A1, A2, DAY, accounts, rows, tx, uid
 from ledgerwatch.functions import texts
 from ledgerwatch.operators import consume, rules, velocity
 from ledgerwatch.sources import streams
+from ledgerwatch.streaming import accounts as account_table
 from ledgerwatch.streaming import consumer, fraud, runner
 from ledgerwatch.streaming import outbox as relay_job
 
@@ -290,6 +291,11 @@ def test_kafka_records(spark):
                                 topic=F.lit(streams.ALERT_TOPIC))
     assert out.columns == ["key", "value", "topic"]
     assert out.first().key == A1
+    record = runner.alert_records(alerts)
+    assert record.columns == ["key", "value"]
+    fields = record.select(F.json_object_keys(F.col("value").cast("string")))
+    assert fields.first()[0] == ["alertId", "accountId", "transactionId", "alertType",
+                                 "reason", "amount", "accountTier", "detectedAt"]
 
 
 def test_kafka_source(spark):
@@ -330,3 +336,38 @@ def test_polling_trigger(spark, work):
         query.stop()
     same(runner.latest_alerts(spark, f"{work}/out"),
          rules.high_value_alerts(everything, accounts(spark)))
+
+
+CHANGES = "account_id STRING, tier STRING, status STRING, offset LONG"
+
+
+def run_account_table(spark, work, changes):
+    for batch in changes:
+        add_file(spark.createDataFrame(batch, CHANGES), f"{work}/changes")
+        runner.drain(account_table.start_account_table(
+            source(spark, f"{work}/changes"), f"{work}/accounts", f"{work}/acp",
+            every=None))
+
+
+def test_account_table(spark, work):
+    run_account_table(spark, work, [
+        [("a", "STANDARD", "ACTIVE", 1), ("b", "PREMIUM", "ACTIVE", 2)],
+        [("a", "ELITE", "ACTIVE", 3), ("b", None, None, 4)],
+        [("b", "PREMIUM", "ACTIVE", 2), ("c", "ELITE", "ACTIVE", 5)],
+        [("c", "PREMIUM", "ACTIVE", 6)], [("d", "ELITE", "CLOSED", 7)]])
+    now = account_table.current_accounts(spark, f"{work}/accounts")
+    assert rows(now, "account_id", "tier") == [
+        ("a", "ELITE"), ("c", "PREMIUM"), ("d", "ELITE")]
+    assert account_table.versions(spark, f"{work}/accounts") == [2, 3, 4]
+
+
+def test_rule_reads_the_account_table(spark, work):
+    run_account_table(spark, work, [[(A1, "STANDARD", "ACTIVE", 1)],
+                                    [(A1, "PREMIUM", "ACTIVE", 2)]])
+    split(spark, [(A1, 60000, DAY), (A1, 160000, DAY)], f"{work}/in", parts=1)
+    runner.drain(fraud.start_high_value(
+        source(spark, f"{work}/in"),
+        lambda s: account_table.current_accounts(s, f"{work}/accounts"),
+        runner.write_alerts(f"{work}/out"), f"{work}/cp", every=None))
+    assert rows(runner.latest_alerts(spark, f"{work}/out"), "amount", "account_tier") == [
+        (160000.0, "PREMIUM")]
