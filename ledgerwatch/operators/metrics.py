@@ -28,15 +28,27 @@ def counters(df: DataFrame, dims: Sequence[str]) -> DataFrame:
     return df.groupBy(*dims).agg(F.count(F.lit(1)).alias("total"))
 
 
+def _named(df: DataFrame, **counts: Column) -> DataFrame:
+    """``name, total`` of several conditions, counted in one aggregate."""
+    totals = df.agg(*[F.count_if(c).alias(n) for n, c in counts.items()])
+    pairs = [part for n in counts for part in (F.lit(n), F.col(n))]
+    return totals.select(F.stack(F.lit(len(counts)), *pairs).alias("name", "total"))
+
+
 def consumer_counters(classified: DataFrame) -> DataFrame:
-    """``name, total`` of the consumer's three counters in one aggregate."""
-    totals = classified.agg(
-        F.count_if(F.col("status") == "SENT").alias("sent"),
-        F.count_if(F.col("status") == "DLQ").alias("dlq"),
-        F.count_if(F.col("status") == "DUPLICATE").alias("duplicates"))
-    return totals.select(F.stack(
-        F.lit(3), F.lit("sent"), "sent", F.lit("dlq"), "dlq",
-        F.lit("duplicates"), "duplicates").alias("name", "total"))
+    status = F.col("status")
+    return _named(classified, sent=status == "SENT", dlq=status == "DLQ",
+                  duplicates=status == "DUPLICATE")
+
+
+def accept_counters(transactions: DataFrame) -> DataFrame:
+    return _named(transactions, initiated=F.lit(True))
+
+
+def outbox_counters(results: DataFrame) -> DataFrame:
+    """Counters of publish results (``id, error``)."""
+    return _named(results, outbox_published=F.col("error").isNull(),
+                  outbox_failed=F.col("error").isNotNull())
 
 
 def rate_per_second(df: DataFrame, ts: str, dims: Sequence[str],

@@ -383,6 +383,13 @@ ORACLES = {
         select case status when 'SENT' then 'sent' when 'DLQ' then 'dlq'
                     else 'duplicates' end as name, count(*) as total
         from judged group by status"""),
+    "write_counters": _with(["checked", "box"], """
+        select 'initiated' as name, count(*) as total
+        from checked where known and type <> 'REFUND'
+        union all select 'outbox_published', count(*) from box
+        where not published and payload <> '"*"'
+        union all select 'outbox_failed', count(*) from box
+        where not published and payload = '"*"'"""),
     "rate_per_minute": _with(["tx"], """
         select description, date_trunc('minute', occurred_at) as window_start,
                count(*) / 60.0 as rate
@@ -435,13 +442,11 @@ ORACLES = {
                else 'green' end as status
         from m"""),
     "relay_outbox": _with(["box"], """
-        select id, published or payload <> '"*"' as published,
-               case when published then published_at
-                    when payload <> '"*"' then timestamp '2024-02-01' end as published_at,
+        select id, payload <> '"*"' as published,
+               case when payload <> '"*"' then timestamp '2024-02-01' end as published_at,
                retry_count + case when payload = '"*"' then 1 else 0 end as retry_count,
-               case when payload = '"*"' then 'payload is not base64' end as last_error,
-               case when published then 0 else 1 end as version
-        from box"""),
+               case when payload = '"*"' then 'payload is not base64' end as last_error
+        from box where not published"""),
     "stream_consumer": _with(["raw"], """
         select '00000000-0000-0000-0000-' || lpad(cast(event_id as varchar), 12, '0')
                  as event_id, "offset", status,

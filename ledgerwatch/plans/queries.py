@@ -390,6 +390,15 @@ def consumer_counters(spark, folder):
     return metrics.consumer_counters(outcomes(spark, folder))
 
 
+@query
+def write_counters(spark, folder):
+    """Accepted requests, and results of publishing the whole backlog."""
+    backlog = ob.outbox_pending(tables.outbox(spark, folder), None)
+    return (metrics.accept_counters(accepted(spark, folder).transactions)
+            .unionByName(metrics.outbox_counters(
+                ob.publish_results(ob.publishable(backlog)))))
+
+
 @query
 def rate_per_minute(spark, folder):
     return metrics.rate_per_second(tables.transactions(spark, folder),

@@ -17,15 +17,6 @@ from . import runner
 KEEP_VERSIONS = 3
 
 
-def versions(spark: SparkSession, folder: str) -> list[int]:
-    """Complete versions, oldest first."""
-    prefix = f"{runner.BATCH}="
-    names = [n[len(prefix):] for n in runner.children(spark, folder)
-             if n.startswith(prefix)]
-    return sorted(int(n) for n in names
-                  if runner.exists(spark, f"{folder}/{prefix}{n}/_SUCCESS"))
-
-
 def start_account_table(changes: DataFrame, folder: str, checkpoint: str,
                         key: str = "account_id",
                         order_by: str | list[str] = "offset",
@@ -39,13 +30,12 @@ def start_account_table(changes: DataFrame, folder: str, checkpoint: str,
     """
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        before = [v for v in versions(spark, folder) if v < batch_id]
+        before = [v for v in runner.versions(spark, folder) if v < batch_id]
         rows = batch
         if before:
             rows = runner.read_batch(spark, folder, before[-1]).unionByName(batch)
         runner.write_batch(latest_per_key(rows, key, order_by), folder, batch_id)
-        for old in before[:-(keep - 1) or None]:
-            runner.remove(spark, f"{folder}/{runner.BATCH}={old}")
+        runner.remove_before(spark, folder, batch_id - keep + 1)
 
     return runner.run_stream(changes, handle, checkpoint, every=every)
 
@@ -54,6 +44,6 @@ def current_accounts(spark: SparkSession, folder: str, key: str = "account_id",
                      order_by: str | list[str] = "offset") -> DataFrame:
     """Newest version of the table, one row per live account."""
     order = [order_by] if isinstance(order_by, str) else list(order_by)
-    table = runner.read_batch(spark, folder, versions(spark, folder)[-1])
+    table = runner.read_batch(spark, folder, runner.versions(spark, folder)[-1])
     values = [F.col(c) for c in table.columns if c != key and c not in order]
     return table.filter(F.coalesce(*values).isNotNull()).drop(*order)

@@ -12,6 +12,7 @@ from ..functions.durations import floor_to, micros
 from ..functions.tiers import TIER_LIMITS
 from ..operators import rules, velocity
 from ..operators.lateness import GRACE
+from ..sources import streams
 from . import runner
 
 LISTED_SLICES = 100
@@ -43,9 +44,8 @@ def spend_stream(tx: DataFrame, window: str = rules.SPEND_WINDOW,
     accepts late records a little longer than a per-record check would;
     ``lateness.late_audit`` is the exact form.
     """
-    marked = tx.withWatermark(ts, grace)
-    if dedupe:
-        marked = marked.dropDuplicatesWithinWatermark(["event_id"])
+    marked = (streams.distinct_events(tx, grace, ts=ts) if dedupe
+              else tx.withWatermark(ts, grace))
     return rules.tumbling_spend(marked, window, ts=ts)
 
 

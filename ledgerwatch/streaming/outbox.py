@@ -1,26 +1,32 @@
 """Accepting requests from a stream, and the relay job (OP8, OP9, OP16).
 
-The outbox table is a log: accepting a request appends its row as version 0, and
-each publish attempt appends the changed row as the next version. The table is the
-last version of every id. Nothing is updated in place.
+Accepted outbox rows are appended per micro-batch. A relay pass takes the rows that
+the last pass left pending and those accepted since, publishes, and writes what was
+published and what is pending now. A pass thus reads the backlog, never the rows
+published before, and nothing is updated in place.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
+from ..operators import metrics
 from ..operators import outbox as ob
-from ..operators.reference import latest_per_key
+from ..operators.joins import lookup_join
 from . import runner
 
 TRANSACTIONS = "transactions"
 OUTBOX = "outbox"
 REJECTED = "rejected"
-VERSION = "version"
+PENDING = "pending"
+PUBLISHED = "published"
+RELAYED = "relayed"
+ACCEPT_COUNTERS = "accept_counters"
+RELAY_COUNTERS = "relay_counters"
 
 
 def start_accept(requests: DataFrame, accounts: Callable[[SparkSession], DataFrame],
@@ -40,40 +46,71 @@ def start_accept(requests: DataFrame, accounts: Callable[[SparkSession], DataFra
                          now=F.col("created_at"))
         runner.write_batch(done.transactions, f"{tables}/{TRANSACTIONS}", batch_id)
         runner.write_batch(done.rejected, f"{tables}/{REJECTED}", batch_id)
-        runner.write_batch(done.outbox.withColumn(VERSION, F.lit(0)),
-                           f"{tables}/{OUTBOX}", batch_id)
+        runner.write_batch(done.outbox, f"{tables}/{OUTBOX}", batch_id)
+        runner.write_batch(metrics.accept_counters(done.transactions),
+                           f"{tables}/{ACCEPT_COUNTERS}", batch_id)
 
     return runner.run_stream(requests, handle, checkpoint, every=every)
 
 
-def current_outbox(spark: SparkSession, log: str) -> DataFrame:
-    """The outbox table: last version of each row."""
-    return latest_per_key(spark.read.parquet(log), "id", VERSION)
-
-
-def relay(spark: SparkSession, log: str, work: str, run: str,
-          publish: Callable[[DataFrame], None], limit: int | None = ob.BATCH,
-          now=None) -> DataFrame:
-    """One relay pass: take pending rows, publish, append their new versions.
-
-    ``publish`` gets ``id, topic, key, value`` rows; if it raises, all of them
-    count as failed with its message. ``run`` names the pass, also in the log. A
-    pass that dies after publishing publishes its rows again: at least once.
+def _backlog(spark: SparkSession, tables: str) -> tuple[int, int, DataFrame | None]:
+    """Last finished pass, last accepted batch it knew, and the rows pending now."""
+    passes = runner.versions(spark, f"{tables}/{RELAYED}")
+    last = passes[-1] if passes else -1
+    parts, known = [], -1
+    if passes:
+        known = runner.read_batch(spark, f"{tables}/{RELAYED}", last).first()["known"]
+        parts.append(f"{tables}/{PENDING}/{runner.BATCH}={last}")
+    accepted = [v for v in runner.versions(spark, f"{tables}/{OUTBOX}") if v > known]
+    parts += [f"{tables}/{OUTBOX}/{runner.BATCH}={v}" for v in accepted]
+    rows = spark.read.parquet(*parts) if parts else None
+    return last, accepted[-1] if accepted else known, rows
+
+
+def current_outbox(spark: SparkSession, tables: str) -> DataFrame | None:
+    """All outbox rows: published and pending; none before the first request."""
+    last, _, pending = _backlog(spark, tables)
+    if last < 0:
+        return pending
+    published = (spark.read.parquet(f"{tables}/{PUBLISHED}")
+                 .filter(F.col(runner.BATCH) <= last).drop(runner.BATCH))
+    return published.unionByName(pending)
+
+
+def relay(spark: SparkSession, tables: str, publish: Callable[[DataFrame, int], None],
+          limit: int | None = ob.BATCH, now: Column | None = None) -> DataFrame | None:
+    """One pass: take the oldest pending rows, publish, record the results.
+
+    ``publish`` gets ``id, topic, key, value`` rows and the number of the pass; if
+    it raises, all of them count as failed with its message. Returns the rows
+    tried, or nothing when none is pending. The pass is finished by its last write;
+    one that dies before runs again under its number: at least once.
     """
-    now = F.current_timestamp() if now is None else now
-    table = current_outbox(spark, log)
-    keep = [c for c in table.columns if c != runner.BATCH]
-    staged = f"{work}/{run}"
-    ob.outbox_pending(table.select(*keep), limit).write.mode("overwrite").parquet(staged)
-    batch = spark.read.parquet(staged)
+    last, known, backlog = _backlog(spark, tables)
+    if backlog is None or backlog.isEmpty():
+        return None
+    number = last + 1
+    batch = runner.staged(ob.outbox_pending(backlog, limit), f"{tables}/relay", number)
 
     records = ob.publishable(batch)
     error = None
     try:
-        publish(records.filter(F.col("value").isNotNull()))
+        publish(records.filter(F.col("value").isNotNull()), number)
     except Exception as failure:  # noqa: BLE001  any sink error is a failed publish
         error = F.lit(str(failure))
-    after = ob.outbox_apply(batch, ob.publish_results(records, error), now)
-    (after.drop("needs_manual").withColumn(VERSION, F.col(VERSION) + 1)
-     .write.mode("overwrite").parquet(f"{log}/{runner.BATCH}={run}"))
-    return spark.read.parquet(f"{log}/{runner.BATCH}={run}")
+    after = ob.outbox_apply(batch, ob.publish_results(records, error),
+                            F.current_timestamp() if now is None else now)
+    tried = runner.staged(after, f"{tables}/tried", number)
+
+    rows = tried.drop("needs_manual")
+    untried = lookup_join(backlog, batch.select("id"), "id", "left_anti")
+    runner.write_batch(rows.filter(F.col("published")), f"{tables}/{PUBLISHED}", number)
+    runner.write_batch(untried.unionByName(rows.filter(~F.col("published"))),
+                       f"{tables}/{PENDING}", number)
+    runner.write_batch(metrics.outbox_counters(ob.publish_results(records, error)),
+                       f"{tables}/{RELAY_COUNTERS}", number)
+    runner.write_batch(spark.range(1).select(F.lit(known).alias("known")),
+                       f"{tables}/{RELAYED}", number)
+    for table in (PENDING, RELAYED):
+        runner.remove_before(spark, f"{tables}/{table}", number - 1)
+    return tried

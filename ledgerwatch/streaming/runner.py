@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -77,13 +77,34 @@ def read_batch(spark: SparkSession, folder: str, batch_id: int) -> DataFrame:
     return spark.read.parquet(f"{folder}/{BATCH}={batch_id}")
 
 
-def staged(df: DataFrame, folder: str, batch_id: int) -> DataFrame:
-    """A micro-batch written once and read back: its source is not read again by
-    every later step, its size is known, and a lost executor costs no replay."""
+def versions(spark: SparkSession, folder: str) -> list[int]:
+    """Completely written batches of a table, oldest first."""
+    prefix = f"{BATCH}="
+    numbers = [n[len(prefix):] for n in children(spark, folder) if n.startswith(prefix)]
+    return sorted(int(n) for n in numbers
+                  if exists(spark, f"{folder}/{prefix}{n}/_SUCCESS"))
+
+
+def remove_before(spark: SparkSession, folder: str, batch_id: int) -> None:
+    for old in versions(spark, folder):
+        if old < batch_id:
+            remove(spark, f"{folder}/{BATCH}={old}")
+
+
+def stored(df: DataFrame, folder: str, batch_id: int) -> DataFrame:
+    """A micro-batch written and read back: what follows does not compute it again,
+    knows its size, and does not replay it when an executor is lost."""
     write_batch(df, folder, batch_id)
     return read_batch(df.sparkSession, folder, batch_id)
 
 
+def staged(df: DataFrame, folder: str, batch_id: int) -> DataFrame:
+    """``stored`` for the run of one micro-batch: those of finished ones go."""
+    rows = stored(df, folder, batch_id)
+    remove_before(df.sparkSession, folder, batch_id - 1)
+    return rows
+
+
 def write_alerts(folder: str) -> Handler:
     def handle(alerts: DataFrame, batch_id: int) -> None:
         write_batch(alerts, folder, batch_id)
@@ -113,6 +134,25 @@ def latest_alerts(spark: SparkSession, folder: str) -> DataFrame:
     return latest_per_key(rows, "alert_id", BATCH).drop(BATCH)
 
 
+def totals(spark: SparkSession, folder: str) -> DataFrame:
+    """Counters summed over all micro-batches of a counter table."""
+    return (spark.read.parquet(folder)
+            .groupBy("name").agg(F.sum("total").alias("total")))
+
+
+def source_lag(progress: Mapping) -> dict[str, int]:
+    """Records per ``topic/partition`` that a Kafka source has not read yet, from a
+    query's progress (AGG8)."""
+    behind = {}
+    for source in progress["sources"]:
+        read, latest = source["endOffset"] or {}, source["latestOffset"] or {}
+        for topic, partitions in latest.items():
+            for partition, offset in partitions.items():
+                done = read.get(topic, {}).get(partition, 0)
+                behind[f"{topic}/{partition}"] = offset - done
+    return behind
+
+
 def state_rows(spark: SparkSession, checkpoint: str, operator: int = 0) -> DataFrame:
     """Keyed state of a stopped query as ``key, value`` rows (OP13)."""
     return (spark.read.format("statestore").option("operatorId", operator)

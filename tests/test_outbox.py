@@ -1,6 +1,7 @@
 from datetime import datetime, timedelta
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
 from helpers import A1, DAY, accounts, rows, uid
@@ -118,28 +119,57 @@ def test_touch(spark):
 
 
 def test_relay_through_an_outage(spark, tmp_path):
-    log, work = str(tmp_path / "log"), str(tmp_path / "work")
-    runner.write_batch(box(spark, [pending(n) for n in range(150)])
-                       .withColumn("version", F.lit(0)), log, 0)
+    work = str(tmp_path)
     published = []
 
-    def down(records):
+    def down(records, number):
         raise RuntimeError("broker down")
 
-    def up(records):
+    def up(records, number):
         published.extend(r.id for r in records.collect())
 
-    first = job.relay(spark, log, work, "p1", down, now=now())
-    assert rows(first.select("retry_count", "last_error").distinct(),
+    assert job.relay(spark, work, up) is None
+    first = box(spark, [pending(n) for n in range(150)] + [pending(999, 0, '"*"')])
+    runner.write_batch(first, f"{work}/{job.OUTBOX}", 0)
+    tried = job.relay(spark, work, down, now=now())
+    assert tried.count() == 100
+    assert rows(tried.select("retry_count", "last_error").distinct(),
                 "retry_count", "last_error") == [(1, "broker down")]
-    job.relay(spark, log, work, "p2", up, now=now())
-    job.relay(spark, log, work, "p3", up, now=now())
-    assert job.relay(spark, log, work, "p4", up, now=now()).count() == 0
-    assert sorted(published) == [uid(n) for n in range(150)]
-    table = job.current_outbox(spark, log)
-    assert table.count() == 150
-    assert table.filter("published").count() == 150
-    assert table.filter("retry_count = 1").count() == 100
+    # rows accepted between two passes are taken up
+    runner.write_batch(box(spark, [pending(n) for n in range(200, 230)]),
+                       f"{work}/{job.OUTBOX}", 1)
+    for _ in range(3):
+        assert job.relay(spark, work, up, now=now()) is not None
+    good = [uid(n) for n in (*range(150), *range(200, 230))]
+    assert sorted(published) == good
+    table = job.current_outbox(spark, work)
+    assert table.count() == len(good) + 1
+    assert rows(table.filter("published"), "id") == [(g,) for g in good]
+    assert table.filter("published and retry_count = 1").count() == 100
+    for _ in range(5):
+        last = job.relay(spark, work, up, now=now())
+    assert rows(last, "id", "published", "needs_manual") == [(uid(999), False, True)]
+    assert runner.versions(spark, f"{work}/{job.PENDING}") == [7, 8]
+
+
+def test_unfinished_pass_runs_again(spark, tmp_path, monkeypatch):
+    work, published = str(tmp_path), []
+    runner.write_batch(box(spark, [pending(n) for n in range(5)]), f"{work}/{job.OUTBOX}", 0)
+    real = runner.write_batch
+
+    def dies(df, folder, number):
+        if folder.endswith(job.RELAYED):
+            raise RuntimeError("lost")
+        real(df, folder, number)
+
+    monkeypatch.setattr(runner, "write_batch", dies)
+    with pytest.raises(RuntimeError):
+        job.relay(spark, work, lambda r, n: published.append(r.count()), now=now())
+    monkeypatch.undo()
+    assert job.current_outbox(spark, work).count() == 5
+    job.relay(spark, work, lambda r, n: published.append(r.count()), now=now())
+    assert published == [5, 5]
+    assert job.current_outbox(spark, work).filter("published").count() == 5
 
 
 def test_pending_filter_reaches_the_scan(spark, tmp_path, capsys):

@@ -201,7 +201,7 @@ def test_consumer_over_batches(spark, work):
         (uid(3), "DUPLICATE", 1), (uid(3), "SENT", 1), (uid(4), "SENT", 1)]
     ledger = spark.read.parquet(f"{work}/{consumer.LEDGER}")
     assert rows(ledger, "event_id") == [(uid(1),), (uid(3),), (uid(4),)]
-    assert rows(consumer.totals(spark, work), "name", "total") == [
+    assert rows(runner.totals(spark, f"{work}/{consumer.COUNTERS}"), "name", "total") == [
         ("dlq", 2), ("duplicates", 3), ("sent", 3)]
     assert spark.read.parquet(f"{work}/{consumer.DEAD_LETTERS}").count() == 2
     assert spark.read.parquet(f"{work}/{consumer.NOTIFICATIONS}").count() == 3
@@ -221,7 +221,7 @@ def test_consumer_replay(spark, work, monkeypatch):
     with pytest.raises(Exception, match="ledger down"):
         runner.drain(start_consumer(spark, work))
     runner.drain(start_consumer(spark, work))
-    assert rows(consumer.totals(spark, work), "name", "total") == [
+    assert rows(runner.totals(spark, f"{work}/{consumer.COUNTERS}"), "name", "total") == [
         ("dlq", 0), ("duplicates", 1), ("sent", 2)]
 
 
@@ -245,8 +245,12 @@ def test_json_requests_to_published_records(spark, work):
     assert rows(rejected, "violations") == [
         (["account_id_missing", "amount_missing", "type_missing", "account_exists"],),
         (["type_domain"],)]
-    relay_job.relay(spark, f"{work}/{relay_job.OUTBOX}", f"{work}/passes", "p1",
-                    lambda r: streams.write_topics(r, f"{work}/topics", "p1"))
+    relay_job.relay(spark, work, lambda records, number: streams.write_topics(
+        records, f"{work}/topics", number))
+    assert rows(runner.totals(spark, f"{work}/{relay_job.ACCEPT_COUNTERS}"),
+                "total") == [(5,)]
+    assert rows(runner.totals(spark, f"{work}/{relay_job.RELAY_COUNTERS}"),
+                "name", "total") == [("outbox_failed", 0), ("outbox_published", 5)]
     frames = consume.split_frames(spark.read.parquet(f"{work}/topics"))
     events = codecs.to_event(codecs.decode_events(
         frames.select(F.col("body").alias("value")), "json", schemas.EVENT_V2))
@@ -270,12 +274,11 @@ def test_observed_counters(spark, work):
 def test_topic_files_can_be_written_again(spark, work):
     records = spark.createDataFrame([("a", "k", b"1"), ("b", "k", b"2")],
                                     "topic STRING, key STRING, value BINARY")
-    for _ in range(2):
-        streams.write_topics(records, f"{work}/t", "p1")
-    streams.write_topics(records, f"{work}/t", "p2")
-    assert rows(spark.read.parquet(f"{work}/t").groupBy("topic", "batch").count(),
-                "topic", "batch", "count") == [
-        ("a", "p1", 1), ("a", "p2", 1), ("b", "p1", 1), ("b", "p2", 1)]
+    for number in (1, 1, 2):
+        streams.write_topics(records, f"{work}/t", number)
+    assert rows(spark.read.parquet(f"{work}/t").groupBy("topic", "batch_id").count(),
+                "topic", "batch_id", "count") == [
+        ("a", 1, 1), ("a", 2, 1), ("b", 1, 1), ("b", 2, 1)]
 
 
 def test_account_order(spark):
@@ -358,7 +361,7 @@ def test_account_table(spark, work):
     now = account_table.current_accounts(spark, f"{work}/accounts")
     assert rows(now, "account_id", "tier") == [
         ("a", "ELITE"), ("c", "PREMIUM"), ("d", "ELITE")]
-    assert account_table.versions(spark, f"{work}/accounts") == [2, 3, 4]
+    assert runner.versions(spark, f"{work}/accounts") == [2, 3, 4]
 
 
 def test_rule_reads_the_account_table(spark, work):
@@ -371,3 +374,35 @@ def test_rule_reads_the_account_table(spark, work):
         runner.write_alerts(f"{work}/out"), f"{work}/cp", every=None))
     assert rows(runner.latest_alerts(spark, f"{work}/out"), "amount", "account_tier") == [
         (160000.0, "PREMIUM")]
+
+
+def test_velocity_on_distinct_events(spark, work):
+    data = sample(12, 120)
+    whole = [(d[0], d[1], d[2], "DEBIT", uid(i)) for i, d in enumerate(data)]
+    for part in (whole[:60], whole[60:]):
+        add_file(zoned(tx(spark, part + part)), f"{work}/in")
+    once = streams.distinct_events(source(spark, f"{work}/in"), "1 hour")
+    runner.drain(fraud.start_velocity(once, runner.write_alerts(f"{work}/out"),
+                                      f"{work}/cp", f"{work}/state", every=None))
+    same(runner.latest_alerts(spark, f"{work}/out"),
+         rules.velocity_alerts(zoned(tx(spark, whole))))
+
+
+def test_staged_batches_are_removed(spark, work):
+    for number in range(5):
+        runner.staged(spark.range(number), f"{work}/s", number)
+    assert runner.versions(spark, f"{work}/s") == [3, 4]
+
+
+def test_shared_dir(spark):
+    from ledgerwatch.session import CHECKPOINT_CONF, shared_dir
+    base = spark.conf.get(CHECKPOINT_CONF)
+    one, two = shared_dir(spark, "x"), shared_dir(spark, "x")
+    assert one != two and one.startswith(base)
+
+
+def test_source_lag():
+    progress = {"sources": [
+        {"endOffset": {"t": {"0": 5}}, "latestOffset": {"t": {"0": 9, "1": 4}}},
+        {"endOffset": None, "latestOffset": None}]}
+    assert runner.source_lag(progress) == {"t/0": 4, "t/1": 4}
