@@ -35,18 +35,14 @@ def points(tx: DataFrame, key: str = "account_id",
             .groupBy(key, "t").agg(F.count(F.lit(1)).alias("c")))
 
 
-def slice_step(window: str, slice_len: str = SLICE) -> int:
-    """Slice length in microseconds; a window reaches one slice back at most."""
-    return max(micros(slice_len), micros(window))
-
-
 def window_sums(weights: DataFrame, window: str, key: str, measures: list[str],
                 slice_len: str = SLICE) -> DataFrame:
     """``key, t`` and each measure summed over ``[t - window, t]``.
 
     ``weights`` has one row per key and ``t``.
     """
-    length, step = micros(window), slice_step(window, slice_len)
+    length = micros(window)
+    step = max(micros(slice_len), length)  # a window reaches one slice back at most
     reaches_next = F.col("t") >= F.col("home") + (step - length)
     placed = (
         weights.withColumn("home", floor_to(F.col("t"), step))

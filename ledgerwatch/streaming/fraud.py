@@ -4,23 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
-from ..functions.durations import floor_to, micros
+from ..functions.durations import micros
 from ..functions.tiers import TIER_LIMITS
 from ..operators import rules, velocity
 from ..operators.lateness import GRACE
 from ..sources import streams
 from . import runner
 
-LISTED_SLICES = 100
-
-
-def floor_micros(t: int, step: int) -> int:
-    return t // step * step
-
 
 def start_high_value(tx: DataFrame, accounts: Callable[[SparkSession], DataFrame],
                      sink: runner.Handler, checkpoint: str,
@@ -70,45 +64,35 @@ def start_velocity(tx: DataFrame, sink: runner.Handler, checkpoint: str,
                    key: str = "account_id", ts: str = "occurred_at",
                    slice_len: str = velocity.SLICE,
                    every: str | None = runner.ONE_SECOND) -> StreamingQuery:
-    """Sliding-window counts, updated per micro-batch.
+    """Sliding-window counts; every window a micro-batch changed is emitted.
 
-    The state is a table of event counts per account and time under ``state``,
-    laid out by slice of time and micro-batch. A micro-batch adds its counts, reads
-    only the slices its windows touch, and emits each window it changed. Counts
-    come from the batch operator, so a hot account is cut by time here as well.
+    The state is a table of event counts per account and time. Each micro-batch
+    writes its next version under ``state``: the counts open windows still reach,
+    and its own. Window counts come from the batch operator, so a hot account is
+    cut by time here as well.
 
-    A window whose end lies ``grace`` or more before the stream time of earlier
-    micro-batches is closed: it is not emitted again.
+    A window that ended ``grace`` or more before the stream time of the earlier
+    micro-batches is closed: it neither counts late events nor is emitted again.
     """
-    length, step = micros(window), velocity.slice_step(window, slice_len)
-    counts, progress = f"{state}/counts", f"{state}/progress"
+    length = micros(window)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        closed = _stream_time(spark, progress, batch_id)
-        new = velocity.points(batch, key, ts)
+        new = velocity.points(batch, key, ts).withColumn("added", F.col("c"))
+        before = [v for v in runner.versions(spark, state) if v < batch_id]
+        closed = None
+        if before:
+            known = runner.read_batch(spark, state, before[-1])
+            latest = known.agg(F.max("t")).first()[0]
+            closed = None if latest is None else latest - micros(grace)
         if closed is not None:
-            closed -= micros(grace)
-            new = new.filter(F.col("t") + length > closed)
-        reach = Observation()
-        (new.observe(reach, F.min("t").alias("first"), F.max("t").alias("last"))
-         .withColumns({"slice": floor_to(F.col("t"), step),
-                       runner.BATCH: F.lit(batch_id)})
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("slice", runner.BATCH).parquet(counts))
-        first, last = reach.get["first"], reach.get["last"]
-        if first is None:
-            return
-        runner.write_batch(spark.range(1).select(F.lit(last).alias("t")),
-                           progress, batch_id)
-
-        known = (_slices(spark, counts, floor_micros(first - length, step),
-                         floor_micros(last + length, step), step)
-                 .filter(F.col(runner.BATCH) <= batch_id))
-        weights = known.groupBy(key, "t").agg(
-            F.sum("c").alias("c"),
-            F.sum(F.when(F.col(runner.BATCH) == batch_id, F.col("c")).otherwise(0))
-            .alias("added"))
+            kept = (known.filter(F.col("t") + length > closed)
+                    .withColumn("added", F.lit(0).cast("bigint")))
+            new = (new.filter(F.col("t") + length > closed).unionByName(kept)
+                   .groupBy(key, "t").agg(F.sum("c").alias("c"),
+                                          F.sum("added").alias("added")))
+        weights = runner.staged(new, state, batch_id)
+
         sums = velocity.window_sums(weights, window, key, ["c", "added"], slice_len)
         hits = sums.filter((F.col("added") > 0) & (F.col("c") >= min_count))
         if closed is not None:
@@ -119,46 +103,3 @@ def start_velocity(tx: DataFrame, sink: runner.Handler, checkpoint: str,
         sink(rules.velocity_rows(windows, window), batch_id)
 
     return runner.run_stream(tx, handle, checkpoint, every=every)
-
-
-def _slices(spark: SparkSession, counts: str, first: int, last: int,
-            step: int) -> DataFrame:
-    """State of the slices from ``first`` to ``last``. A short span names its
-    folders, so that the rest of the state is not even listed."""
-    reader = spark.read.option("basePath", counts)
-    if (last - first) // step < LISTED_SLICES:
-        folders = [f"{counts}/slice={s}" for s in range(first, last + 1, step)]
-        return reader.parquet(*[f for f in folders if runner.exists(spark, f)])
-    return reader.parquet(counts).filter(F.col("slice").between(first, last))
-
-
-def _stream_time(spark: SparkSession, progress: str, batch_id: int):
-    """Greatest event time of the micro-batches before this one."""
-    if batch_id == 0 or not runner.exists(spark, progress):
-        return None
-    return (spark.read.parquet(progress).filter(F.col(runner.BATCH) < batch_id)
-            .agg(F.max("t")).first()[0])
-
-
-def expire_velocity(spark: SparkSession, state: str,
-                    window: str = velocity.WINDOW, grace: str = GRACE,
-                    slice_len: str = velocity.SLICE, back: int = 1) -> list[str]:
-    """Delete state slices no open window reaches; returns their folders.
-
-    ``back`` newest micro-batches are disregarded in the stream time, as they may
-    still be replayed.
-    """
-    step, prefix = velocity.slice_step(window, slice_len), "slice="
-    progress = spark.read.parquet(f"{state}/progress")
-    last = progress.agg(F.max(runner.BATCH)).first()[0]
-    now = (progress.filter(F.col(runner.BATCH) <= last - back)
-           .agg(F.max("t")).first()[0])
-    if now is None:
-        return []
-    oldest = now - micros(grace) - 2 * micros(window)
-    slices = [int(n[len(prefix):])
-              for n in runner.children(spark, f"{state}/counts") if n.startswith(prefix)]
-    gone = [f"{state}/counts/{prefix}{s}" for s in slices if s + step <= oldest]
-    for folder in gone:
-        runner.remove(spark, folder)
-    return gone

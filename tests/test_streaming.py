@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from helpers import A1, A2, DAY, accounts, rows, tx, uid
 from ledgerwatch.functions import texts
-from ledgerwatch.operators import consume, rules, velocity
+from ledgerwatch.operators import consume, rules
 from ledgerwatch.sources import streams
 from ledgerwatch.streaming import accounts as account_table
 from ledgerwatch.streaming import consumer, fraud, runner
@@ -155,15 +155,17 @@ def test_velocity_restart_and_replay(spark, work):
     same(runner.latest_alerts(spark, f"{work}/out"), rules.velocity_alerts(everything))
 
 
-def test_velocity_state_expires(spark, work):
-    everything = split(spark, sample(7), f"{work}/in")
-    run_velocity(spark, work, slice_len="5 minutes")
-    gone = fraud.expire_velocity(spark, f"{work}/state", slice_len="5 minutes")
-    assert gone and not any(runner.exists(spark, g) for g in gone)
+def test_velocity_state_stays_small(spark, work):
+    """The state keeps what open windows reach, in two versions."""
+    everything = split(spark, sample(7), f"{work}/in", parts=8)
+    run_velocity(spark, work)
+    assert runner.versions(spark, f"{work}/state") == [6, 7]
+    last = spark.read.parquet(f"{work}/state/batch_id=7")
+    assert last.count() < everything.count() / 4
     more = [(A1, 1, DAY + timedelta(hours=3, seconds=s)) for s in range(5)]
     add_file(zoned(tx(spark, [(*m, "DEBIT", uid(5000 + i)) for i, m in enumerate(more)])),
              f"{work}/in")
-    run_velocity(spark, work, slice_len="5 minutes")
+    run_velocity(spark, work)
     extra = zoned(tx(spark, more)).select("account_id", "occurred_at")
     whole = everything.select("account_id", "occurred_at").unionByName(extra)
     same(runner.latest_alerts(spark, f"{work}/out"), rules.velocity_alerts(whole))
@@ -310,15 +312,6 @@ def test_kafka_source(spark):
     assert streams.kafka_stream(spark, "x:1", "t").isStreaming
 
 
-def test_velocity_slices_limit(spark, work, monkeypatch):
-    """A batch over a long span reads the state by filter instead of by folder."""
-    monkeypatch.setattr(fraud, "LISTED_SLICES", 0)
-    everything = split(spark, sample(9), f"{work}/in", parts=2)
-    run_velocity(spark, work)
-    same(runner.latest_alerts(spark, f"{work}/out"), rules.velocity_alerts(everything))
-    assert velocity.slice_step("5 minutes") == 3_600_000_000
-
-
 def test_state_can_be_read(spark, work):
     everything = split(spark, sample(10), f"{work}/in")
     runner.drain(fraud.start_rapid_large(
