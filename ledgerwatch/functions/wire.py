@@ -44,7 +44,8 @@ def body(value: Column) -> Column:
 
 def quote_base64(value: Column) -> Column:
     """Binary → base64 as a JSON string literal, on one line."""
-    return F.concat(F.lit('"'), F.translate(F.base64(value), "\r\n", ""), F.lit('"'))
+    text = F.replace(F.base64(value), F.lit("\r\n"), F.lit(""))
+    return F.concat(F.lit('"'), text, F.lit('"'))
 
 
 def unquote_base64(payload: Column) -> Column:

@@ -83,26 +83,6 @@ def outbox_rows(transactions: DataFrame, body: Column | None = None,
         F.timestamp_millis("occurredAt").alias("created_at"))
 
 
-def checked_requests(requests: DataFrame, accounts: DataFrame | None,
-                     now: Column) -> DataFrame:
-    """Requests as transaction rows with their ``violations``.
-
-    ``amount`` may be text; it is rounded to two places like the column it is
-    stored in.
-    """
-    number = F.col("amount").cast("string").try_cast("decimal(38,6)")
-    rows = with_defaults(
-        requests.withColumn("amount", number), now)
-    rules = quality.transaction_rules()
-    if accounts is not None:
-        known = (accounts.select("account_id").withColumn("_known", F.lit(True)))
-        rows = lookup_join(rows, known, "account_id", "left")
-        rules = {**rules, "account_exists": F.coalesce("_known", F.lit(False))}
-    checked = quality.with_violations(rows, rules)
-    return checked.withColumn(
-        "amount", F.round("amount", 2).try_cast("decimal(15,2)")).drop("_known")
-
-
 def accept(requests: DataFrame, accounts: DataFrame | None,
            request_key: str | list[str], now: Column | None = None,
            body: Column | None = None) -> Accepted:
@@ -110,18 +90,27 @@ def accept(requests: DataFrame, accounts: DataFrame | None,
 
     ``request_key`` identifies a request (its id, or source partition and
     offset). Transaction, event and outbox ids are hashes of it, so writing the
-    two tables again after a failure repeats the same rows.
+    two tables again after a failure repeats the same rows. ``amount`` may be text;
+    it is rounded to two places like the column it is stored in.
     """
     keys = [request_key] if isinstance(request_key, str) else list(request_key)
-    checked = checked_requests(
-        requests, accounts, F.current_timestamp() if now is None else now)
-    good = (checked.filter(F.size("violations") == 0)
+    number = F.round(F.col("amount").cast("string").try_cast("decimal(38,6)"), 2)
+    rows = with_defaults(requests.withColumn("amount", number),
+                         F.current_timestamp() if now is None else now)
+    rules = quality.transaction_rules()
+    if accounts is not None:
+        known = accounts.select("account_id").withColumn("_known", F.lit(True))
+        rows = lookup_join(rows, known, "account_id", "left")
+        rules = {**rules, "account_exists": F.coalesce("_known", F.lit(False))}
+
+    good = (rows.filter(quality.holds(rules))
+            .withColumn("amount", F.col("amount").cast("decimal(15,2)"))
             .withColumn("id", stable_uuid(*[F.col(k) for k in keys])))
     transactions = good.select(
         "id", "account_id", "amount", "currency", "type", "status", "description",
         "created_at", "updated_at")
     return Accepted(transactions, outbox_rows(transactions, body),
-                    checked.filter(F.size("violations") > 0))
+                    quality.violations(rows, rules).drop("_known"))
 
 
 def outbox_pending(outbox: DataFrame, limit: int | None = BATCH) -> DataFrame:

@@ -69,18 +69,20 @@ def processed_event_rules() -> dict[str, Column]:
     }
 
 
-def with_violations(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
-    """Every row with the names of the rules it breaks, in rule order.
-
-    As with an SQL check, a condition that is null is not broken.
-    """
-    broken = F.array(*[F.when(~cond, F.lit(name)) for name, cond in rules.items()])
-    return df.withColumn("violations", F.array_compact(broken))
+def holds(rules: Mapping[str, Column]) -> Column:
+    """Whether a row breaks no rule. As with an SQL check, a condition that is null
+    is not broken."""
+    met = F.lit(True)
+    for condition in rules.values():
+        met = met & F.coalesce(condition, F.lit(True))
+    return met
 
 
 def violations(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
-    """Only the rows that break a rule."""
-    return with_violations(df, rules).filter(F.size("violations") > 0)
+    """The rows that break a rule, with the names of all they break, in rule order."""
+    broken = F.array(*[F.when(~cond, F.lit(name)) for name, cond in rules.items()])
+    return (df.filter(~holds(rules))
+            .withColumn("violations", F.array_compact(broken)))
 
 
 def orphans(df: DataFrame, parent: DataFrame, on: str | list[str]) -> DataFrame:

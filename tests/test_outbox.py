@@ -98,11 +98,12 @@ def test_accept_good_request(spark):
 def test_reject_reasons(spark):
     done = accept(spark, [
         ("r1", "nobody", "1", "DEBIT", None), ("r2", A1, "abc", "DEBIT", None),
-        ("r3", A1, "1", "REFUND", None), ("r4", A1, "1e14", "CREDIT", None)])
+        ("r3", A1, "1", "REFUND", None), ("r4", A1, "1e14", "CREDIT", None),
+        ("r5", A1, "9999999999999.999", "CREDIT", None)])
     assert done.transactions.count() == 0
     assert rows(done.rejected, "request", "violations") == [
         ("r1", ["account_exists"]), ("r2", ["amount_missing"]),
-        ("r3", ["type_domain"]), ("r4", ["amount_range"])]
+        ("r3", ["type_domain"]), ("r4", ["amount_range"]), ("r5", ["amount_range"])]
 
 
 def test_ids_repeat(spark):
