@@ -12,6 +12,7 @@ from pyspark.sql.types import StructType
 from ..functions import wire
 
 AVRO_READ = {"mode": "PERMISSIVE"}
+FRAMED = "confluent_"
 
 
 def has_avro(spark: SparkSession) -> bool:
@@ -54,32 +55,37 @@ def decode_avro(df: DataFrame, schema: dict, value: str = "value") -> DataFrame:
 def decode_events(df: DataFrame, fmt: str, schema, value: str = "value") -> DataFrame:
     """Fields of a record body; ``decoded`` is false where it cannot be read.
 
-    ``fmt`` is ``json``, ``avro`` or ``confluent_avro``. ``schema`` is DDL text
-    for JSON and a record schema for Avro. A bad frame or body gives a row with
-    null fields, never an error.
+    ``fmt`` is ``json`` or ``avro``, with the prefix ``confluent_`` for framed
+    bodies. ``schema`` is DDL text for JSON and a record schema for Avro. A bad
+    frame or body gives a row with null fields, never an error.
     """
-    if fmt == "json":
-        return decode_json(df, schema, value)
-    if fmt == "avro":
-        return decode_avro(df, schema, value)
-    if fmt == "confluent_avro":
-        framed = df.withColumn("_body", wire.body(F.col(value)))
-        return decode_avro(framed, schema, "_body").drop("_body")
-    raise ValueError(f"unknown format: {fmt}")
+    framed, kind = _format(fmt)
+    decode = decode_json if kind == "json" else decode_avro
+    if not framed:
+        return decode(df, schema, value)
+    body = df.withColumn("_body", wire.body(F.col(value)))
+    return decode(body, schema, "_body").drop("_body")
+
+
+def _format(fmt: str) -> tuple[bool, str]:
+    kind = fmt.removeprefix(FRAMED)
+    if kind not in ("json", "avro"):
+        raise ValueError(f"unknown format: {fmt}")
+    return fmt.startswith(FRAMED), kind
 
 
 def event_body(columns: list[str], fmt: str, schema: dict | None = None,
                schema_id: int = 1) -> Column:
     """Binary record body of the given columns."""
     record = F.struct(*columns)
-    if fmt == "json":
-        return F.to_json(record).cast("binary")
-    if fmt not in ("avro", "confluent_avro"):
-        raise ValueError(f"unknown format: {fmt}")
-    from pyspark.sql.avro.functions import to_avro
+    framed, kind = _format(fmt)
+    if kind == "json":
+        body = F.to_json(record).cast("binary")
+    else:
+        from pyspark.sql.avro.functions import to_avro
 
-    body = to_avro(record, json.dumps(schema)) if schema else to_avro(record)
-    return body if fmt == "avro" else wire.frame(body, F.lit(schema_id))
+        body = to_avro(record, json.dumps(schema)) if schema else to_avro(record)
+    return wire.frame(body, F.lit(schema_id)) if framed else body
 
 
 def encode_events(df: DataFrame, fmt: str, schema: dict | None = None,

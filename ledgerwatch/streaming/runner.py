@@ -114,7 +114,7 @@ def write_alerts(folder: str) -> Handler:
 def alert_records(alerts: DataFrame, fmt: str = "json", schema_id: int = 1) -> DataFrame:
     """Alerts as ``key, value`` records of the alert topic, keyed by account (SNK1)."""
     record = codecs.wire_names(stamped(alerts))
-    avro = None if fmt == "json" else ALERT_AVRO
+    avro = ALERT_AVRO if fmt.endswith("avro") else None
     return codecs.encode_events(record, fmt, avro, key="accountId", schema_id=schema_id)
 
 

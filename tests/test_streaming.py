@@ -399,3 +399,35 @@ def test_source_lag():
         {"endOffset": {"t": {"0": 5}}, "latestOffset": {"t": {"0": 9, "1": 4}}},
         {"endOffset": None, "latestOffset": None}]}
     assert runner.source_lag(progress) == {"t/0": 4, "t/1": 4}
+
+
+def test_framed_records_through_the_consumer(spark, work):
+    """Good, repeated, failing, mis-framed, undecodable and mis-identified records."""
+    from ledgerwatch import schemas
+    from ledgerwatch.functions import wire
+
+    def event(event_id, amount):
+        return (f'{{"eventId":"{event_id}","transactionId":"t","accountId":"{A1}",'
+                f'"amount":{amount},"currency":"INR","type":"DEBIT","occurredAt":0}}')
+
+    good = [event(uid(1), 5.0), event(uid(1), 5.0), event(uid(2), 7.99), "junk",
+            event("not-a-uuid", 1.0)]
+    framed = spark.createDataFrame(list(enumerate(good)), "offset LONG, text STRING").select(
+        "offset", wire.frame(F.col("text").cast("binary"), F.lit(7)).alias("value"))
+    bare = spark.createDataFrame([(10, event(uid(3), 1.0))], "offset LONG, text STRING") \
+        .select("offset", F.col("text").cast("binary").alias("value"))
+    add_file(framed.unionByName(bare), f"{work}/in")
+    sent_on = []
+    events = consumer.read_events(source(spark, f"{work}/in"), "confluent_json",
+                                  schemas.EVENT_V2)
+    runner.drain(consumer.start_consumer(
+        events, work, f"{work}/cp", lambda: texts.simulated_failure(F.col("amount")),
+        decoded="decoded", every=None,
+        on_dead_letters=lambda dead, n: sent_on.append(dead.count())))
+    outcomes = spark.read.parquet(f"{work}/{consumer.OUTCOMES}")
+    assert rows(outcomes, "offset", "status", "reason") == sorted([
+        (0, "SENT", None), (1, "DUPLICATE", None),
+        (2, "DLQ", "Simulated notification failure for amount: 7.99"),
+        (3, "DLQ", "Unexpected message type"), (4, "DLQ", "bad event id"),
+        (10, "DLQ", "Unexpected message type")], key=str)
+    assert sent_on == [4]
