@@ -1,6 +1,6 @@
 """Lookups that stay balanced when one key holds a large share of the rows.
 
-A small lookup side is left to Spark, which broadcasts it under
+When one side is small the join is left to Spark, which broadcasts under
 ``spark.sql.autoBroadcastJoinThreshold``. Beyond that size a shuffle join would
 send every row of a hot key to one task, so the hot keys are found first with a
 fixed-size frequency sketch and joined apart: their lookup rows number at most
@@ -59,7 +59,7 @@ def lookup_join(left: DataFrame, right: DataFrame, on: str | list[str],
     side may repeat keys.
     """
     keys = [on] if isinstance(on, str) else list(on)
-    if fits_broadcast(right):
+    if fits_broadcast(right) or fits_broadcast(left):
         return left.join(right, keys, how)
 
     hot = F.broadcast(hot_keys(left, keys, min_rows))

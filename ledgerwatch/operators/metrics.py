@@ -52,19 +52,20 @@ def outbox_counters(results: DataFrame) -> DataFrame:
 
 
 def rate_per_second(df: DataFrame, ts: str, dims: Sequence[str],
-                    window: str = "1 minute",
-                    value: str | None = None) -> DataFrame:
+                    window: str = "1 minute", value: str | None = None,
+                    slice_len: str = "10 minutes") -> DataFrame:
     """``dims, window_start, rate`` (AGG5).
 
     Without ``value`` each row is one event. With it, rows are samples of a
     cumulative counter: a sample adds its increase over the series' previous one,
-    or its whole value after a reset.
+    or its whole value after a reset. A series is followed in slices of
+    ``slice_len``, each starting from the last sample before it.
     """
     seconds = micros(window) / 1_000_000
     if value is None:
         added, rows = F.count(F.lit(1)), df
     else:
-        rows = _increases(df, ts, list(dims), value)
+        rows = _increases(df, ts, list(dims), value, slice_len)
         added = F.sum("_increase")
     return (rows.groupBy(F.window(ts, window).alias("w"), *dims)
             .agg((added / F.lit(seconds)).alias("rate"))
@@ -73,9 +74,8 @@ def rate_per_second(df: DataFrame, ts: str, dims: Sequence[str],
 
 
 def _increases(samples: DataFrame, ts: str, dims: list[str], value: str,
-               slice_len: str = "1 hour") -> DataFrame:
-    """Samples with ``_increase``; a series is cut into slices of time, each
-    starting from the last sample before it. The first sample adds nothing."""
+               slice_len: str) -> DataFrame:
+    """Samples with ``_increase``; a series' first sample adds nothing."""
     rows = (samples.select(*dims, ts, F.col(value).alias("_value"))
             .withColumn("_slice", floor_to(epoch_micros(F.col(ts)), micros(slice_len)))
             .withColumn("_carried", F.lit(False)))

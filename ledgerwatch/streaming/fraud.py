@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
 from ..functions.durations import micros
-from ..functions.tiers import TIER_LIMITS
+from ..functions.tiers import TIER_LIMITS, lowest_limit
 from ..operators import rules, velocity
 from ..operators.lateness import GRACE
 from ..sources import streams
@@ -18,12 +18,16 @@ from . import runner
 
 def start_high_value(tx: DataFrame, accounts: Callable[[SparkSession], DataFrame],
                      sink: runner.Handler, checkpoint: str,
-                     limits: Mapping = TIER_LIMITS,
+                     limits: Mapping = TIER_LIMITS, work: str | None = None,
                      every: str | None = runner.ONE_SECOND) -> StreamingQuery:
     """``accounts`` is called per micro-batch, so each sees the accounts as they
-    are then."""
+    are then. With an account table too large to broadcast a micro-batch is read
+    several times; ``work`` names a folder to stage its large amounts in first."""
     def handle(batch: DataFrame, batch_id: int) -> None:
-        sink(rules.high_value_alerts(batch, accounts(batch.sparkSession), limits),
+        large = batch.filter(F.col("amount") > lowest_limit(limits))
+        if work is not None:
+            large = runner.staged(large, work, batch_id)
+        sink(rules.high_value_alerts(large, accounts(batch.sparkSession), limits),
              batch_id)
 
     return runner.run_stream(tx, handle, checkpoint, every=every)

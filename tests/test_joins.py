@@ -54,8 +54,10 @@ def test_two_key_columns(spark, no_broadcast):
 
 def test_small_side_is_one_plain_join(spark, capsys):
     left, right = sides(spark)
-    joins.lookup_join(left, spark.sql("select 'hot' as k, 1 as w"), "k").explain()
-    assert "approx_top_k" not in capsys.readouterr().out
+    small = spark.sql("select 'hot' as k, 1 as w")
+    for one, other in ((left, small), (small, left)):
+        joins.lookup_join(one, other, "k").explain()
+        assert "approx_top_k" not in capsys.readouterr().out
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])

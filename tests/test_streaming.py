@@ -55,11 +55,13 @@ def work(tmp_path):
     return str(tmp_path)
 
 
-def test_high_value(spark, work):
+@pytest.mark.parametrize("stage", [None, "staged"])
+def test_high_value(spark, work, stage):
     everything = split(spark, sample(), f"{work}/in")
     runner.drain(fraud.start_high_value(
         source(spark, f"{work}/in"), lambda s: accounts(s),
-        runner.write_alerts(f"{work}/out"), f"{work}/cp", every=None))
+        runner.write_alerts(f"{work}/out"), f"{work}/cp",
+        work=stage and f"{work}/{stage}", every=None))
     same(runner.latest_alerts(spark, f"{work}/out"),
          rules.high_value_alerts(everything, accounts(spark)))
 
