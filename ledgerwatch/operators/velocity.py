@@ -63,13 +63,16 @@ def window_sums(weights: DataFrame, window: str, key: str, measures: list[str],
 def _window_counts(tx: DataFrame, window: str, key: str, ts: str,
                    all_windows: bool, slice_len: str) -> DataFrame:
     """``key, t, c``: events in ``[t - window, t]``."""
-    events = points(tx, key, ts)
     if all_windows:
-        ends = events.select(
-            key, (F.col("t") + micros(window) + _TICK).alias("t"),
-            F.lit(0).cast("bigint").alias("c"))
-        events = (events.unionByName(ends)
-                  .groupBy(key, "t").agg(F.sum("c").alias("c")))
+        t = epoch_micros(F.col(ts))
+        ends = F.array(
+            F.struct(t.alias("t"), F.lit(1).alias("c")),
+            F.struct((t + micros(window) + _TICK).alias("t"), F.lit(0).alias("c")))
+        events = (tx.filter(F.col(key).isNotNull() & F.col(ts).isNotNull())
+                  .select(key, F.inline(ends)).groupBy(key, "t")
+                  .agg(F.sum("c").alias("c")))
+    else:
+        events = points(tx, key, ts)
     return (window_sums(events, window, key, ["c"], slice_len)
             .filter(F.col("c") > 0))
 
