@@ -8,16 +8,12 @@ before stream time.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.durations import as_time_of, epoch_micros, floor_to, micros
-from .slices import earlier_max
+from .slices import running
 
 GRACE = "30 seconds"
-SLICE = "1 minute"
-OFFSET_SLICE = 1_000_000
 
 
 def stream_time(df: DataFrame, ts: str, arrival: list[str], partition: str,
@@ -25,29 +21,12 @@ def stream_time(df: DataFrame, ts: str, arrival: list[str], partition: str,
     """Every row with ``stream_time``.
 
     ``arrival`` names the columns that order a partition's records uniquely. The
-    first one cuts a partition into slices, because one partition is far too much
-    for one task: an offset, whose slices hold at most ``slice_len`` records, or a
-    timestamp with a duration. Prefer the offset where there is one. The greatest
-    event time of earlier slices comes into each slice as one extra row, so rows
-    are shuffled once.
+    first one, an offset or a timestamp, cuts a partition into slices, because one
+    partition is far too much for one task. Prefer the offset where there is one:
+    its slices are bounded in rows.
     """
-    lead = arrival[0]
-    if isinstance(df.schema[lead].dataType, (T.TimestampType, T.TimestampNTZType)):
-        position, step = epoch_micros(F.col(lead)), micros(slice_len or SLICE)
-    else:
-        position, step = F.col(lead).cast("bigint"), int(slice_len or OFFSET_SLICE)
-
-    rows = (df.withColumn("_slice", floor_to(position, step))
-            .withColumn("_seen", F.col(ts)).withColumn("_carried", F.lit(False)))
-    carried = (earlier_max(rows, [partition], "_slice", F.col(ts), "_seen")
-               .withColumn("_carried", F.lit(True)))
-    both = rows.unionByName(carried, allowMissingColumns=True)
-
-    so_far = (W.partitionBy(partition, "_slice")
-              .orderBy(F.col("_carried").desc(), *arrival)
-              .rowsBetween(W.unboundedPreceding, 0))
-    return (both.withColumn("stream_time", F.max("_seen").over(so_far))
-            .filter(~F.col("_carried")).select(*df.columns, "stream_time"))
+    return running(df, [partition], arrival, F.col(ts), "stream_time",
+                   slice_len=slice_len)
 
 
 def late_audit(df: DataFrame, ts: str = "occurred_at",

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.durations import epoch_micros, floor_to, micros
 from .joins import lookup_join
-from .slices import earlier_max
+from .slices import earlier
 
 QUANTILES = (0.5, 0.95, 0.99)
 
@@ -79,7 +79,7 @@ def _increases(samples: DataFrame, ts: str, dims: list[str], value: str,
     rows = (samples.select(*dims, ts, F.col(value).alias("_value"))
             .withColumn("_slice", floor_to(epoch_micros(F.col(ts)), micros(slice_len)))
             .withColumn("_carried", F.lit(False)))
-    last = earlier_max(rows, dims, "_slice", F.struct(ts, "_value"), "_last")
+    last = earlier(rows, dims, "_slice", F.struct(ts, "_value"), "_last")
     carried = last.select(*dims, F.col("_last").getField(ts).alias(ts),
                           F.col("_last").getField("_value").alias("_value"),
                           "_slice", F.lit(True).alias("_carried"))

@@ -14,6 +14,7 @@ from ..functions.ids import alert_id
 from ..functions.tiers import TIER_LIMITS, lowest_limit, tier_threshold
 from . import velocity
 from .joins import lookup_join
+from .slices import running
 
 # Fixed values of the alert contract.
 HIGH_VALUE = "HIGH_VALUE"
@@ -123,6 +124,21 @@ def rapid_large_rows(spend: DataFrame, limit=SPEND_LIMIT) -> DataFrame:
         event_time=F.col("window_start"))
 
 
+def spend_updates(tx: DataFrame, window: str = SPEND_WINDOW,
+                  key: str = "account_id", ts: str = "occurred_at",
+                  order_by: str | list[str] = "offset",
+                  slice_len: str | int | None = None) -> DataFrame:
+    """Every event with ``window_start, window_end`` and ``total``, the spend of its
+    window up to it in arrival order: each update of the window, not only the last
+    (OP4). ``order_by`` must order an account's events uniquely."""
+    order = [order_by] if isinstance(order_by, str) else list(order_by)
+    placed = (tx.withColumn("_w", F.window(ts, window))
+              .withColumns({"window_start": F.col("_w.start"),
+                            "window_end": F.col("_w.end")}).drop("_w"))
+    return running(placed, [key, "window_start"], order,
+                   F.col("amount").cast("decimal(15,2)"), "total", F.sum, slice_len)
+
+
 def distinct_events(tx: DataFrame, id: str = "event_id",
                     ts: str = "occurred_at") -> DataFrame:
     """One row per event with the columns the rules read.

@@ -148,7 +148,7 @@ def _spend(source: str) -> str:
         from {source} group by all"""
 
 
-def _rapid_large(source: str, limit: int) -> str:
+def _rapid_large(spend: str, limit: int) -> str:
     return f"""
         select sha256('RAPID_LARGE|' || cast(account_id as varchar) || '|' ||
                       cast(epoch_us(window_start) as varchar)) as alert_id,
@@ -156,7 +156,7 @@ def _rapid_large(source: str, limit: int) -> str:
                printf('Total spend %.2f exceeds limit', cast(total as double)) as reason,
                cast(total as double) as amount, 'UNKNOWN' as account_tier,
                window_start as event_time
-        from ({_spend(source)}) where total > {limit}"""
+        from ({spend}) where total > {limit}"""
 
 
 _PAY = """
@@ -173,14 +173,21 @@ _QUANTILE_COLUMNS = ", ".join(
 def _alerts(source: str, spend_limit: int, window: str, label: str) -> str:
     return "\nunion all".join([
         _high_value(source), _velocity(source, window, label),
-        _rapid_large(source, spend_limit)])
+        _rapid_large(_spend(source), spend_limit)])
 
 
 ORACLES = {
     "high_value_alerts": _with(["ord", "acc"], _high_value("ord")),
     "high_value_elite": _with(
         ["ord", "acc"], _high_value("ord", (500000, 500000, 450000))),
-    "rapid_large_alerts": _with(["tx"], _rapid_large("tx", 200)),
+    "rapid_large_alerts": _with(["tx"], _rapid_large(_spend("tx"), 200)),
+    "rapid_large_updates": _with(["raw"], _rapid_large("""
+        select account_id, time_bucket(interval 1 hour, occurred_at) as window_start,
+               sum(amount) over (
+                   partition by account_id, time_bucket(interval 1 hour, occurred_at)
+                   order by "offset" rows between unbounded preceding and current row)
+                 as total
+        from raw""", 200)),
     "velocity_alerts": _with(["tx"], _velocity("tx", "6 hours", "6-hour")),
     "velocity_all_windows": _with(["tx"], """
         select w.account_id, w.s as window_start,

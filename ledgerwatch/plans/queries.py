@@ -120,6 +120,13 @@ def hourly_spend(spark, folder):
                      "total")
 
 
+@query
+def rapid_large_updates(spark, folder):
+    """One alert per event that finds its window over the limit."""
+    updates = rules.spend_updates(tables.deliveries(spark, folder))
+    return rules.rapid_large_rows(updates, SPEND_LIMIT)
+
+
 @query
 def enriched_transactions(spark, folder):
     return as_double(

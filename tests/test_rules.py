@@ -119,3 +119,19 @@ def test_alert_layouts(spark):
 def test_custom_spend_limit(spark, limit, fires):
     alerts = rules.rapid_large_alerts(tx(spark, [(A1, 100, "10:00:00")]), limit=limit)
     assert (alerts.count() == 1) is fires
+
+
+@pytest.mark.parametrize("slice_len", [1, 3, None])
+def test_every_update_over_the_limit(spark, slice_len):
+    """Three copies of one event: the second and third update each raise an alert."""
+    data = tx(spark, [(A1, 60000, "10:00:00"), (A1, 60000, "10:00:00"),
+                      (A2, 1, "10:00:00"), (A1, 60000, "10:00:00"),
+                      (A1, 60000, "11:00:00")]).withColumn(
+        "offset", F.col("event_id").substr(25, 12).cast("bigint"))
+    updates = rules.spend_updates(data, slice_len=slice_len)
+    assert updates.count() == 5
+    alerts = rules.rapid_large_rows(updates)
+    assert rows(alerts, "amount") == [(120000.0,), (180000.0,)]
+    final = rules.rapid_large_alerts(data)
+    assert rows(final, "alert_id") == rows(alerts.select("alert_id").distinct(),
+                                           "alert_id")
