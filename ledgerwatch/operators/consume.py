@@ -34,6 +34,16 @@ def frame_counts(frames: DataFrame) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("frames")))
 
 
+def numbered_copies(df: DataFrame, name: str = "copy") -> DataFrame:
+    """Rows with a number from 1 among their exact copies.
+
+    Gives rows of a source without offsets a unique order or key. Copies are
+    counted map-side and made again, so they need no order of their own.
+    """
+    return (df.groupBy(*df.columns).agg(F.count(F.lit(1)).cast("int").alias("_n"))
+            .select(*df.columns, F.explode(F.sequence(F.lit(1), "_n")).alias(name)))
+
+
 def first_delivery(df: DataFrame, id: str = "event_id",
                    order_by: str | list[str] = "offset") -> DataFrame:
     """The first copy of each event; copies are folded map-side."""

@@ -32,23 +32,25 @@ RELAY_COUNTERS = "relay_counters"
 def start_accept(requests: DataFrame, accounts: Callable[[SparkSession], DataFrame],
                  tables: str, checkpoint: str, request_key: str | list[str],
                  created_at: str | None = None,
+                 prepare: Callable[[DataFrame], DataFrame] = lambda batch: batch,
                  every: str | None = runner.ONE_SECOND) -> StreamingQuery:
     """Write transactions, outbox rows and rejects of each micro-batch.
 
     All three come from one staged result, and ids are hashes of the request key:
-    the tables agree and a replay repeats the same rows.
+    the tables agree and a replay repeats the same rows. ``prepare`` is applied to
+    the micro-batch, for example to number requests that have no key of their own.
     """
     def handle(batch: DataFrame, batch_id: int) -> None:
         now = F.current_timestamp() if created_at is None else F.col(created_at)
-        stamped = runner.staged(batch.withColumn("created_at", now),
+        stamped = runner.staged(prepare(batch).withColumn("created_at", now),
                                 f"{tables}/staged", batch_id)
         done = ob.accept(stamped, accounts(batch.sparkSession), request_key,
                          now=F.col("created_at"))
-        runner.write_batch(done.transactions, f"{tables}/{TRANSACTIONS}", batch_id)
-        runner.write_batch(done.rejected, f"{tables}/{REJECTED}", batch_id)
-        runner.write_batch(done.outbox, f"{tables}/{OUTBOX}", batch_id)
-        runner.write_batch(metrics.accept_counters(done.transactions),
-                           f"{tables}/{ACCEPT_COUNTERS}", batch_id)
+        runner.write_all(batch_id, {
+            f"{tables}/{TRANSACTIONS}": done.transactions,
+            f"{tables}/{OUTBOX}": done.outbox,
+            f"{tables}/{REJECTED}": done.rejected,
+            f"{tables}/{ACCEPT_COUNTERS}": metrics.accept_counters(done.transactions)})
 
     return runner.run_stream(requests, handle, checkpoint, every=every)
 
@@ -104,11 +106,11 @@ def relay(spark: SparkSession, tables: str, publish: Callable[[DataFrame, int],
 
     rows = tried.drop("needs_manual")
     untried = lookup_join(backlog, batch.select("id"), "id", "left_anti")
-    runner.write_batch(rows.filter(F.col("published")), f"{tables}/{PUBLISHED}", number)
-    runner.write_batch(untried.unionByName(rows.filter(~F.col("published"))),
-                       f"{tables}/{PENDING}", number)
-    runner.write_batch(metrics.outbox_counters(ob.publish_results(records, error)),
-                       f"{tables}/{RELAY_COUNTERS}", number)
+    results = ob.publish_results(records, error)
+    runner.write_all(number, {
+        f"{tables}/{PUBLISHED}": rows.filter(F.col("published")),
+        f"{tables}/{PENDING}": untried.unionByName(rows.filter(~F.col("published"))),
+        f"{tables}/{RELAY_COUNTERS}": metrics.outbox_counters(results)})
     runner.write_batch(spark.range(1).select(F.lit(known).alias("known")),
                        f"{tables}/{RELAYED}", number)
     for table in (PENDING, RELAYED):

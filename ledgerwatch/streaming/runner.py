@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -73,6 +74,16 @@ def write_batch(df: DataFrame, folder: str, batch_id: int) -> None:
     df.write.mode("overwrite").parquet(f"{folder}/{BATCH}={batch_id}")
 
 
+def write_all(batch_id: int, outputs: Mapping[str, DataFrame]) -> None:
+    """Write independent outputs (folder → rows) of a micro-batch side by side; each
+    is a small job that would leave most of a cluster idle on its own."""
+    with ThreadPoolExecutor(len(outputs)) as pool:
+        writes = [pool.submit(write_batch, rows, folder, batch_id)
+                  for folder, rows in outputs.items()]
+    for write in writes:
+        write.result()
+
+
 def read_batch(spark: SparkSession, folder: str, batch_id: int) -> DataFrame:
     return spark.read.parquet(f"{folder}/{BATCH}={batch_id}")
 
