@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -136,7 +138,11 @@ def quantiles(df: DataFrame, value: str, by: Sequence[str],
               .select(*by, "_b", "_start", "_total"))
     inside = (W.partitionBy(*by, "_b").orderBy("_v")
               .rowsBetween(W.unboundedPreceding, 0))
-    ranked = (lookup_join(values, needed, [*by, "_b"])
+    # Null-safe, so that a group without a name is kept; it also leaves both readers
+    # of ``values`` the same plan, which Spark then runs once.
+    wanted = needed.withColumnsRenamed({c: f"_at_{c}" for c in [*by, "_b"]})
+    same = [F.col(c).eqNullSafe(F.col(f"_at_{c}")) for c in [*by, "_b"]]
+    ranked = (values.join(wanted, reduce(and_, same))
               .withColumn("_hi", F.col("_start") + F.sum("_n").over(inside))
               .withColumn("_lo", F.col("_hi") - F.col("_n")))
 

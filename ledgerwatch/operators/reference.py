@@ -21,7 +21,8 @@ SEED_ACCOUNTS = [
 def latest_per_key(df: DataFrame, key: str | list[str],
                    order_by: str | list[str],
                    tombstone: Column | None = None) -> DataFrame:
-    """Last version of each key; a key whose last version is a tombstone is gone.
+    """Last version of each key; a key whose last version is a tombstone is gone,
+    and rows without a key are no versions of anything.
 
     Versions are folded map-side, so a key with very many of them costs one row
     per task. Rows equal in ``order_by`` are ranked by their other columns.
@@ -29,7 +30,7 @@ def latest_per_key(df: DataFrame, key: str | list[str],
     keys = [key] if isinstance(key, str) else list(key)
     order = [order_by] if isinstance(order_by, str) else list(order_by)
     rest = [c for c in df.columns if c not in order and c not in keys]
-    last = (df.groupBy(*keys)
+    last = (df.dropna(subset=keys).groupBy(*keys)
             .agg(F.max(F.struct(*order, *rest)).alias("_last"))
             .select(*keys, "_last.*").select(*df.columns))
     return last if tombstone is None else last.filter(~tombstone)

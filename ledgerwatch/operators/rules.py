@@ -98,9 +98,9 @@ def tumbling_spend(tx: DataFrame, window: str = SPEND_WINDOW,
     """``key, window_start, window_end, total`` per epoch-aligned window (AGG2).
 
     Sums are decimals, so they do not depend on row order, and are combined
-    map-side.
+    map-side. Events without a key or time have no window.
     """
-    return (tx.groupBy(F.window(ts, window).alias("w"), key)
+    return (tx.filter(F.col(key).isNotNull()).groupBy(F.window(ts, window).alias("w"), key)
             .agg(F.sum(F.col("amount").cast("decimal(15,2)")).alias("total"))
             .select(key, F.col("w.start").alias("window_start"),
                     F.col("w.end").alias("window_end"), "total"))

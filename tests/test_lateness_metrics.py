@@ -80,7 +80,8 @@ def test_exact_quantiles(spark, bucket):
     data = spark.createDataFrame(
         [("hot" if rnd.random() < 0.6 else f"g{rnd.randrange(3)}",
           None if rnd.random() < 0.05 else round(rnd.uniform(-50, 300), 1))
-         for _ in range(500)] + [("one", 4.0)], "g STRING, v DOUBLE")
+         for _ in range(500)] + [("one", 4.0), (None, 1.0), (None, 2.0)],
+        "g STRING, v DOUBLE")
     got = metrics.quantiles(data, "v", ["g"], (0.5, 0.95, 0.99, 0.0, 1.0), bucket=bucket)
     want = data.groupBy("g").agg(*[
         F.percentile("v", q).alias(c) for q, c in (

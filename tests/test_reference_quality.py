@@ -9,7 +9,7 @@ from ledgerwatch.operators import quality, reference
 def test_latest_version_wins(spark):
     log = spark.createDataFrame(
         [("a", 1, "STANDARD"), ("a", 2, "ELITE"), ("b", 3, "PREMIUM"), ("b", 4, None),
-         ("c", 5, "STANDARD")], "account_id STRING, offset LONG, tier STRING")
+         ("c", 5, "STANDARD"), (None, 6, "ELITE")], "account_id STRING, offset LONG, tier STRING")
     assert rows(reference.latest_per_key(log, "account_id", "offset"),
                 "account_id", "tier") == [
         ("a", "ELITE"), ("b", None), ("c", "STANDARD")]

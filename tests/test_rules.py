@@ -135,3 +135,8 @@ def test_every_update_over_the_limit(spark, slice_len):
     final = rules.rapid_large_alerts(data)
     assert rows(final, "alert_id") == rows(alerts.select("alert_id").distinct(),
                                            "alert_id")
+
+
+def test_events_without_account_raise_nothing(spark):
+    data = tx(spark, [(None, 900000, "10:00:00")] * 3)
+    assert rules.fraud_alerts(data, accounts(spark), dedupe=False).count() == 0
