@@ -1,6 +1,7 @@
 """Entry points of the services as Spark jobs.
 
     python -m ledgerwatch.jobs alerts --transactions T --accounts A --out O
+    python -m ledgerwatch.jobs accounts --kafka host:9092 --out A --checkpoint C
     python -m ledgerwatch.jobs fraud --files T --accounts A --out O [--once]
     python -m ledgerwatch.jobs consume --kafka host:9092 --out O
     python -m ledgerwatch.jobs accept --files R --accounts A --out O
@@ -25,14 +26,35 @@ from .functions import texts
 from .operators import consume, outbox, rules
 from .session import build_session, use_utc
 from .sources import codecs, streams
-from .streaming import consumer, fraud, runner
+from .streaming import accounts, consumer, fraud, runner
 from .streaming import outbox as outbox_job
 
 RELAY_DELAY_SECONDS = 1.0
 
 
 def _accounts(path: str):
-    return lambda spark: spark.read.parquet(path)
+    """Reader of a plain account table, or of one kept by the ``accounts`` job."""
+    def read(spark: SparkSession) -> DataFrame:
+        if runner.versions(spark, path):
+            return accounts.current_accounts(spark, path)
+        return spark.read.parquet(path)
+    return read
+
+
+def start_accounts(spark: SparkSession, args: argparse.Namespace) -> list[StreamingQuery]:
+    if args.files:
+        changes = streams.file_stream(
+            spark, args.files, f"{schemas.ACCOUNT_EVENT}, offset BIGINT",
+            max_files=args.max_files)
+    else:
+        records = streams.kafka_stream(spark, args.kafka, streams.ACCOUNT_TOPIC,
+                                       max_offsets=args.max_offsets)
+        schema = (schemas.ACCOUNT_AVRO if args.format.endswith("avro")
+                  else schemas.ACCOUNT_WIRE)
+        changes = accounts.read_changes(records, args.format, schema)
+    return [accounts.start_account_table(
+        changes, args.out, args.checkpoint,
+        every=None if args.once else "1 minute")]
 
 
 def _events(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
@@ -59,7 +81,7 @@ def _sink(args: argparse.Namespace, name: str) -> runner.Handler:
 
 def alerts(spark: SparkSession, args: argparse.Namespace) -> None:
     found = rules.fraud_alerts(spark.read.parquet(args.transactions),
-                               spark.read.parquet(args.accounts),
+                               _accounts(args.accounts)(spark),
                                dedupe=not args.keep_copies)
     found.write.mode("overwrite").parquet(args.out)
 
@@ -160,6 +182,7 @@ def parser() -> argparse.ArgumentParser:
 
     job("alerts", "transactions", "accounts", "out").add_argument(
         "--keep-copies", action="store_true")
+    stream(job("accounts", "out", "checkpoint"))
     rules_job = job("fraud", "accounts", "out")
     rules_job.add_argument("--alert-servers")
     stream(rules_job)
@@ -182,7 +205,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
     if args.job in ("alerts", "relay"):
         {"alerts": alerts, "relay": relay}[args.job](spark, args)
         return
-    start = {"fraud": start_fraud, "consume": start_consume, "accept": start_accept}
+    start = {"accounts": start_accounts, "fraud": start_fraud,
+             "consume": start_consume, "accept": start_accept}
     for query in start[args.job](spark, args):
         query.awaitTermination()
 

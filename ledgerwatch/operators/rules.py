@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import texts
-from ..functions.durations import as_time_of, epoch_micros, micros
+from ..functions.durations import epoch_micros
 from ..functions.ids import alert_id
 from ..functions.tiers import TIER_LIMITS, lowest_limit, tier_threshold
 from . import velocity
@@ -25,9 +25,6 @@ NO_TIER = "UNKNOWN"
 SPEND_WINDOW = "1 hour"
 SPEND_LIMIT = 100000
 
-ALERT_COLUMNS = ("alert_id", "account_id", "transaction_id", "alert_type",
-                 "reason", "amount", "account_tier", "event_time")
-
 
 def _alert(df: DataFrame, kind: str, *, account: Column, subject: Column,
            transaction: Column, reason: Column, amount: Column, tier: Column,

@@ -20,6 +20,11 @@ ACCOUNT_EVENT = (
     "tier STRING, status STRING"
 )
 
+ACCOUNT_WIRE = (
+    "accountId STRING, accountNumber STRING, ownerName STRING, tier STRING, "
+    "status STRING"
+)
+
 FRAUD_ALERT = (
     "alert_id STRING, account_id STRING, transaction_id STRING, "
     "alert_type STRING, reason STRING, amount DOUBLE, account_tier STRING, "

@@ -12,11 +12,26 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
 from ..operators.reference import latest_per_key
+from ..schemas import ACCOUNT_AVRO
+from ..sources import codecs
 from . import runner
 
 KEEP_VERSIONS = 3
 
 
+def read_changes(records: DataFrame, fmt: str = "confluent_avro",
+                 schema=ACCOUNT_AVRO) -> DataFrame:
+    """Records of the account topic as changes. A record without a value deletes
+    the account of its key; one whose value cannot be read is left out."""
+    decoded = codecs.decode_events(records, fmt, schema)
+    return (decoded.filter(F.col("decoded") | F.col("value").isNull())
+            .select(F.coalesce("accountId", F.col("key").cast("string"))
+                    .alias("account_id"),
+                    F.col("accountNumber").alias("account_number"),
+                    F.col("ownerName").alias("owner_name"), "tier", "status",
+                    "offset"))
+
+
 def start_account_table(changes: DataFrame, folder: str, checkpoint: str,
                         key: str = "account_id",
                         order_by: str | list[str] = "offset",

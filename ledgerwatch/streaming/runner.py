@@ -174,8 +174,3 @@ def counted(df: DataFrame, name: str, *counters) -> DataFrame:
     """Attach live counters to a stream; they appear in the query's progress
     under ``name`` (AGG4)."""
     return df.observe(name, *counters)
-
-
-def sent_counters():
-    return [F.count_if(F.col("status") == s).alias(s.lower())
-            for s in ("SENT", "DUPLICATE", "DLQ")]

@@ -51,6 +51,20 @@ def test_fraud_streams(spark, work):
     assert sorted(found) == rows(rules.fraud_alerts(whole, accounts(spark)), "alert_id")
 
 
+def test_account_table_feeds_the_rules(spark, work):
+    events(spark, work)
+    spark.createDataFrame(
+        [(A1, "ACC001", "One", "STANDARD", "ACTIVE", 1),
+         (A1, "ACC001", "One", "ELITE", "ACTIVE", 2)],
+        f"{schemas.ACCOUNT_EVENT}, offset BIGINT").write.parquet(f"{work}/changes")
+    run(spark, "accounts", "--files", f"{work}/changes", "--out", f"{work}/table",
+        "--checkpoint", f"{work}/cp", "--once")
+    run(spark, "alerts", "--transactions", f"{work}/tx", "--accounts",
+        f"{work}/table", "--out", f"{work}/out")
+    assert rows(spark.read.parquet(f"{work}/out"), "alert_type", "account_id") == [
+        ("RAPID_LARGE", A1), ("VELOCITY", A2)]
+
+
 def test_consume(spark, work):
     whole = events(spark, work)
     whole.write.mode("append").parquet(f"{work}/tx")

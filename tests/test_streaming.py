@@ -359,6 +359,21 @@ def test_account_table(spark, work):
     assert runner.versions(spark, f"{work}/accounts") == [2, 3, 4]
 
 
+def test_account_records(spark):
+    """A null value deletes, an unreadable one is left out."""
+    from ledgerwatch import schemas
+    from ledgerwatch.functions import wire
+    text = F.col("text").cast("binary")
+    records = spark.createDataFrame(
+        [("a", '{"accountId":"a","tier":"ELITE"}', 1), ("b", None, 2), ("c", "junk", 3)],
+        "key STRING, text STRING, offset LONG").select(
+        F.col("key").cast("binary").alias("key"), "offset",
+        wire.frame(text, F.lit(1)).alias("value"))
+    changes = account_table.read_changes(records, "confluent_json", schemas.ACCOUNT_WIRE)
+    assert rows(changes, "account_id", "tier", "offset") == [("a", "ELITE", 1),
+                                                             ("b", None, 2)]
+
+
 def test_rule_reads_the_account_table(spark, work):
     run_account_table(spark, work, [[(A1, "STANDARD", "ACTIVE", 1)],
                                     [(A1, "PREMIUM", "ACTIVE", 2)]])
