@@ -59,20 +59,17 @@ def ranked(df: DataFrame, key: str, order: Sequence[str], rank: str) -> DataFram
     """
     spark = df.sparkSession
     dealt = (df.repartitionByRange(partitions(spark), key, *order)
-             .withColumn("_part", F.spark_partition_id()))
-    inside = Window.partitionBy("_part", key).orderBy(*order)
+             .withColumn("__lw_part", F.spark_partition_id()))
+    inside = Window.partitionBy("__lw_part", key).orderBy(*order)
     local = staged(dealt.withColumn(rank, F.row_number().over(inside) - 1), "ranked")
-    before = (Window.partitionBy(key).orderBy("_part")
+    before = (Window.partitionBy(key).orderBy("__lw_part")
               .rowsBetween(Window.unboundedPreceding, -1))
-    offsets = (local.groupBy("_part", key).agg(F.count("*").alias("_n"))
-               .select("_part", F.col(key).alias("_key"),
-                       F.coalesce(F.sum("_n").over(
-                           Window.partitionBy("_key").orderBy("_part")
-                           .rowsBetween(Window.unboundedPreceding, -1)),
-                           F.lit(0)).alias("_before")))
-    return (local.join(offsets, (local["_part"] == offsets["_part"])
-                       & local[key].eqNullSafe(offsets["_key"]))
-            .withColumn(rank, (F.col(rank) + F.col("_before")).cast("long"))
+    offsets = (local.groupBy("__lw_part", key).agg(F.count("*").alias("__lw_n"))
+               .withColumn("__lw_before", F.coalesce(F.sum("__lw_n").over(before), F.lit(0)))
+               .withColumnRenamed(key, "__lw_key_of"))
+    return (local.join(offsets, (local["__lw_part"] == offsets["__lw_part"])
+                       & local[key].eqNullSafe(offsets["__lw_key_of"]))
+            .withColumn(rank, (F.col(rank) + F.col("__lw_before")).cast("long"))
             .select(*df.columns, rank))
 
 

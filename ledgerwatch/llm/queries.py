@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import license_scan, line_dedup, url_filter
+from . import (license_scan, line_dedup, mixing, quality, sharding, simhash,
+               url_filter)
 
 
 def _over(table: str, report: Callable[[DataFrame], DataFrame]):
@@ -15,10 +16,19 @@ def _over(table: str, report: Callable[[DataFrame], DataFrame]):
     return query
 
 
+def _quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.quality_report(spark.read.parquet(f"{folder}/documents.parquet"),
+                                  spark.read.parquet(f"{folder}/labels.parquet"))
+
+
 QUERIES = {
     "op1_url_filter": _over("pages", url_filter.page_verdicts),
+    "op3_simhash": _over("documents", simhash.simhash_report),
+    "op6_quality_rules": _quality,
     "op7_line_dedup": _over("documents", line_dedup.line_report),
+    "op8_mixing": _over("documents", mixing.mix_report),
     "op9_license_scan": _over("documents", license_scan.license_report),
+    "op10_sharding": _over("documents", sharding.shard_report),
 }
 
 ORACLES: dict[str, str] = {}
