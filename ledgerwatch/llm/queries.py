@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import (license_scan, line_dedup, mixing, quality, sharding, simhash,
-               url_filter)
+               token_files, url_filter)
 
 
 def _over(table: str, report: Callable[[DataFrame], DataFrame]):
@@ -16,6 +16,12 @@ def _over(table: str, report: Callable[[DataFrame], DataFrame]):
     return query
 
 
+def _tokens(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+    return token_files.token_report(spark.read.parquet(f"{folder}/documents.parquet"),
+                                    public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def _quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.quality_report(spark.read.parquet(f"{folder}/documents.parquet"),
                                   spark.read.parquet(f"{folder}/labels.parquet"))
@@ -24,6 +30,7 @@ def _quality(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op1_url_filter": _over("pages", url_filter.page_verdicts),
     "op3_simhash": _over("documents", simhash.simhash_report),
+    "op4_token_files": _tokens,
     "op6_quality_rules": _quality,
     "op7_line_dedup": _over("documents", line_dedup.line_report),
     "op8_mixing": _over("documents", mixing.mix_report),
