@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import (license_scan, line_dedup, mixing, quality, sharding, simhash,
-               token_files, url_filter)
+               suffix_dedup, token_files, url_filter)
 
 
 def _over(table: str, report: Callable[[DataFrame], DataFrame]):
@@ -31,6 +31,7 @@ QUERIES = {
     "op1_url_filter": _over("pages", url_filter.page_verdicts),
     "op3_simhash": _over("documents", simhash.simhash_report),
     "op4_token_files": _tokens,
+    "op5_suffix_dedup": _over("documents", suffix_dedup.suffix_report),
     "op6_quality_rules": _quality,
     "op7_line_dedup": _over("documents", line_dedup.line_report),
     "op8_mixing": _over("documents", mixing.mix_report),
