@@ -45,6 +45,17 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Tables of up to this many rows of fixed width are broadcast where that spares a
+#: shuffle of texts; larger ones are joined by shuffle.
+SMALL = 1_000_000
+
+
+def small(df: DataFrame) -> DataFrame:
+    """``df``, marked for broadcast if it has no more than SMALL rows. ``df`` must be a
+    staged table of fixed-width columns."""
+    return F.broadcast(df) if df.count() <= SMALL else df
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -52,24 +63,26 @@ def partitions(spark: SparkSession) -> int:
 def ranked(df: DataFrame, key: str, order: Sequence[str], rank: str) -> DataFrame:
     """``df`` with a gapless rank from 0 within each ``key``, in the given order.
 
-    Rows are dealt by ranges of key and order, so a key with any share of the rows
-    is spread over tasks. Each task numbers its own rows; the sums of the tasks
-    before it are one row for each task and key. Repeated rows get different
-    ranks. ``df`` should be narrow: it is staged once.
+    Rows are dealt by ranges of key and order and sorted, so a key with any share of the
+    rows is spread over tasks. They are staged once with their place in the task; a
+    row's rank is that place, less the place where its key begins in the task, plus the
+    key's rows in the tasks before, and these come from one row for each task and key.
+    Repeated rows get different ranks; null keys are a key.
     """
     spark = df.sparkSession
-    dealt = (df.repartitionByRange(partitions(spark), key, *order)
-             .withColumn("__lw_part", F.spark_partition_id()))
-    inside = Window.partitionBy("__lw_part", key).orderBy(*order)
-    local = staged(dealt.withColumn(rank, F.row_number().over(inside) - 1), "ranked")
-    before = (Window.partitionBy(key).orderBy("__lw_part")
+    local = staged(df.repartitionByRange(partitions(spark), key, *order)
+                   .sortWithinPartitions(key, *order)
+                   .withColumn("__lw_at", F.monotonically_increasing_id()), "ranked")
+    part = F.shiftright("__lw_at", 33)
+    before = (Window.partitionBy("__lw_of").orderBy("__lw_part")
               .rowsBetween(Window.unboundedPreceding, -1))
-    offsets = (local.groupBy("__lw_part", key).agg(F.count("*").alias("__lw_n"))
-               .withColumn("__lw_before", F.coalesce(F.sum("__lw_n").over(before), F.lit(0)))
-               .withColumnRenamed(key, "__lw_key_of"))
-    return (local.join(offsets, (local["__lw_part"] == offsets["__lw_part"])
-                       & local[key].eqNullSafe(offsets["__lw_key_of"]))
-            .withColumn(rank, (F.col(rank) + F.col("__lw_before")).cast("long"))
+    offsets = (local.groupBy(part.alias("__lw_part"), F.col(key).alias("__lw_of"))
+               .agg(F.count("*").alias("__lw_n"), F.min("__lw_at").alias("__lw_first"))
+               .withColumn("__lw_before", F.coalesce(F.sum("__lw_n").over(before), F.lit(0))))
+    return (local.join(offsets, (part == offsets["__lw_part"])
+                       & local[key].eqNullSafe(offsets["__lw_of"]))
+            .withColumn(rank, (F.col("__lw_at") - F.col("__lw_first") + F.col("__lw_before"))
+                        .cast("long"))
             .select(*df.columns, rank))
 
 

@@ -16,7 +16,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ranked, staged
+from .common import ranked, small, staged
 
 #: Rows in a block.
 BLOCK = 8
@@ -131,15 +131,24 @@ def mixed(docs: DataFrame, targets: Mapping[str, int], source: str = "source",
     keyed = docs.withColumn("__lw_text", F.xxhash64(F.col("text")))
     key = [F.col(doc).alias("doc"), F.col(source).alias("source"),
            F.col("__lw_text").alias("text")]
-    places = schedule(keyed.select(*key).distinct(), targets, "source", "doc", block).select(
-        F.col("doc").alias("__lw_d"), F.col("source").alias("__lw_s"),
-        F.col("text").alias("__lw_t"), F.col("place").alias("__lw_place"))
+    places = small(staged(
+        schedule(keyed.select(*key).distinct(), targets, "source", "doc", block).select(
+            F.col("doc").alias("__lw_d"), F.xxhash64("source").alias("__lw_s"),
+            F.col("text").alias("__lw_t"), F.col("place").alias("__lw_place")), "places"))
     return (keyed.join(places, F.col(doc).eqNullSafe(F.col("__lw_d"))
-                       & F.col(source).eqNullSafe(F.col("__lw_s"))
+                       & (F.xxhash64(source) == F.col("__lw_s"))
                        & (F.col("__lw_text") == F.col("__lw_t")))
             .orderBy("__lw_place").select(*[keyed[c] for c in docs.columns]))
 
 
+def written_order(docs: DataFrame) -> DataFrame:
+    """``docs``, read from files that one write left, with ``__lw_file`` and ``__lw_row``:
+    the number of the file and of the row in it, which order the rows as written."""
+    return docs.select("*", F.regexp_extract("_metadata.file_name", r"^part-(\d+)", 1)
+                       .cast("long").alias("__lw_file"),
+                       F.col("_metadata.row_index").alias("__lw_row"))
+
+
 def mix_report(docs: DataFrame) -> DataFrame:
     """A row for each document with its place in the mix."""
     return schedule(docs.select("doc_id", "source"), TARGETS)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (license_scan, line_dedup, mixing, quality, sharding, simhash,
+from . import (latent, license_scan, line_dedup, mixing, quality, sharding, simhash,
                suffix_dedup, token_files, url_filter)
 
 
@@ -22,6 +22,11 @@ def _tokens(spark: SparkSession, folder: str) -> DataFrame:
                                     public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def _leaks(spark: SparkSession, folder: str) -> DataFrame:
+    return latent.leak_report(spark.read.parquet(f"{folder}/documents.parquet"),
+                              spark.read.parquet(f"{folder}/benchmark.parquet"))
+
+
 def _quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.quality_report(spark.read.parquet(f"{folder}/documents.parquet"),
                                   spark.read.parquet(f"{folder}/labels.parquet"))
@@ -29,6 +34,7 @@ def _quality(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_url_filter": _over("pages", url_filter.page_verdicts),
+    "op2_decontamination": _leaks,
     "op3_simhash": _over("documents", simhash.simhash_report),
     "op4_token_files": _tokens,
     "op5_suffix_dedup": _over("documents", suffix_dedup.suffix_report),

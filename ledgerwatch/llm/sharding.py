@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import heapq
 import json
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -84,9 +85,10 @@ def text_rows(docs: DataFrame, *columns: str) -> DataFrame:
         F.coalesce(F.sha2(text, 256), F.lit("null")).alias("group"))
 
 
-def shard_documents(docs: DataFrame, shards: int = SHARDS, order: str = "doc_id") -> DataFrame:
+def shard_documents(docs: DataFrame, shards: int = SHARDS,
+                    order: Sequence[str] = ("doc_id",)) -> DataFrame:
     """``docs`` with ``shard`` and ``slot``: rows of a shard numbered from 0 without
-    gaps, in the order of the column ``order``.
+    gaps, in the order of the columns ``order``.
 
     Shards differ in bytes by no more than the smallest bundle or group placed last,
     unless a single group of equal texts is larger than a shard's fair share; it then
@@ -100,7 +102,7 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS, order: str = "doc_id"
         "__lw_key": F.coalesce(F.sha2(text, 256), F.lit("null")),
         "__lw_bytes": (F.coalesce(F.octet_length(text), F.lit(0)) + ROW_BYTES).cast("long")})
     placed = assigned(rows, shards, "__lw_key", "__lw_bytes")
-    return ranked(placed.drop("__lw_key", "__lw_bytes"), "shard", [order], "slot")
+    return ranked(placed.drop("__lw_key", "__lw_bytes"), "shard", order, "slot")
 
 
 def shard_report(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
