@@ -1,0 +1,105 @@
+import math
+import re
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from ledgerwatch.llm import url_filter as uf
+from llm_fixtures import table
+
+
+def parts(url):
+    m = re.match(r"(?s)^.*?://([^/?#]*)([^?#]*)", url or "")
+    return (re.sub("[A-Z]+", lambda x: x[0].lower(), m[1]), m[2]) if m else ("", "")
+
+
+def rule(host, path, rules=uf.PAGE_RULES):
+    fits = [(len(h + p), h + p, a) for a, h, p in rules
+            if (host == h or host.endswith("." + h)) and path.startswith(p)]
+    return max(fits)[1:] if fits else (None, None)
+
+
+def test_rules_and_parts(spark):
+    urls = ["http://Example.COM/en/x", "https://www.example.com/en/1?x=/en/", "http://a.net/es/",
+            "http://net/fr/1", "http://xnet/fr/1", "nothing", None, "", "a://b://c/d",
+            "http://a.com", "http://a.com?x", "http://sub.www.example.com/en/#f",
+            "http://example.com/EN/", "HTTP://a.NET/fr"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    for row in uf.page_verdicts(pages).collect():
+        host, path = parts(urls[row.page_id])
+        text, action = rule(host, path)
+        assert (row.host, row.path, row.rule) == (host, path, text)
+        assert row.verdict == (action or row.verdict) and row.verdict in ("allow", "block")
+
+
+def brute_scores(urls):
+    """Scores of all URLs, by dictionaries, from the training fold given as labels."""
+    def codes(u):
+        plain = re.sub(r"(?s)^.*?://", "", u, count=1)
+        plain = re.sub("[1-9]", "0", "".join(c.lower() if "A" <= c <= "Z" else c for c in plain))
+        return [0] * (uf.ORDER - 1) + [max(uf.ALPHABET[1:].find(c) + 1, 0) for c in plain]
+
+    def grams(u):
+        c = codes(u)
+        return [tuple(c[i:i + uf.ORDER]) for i in range(len(c) - uf.ORDER + 1)]
+
+    ends = {True: {}, False: {}}
+    for u, label in urls:
+        if label is not None:
+            for g in grams(u):
+                for k in range(uf.ORDER):
+                    ends[label].setdefault(g[k:-1], Counter())[g[-1]] += 1
+
+    def prob(label, gram):
+        if not gram:
+            return 1 / uf.SYMBOLS
+        after = ends[label].get(gram[:-1], {})
+        low = prob(label, gram[1:])
+        if not after:
+            return low
+        return (after[gram[-1]] + len(after) * low) / (sum(after.values()) + len(after))
+
+    memo = {}
+
+    def ratio(g):
+        if g not in memo:
+            memo[g] = round((math.log(prob(True, g)) - math.log(prob(False, g))) * uf.UNIT)
+        return memo[g]
+
+    return {u: math.floor(sum(map(ratio, grams(u))) / len(grams(u))) for u, _ in urls}
+
+
+def test_scores_match_brute_force(spark):
+    rows = [r.url for r in table(spark, "pages").select("url").distinct().collect()]
+    held = {r.url: r.held for r in spark.createDataFrame([(u,) for u in rows], "url string")
+            .withColumn("held", F.pmod(F.xxhash64("url"), F.lit(uf.FOLDS)) == 0).collect()}
+    labelled = []
+    for u in rows:
+        _, action = rule(*parts(u))
+        labelled.append((u, None if action is None or held[u] else action == "allow"))
+    expected = brute_scores(labelled)
+    found = {r.url: r for r in uf.judge(table(spark, "pages"), uf.PAGE_RULES)
+             .select("url", "url_filter.*").collect()}
+    for u in rows:
+        assert abs(found[u].score * uf.UNIT - expected[u]) <= 2
+    limits = sorted({r.score for r in found.values() if r.rule is None and r.verdict == "allow"})
+    assert all(r.score < limits[0] + 1e-9 for r in found.values()
+               if r.rule is None and r.verdict == "block")
+
+
+def test_odd_rows(spark):
+    pages = spark.createDataFrame(
+        [(1, None, "a"), (1, None, "a"), (None, "http://a.net/es/1", "b"), (2, "", "c"),
+         (3, "http://b.org/" + "x" * 50_000, None), (3, "http://c.com/1", "host")],
+        "page_id long, url string, host string")
+    out = uf.judge(pages, uf.PAGE_RULES)
+    assert out.columns == ["page_id", "url", "host", "url_filter"] and out.count() == 6
+    assert {r.url_filter.verdict for r in out.collect() if r.url is None} == {"allow"}
+    assert uf.page_verdicts(pages.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("steps, expected", [
+    ([(-5000, 1), (0, 99)], 0), ([(-9000, 1), (-5000, 2), (2000, 97)], -5000), ([], None)])
+def test_cutoff(spark, steps, expected):
+    assert uf.cutoff(spark.createDataFrame(steps, "score long, n long"), 0.01) == expected
