@@ -14,7 +14,13 @@ UUID_PATTERN = ("^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-"
 
 
 def _joined(parts) -> Column:
-    return F.concat_ws("|", *[p.cast("string") for p in parts])
+    """Parts with their lengths, ``-`` for null: different parts, different text."""
+    def marked(part: Column) -> Column:
+        text = part.cast("string")
+        return F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text),
+                          F.lit("-"))
+
+    return F.concat(*[marked(p) for p in parts])
 
 
 def alert_id(*parts: Column) -> Column:
@@ -29,4 +35,5 @@ def stable_uuid(*parts: Column) -> Column:
 
 
 def is_uuid(text: Column) -> Column:
+    """Whether a text has all 36 characters; shorter groups of digits are refused."""
     return F.coalesce(text.cast("string").rlike(UUID_PATTERN), F.lit(False))

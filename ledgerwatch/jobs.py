@@ -6,8 +6,11 @@
     python -m ledgerwatch.jobs consume --kafka host:9092 --out O
     python -m ledgerwatch.jobs accept --files R --accounts A --out O
     python -m ledgerwatch.jobs relay --tables O --topics P
+    python -m ledgerwatch.jobs consume --records P --out O
+    python -m ledgerwatch.jobs retain --tables O
 
-Streams read a folder of files (``--files``) or a topic (``--kafka``). ``--once``
+Streams read a folder of files (``--files``), a topic (``--kafka``) or the files of
+topics that ``relay --topics`` wrote (``--records``). ``--once``
 processes what is there and stops. All folders must be reachable from every
 executor.
 """
@@ -30,6 +33,8 @@ from .streaming import accounts, consumer, fraud, runner
 from .streaming import outbox as outbox_job
 
 RELAY_DELAY_SECONDS = 1.0
+#: How every job writes and reads records unless told otherwise.
+WIRE_FORMAT = "confluent_avro"
 
 
 def _accounts(path: str):
@@ -58,12 +63,17 @@ def start_accounts(spark: SparkSession, args: argparse.Namespace) -> list[Stream
 
 
 def _events(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
-    """Event columns from files, or from framed records of the transaction topic."""
+    """Event columns from files, or from framed records of the transaction topic (in
+    Kafka, or in the files of ``relay --topics``)."""
     if args.files:
         return streams.file_stream(spark, args.files, schemas.EVENT,
                                    max_files=args.max_files)
-    records = streams.kafka_stream(spark, args.kafka, streams.TRANSACTION_TOPIC,
-                                   max_offsets=args.max_offsets)
+    if args.records:
+        records = streams.record_files(spark, args.records, streams.TRANSACTION_TOPIC,
+                                       args.max_files)
+    else:
+        records = streams.kafka_stream(spark, args.kafka, streams.TRANSACTION_TOPIC,
+                                       max_offsets=args.max_offsets)
     schema = (schemas.EVENT_V2_AVRO if args.format.endswith("avro")
               else schemas.EVENT_V2)
     return consumer.read_events(records, args.format, schema)
@@ -89,6 +99,8 @@ def alerts(spark: SparkSession, args: argparse.Namespace) -> None:
 def start_fraud(spark: SparkSession, args: argparse.Namespace) -> list[StreamingQuery]:
     """The three rules, each with its own checkpoint."""
     tx, every = _events(spark, args), _every(args)
+    if "decoded" in tx.columns:  # what cannot be read is the consumer's to report
+        tx = tx.filter("decoded")
 
     def checkpoint(name: str) -> str:
         return f"{args.out}/checkpoints/{name}"
@@ -118,6 +130,12 @@ def start_consume(spark: SparkSession, args: argparse.Namespace) -> list[Streami
             events, args.out, checkpoint, failure,
             order_by=["occurred_at", *_other_columns(events), "copy"],
             prepare=consume.numbered_copies, every=every)]
+    if args.records:
+        return [consumer.start_consumer(
+            events, args.out, checkpoint, failure,
+            order_by=["batch_id", "occurred_at", *sorted(
+                set(events.columns) - {"batch_id", "occurred_at"}), "copy"],
+            decoded="decoded", prepare=consume.numbered_copies, every=every)]
     return [consumer.start_consumer(
         events, args.out, checkpoint, failure, order_by=["partition", "offset"],
         decoded="decoded", on_dead_letters=consumer.publish_dead_letters(args.kafka),
@@ -139,12 +157,16 @@ def start_accept(spark: SparkSession, args: argparse.Namespace) -> list[Streamin
     return [outbox_job.start_accept(
         requests, _accounts(args.accounts), args.out, f"{args.out}/checkpoint",
         ["file", "value", "copy"], prepare=consume.numbered_copies,
+        body=lambda: codecs.event_body(
+            [f["name"] for f in schemas.EVENT_V2_AVRO["fields"]],
+            args.format.removeprefix(codecs.FRAMED), schemas.EVENT_V2_AVRO),
         every=_every(args))]
 
 
 def relay(spark: SparkSession, args: argparse.Namespace) -> None:
-    """Passes with a fixed delay after each; ``--once`` runs until none is pending
-    or a pass published nothing."""
+    """Passes with a fixed delay after each; ``--once`` runs until a pass published
+    nothing and every pending row was tried. Rows that failed too often go last unless
+    ``--oldest-first`` is given."""
     def publish(records: DataFrame, number: int) -> None:
         if args.kafka:
             streams.write_kafka(records.select("topic", "key", "value"), args.kafka)
@@ -153,14 +175,21 @@ def relay(spark: SparkSession, args: argparse.Namespace) -> None:
 
     limit = args.limit if args.limit > 0 else None
     while True:
-        tried = outbox_job.relay(spark, args.tables, publish, limit)
-        idle = tried is None or tried.filter("published").isEmpty()
-        if args.once and idle:
+        tried = outbox_job.relay(spark, args.tables, publish, limit,
+                                 manual_last=not args.oldest_first)
+        if args.once and (tried is None or (
+                tried.filter("published").isEmpty()
+                and not outbox_job.untried_left(spark, args.tables))):
             return
         if not args.once:
             time.sleep(RELAY_DELAY_SECONDS)
 
 
+def retain(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Fold relay results and drop what was published longer than ``--keep`` ago."""
+    outbox_job.retain(spark, args.tables, F.current_timestamp(), args.keep)
+
+
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="ledgerwatch")
     jobs = top.add_subparsers(dest="job", required=True)
@@ -171,11 +200,13 @@ def parser() -> argparse.ArgumentParser:
             sub.add_argument(f"--{option}", required=True)
         return sub
 
-    def stream(sub: argparse.ArgumentParser) -> None:
+    def stream(sub: argparse.ArgumentParser, records: bool = False) -> None:
         source = sub.add_mutually_exclusive_group(required=True)
         source.add_argument("--files")
         source.add_argument("--kafka")
-        sub.add_argument("--format", default="confluent_avro")
+        if records:
+            source.add_argument("--records")
+        sub.add_argument("--format", default=WIRE_FORMAT)
         sub.add_argument("--max-files", type=int)
         sub.add_argument("--max-offsets", type=int)
         sub.add_argument("--once", action="store_true")
@@ -185,9 +216,10 @@ def parser() -> argparse.ArgumentParser:
     stream(job("accounts", "out", "checkpoint"))
     rules_job = job("fraud", "accounts", "out")
     rules_job.add_argument("--alert-servers")
-    stream(rules_job)
-    stream(job("consume", "out"))
+    stream(rules_job, records=True)
+    stream(job("consume", "out"), records=True)
     accept_job = job("accept", "files", "accounts", "out")
+    accept_job.add_argument("--format", default=WIRE_FORMAT)
     accept_job.add_argument("--max-files", type=int)
     accept_job.add_argument("--once", action="store_true")
     relay_job = job("relay", "tables")
@@ -195,20 +227,39 @@ def parser() -> argparse.ArgumentParser:
     target.add_argument("--topics")
     target.add_argument("--kafka")
     relay_job.add_argument("--limit", type=int, default=outbox.BATCH)
+    relay_job.add_argument("--oldest-first", action="store_true")
     relay_job.add_argument("--once", action="store_true")
+    job("retain", "tables").add_argument("--keep", default=outbox.KEEP)
     return top
 
 
+def await_all(spark: SparkSession, queries: list[StreamingQuery]) -> None:
+    """Wait until all queries have ended; where one fails, stop the others and raise."""
+    try:
+        while any(query.isActive for query in queries):
+            spark.streams.awaitAnyTermination()
+            spark.streams.resetTerminated()
+            for query in queries:
+                if query.exception() is not None:
+                    raise query.exception()
+        for query in queries:
+            if query.exception() is not None:
+                raise query.exception()
+    finally:
+        for query in queries:
+            query.stop()
+
+
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> None:
     args = parser().parse_args(argv)
     spark = use_utc(spark or build_session())
-    if args.job in ("alerts", "relay"):
-        {"alerts": alerts, "relay": relay}[args.job](spark, args)
+    batch = {"alerts": alerts, "relay": relay, "retain": retain}
+    if args.job in batch:
+        batch[args.job](spark, args)
         return
     start = {"accounts": start_accounts, "fraud": start_fraud,
              "consume": start_consume, "accept": start_accept}
-    for query in start[args.job](spark, args):
-        query.awaitTermination()
+    await_all(spark, start[args.job](spark, args))
 
 
 if __name__ == "__main__":

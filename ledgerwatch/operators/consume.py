@@ -9,6 +9,7 @@ from ..functions import backoff, wire
 from ..functions.ids import is_uuid
 from ..functions.texts import notification_line
 from .joins import lookup_join
+from .quality import APART, apart_without
 
 SENT = "SENT"
 DUPLICATE = "DUPLICATE"
@@ -19,6 +20,9 @@ UNEXPECTED_TYPE = "Unexpected message type"
 BAD_EVENT_ID = "bad event id"
 GROUP = "notification-service"
 
+#: Copies of one row that a task makes at once.
+COPIES = 100_000
+
 
 def split_frames(df: DataFrame, value: str = "value") -> DataFrame:
     """Rows with ``schema_id``, ``body`` and ``bad_reason`` of their frame."""
@@ -37,19 +41,27 @@ def frame_counts(frames: DataFrame) -> DataFrame:
 def numbered_copies(df: DataFrame, name: str = "copy") -> DataFrame:
     """Rows with a number from 1 among their exact copies.
 
-    Gives rows of a source without offsets a unique order or key. Copies are
-    counted map-side and made again, so they need no order of their own.
+    Gives rows of a source without offsets a unique order or key. Copies are counted
+    map-side and made again in steps of at most ``COPIES`` rows that are dealt out anew
+    in between, so no task makes all copies of a row.
     """
-    return (df.groupBy(*df.columns).agg(F.count(F.lit(1)).cast("int").alias("_n"))
-            .select(*df.columns, F.explode(F.sequence(F.lit(1), "_n")).alias(name)))
+    counted = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
+    steps = F.sequence(F.lit(0), F.floor((F.col("_n") - 1) / COPIES))
+    cut = counted.withColumn("_step", F.explode(steps))
+    last = F.least(F.col("_n"), (F.col("_step") + 1) * COPIES)
+    return (cut.hint("rebalance")
+            .select(*df.columns, F.explode(F.sequence(
+                F.col("_step") * COPIES + 1, last)).alias(name)))
 
 
 def first_delivery(df: DataFrame, id: str = "event_id",
                    order_by: str | list[str] = "offset") -> DataFrame:
-    """The first copy of each event; copies are folded map-side."""
+    """The first copy of each event; copies are folded map-side. Rows without an id
+    all stay."""
     order = [order_by] if isinstance(order_by, str) else list(order_by)
     rest = [c for c in df.columns if c not in order and c != id]
-    return (df.groupBy(id).agg(F.min(F.struct(*order, *rest)).alias("_first"))
+    return (apart_without(df, id).groupBy(id, APART)
+            .agg(F.min(F.struct(*order, *rest)).alias("_first"))
             .select(id, "_first.*").select(*df.columns))
 
 
@@ -140,13 +152,25 @@ def ledger_rows(classified: DataFrame, group: str = GROUP,
                     F.current_timestamp().alias("processed_at")))
 
 
-def dead_letters(classified: DataFrame, key: str = "account_id") -> DataFrame:
-    """Dead letters as ``key, value, reason``; the value is the row's JSON (FMT6)."""
-    added = ("status", "attempts", "backoff_ms", "reason")
-    payload = [c for c in classified.columns if c not in added]
+def dead_letters(classified: DataFrame, key: str = "account_id",
+                 envelope: tuple[str, ...] = ()) -> DataFrame:
+    """Dead letters as ``key, value, reason`` (FMT6, SNK5); the value is the event's
+    JSON.
+
+    ``envelope`` names the columns of the record that are no event fields. With ``key``
+    and ``value`` among them, a record keeps the key it came with, and one that could
+    not be decoded its bytes.
+    """
+    added = ("status", "attempts", "backoff_ms", "reason", "decoded")
+    payload = [c for c in classified.columns if c not in (*added, *envelope)]
+    letter, text = F.col(key).cast("string"), F.to_json(F.struct(*payload))
+    if "key" in envelope:
+        letter = F.coalesce(F.col("key").cast("string"), letter)
+    if "value" in envelope:
+        unread = F.col("reason") == UNEXPECTED_TYPE
+        text = F.when(unread, F.col("value").cast("binary")).otherwise(text.cast("binary"))
     return (classified.filter(F.col("status") == DLQ)
-            .select(F.col(key).cast("string").alias("key"),
-                    F.to_json(F.struct(*payload)).alias("value"), "reason"))
+            .select(letter.alias("key"), text.alias("value"), "reason"))
 
 
 def retry_due(attempts: DataFrame, now: Column,

@@ -1,72 +1,25 @@
-"""Lookups that stay balanced when one key holds a large share of the rows.
+"""Lookups in a side with one row per key.
 
-When one side is small the join is left to Spark, which broadcasts under
-``spark.sql.autoBroadcastJoinThreshold``. Beyond that size a shuffle join would
-send every row of a hot key to one task, so the hot keys are found first with a
-fixed-size frequency sketch. Without any, one shuffle join does. Otherwise the hot
-keys are joined apart: their lookup rows number at most ``HOT_KEYS``, which bounds
-that broadcast whatever the data size, and all other rows take the shuffle join.
-The split only routes rows; the result is the same as one plain join.
+The join is left to Spark: it broadcasts a side that is under its threshold, and
+adaptive execution splits the partitions of hot keys of a shuffle join at run time
+(``spark.sql.adaptive.skewJoin``), in batch and in stateless micro-batches. Nothing runs
+while the plan is built.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-HOT_KEYS = 200
-SKETCH_ITEMS = 10_000
-SHARDS = 512
-HOT_ROWS = 1_000_000
-
-def fits_broadcast(df: DataFrame) -> bool:
-    """Whether the plan's size estimate is under Spark's broadcast threshold."""
-    spark = df.sparkSession
-    limit = spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    plan = df._jdf.queryExecution().optimizedPlan()
-    return int(str(plan.stats().sizeInBytes())) <= limit
-
-
-def hot_keys(df: DataFrame, on: list[str], min_rows: int = HOT_ROWS) -> list[int]:
-    """Hashes of the keys with at least ``min_rows`` rows, ``HOT_KEYS`` at most.
-
-    Reads the key columns once. Each task makes one sketch; the sketches are merged
-    in ``SHARDS`` groups and then into one, so no task merges those of all others.
-    A key with 1 in 2,000 rows or more is always found. The hashes are fetched, so
-    that every part of the join splits by the very same ones.
-    """
-    sketches = (
-        df.select(F.xxhash64(*on).alias("h"),
-                  F.pmod(F.spark_partition_id(), F.lit(SHARDS)).alias("shard"))
-        .groupBy("shard")
-        .agg(F.expr(f"approx_top_k_accumulate(h, {SKETCH_ITEMS})").alias("s")))
-    # Grouped by a constant: no rows then give no group, which the combine needs.
-    top = sketches.groupBy(F.lit(0).alias("all")).agg(F.expr(
-        f"approx_top_k_estimate(approx_top_k_combine(s, {SKETCH_ITEMS}), {HOT_KEYS})")
-        .alias("top"))
-    found = (top.select(F.explode("top").alias("t"))
-             .filter(F.col("t.count") >= min_rows).select("t.item"))
-    return [row[0] for row in found.collect()]
 
 
 def lookup_join(left: DataFrame, right: DataFrame, on: str | list[str],
-                how: str = "inner", min_rows: int = HOT_ROWS) -> DataFrame:
+                how: str = "inner") -> DataFrame:
     """Join ``left`` with a side that has one row per key.
 
-    ``how`` is inner, left, left_semi or left_anti; for the last two the lookup
-    side may repeat keys. With two large sides this runs the sketch when called.
+    ``how`` is inner, left, left_semi or left_anti. For the last two the lookup side may
+    repeat keys: repeats are folded within tasks before the shuffle, so a key that it
+    holds often is one row for each task.
     """
     keys = [on] if isinstance(on, str) else list(on)
-    if fits_broadcast(right) or fits_broadcast(left):
-        return left.join(right, keys, how)
-    hot = hot_keys(left, keys, min_rows)
-    if not hot:
-        return left.join(right, keys, how)
-
-    is_hot = F.xxhash64(*keys).isin(hot)
-    hot_right = right.filter(is_hot)
     if how in ("left_semi", "left_anti"):
-        hot_right = hot_right.select(*keys).distinct()
-    return (left.filter(~is_hot).join(right, keys, how)
-            .unionByName(left.filter(is_hot)
-                         .join(F.broadcast(hot_right), keys, how)))
+        right = right.select(*keys).distinct()
+    return left.join(right, keys, how)

@@ -97,15 +97,29 @@ def _name(q: float) -> str:
     return f"p{q * 100:g}".replace(".", "_")
 
 
+#: Buckets for each power of e that values span; and what sets apart the signs.
+BUCKETS = 4096
+SIGN = 1000 * BUCKETS
+
+
+def _magnitude(value: Column) -> Column:
+    """A bucket number that never falls as ``value`` grows: equal steps of the logarithm,
+    so buckets are as fine for values under 1 as for those over 10^9."""
+    log = (F.when(F.isnan(value), 900.0)
+           .otherwise(F.least(F.log(F.abs(value)), F.lit(800.0))))
+    size = F.floor(log * BUCKETS) + SIGN
+    return F.when(value == 0, F.lit(0).cast("long")).when(value < 0, -size).otherwise(size)
+
+
 def quantiles(df: DataFrame, value: str, by: Sequence[str],
-              qs: Sequence[float] = QUANTILES, exact: bool = True,
-              bucket: float = 10.0) -> DataFrame:
+              qs: Sequence[float] = QUANTILES, exact: bool = True) -> DataFrame:
     """Quantiles of ``value`` per group (AGG6).
 
-    ``exact=False`` is Spark's sketch. The exact form interpolates between the
-    two nearest ranks. It folds equal values map-side, counts values per bucket
-    of width ``bucket``, and ranks only inside the few buckets that hold a wanted
-    rank, so no task sees all values of a group.
+    ``exact=False`` is Spark's sketch. The exact form interpolates between the two
+    nearest ranks. It folds equal values map-side, counts values per bucket of their
+    magnitude, and ranks only inside the few buckets that hold a wanted rank: a task
+    gets the distinct values within 1 / BUCKETS of each other, on any scale, and a
+    group's bucket counts, whose number has a bound.
     """
     if not exact:
         return df.groupBy(*by).agg(*[
@@ -115,7 +129,7 @@ def quantiles(df: DataFrame, value: str, by: Sequence[str],
     values = (df.filter(F.col(value).isNotNull())
               .select(*by, F.col(value).cast("double").alias("_v"))
               .groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_n"))
-              .withColumn("_b", F.floor(F.col("_v") / F.lit(float(bucket)))))
+              .withColumn("_b", _magnitude(F.col("_v"))))
     per_bucket = values.groupBy(*by, "_b").agg(F.sum("_n").alias("_bn"))
     up_to = (W.partitionBy(*by).orderBy("_b")
              .rowsBetween(W.unboundedPreceding, 0))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -20,6 +21,7 @@ TOPIC = "transaction.initiated"
 BATCH = 100
 MAX_RETRY = 5
 KEEP = "7 days"
+KNOWN = "_known"
 BAD_PAYLOAD = "payload is not base64"
 
 
@@ -83,15 +85,23 @@ def outbox_rows(transactions: DataFrame, body: Column | None = None,
         F.timestamp_millis("occurredAt").alias("created_at"))
 
 
+def with_known_account(requests: DataFrame, accounts: DataFrame) -> DataFrame:
+    """``requests`` with ``KNOWN``: whether their account exists. Accounts may repeat."""
+    known = accounts.select("account_id").distinct().withColumn(KNOWN, F.lit(True))
+    return (lookup_join(requests, known, "account_id", "left")
+            .withColumn(KNOWN, F.coalesce(KNOWN, F.lit(False))))
+
+
 def accept(requests: DataFrame, accounts: DataFrame | None,
            request_key: str | list[str], now: Column | None = None,
-           body: Column | None = None) -> Accepted:
+           body: Column | None = None, schema_id: int = 1) -> Accepted:
     """Split requests into transactions with outbox rows, and rejects (OP16).
 
     ``request_key`` identifies a request (its id, or source partition and
     offset). Transaction, event and outbox ids are hashes of it, so writing the
     two tables again after a failure repeats the same rows. ``amount`` may be text;
-    it is rounded to two places like the column it is stored in.
+    it is rounded to two places like the column it is stored in. Without ``accounts``,
+    requests that passed ``with_known_account`` are judged by what it found.
     """
     keys = [request_key] if isinstance(request_key, str) else list(request_key)
     number = F.round(F.col("amount").cast("string").try_cast("decimal(38,6)"), 2)
@@ -99,9 +109,9 @@ def accept(requests: DataFrame, accounts: DataFrame | None,
                          F.current_timestamp() if now is None else now)
     rules = quality.transaction_rules()
     if accounts is not None:
-        known = accounts.select("account_id").withColumn("_known", F.lit(True))
-        rows = lookup_join(rows, known, "account_id", "left")
-        rules = {**rules, "account_exists": F.coalesce("_known", F.lit(False))}
+        rows = with_known_account(rows, accounts)
+    if KNOWN in rows.columns:
+        rules = {**rules, "account_exists": F.col(KNOWN)}
 
     good = (rows.filter(quality.holds(rules))
             .withColumn("amount", F.col("amount").cast("decimal(15,2)"))
@@ -109,23 +119,34 @@ def accept(requests: DataFrame, accounts: DataFrame | None,
     transactions = good.select(
         "id", "account_id", "amount", "currency", "type", "status", "description",
         "created_at", "updated_at")
-    return Accepted(transactions, outbox_rows(transactions, body),
-                    quality.violations(rows, rules).drop("_known"))
+    return Accepted(transactions, outbox_rows(transactions, body, schema_id),
+                    quality.violations(rows, rules).drop(KNOWN))
 
 
-def outbox_pending(outbox: DataFrame, limit: int | None = BATCH) -> DataFrame:
-    """Oldest unpublished rows (FLT4, SRT1); ties are ordered by id. Without a
-    limit the whole backlog is one unsorted batch."""
+def outbox_pending(outbox: DataFrame, limit: int | None = BATCH,
+                   first: Sequence[str] = ()) -> DataFrame:
+    """Oldest unpublished rows (FLT4, SRT1); ties are ordered by id, and columns named in
+    ``first`` go before age. Without a limit the whole backlog is one unsorted batch.
+    Spark merges the limit in one task: it is meant for passes of up to some 100,000."""
     pending = outbox.filter(~F.col("published"))
     if limit is None:
         return pending
-    return pending.orderBy("created_at", "id").limit(limit)
+    return pending.orderBy(*first, "created_at", "id").limit(limit)
 
 
 def publishable(pending: DataFrame) -> DataFrame:
     """Pending rows with the record to publish: ``topic, key, value`` (FMT5)."""
     return pending.select("id", "topic", F.col("partition_key").alias("key"),
-                          wire.unquote_base64(F.col("payload")).alias("value"))
+                          wire.unquote_base64(F.col("payload")).alias("value"),
+                          "created_at")
+
+
+def in_order(records: DataFrame) -> DataFrame:
+    """Records of a key in one task, in order of creation (OP15): a writer that sends a
+    task's rows one after another keeps the order of each account. A key's rows must
+    follow each other, so they are not spread; a pass's limit bounds them."""
+    return (records.repartition("key")
+            .sortWithinPartitions("topic", "key", "created_at", "id"))
 
 
 def publish_results(records: DataFrame, error: Column | None = None) -> DataFrame:

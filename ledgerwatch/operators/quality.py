@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from ..functions.ids import is_uuid
 from .joins import lookup_join
 
+APART = "_apart"
+
 # The allowed words of each column.
 ACCOUNT_TYPES = ("SAVINGS", "CURRENT")
 TIERS = ("STANDARD", "PREMIUM", "ELITE")
@@ -96,3 +98,10 @@ def duplicate_keys(df: DataFrame, keys: str | list[str]) -> DataFrame:
     names = [keys] if isinstance(keys, str) else list(keys)
     return (df.groupBy(*names).agg(F.count(F.lit(1)).alias("copies"))
             .filter(F.col("copies") > 1))
+
+
+def apart_without(df: DataFrame, id: str) -> DataFrame:
+    """``df`` with a column ``APART`` that is different for each row without an id and
+    null for the others, so that a grouping by both never folds rows without one."""
+    return df.withColumn(APART, F.when(F.col(id).isNull(),
+                                       F.monotonically_increasing_id()))

@@ -14,6 +14,7 @@ from ..functions.ids import alert_id
 from ..functions.tiers import TIER_LIMITS, lowest_limit, tier_threshold
 from . import velocity
 from .joins import lookup_join
+from .quality import APART, apart_without
 from .slices import running
 
 # Fixed values of the alert contract.
@@ -142,10 +143,12 @@ def distinct_events(tx: DataFrame, id: str = "event_id",
 
     The columns travel as one struct: all rules then read the same exchange,
     which Spark runs once, instead of three differently pruned ones. Copies are
-    folded map-side; among differing copies the earliest one is kept.
+    folded map-side; among differing copies the earliest one is kept. Rows without an
+    id are not known to be copies: each stays an event of its own.
     """
     copy = F.struct(ts, "transaction_id", "account_id", "amount")
-    return (tx.groupBy(id).agg(F.min(copy).alias("e")).select(id, "e.*"))
+    return (apart_without(tx, id).groupBy(id, APART).agg(F.min(copy).alias("e"))
+            .select(id, "e.*"))
 
 
 def fraud_alerts(tx: DataFrame, accounts: DataFrame, dedupe: bool = True, *,

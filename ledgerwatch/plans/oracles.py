@@ -6,10 +6,20 @@ the rules from their definition and share no code with the operators.
 
 from __future__ import annotations
 
-def _uuid(text: str) -> str:
-    """MD5 of a text expression in UUID form."""
+def _parts(*texts: str) -> str:
+    """Text expressions, each with its length before it."""
+    return " || ".join(
+        f"coalesce(cast(length({t}) as varchar) || ':' || {t}, '-')" for t in texts)
+
+
+def _uuid(*texts: str) -> str:
+    """MD5 of text expressions in UUID form."""
     cuts = ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))
-    return " || '-' || ".join(f"substr(md5({text}), {a}, {n})" for a, n in cuts)
+    return " || '-' || ".join(f"substr(md5({_parts(*texts)}), {a}, {n})" for a, n in cuts)
+
+
+def _alert_id(*texts: str) -> str:
+    return f"sha256({_parts(*texts)})"
 
 
 VIEWS = {
@@ -116,7 +126,7 @@ def _high_value(source: str, limits: tuple[int, int, int] = (50000, 100000, 5000
                 tag: str = "") -> str:
     txn = f"'{tag}' || cast(s.transaction_id as varchar)"
     return f"""
-        select sha256('HIGH_VALUE|' || cast(s.account_id as varchar) || '|' || {txn}) as alert_id,
+        select {_alert_id("'HIGH_VALUE'", "cast(s.account_id as varchar)", f"({txn})")} as alert_id,
                s.account_id, {txn} as transaction_id, 'HIGH_VALUE' as alert_type,
                printf('Amount %.2f exceeds tier threshold', cast(s.amount as double)) as reason,
                cast(s.amount as double) as amount, acc.tier as account_tier,
@@ -127,8 +137,8 @@ def _high_value(source: str, limits: tuple[int, int, int] = (50000, 100000, 5000
 
 def _velocity(source: str, window: str, label: str) -> str:
     return f"""
-        select sha256('VELOCITY|' || cast(account_id as varchar) || '|' ||
-                      cast(epoch_us(occurred_at - interval {window}) as varchar)) as alert_id,
+        select {_alert_id("'VELOCITY'", "cast(account_id as varchar)",
+                          f"cast(epoch_us(occurred_at - interval {window}) as varchar)")} as alert_id,
                account_id, 'MULTIPLE' as transaction_id, 'VELOCITY' as alert_type,
                cast(n as varchar) || ' transactions in {label} window' as reason,
                cast(0.0 as double) as amount, 'UNKNOWN' as account_tier,
@@ -150,8 +160,8 @@ def _spend(source: str) -> str:
 
 def _rapid_large(spend: str, limit: int) -> str:
     return f"""
-        select sha256('RAPID_LARGE|' || cast(account_id as varchar) || '|' ||
-                      cast(epoch_us(window_start) as varchar)) as alert_id,
+        select {_alert_id("'RAPID_LARGE'", "cast(account_id as varchar)",
+                          "cast(epoch_us(window_start) as varchar)")} as alert_id,
                account_id, 'MULTIPLE' as transaction_id, 'RAPID_LARGE' as alert_type,
                printf('Total spend %.2f exceeds limit', cast(total as double)) as reason,
                cast(total as double) as amount, 'UNKNOWN' as account_tier,
@@ -208,6 +218,15 @@ ORACLES = {
         {_alerts("pay", 100000, "6 hours", "6-hour")}"""),
     "fraud_alerts_on_copies": _with(
         ["raw", "acc"], _alerts("raw", 200, "5 minutes", "5-minute")),
+    "fraud_alerts_null_ids": _with(["raw", "acc"], f"""
+        , events as (
+            select min(occurred_at) as occurred_at, event_id as transaction_id,
+                   min(account_id) as account_id, min(amount) as amount
+            from raw where description <> 'click' group by event_id
+            union all
+            select occurred_at, event_id, account_id, amount from raw
+            where description = 'click')
+        {_alerts("events", 200, "5 minutes", "5-minute")}"""),
     "fraud_alerts_on_events": _with(
         ["tx", "acc"], _alerts("tx", 200, "5 minutes", "5-minute")),
     "hourly_spend": _with(["tx"], f"""
@@ -322,8 +341,8 @@ ORACLES = {
                occurred_at as updated_at
         from checked where known and type <> 'REFUND'"""),
     "accept_outbox": _with(["checked"], f"""
-        , good as (select *, {_uuid("'event|' || id")} as event_uuid,
-                          {_uuid("'outbox|' || id")} as outbox_id
+        , good as (select *, {_uuid("'event'", "id")} as event_uuid,
+                          {_uuid("'outbox'", "id")} as outbox_id
                    from checked where known and type <> 'REFUND')
         select outbox_id as id, 'transaction.initiated' as topic,
                cast(account_id as varchar) as partition_key,

@@ -114,6 +114,15 @@ def fraud_alerts_on_events(spark, folder):
                               spend_limit=SPEND_LIMIT)
 
 
+@query
+def fraud_alerts_null_ids(spark, folder):
+    """Deliveries whose ids are missing for one kind of event: none of them is folded."""
+    known = F.when(F.col("description") != "click", F.col("event_id"))
+    return rules.fraud_alerts(
+        tables.deliveries(spark, folder).withColumn("event_id", known),
+        tables.accounts(spark, folder), spend_limit=SPEND_LIMIT)
+
+
 @query
 def hourly_spend(spark, folder):
     return as_double(rules.tumbling_spend(tables.transactions(spark, folder)),

@@ -17,6 +17,8 @@ from ..sources import codecs
 from . import runner
 
 KEEP_VERSIONS = 3
+#: Seconds for which readers may still use a version after the next was written.
+KEEP_SECONDS = 6 * 3600
 
 
 def read_changes(records: DataFrame, fmt: str = "confluent_avro",
@@ -35,13 +37,14 @@ def read_changes(records: DataFrame, fmt: str = "confluent_avro",
 def start_account_table(changes: DataFrame, folder: str, checkpoint: str,
                         key: str = "account_id",
                         order_by: str | list[str] = "offset",
-                        keep: int = KEEP_VERSIONS,
+                        keep: int = KEEP_VERSIONS, keep_seconds: float = KEEP_SECONDS,
                         every: str | None = "1 minute") -> StreamingQuery:
     """Fold ``changes`` into versions of the table under ``folder``.
 
     A change whose other columns are all null deletes its key. The deletion stays
     in the table as a row, so that an older change arriving later does not revive
-    it; ``current_accounts`` leaves it out. The ``keep`` newest versions remain.
+    it; ``current_accounts`` leaves it out. The ``keep`` newest versions remain, and any
+    replaced less than ``keep_seconds`` ago, which no micro-batch of a reader outlives.
     """
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -50,7 +53,7 @@ def start_account_table(changes: DataFrame, folder: str, checkpoint: str,
         if before:
             rows = runner.read_batch(spark, folder, before[-1]).unionByName(batch)
         runner.write_batch(latest_per_key(rows, key, order_by), folder, batch_id)
-        runner.remove_before(spark, folder, batch_id - keep + 1)
+        runner.remove_before(spark, folder, batch_id - keep + 1, keep_seconds)
 
     return runner.run_stream(changes, handle, checkpoint, every=every)
 

@@ -1,14 +1,15 @@
 """Accepting requests from a stream, and the relay job (OP8, OP9, OP16).
 
-Accepted outbox rows are appended per micro-batch. A relay pass takes the rows that
-the last pass left pending and those accepted since, publishes, and writes what was
-published and what is pending now. A pass thus reads the backlog, never the rows
-published before, and nothing is updated in place.
+Accepted outbox rows are appended per micro-batch. A relay pass takes pending rows,
+publishes them, and appends their results; a row is pending when it has no result or its
+last one is a failure. Nothing is updated in place, and what a pass writes grows with
+the rows it tries, not with the backlog.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,13 +18,13 @@ from pyspark.sql.streaming.query import StreamingQuery
 from ..operators import metrics
 from ..operators import outbox as ob
 from ..operators.joins import lookup_join
+from ..operators.reference import latest_per_key
 from . import runner
 
 TRANSACTIONS = "transactions"
 OUTBOX = "outbox"
 REJECTED = "rejected"
-PENDING = "pending"
-PUBLISHED = "published"
+RESULTS = "results"
 RELAYED = "relayed"
 ACCEPT_COUNTERS = "accept_counters"
 RELAY_COUNTERS = "relay_counters"
@@ -33,19 +34,23 @@ def start_accept(requests: DataFrame, accounts: Callable[[SparkSession], DataFra
                  tables: str, checkpoint: str, request_key: str | list[str],
                  created_at: str | None = None,
                  prepare: Callable[[DataFrame], DataFrame] = lambda batch: batch,
+                 body: Callable[[], Column] | None = None, schema_id: int = 1,
                  every: str | None = runner.ONE_SECOND) -> StreamingQuery:
     """Write transactions, outbox rows and rejects of each micro-batch.
 
-    All three come from one staged result, and ids are hashes of the request key:
-    the tables agree and a replay repeats the same rows. ``prepare`` is applied to
+    All three come from one staged result, for which accounts are looked up once, and
+    ids are hashes of the request key: the tables agree and a replay repeats the same
+    rows. ``body`` encodes events (JSON unless given). ``prepare`` is applied to
     the micro-batch, for example to number requests that have no key of their own.
     """
     def handle(batch: DataFrame, batch_id: int) -> None:
         now = F.current_timestamp() if created_at is None else F.col(created_at)
-        stamped = runner.staged(prepare(batch).withColumn("created_at", now),
-                                f"{tables}/staged", batch_id)
-        done = ob.accept(stamped, accounts(batch.sparkSession), request_key,
-                         now=F.col("created_at"))
+        judged = runner.staged(
+            ob.with_known_account(prepare(batch).withColumn("created_at", now),
+                                  accounts(batch.sparkSession)),
+            f"{tables}/staged", batch_id)
+        done = ob.accept(judged, None, request_key, now=F.col("created_at"),
+                         body=body and body(), schema_id=schema_id)
         runner.write_all(batch_id, {
             f"{tables}/{TRANSACTIONS}": done.transactions,
             f"{tables}/{OUTBOX}": done.outbox,
@@ -55,64 +60,114 @@ def start_accept(requests: DataFrame, accounts: Callable[[SparkSession], DataFra
     return runner.run_stream(requests, handle, checkpoint, every=every)
 
 
-def _backlog(spark: SparkSession, tables: str) -> tuple[int, int, DataFrame | None]:
-    """Last finished pass, last accepted batch it knew, and the rows pending now."""
+def _state(spark: SparkSession, tables: str) -> tuple[int, int, DataFrame | None,
+                                                      DataFrame | None]:
+    """Last finished pass; first accepted batch with rows never tried; those rows, with
+    their batch as ``accepted``; results of all finished passes."""
     passes = runner.versions(spark, f"{tables}/{RELAYED}")
     last = passes[-1] if passes else -1
-    parts, known = [], -1
-    if passes:
-        known = runner.read_batch(spark, f"{tables}/{RELAYED}", last).first()["known"]
-        parts.append(f"{tables}/{PENDING}/{runner.BATCH}={last}")
-    accepted = [v for v in runner.versions(spark, f"{tables}/{OUTBOX}") if v > known]
-    parts += [f"{tables}/{OUTBOX}/{runner.BATCH}={v}" for v in accepted]
-    rows = spark.read.parquet(*parts) if parts else None
-    return last, accepted[-1] if accepted else known, rows
+    low = runner.read_batch(spark, f"{tables}/{RELAYED}", last).first()["low"] if passes else 0
+    results = runner.read_batches(
+        spark, f"{tables}/{RESULTS}",
+        [v for v in runner.versions(spark, f"{tables}/{RESULTS}") if v <= last])
+    accepted = [v for v in runner.versions(spark, f"{tables}/{OUTBOX}") if v >= low]
+    untried = runner.read_batches(spark, f"{tables}/{OUTBOX}", accepted)
+    if untried is not None:
+        untried = untried.withColumnRenamed(runner.BATCH, "accepted")
+        if results is not None:
+            tried = results.filter(F.col("accepted") >= low).select("id")
+            untried = lookup_join(untried, tried, "id", "left_anti")
+    return last, low, untried, results
+
+
+def _failed(results: DataFrame) -> DataFrame:
+    """Rows whose last try failed. Only rows that ever failed are read."""
+    return (latest_per_key(results.filter("retry_count > 0"), "id", runner.BATCH)
+            .filter(~F.col("published")).drop(runner.BATCH))
 
 
 def current_outbox(spark: SparkSession, tables: str) -> DataFrame | None:
-    """All outbox rows: published and pending; none before the first request."""
-    last, _, pending = _backlog(spark, tables)
-    if last < 0:
-        return pending
-    published = (spark.read.parquet(f"{tables}/{PUBLISHED}")
-                 .filter(F.col(runner.BATCH) <= last).drop(runner.BATCH))
-    return published.unionByName(pending)
+    """All outbox rows as they are now; none before the first request."""
+    _, _, untried, results = _state(spark, tables)
+    parts = []
+    if untried is not None:
+        parts.append(untried.drop("accepted"))
+    if results is not None:
+        parts.append(latest_per_key(results, "id", runner.BATCH)
+                     .drop(runner.BATCH, "accepted", "needs_manual"))
+    return reduce(DataFrame.unionByName, parts) if parts else None
+
+
+def untried_left(spark: SparkSession, tables: str) -> bool:
+    """Whether rows are pending that no pass has tried."""
+    untried = _state(spark, tables)[2]
+    return untried is not None and not untried.isEmpty()
 
 
 def relay(spark: SparkSession, tables: str, publish: Callable[[DataFrame, int], None],
-          limit: int | None = ob.BATCH, now: Column | None = None) -> DataFrame | None:
+          limit: int | None = ob.BATCH, now: Column | None = None,
+          manual_last: bool = False) -> DataFrame | None:
     """One pass: take the oldest pending rows, publish, record the results.
 
-    ``publish`` gets ``id, topic, key, value`` rows and the number of the pass; if
-    it raises, all of them count as failed with its message. Returns the rows
-    tried, or nothing when none is pending. The pass is finished by its last write;
-    one that dies before runs again under its number: at least once.
+    ``publish`` gets ``id, topic, key, value, created_at`` rows, those of a key in one
+    task and in order of creation, and the number of the pass; if it raises, all of them
+    count as failed with its message. Returns the rows tried, or nothing when none is
+    pending. With ``manual_last``, rows that failed too often wait until no other is
+    pending, instead of holding up what came later.
+
+    A pass writes the rows it tried and nothing else. It is finished by its last write;
+    one that dies before runs again under its number: at least once. It reads the
+    accepted batches from the first with untried rows on, and the rows that ever failed.
     """
-    last, known, backlog = _backlog(spark, tables)
-    if backlog is None or backlog.isEmpty():
+    last, low, untried, results = _state(spark, tables)
+    parts = [] if untried is None else [
+        untried.withColumn("needs_manual", F.lit(False))]
+    if results is not None:
+        parts.append(_failed(results))
+    if not parts:
         return None
+    backlog = reduce(DataFrame.unionByName, parts)
     number = last + 1
-    batch = runner.staged(ob.outbox_pending(backlog, limit), f"{tables}/relay", number)
+    first = ["needs_manual"] if manual_last else []
+    batch = runner.staged(ob.outbox_pending(backlog, limit, first), f"{tables}/relay", number)
+    if batch.isEmpty():
+        return None
 
     records = ob.publishable(batch)
     error = None
     try:
-        publish(records.filter(F.col("value").isNotNull()), number)
+        publish(ob.in_order(records.filter(F.col("value").isNotNull())), number)
     except Exception as failure:  # noqa: BLE001  any sink error is a failed publish
         error = F.lit(str(failure))
-    after = ob.outbox_apply(batch, ob.publish_results(records, error),
+    outcome = ob.publish_results(records, error)
+    after = ob.outbox_apply(batch.drop("needs_manual"), outcome,
                             F.current_timestamp() if now is None else now)
-    tried = runner.staged(after, f"{tables}/tried", number)
-
-    rows = tried.drop("needs_manual")
-    untried = lookup_join(backlog, batch.select("id"), "id", "left_anti")
-    results = ob.publish_results(records, error)
-    runner.write_all(number, {
-        f"{tables}/{PUBLISHED}": rows.filter(F.col("published")),
-        f"{tables}/{PENDING}": untried.unionByName(rows.filter(~F.col("published"))),
-        f"{tables}/{RELAY_COUNTERS}": metrics.outbox_counters(results)})
-    runner.write_batch(spark.range(1).select(F.lit(known).alias("known")),
+    tried = runner.stored(after, f"{tables}/{RESULTS}", number)
+    runner.write_batch(metrics.outbox_counters(outcome), f"{tables}/{RELAY_COUNTERS}", number)
+    if untried is not None:
+        left = lookup_join(untried, tried.select("id"), "id", "left_anti")
+        known = runner.versions(spark, f"{tables}/{OUTBOX}")[-1]
+        lowest = left.agg(F.min("accepted")).first()[0]
+        low = known + 1 if lowest is None else lowest
+    runner.write_batch(spark.range(1).select(F.lit(low).cast("long").alias("low")),
                        f"{tables}/{RELAYED}", number)
-    for table in (PENDING, RELAYED):
-        runner.remove_before(spark, f"{tables}/{table}", number - 1)
-    return tried
+    runner.remove_before(spark, f"{tables}/{RELAYED}", number - 1)
+    return tried.drop("accepted")
+
+
+def retain(spark: SparkSession, tables: str, now: Column, keep: str = ob.KEEP) -> None:
+    """Fold the results of all finished passes into one part: the last state of each
+    row, without those published longer than ``keep`` ago (OP10). Accepted batches
+    that were tried as a whole go, as soon as their results are folded.
+
+    The fold takes the number of the last pass, so a reader sees either the old parts or
+    the fold; run it between passes.
+    """
+    last, low, _, results = _state(spark, tables)
+    if results is None:
+        return
+    folded = latest_per_key(results, "id", runner.BATCH).drop(runner.BATCH)
+    staged = runner.stored(ob.outbox_retain(folded, now, keep), f"{tables}/fold", last)
+    runner.write_batch(staged, f"{tables}/{RESULTS}", last)
+    runner.remove_before(spark, f"{tables}/{RESULTS}", last)
+    runner.remove_before(spark, f"{tables}/{OUTBOX}", low)

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
-from concurrent.futures import ThreadPoolExecutor
+import time
+from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import FIRST_EXCEPTION, ThreadPoolExecutor, wait
+from functools import partial
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
@@ -55,6 +58,17 @@ def exists(spark: SparkSession, path: str) -> bool:
     return system.exists(target)
 
 
+def is_folder(spark: SparkSession, path: str) -> bool:
+    system, target = _files(spark, path)
+    return system.getFileStatus(target).isDirectory()
+
+
+def written_at(spark: SparkSession, path: str) -> float:
+    """When a file or folder was last changed, in seconds since the epoch."""
+    system, target = _files(spark, path)
+    return system.getFileStatus(target).getModificationTime() / 1000
+
+
 def children(spark: SparkSession, path: str) -> list[str]:
     """Names in a folder; none when it does not exist."""
     system, target = _files(spark, path)
@@ -77,11 +91,16 @@ def write_batch(df: DataFrame, folder: str, batch_id: int) -> None:
 def write_all(batch_id: int, outputs: Mapping[str, DataFrame]) -> None:
     """Write independent outputs (folder → rows) of a micro-batch side by side; each
     is a small job that would leave most of a cluster idle on its own."""
+    # The threads keep the job group of the query, so stopping it stops their jobs.
     with ThreadPoolExecutor(len(outputs)) as pool:
-        writes = [pool.submit(write_batch, rows, folder, batch_id)
-                  for folder, rows in outputs.items()]
+        writes = [pool.submit(inheritable_thread_target(rows.sparkSession)(
+            partial(write_batch, rows, folder, batch_id))) for folder, rows in outputs.items()]
+        wait(writes, return_when=FIRST_EXCEPTION)
+        for write in writes:
+            write.cancel()
     for write in writes:
-        write.result()
+        if not write.cancelled():
+            write.result()
 
 
 def read_batch(spark: SparkSession, folder: str, batch_id: int) -> DataFrame:
@@ -89,16 +108,29 @@ def read_batch(spark: SparkSession, folder: str, batch_id: int) -> DataFrame:
 
 
 def versions(spark: SparkSession, folder: str) -> list[int]:
-    """Completely written batches of a table, oldest first."""
-    prefix = f"{BATCH}="
-    numbers = [n[len(prefix):] for n in children(spark, folder) if n.startswith(prefix)]
-    return sorted(int(n) for n in numbers
-                  if exists(spark, f"{folder}/{prefix}{n}/_SUCCESS"))
-
-
-def remove_before(spark: SparkSession, folder: str, batch_id: int) -> None:
-    for old in versions(spark, folder):
-        if old < batch_id:
+    """Completely written batches of a table, oldest first; one listing."""
+    system, pattern = _files(spark, f"{folder}/{BATCH}=*/_SUCCESS")
+    found = system.globStatus(pattern) or []
+    return sorted(int(status.getPath().getParent().getName().partition("=")[2])
+                  for status in found)
+
+
+def read_batches(spark: SparkSession, folder: str, numbers: Sequence[int]) -> DataFrame | None:
+    """Some batches of a table with their number, nothing else of it listed or read."""
+    if not numbers:
+        return None
+    return (spark.read.option("basePath", folder)
+            .parquet(*[f"{folder}/{BATCH}={n}" for n in numbers]))
+
+
+def remove_before(spark: SparkSession, folder: str, batch_id: int,
+                  older_than: float = 0) -> None:
+    """Remove versions before ``batch_id`` that were replaced more than ``older_than``
+    seconds ago: one is current until the next is written."""
+    known = versions(spark, folder)
+    for old, after in zip(known, known[1:], strict=False):
+        if old < batch_id and (not older_than or time.time() - older_than > written_at(
+                spark, f"{folder}/{BATCH}={after}/_SUCCESS")):
             remove(spark, f"{folder}/{BATCH}={old}")
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from helpers import A1, rows, uid
 from ledgerwatch.functions import backoff, texts, wire
-from ledgerwatch.operators import consume, joins, metrics
+from ledgerwatch.operators import consume, metrics
 from ledgerwatch.sources import codecs
 
 SCHEMA = "event_id STRING, offset LONG, account_id STRING, currency STRING, amount DOUBLE"
@@ -76,16 +76,16 @@ def one_by_one(items, done):
 
 
 @pytest.mark.parametrize("seed,broadcast", [(1, True), (2, False)])
-def test_equals_sequential_consumer(spark, seed, broadcast, monkeypatch):
+def test_equals_sequential_consumer(spark, seed, broadcast, request):
     """Also with copies that differ, and with one event in a third of all rows."""
     rnd = random.Random(seed)
     items = [(uid(0) if rnd.random() < 0.34 else uid(rnd.randrange(40)),
               rnd.choice([5, 6.99, 7.5])) for _ in range(400)]
     done = [uid(n) for n in range(30, 40)]
     if not broadcast:
-        monkeypatch.setattr(joins, "fits_broadcast", lambda df: False)
-        real = joins.hot_keys
-        monkeypatch.setattr(joins, "hot_keys", lambda df, on, n: real(df, on, 100))
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        request.addfinalizer(
+            lambda: spark.conf.unset("spark.sql.autoBroadcastJoinThreshold"))
     out = judge(spark, items, spark.createDataFrame([(d,) for d in done],
                                                     "event_id STRING"))
     assert [r.status for r in out.orderBy("offset").collect()] == one_by_one(items, done)
@@ -213,3 +213,31 @@ def test_retry_steps_end_in_dead_letters(spark):
     left = one.filter("status = 'RETRY'").drop("status")
     assert rows(step(left, 2), "attempt", "status") == [(2, "RETRY")]
     assert rows(step(left, 3), "attempt", "status") == [(3, "DLQ")]
+
+
+def test_rows_without_an_id_are_never_folded(spark):
+    data = spark.createDataFrame(
+        [(None, 1, A1, "INR", 5.0), (None, 2, A1, "INR", 7.0), (uid(1), 3, A1, "INR", 1.0),
+         (uid(1), 4, A1, "INR", 1.0)], SCHEMA)
+    assert rows(consume.first_delivery(data), "offset") == [(1,), (2,), (3,)]
+
+
+def test_many_copies_are_made_in_steps(spark, monkeypatch):
+    monkeypatch.setattr(consume, "COPIES", 7)
+    data = spark.createDataFrame([("a",)] * 50 + [("b",)] + [(None,)] * 14, "x STRING")
+    got = consume.numbered_copies(data)
+    assert sorted(map(str, got.collect())) == sorted(
+        map(str, [*(type(r)(x=v, copy=n) for r in got.take(1) for v, top in
+                    (("a", 50), ("b", 1), (None, 14)) for n in range(1, top + 1))]))
+
+
+def test_dead_letters_keep_key_and_bytes(spark):
+    judged = spark.createDataFrame(
+        [("ACC-1", bytearray(b"junk"), None, None, "DLQ", 0, 0, consume.UNEXPECTED_TYPE),
+         ("ACC-2", bytearray(b"{}"), "e", "ACC-2", "DLQ", 3, 3000, "handler"),
+         ("ACC-3", bytearray(b"{}"), "f", "ACC-3", "SENT", 1, 0, None)],
+        "key STRING, value BINARY, event_id STRING, account_id STRING, status STRING, "
+        "attempts INT, backoff_ms LONG, reason STRING")
+    got = consume.dead_letters(judged, envelope=("key", "value"))
+    assert sorted((r.key, bytes(r.value)) for r in got.collect()) == [
+        ("ACC-1", b"junk"), ("ACC-2", b'{"event_id":"e","account_id":"ACC-2"}')]

@@ -3,6 +3,7 @@
 from datetime import timedelta
 
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from helpers import A1, A2, DAY, accounts, rows, tx, uid
@@ -81,7 +82,7 @@ def test_accept_and_relay(spark, work):
     spark.createDataFrame([(line,)] * 3 + [("junk",)], "value STRING").coalesce(1) \
         .write.text(f"{work}/requests")
     run(spark, "accept", "--files", f"{work}/requests", "--accounts",
-        f"{work}/accounts", "--out", f"{work}/out", "--once")
+        f"{work}/accounts", "--out", f"{work}/out", "--once", "--format", "confluent_json")
     made = spark.read.parquet(f"{work}/out/{outbox_job.TRANSACTIONS}")
     assert made.count() == made.select("id").distinct().count() == 3
     run(spark, "relay", "--tables", f"{work}/out", "--topics", f"{work}/topics",
@@ -101,3 +102,43 @@ def test_schemas_parse():
         assert StructType.fromDDL(ddl).fields
     assert [f["name"] for f in schemas.EVENT_V2_AVRO["fields"]] == [
         f.name for f in StructType.fromDDL(schemas.EVENT_V2)]
+
+
+def test_accept_relay_consume_and_fraud_are_one_pipeline(spark, work):
+    """By jobs alone: what is accepted is sent once, and the rules see the same events."""
+    amounts = ["5.00", "7.99", "150000.00", "2.50", "5.00"]
+    lines = [f'{{"accountId":"{A1 if i % 2 else A2}","amount":"{a}","type":"DEBIT"}}'
+             for i, a in enumerate(amounts)] + ["junk"]
+    spark.createDataFrame([(x,) for x in lines], "value STRING").coalesce(1) \
+        .write.text(f"{work}/requests")
+    form = ("--format", "confluent_json")
+    run(spark, "accept", "--files", f"{work}/requests", "--accounts", f"{work}/accounts",
+        "--out", f"{work}/out", "--once", *form)
+    run(spark, "relay", "--tables", f"{work}/out", "--topics", f"{work}/topics",
+        "--limit", "2", "--once")
+    run(spark, "consume", "--records", f"{work}/topics", "--out", f"{work}/sent", "--once", *form)
+    made = spark.read.parquet(f"{work}/out/{outbox_job.TRANSACTIONS}")
+    outcomes = spark.read.parquet(f"{work}/sent/{consumer.OUTCOMES}")
+    assert rows(outcomes, "transaction_id", "status") == sorted(
+        (r.id, "DLQ" if str(r.amount).endswith(".99") else "SENT") for r in made.collect())
+    assert made.count() == 5
+    dead = spark.read.parquet(f"{work}/sent/{consumer.DEAD_LETTERS}").collect()
+    assert [r.key for r in dead] == [A1]
+    run(spark, "fraud", "--records", f"{work}/topics", "--accounts", f"{work}/accounts",
+        "--out", f"{work}/fraud", "--once", *form)
+    high = runner.latest_alerts(spark, f"{work}/fraud/high_value")
+    big = made.filter("amount = 150000").first()
+    assert rows(high, "transaction_id", "account_id") == [(big.id, A2)]
+
+
+def test_a_dead_query_stops_the_job(spark, work):
+    def broken(batch, number):
+        raise RuntimeError("rule lost")
+
+    spark.range(3).write.parquet(f"{work}/in")
+    source = spark.readStream.schema("id LONG").parquet(f"{work}/in")
+    lasting = runner.run_stream(source, lambda b, n: None, f"{work}/c1", every="1 second")
+    dying = runner.run_stream(source, broken, f"{work}/c2", every="1 second")
+    with pytest.raises(StreamingQueryException):
+        jobs.await_all(spark, [lasting, dying])
+    assert not lasting.isActive

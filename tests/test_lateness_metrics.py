@@ -74,15 +74,15 @@ def test_counter_resets_and_slices(spark):
         (at("10:00:00"), 8.0 / 60), (at("13:00:00"), 6.0 / 60)]
 
 
-@pytest.mark.parametrize("bucket", [0.5, 10.0, 1000.0])
-def test_exact_quantiles(spark, bucket):
+@pytest.mark.parametrize("scale", [1 / 300, 1.0, 1e7])
+def test_exact_quantiles(spark, scale):
     rnd = random.Random(5)
     data = spark.createDataFrame(
         [("hot" if rnd.random() < 0.6 else f"g{rnd.randrange(3)}",
-          None if rnd.random() < 0.05 else round(rnd.uniform(-50, 300), 1))
+          None if rnd.random() < 0.05 else scale * round(rnd.uniform(-50, 300), 1))
          for _ in range(500)] + [("one", 4.0), (None, 1.0), (None, 2.0)],
         "g STRING, v DOUBLE")
-    got = metrics.quantiles(data, "v", ["g"], (0.5, 0.95, 0.99, 0.0, 1.0), bucket=bucket)
+    got = metrics.quantiles(data, "v", ["g"], (0.5, 0.95, 0.99, 0.0, 1.0))
     want = data.groupBy("g").agg(*[
         F.percentile("v", q).alias(c) for q, c in (
             (0.5, "p50"), (0.95, "p95"), (0.99, "p99"), (0.0, "p0"), (1.0, "p100"))])
@@ -94,6 +94,20 @@ def test_exact_quantiles(spark, bucket):
             assert a[g][c] == pytest.approx(b[g][c])
 
 
+def test_buckets_are_narrow_and_in_order(spark):
+    """On every scale a bucket spans little, also with far outliers and odd values."""
+    values = [float("-inf"), -1e300, -5.0, -1e-9, -5e-324, 0.0, 5e-324, 1e-9, 0.5, 5.0, 1e9,
+              1e300, float("inf"), float("nan")]
+    got = [r.b for r in spark.createDataFrame([(i, v) for i, v in enumerate(values)],
+                                              "i INT, v DOUBLE")
+           .select("i", metrics._magnitude(F.col("v")).alias("b")).orderBy("i").collect()]
+    assert got == sorted(got) and len(set(got)) == len(got)
+    for low in (1e-6, 1.0, 1e9):
+        spread = spark.range(10_000).select(
+            metrics._magnitude(F.lit(low) * (1 + F.col("id") / 10_000)).alias("b"))
+        assert spread.distinct().count() > 2500
+
+
 def test_sketched_quantiles(spark):
     out = metrics.quantiles(spark.range(1001).selectExpr("id as v", "1 as g"), "v", ["g"],
                             exact=False).first()

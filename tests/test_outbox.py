@@ -150,7 +150,49 @@ def test_relay_through_an_outage(spark, tmp_path):
     for _ in range(5):
         last = job.relay(spark, work, up, now=now())
     assert rows(last, "id", "published", "needs_manual") == [(uid(999), False, True)]
-    assert runner.versions(spark, f"{work}/{job.PENDING}") == [7, 8]
+    # a pass writes what it tried, and its retry goes on with the row's own count
+    for n in runner.versions(spark, f"{work}/{job.RESULTS}"):
+        assert runner.read_batch(spark, f"{work}/{job.RESULTS}", n).count() <= 100
+    job.retain(spark, work, now())
+    assert runner.versions(spark, f"{work}/{job.RESULTS}") == [8]
+    assert runner.versions(spark, f"{work}/{job.OUTBOX}") == [1]
+    assert rows(job.current_outbox(spark, work).filter("published"), "id") == [
+        (g,) for g in good]
+    assert job.relay(spark, work, up, now=now()).count() == 1
+
+
+def test_records_of_a_key_are_published_in_order(spark, tmp_path):
+    work, sent = str(tmp_path), []
+    for batch in range(3):  # later rows in earlier batches, several files each
+        items = [pending(n) for n in range(batch, 300, 3)]
+        runner.write_batch(box(spark, items).withColumn(
+            "partition_key", F.concat(F.lit("k"), F.substring("id", -1, 1)))
+            .repartition(4), f"{work}/{job.OUTBOX}", batch)
+
+    def publish(records, number):
+        for part in records.rdd.glom().collect():
+            sent.append([(r.key, r.created_at, r.id) for r in part])
+
+    job.relay(spark, work, publish, limit=None, now=now())
+    assert sum(map(len, sent)) == 300
+    homes = {}
+    for number, part in enumerate(sent):
+        assert part == sorted(part)
+        for key, _, _ in part:
+            assert homes.setdefault(key, number) == number
+
+
+def test_rows_that_failed_too_often_go_last(spark, tmp_path):
+    work, published = str(tmp_path), []
+    broken = [pending(n, 0, '"*"') for n in range(20)]
+    fine = [pending(100 + n) for n in range(5)]
+    runner.write_batch(box(spark, broken + fine), f"{work}/{job.OUTBOX}", 0)
+    for _ in range(12):
+        job.relay(spark, work, lambda r, n: published.extend(x.id for x in r.collect()),
+                  limit=20, now=now(), manual_last=True)
+        if not job.untried_left(spark, work):
+            break
+    assert sorted(published) == [uid(100 + n) for n in range(5)]
 
 
 def test_unfinished_pass_runs_again(spark, tmp_path, monkeypatch):

@@ -140,3 +140,21 @@ def test_every_update_over_the_limit(spark, slice_len):
 def test_events_without_account_raise_nothing(spark):
     data = tx(spark, [(None, 900000, "10:00:00")] * 3)
     assert rules.fraud_alerts(data, accounts(spark), dedupe=False).count() == 0
+
+
+def test_ids_tell_nulls_and_separators_apart(spark):
+    from ledgerwatch.functions.ids import alert_id, stable_uuid
+    data = spark.createDataFrame(
+        [("a", None, "b"), ("a", "b", None), ("a", "b", ""), ("a|b", "c", ""), ("a", "b|c", ""),
+         ("1:a", None, None), ("", "1:a", None), (None, None, None), ("-", None, None)],
+        "x STRING, y STRING, z STRING")
+    for made in (alert_id, stable_uuid):
+        ids = data.select(made(F.col("x"), F.col("y"), F.col("z")).alias("id"))
+        assert ids.distinct().count() == data.count()
+
+
+def test_events_without_an_id_are_not_folded(spark):
+    data = tx(spark, [(A1, 60000, "10:00:00"), (A2, 70000, "11:00:00"), (A2, 70000, "11:00:00")])
+    nameless = data.withColumn("event_id", F.lit(None).cast("string"))
+    assert rules.distinct_events(nameless).count() == 3
+    assert rules.distinct_events(nameless.unionByName(data).unionByName(data)).count() == 6

@@ -448,3 +448,19 @@ def test_framed_records_through_the_consumer(spark, work):
         (3, "DLQ", "Unexpected message type"), (4, "DLQ", "bad event id"),
         (10, "DLQ", "Unexpected message type")], key=str)
     assert sent_on == [4]
+
+
+@pytest.mark.parametrize("name", ["events", "orders"])
+def test_folder_tables_stream_like_single_files(spark, work, name):
+    from ledgerwatch.plans import stream_queries
+    table = spark.read.parquet(f"/root/testdata/sf0.001/{name}.parquet")
+    table.repartition(3).write.parquet(f"{work}/{name}.parquet")
+
+    def read(folder, to):
+        query = (stream_queries.table_stream(spark, folder, name).writeStream
+                 .trigger(availableNow=True).option("checkpointLocation", f"{to}-c")
+                 .start(to, format="parquet"))
+        query.awaitTermination()
+        return sorted(map(str, spark.read.parquet(to).collect()))
+
+    assert read(work, f"{work}/a") == read("/root/testdata/sf0.001", f"{work}/b")
