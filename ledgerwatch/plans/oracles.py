@@ -467,6 +467,19 @@ ORACLES = {
                when name = 'lag' and value >= 100 then 'yellow'
                else 'green' end as status
         from m"""),
+    "pipeline_outcomes": _with(["checked"], """
+        select id as transaction_id, cast(account_id as varchar) as account_id,
+               case when amount_text like '%.99' then 'DLQ' else 'SENT' end as status,
+               case when amount_text like '%.99' then 3 else 1 end as attempts,
+               case when amount_text like '%.99' then
+                    'Simulated notification failure for amount: ' || amount_text end as reason
+        from (select *, cast(cast(amount as double) as varchar) as amount_text from checked)
+        where known and type <> 'REFUND'"""),
+    "relay_passes": _with(["box"], """
+        select id, payload <> '"*"' as published,
+               case when payload <> '"*"' then timestamp '2024-02-01' end as published_at,
+               case when payload = '"*"' then 'payload is not base64' end as last_error
+        from box where not published"""),
     "relay_outbox": _with(["box"], """
         select id, payload <> '"*"' as published,
                case when payload <> '"*"' then timestamp '2024-02-01' end as published_at,
@@ -492,5 +505,6 @@ for _stream, _batch in (
         ("stream_high_value", "high_value_alerts"),
         ("stream_rapid_large", "rapid_large_alerts"),
         ("stream_velocity", "velocity_alerts"),
+        ("stream_consumer_batches", "consume_outcomes"),
         ("stream_accept", "accept_transactions")):
     ORACLES[_stream] = ORACLES[_batch]

@@ -45,12 +45,14 @@ def use_utc(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh path for state and staged tables that every executor can reach.
 
-    The parent is the cluster's ``spark.checkpoint.dir``. Only a local-mode
-    session without that setting gets a temporary folder of this machine.
+    The parent is the cluster's ``spark.checkpoint.dir``. Only a session whose executors
+    are threads of the driver (``local[...]``) may leave it out, as in tests, and gets a
+    temporary folder; any other master must set it.
     """
     base = spark.conf.get(CHECKPOINT_CONF, None)
     if not base:
-        if not spark.conf.get("spark.master", "local").startswith("local"):
+        master = spark.conf.get("spark.master", "")
+        if master != "local" and not master.startswith("local["):
             raise ValueError(f"set {CHECKPOINT_CONF} to a shared folder")
         base = tempfile.mkdtemp(prefix="ledgerwatch-")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
