@@ -24,18 +24,24 @@ PASSAGE = 16
 STRIDE = 8
 QUERY_STRIDE = 4
 #: Items of fewer words occur by chance and are not searched for.
-MIN_ITEM = 6
+MIN_ITEM = 8
 #: Items searched at once; a larger benchmark is searched in blocks.
 BLOCK_ITEMS = 2_000
 #: Words are counted by the low bits of their hash: the table has a fixed size.
 BUCKETS = 1 << 18
 CHUNK = 1 << 12
-RANK = 64
+RANK = 128
 OVERSAMPLE = 8
-#: Least share of a passage's squared weight in the benchmark's words; a passage below
-#: cannot reach a cosine above its root.
-SHARE = 0.25
+#: Least share of a passage's squared weight in the benchmark's words: half of the words
+#: of a passage that tells an item are the item's.
+SHARE = 0.45
+#: Least squared weight of a passage's benchmark words, as a share of the query's that it
+#: is to match; the latent space is fitted to the passages that reach it for the median
+#: query (passages of common words alone would fill it), and all are searched.
+WEIGHT = 0.5
 COSINE = 0.5
+#: Passages compared with all queries at once.
+ROWS = 2_000
 #: A passage is a leak if this share of the item's words is there in order, or the lower
 #: one together with ANSWER of the words of its answer.
 MATCH = 0.8
@@ -47,7 +53,8 @@ SLACK = 0.25
 _WORD = re.compile(r"[^\W_]+")
 
 WORDS = "kind int, doc_id long, key long, ids binary"
-PASSAGES = "doc_id long, key long, at long, features array<int>, from long, around binary"
+PASSAGES = ("doc_id long, key long, at long, features array<int>, weight double, from long, "
+            "around binary")
 
 
 def word_hashes(texts: list[str | None]) -> list[np.ndarray]:
@@ -70,6 +77,7 @@ class Block:
     items: list[tuple[int, np.ndarray, np.ndarray]]  # item_id, words, words of the answer
     vocabulary: np.ndarray = field(default=None)
     idf: np.ndarray = field(default=None)
+    least: float = 0.0  # squared weight of the lightest query
 
 
 def answer_of(text: str) -> str:
@@ -143,15 +151,15 @@ def _passages(batches: Iterator[pd.DataFrame], block: Block) -> Iterator[pd.Data
             whole = np.r_[0, np.cumsum(square)]
             own = np.r_[0, np.cumsum(square * inside)]
             total, part = whole[stops] - whole[starts], own[stops] - own[starts]
-            for a, b in zip(starts[part >= SHARE * total].tolist(),
-                            stops[part >= SHARE * total].tolist(), strict=True):
+            keep = (part >= SHARE * total) & (part >= WEIGHT * block.least) & (part > 0)
+            for a, b, weight in zip(starts[keep].tolist(), stops[keep].tolist(),
+                                    part[keep].tolist(), strict=True):
                 features = place[a:b][inside[a:b]]
-                if len(features):
-                    low, high = max(0, a - reach), min(n, b + reach)
-                    rows.append((doc_id, key, a, features.astype(np.int32), low,
-                                 ids[low:high].tobytes()))
-        yield pd.DataFrame(rows, columns=["doc_id", "key", "at", "features", "from", "around"]
-                           ).astype({"doc_id": "Int64"})
+                low, high = max(0, a - reach), min(n, b + reach)
+                rows.append((doc_id, key, a, features.astype(np.int32), weight, low,
+                             ids[low:high].tobytes()))
+        yield pd.DataFrame(rows, columns=["doc_id", "key", "at", "features", "weight", "from",
+                                          "around"]).astype({"doc_id": "Int64"})
 
 
 def _embedded(features: list[np.ndarray], idf: np.ndarray, matrix: np.ndarray) -> np.ndarray:
@@ -174,8 +182,10 @@ def _back(features: list[np.ndarray], idf: np.ndarray, rows: np.ndarray) -> np.n
 
 def latent_basis(passages: DataFrame, queries: list[np.ndarray], idf: np.ndarray,
                  rank: int = RANK) -> np.ndarray:
-    """The leading right singular vectors of the TF-IDF matrix of all passages and
-    queries (features x rank), by a randomised range finder with one power step.
+    """The leading right singular vectors of the TF-IDF matrix of the passages and
+    queries, each divided by its singular value (features x rank), by a randomised range
+    finder with one power step. Divided, a frequent direction counts no more than a rare
+    one, which tells passages apart that share common words only.
 
     Tasks send sums of fixed shape (features x rank, then rank x rank); no passage comes
     to the driver.
@@ -210,7 +220,8 @@ def latent_basis(passages: DataFrame, queries: list[np.ndarray], idf: np.ndarray
         return rows.T @ rows
 
     values, vectors = np.linalg.eigh(summed(gram, (basis.shape[1], basis.shape[1])))
-    return basis @ vectors[:, np.argsort(-values)[:rank]]
+    best = [i for i in np.argsort(-values)[:rank] if values[i] > 1e-9 * values.max()]
+    return basis @ (vectors[:, best] / np.sqrt(values[best]))
 
 
 def _unit(rows: np.ndarray) -> np.ndarray:
@@ -218,31 +229,40 @@ def _unit(rows: np.ndarray) -> np.ndarray:
 
 
 def _judged(batches: Iterator[pd.DataFrame], block: Block, local: np.ndarray,
-            basis: np.ndarray, vectors: np.ndarray, owner: np.ndarray,
+            basis: np.ndarray, vectors: np.ndarray, weights: np.ndarray, owner: np.ndarray,
             offset: np.ndarray) -> Iterator[pd.DataFrame]:
-    """Leaks among the passages: cosine search, then common subsequences."""
+    """Leaks among the passages: cosine search, then common subsequences. A place is
+    judged once for each item, whichever of its windows led there."""
+    columns = ("doc_id", "key", "at", "features", "weight", "from", "around")
     for batch in batches:
-        rows = []
-        features = [np.asarray(x) for x in batch.features.tolist()]
-        near = _unit(_embedded(features, local, basis)) @ vectors.T
-        seen = set()
-        for p, q in zip(*np.nonzero(near >= COSINE), strict=True):
-            row, (item, words, answer) = batch.iloc[int(p)], block.items[owner[q]]
-            begin = int(row["at"]) - int(offset[q])
-            slack = max(4, int(len(words) * SLACK))
-            what = (row["doc_id"], row["key"], item, begin // slack)
-            if what in seen:
-                continue
-            around = np.frombuffer(row["around"], dtype=np.uint32)
-            low = max(0, begin - slack - int(row["from"]))
-            high = max(0, begin + len(words) + slack - int(row["from"]))
-            text = around[low:high].tolist()
-            n = common_length(words.tolist(), text)
-            told = len(answer) > 0 and common_length(answer.tolist(), text) >= ANSWER * len(answer)
-            if n >= MATCH * len(words) or (told and n >= MATCH_WITH_ANSWER * len(words)):
+        rows, seen = [], set()
+        data = {c: batch[c].tolist() for c in columns}
+        for i in range(0, len(batch), ROWS):
+            features = [np.asarray(x) for x in data["features"][i:i + ROWS]]
+            near = _unit(_embedded(features, local, basis)).astype(np.float32) @ vectors.T
+            own = np.array(data["weight"][i:i + ROWS])
+            pairs = np.nonzero((near >= COSINE) & (own[:, None] >= WEIGHT * weights[None, :]))
+            for p, q in zip(*(x.tolist() for x in pairs), strict=True):
+                item, words, answer = block.items[owner[q]]
+                begin = data["at"][i + p] - int(offset[q])
+                slack = max(4, int(len(words) * SLACK))
+                what = (data["doc_id"][i + p], data["key"][i + p], owner[q], begin // slack)
+                if what in seen:
+                    continue
                 seen.add(what)
-                rows.append((row["doc_id"], row["key"], item, n, len(words),
-                             low + int(row["from"]), told, float(near[p, q])))
+                around = np.frombuffer(data["around"][i + p], dtype=np.uint32)
+                since = data["from"][i + p]
+                low = max(0, begin - slack - since)
+                high = max(0, begin + len(words) + slack - since)
+                text = around[low:high].tolist()
+                n = common_length(words.tolist(), text)
+                if n < MATCH_WITH_ANSWER * len(words):
+                    continue
+                told = len(answer) > 0 and (
+                    common_length(answer.tolist(), text) >= ANSWER * len(answer))
+                if told or n >= MATCH * len(words):
+                    rows.append((*what[:2], item, n, len(words), low + since, told,
+                                 float(near[p, q])))
         yield pd.DataFrame(rows, columns=["doc_id", "key", "item_id", "n_common", "n_words",
                                           "place", "answer", "cosine"]
                            ).astype({"doc_id": "Int64"})
@@ -288,8 +308,6 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         block.vocabulary = np.unique(np.concatenate([w for _, w, _ in block.items]))
         block.idf = idf
         local = idf[block.vocabulary & np.uint32(BUCKETS - 1)]
-        passages = staged(words.filter("kind = 0").select("doc_id", "key", "ids").mapInPandas(
-            lambda batches, b=block: _passages(batches, b), PASSAGES), "passages")
         queries, owner, offset = [], [], []
         for i, (_, item, _) in enumerate(block.items):
             last = max(0, len(item) - PASSAGE)
@@ -297,10 +315,15 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                 queries.append(np.searchsorted(block.vocabulary, item[a:a + PASSAGE]))
                 owner.append(i)
                 offset.append(a)
-        basis = latent_basis(passages, queries, local)
-        vectors = _unit(_embedded(queries, local, basis))
+        weights = np.array([float((local[q] ** 2).sum()) for q in queries])
+        block.least = float(weights.min())
+        passages = staged(words.filter("kind = 0").select("doc_id", "key", "ids").mapInPandas(
+            lambda batches, b=block: _passages(batches, b), PASSAGES), "passages")
+        basis = latent_basis(
+            passages.filter(F.col("weight") >= WEIGHT * float(np.median(weights))), queries, local)
+        vectors = _unit(_embedded(queries, local, basis)).astype(np.float32)
         judged = passages.mapInPandas(
-            lambda batches, a=(block, local, basis, vectors, np.array(owner), np.array(offset)):
+            lambda batches, a=(block, local, basis, vectors, weights, owner, offset):
             _judged(batches, *a),
             "doc_id long, key long, item_id long, n_common long, n_words long, place long, "
             "answer boolean, cosine double")
