@@ -90,3 +90,7 @@ ALERT_AVRO = avro_record("FraudAlertEvent", [
     ("reason", "string"), ("amount", "double"), ("accountTier", "string"),
     ("detectedAt", "long"),
 ])
+
+# The first version of the event had no merchant.
+EVENT_V1_AVRO = {**EVENT_V2_AVRO, "fields": [
+    f for f in EVENT_V2_AVRO["fields"] if f["name"] != "merchantId"]}

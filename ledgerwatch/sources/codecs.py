@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Mapping
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -52,14 +53,57 @@ def decode_avro(df: DataFrame, schema: dict, value: str = "value") -> DataFrame:
         *[F.col(f"_r.{f}").alias(f) for f in fields])
 
 
-def decode_events(df: DataFrame, fmt: str, schema, value: str = "value") -> DataFrame:
+def decode_versions(df: DataFrame, kind: str, schema, writers: Mapping[int, object],
+                    value: str = "value") -> DataFrame:
+    """Fields of framed bodies, each read as its frame's schema id says (FMT1, FMT8).
+
+    ``writers`` has the schema that each id was written with, ``schema`` is the one to
+    read it as: DDL text for JSON, record schemas for Avro. A field that the writer lacks
+    is null; a frame with any other id has ``decoded`` false.
+    """
+    body, number = wire.body(F.col(value)), wire.schema_id(F.col(value))
+    if kind == "json":
+        names = StructType.fromDDL(schema).fieldNames()
+        types = {f.name: f.dataType for f in StructType.fromDDL(schema)}
+
+        def parsed(writer) -> Column:
+            text = body.cast("string")
+            had = set(StructType.fromDDL(writer).fieldNames())
+            record = F.from_json(text, f"{writer}, _corrupt STRING",
+                                 {"columnNameOfCorruptRecord": "_corrupt"})
+            return F.when(record["_corrupt"].isNull() & record.isNotNull(), F.struct(*[
+                (record[n] if n in had else F.lit(None)).cast(types[n]).alias(n)
+                for n in names]))
+    else:
+        from pyspark.sql.avro.functions import from_avro
+
+        names = [f["name"] for f in schema["fields"]]
+
+        def parsed(writer) -> Column:
+            record = from_avro(body, json.dumps(writer),
+                               {**AVRO_READ, "avroSchema": json.dumps(schema)})
+            return F.when(record[names[0]].isNotNull(), record)
+
+    record = F.coalesce(*[F.when(number == i, parsed(w)) for i, w in sorted(writers.items())])
+    return df.withColumn("_r", record).select(
+        *df.columns, F.col("_r").isNotNull().alias("decoded"),
+        *[F.col(f"_r.{n}").alias(n) for n in names])
+
+
+def decode_events(df: DataFrame, fmt: str, schema, value: str = "value",
+                  writers: Mapping[int, object] | None = None) -> DataFrame:
     """Fields of a record body; ``decoded`` is false where it cannot be read.
 
+    With ``writers``, framed bodies are read by the schema their frame names
+    (``decode_versions``); without, all are taken to be written with ``schema``.
+
     ``fmt`` is ``json`` or ``avro``, with the prefix ``confluent_`` for framed
     bodies. ``schema`` is DDL text for JSON and a record schema for Avro. A bad
     frame or body gives a row with null fields, never an error.
     """
     framed, kind = _format(fmt)
+    if framed and writers:
+        return decode_versions(df, kind, schema, writers, value)
     decode = decode_json if kind == "json" else decode_avro
     if not framed:
         return decode(df, schema, value)

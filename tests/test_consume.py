@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from helpers import A1, rows, uid
+from ledgerwatch import schemas
 from ledgerwatch.functions import backoff, texts, wire
 from ledgerwatch.operators import consume, metrics
 from ledgerwatch.sources import codecs
@@ -241,3 +242,20 @@ def test_dead_letters_keep_key_and_bytes(spark):
     got = consume.dead_letters(judged, envelope=("key", "value"))
     assert sorted((r.key, bytes(r.value)) for r in got.collect()) == [
         ("ACC-1", b"junk"), ("ACC-2", b'{"event_id":"e","account_id":"ACC-2"}')]
+
+
+def test_bodies_are_read_by_the_schema_of_their_frame(spark):
+    """Two versions, an unknown id, a broken body and no frame in one batch."""
+    v1, v2 = schemas.EVENT_V1, schemas.EVENT_V2
+    body = '{"eventId":"e","amount":1.5,"occurredAt":7,"merchantId":"M"}'
+    data = spark.createDataFrame(
+        [(1, body, 1), (2, body, 2), (3, body, 9), (4, "junk", 2), (5, body, None)],
+        "n INT, body STRING, id INT").select("n", F.when(
+            F.col("id").isNull(), F.col("body").cast("binary")).otherwise(
+            wire.frame(F.col("body").cast("binary"), F.col("id"))).alias("value"))
+    got = codecs.decode_events(data, "confluent_json", v2, writers={1: v1, 2: v2})
+    assert rows(got, "n", "decoded", "eventId", "amount", "merchantId") == [
+        (1, True, "e", 1.5, None), (2, True, "e", 1.5, "M"), (3, False, None, None, None),
+        (4, False, None, None, None), (5, False, None, None, None)]
+    assert [f["name"] for f in schemas.EVENT_V1_AVRO["fields"]] == [
+        f["name"] for f in schemas.EVENT_V2_AVRO["fields"]][:-1]
