@@ -8,6 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import (latent, license_scan, line_dedup, mixing, quality, sharding, simhash,
                suffix_dedup, token_files, url_filter)
+from .oracles import ORACLES
+
+
+__all__ = ["ORACLES", "QUERIES"]
 
 
 def _over(table: str, report: Callable[[DataFrame], DataFrame]):
@@ -44,5 +48,3 @@ QUERIES = {
     "op9_license_scan": _over("documents", license_scan.license_report),
     "op10_sharding": _over("documents", sharding.shard_report),
 }
-
-ORACLES: dict[str, str] = {}
