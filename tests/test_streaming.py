@@ -339,12 +339,12 @@ def test_polling_trigger(spark, work):
 CHANGES = "account_id STRING, tier STRING, status STRING, offset LONG"
 
 
-def run_account_table(spark, work, changes):
+def run_account_table(spark, work, changes, keep_seconds=0):
     for batch in changes:
         add_file(spark.createDataFrame(batch, CHANGES), f"{work}/changes")
         runner.drain(account_table.start_account_table(
             source(spark, f"{work}/changes"), f"{work}/accounts", f"{work}/acp",
-            every=None))
+            keep_seconds=keep_seconds, every=None))
 
 
 def test_account_table(spark, work):
@@ -359,6 +359,13 @@ def test_account_table(spark, work):
     assert runner.versions(spark, f"{work}/accounts") == [2, 3, 4]
 
 
+def test_account_versions_in_use_are_kept(spark, work):
+    """A reader that took a version a moment ago can still read it."""
+    changes = [[("a", "STANDARD", "ACTIVE", n)] for n in range(6)]
+    run_account_table(spark, work, changes, keep_seconds=account_table.KEEP_SECONDS)
+    assert runner.versions(spark, f"{work}/accounts") == list(range(6))
+
+
 def test_account_records(spark):
     """A null value deletes, an unreadable one is left out."""
     from ledgerwatch import schemas
