@@ -5,11 +5,14 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..streaming.runner import remove
+
 #: Words of the corpus contracts: runs without ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -36,12 +39,22 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written as a Parquet table in the shared folder and read back.
+@contextmanager
+def workspace(spark: SparkSession, name: str) -> Iterator[str]:
+    """A fresh shared folder for tables that nothing reads after the block; it is removed
+    then."""
+    root = scratch(spark, name)
+    try:
+        yield root
+    finally:
+        remove(spark, root)
+
 
-    What follows does not depend on executors that computed it.
+def staged(df: DataFrame, name: str, root: str | None = None) -> DataFrame:
+    """``df`` written as a Parquet table in the shared folder (or below ``root``) and read
+    back. What follows does not depend on executors that computed it.
     """
-    path = scratch(df.sparkSession, name)
+    path = f"{root}/{name}-{uuid.uuid4().hex}" if root else scratch(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import scratch, staged
+from .common import staged, workspace
 
 PASSAGE = 16
 STRIDE = 8
@@ -31,6 +31,7 @@ BLOCK_ITEMS = 2_000
 BUCKETS = 1 << 18
 CHUNK = 1 << 12
 RANK = 128
+DAMPING = 4
 OVERSAMPLE = 8
 #: Least share of a passage's squared weight in the benchmark's words: half of the words
 #: of a passage that tells an item are the item's.
@@ -182,10 +183,11 @@ def _back(features: list[np.ndarray], idf: np.ndarray, rows: np.ndarray) -> np.n
 
 def latent_basis(passages: DataFrame, queries: list[np.ndarray], idf: np.ndarray,
                  rank: int = RANK) -> np.ndarray:
-    """The leading right singular vectors of the TF-IDF matrix of the passages and
-    queries, each divided by its singular value (features x rank), by a randomised range
-    finder with one power step. Divided, a frequent direction counts no more than a rare
-    one, which tells passages apart that share common words only.
+    """The leading right singular vectors of the TF-IDF matrix of the passages and queries
+    (features x rank), by a randomised range finder with one power step. Each is divided by
+    its singular value, with DAMPING queries' weight added to the square: a direction that
+    many passages share then counts no more than one that a few do, which tells passages
+    apart that have common words only, while those that a few share keep their likeness.
 
     Tasks send sums of fixed shape (features x rank, then rank x rank); no passage comes
     to the driver.
@@ -221,7 +223,8 @@ def latent_basis(passages: DataFrame, queries: list[np.ndarray], idf: np.ndarray
 
     values, vectors = np.linalg.eigh(summed(gram, (basis.shape[1], basis.shape[1])))
     best = [i for i in np.argsort(-values)[:rank] if values[i] > 1e-9 * values.max()]
-    return basis @ (vectors[:, best] / np.sqrt(values[best]))
+    floor = DAMPING * np.mean([float((idf[q] ** 2).sum()) for q in queries])
+    return basis @ (vectors[:, best] / np.sqrt(values[best] + floor))
 
 
 def _unit(rows: np.ndarray) -> np.ndarray:
@@ -294,7 +297,12 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     the rows costs its own rows only.
     """
     spark = docs.sparkSession
-    path = scratch(spark, "words")
+    with workspace(spark, "leaks") as root:
+        return _leaks(docs, benchmark, root)
+
+
+def _leaks(docs: DataFrame, benchmark: DataFrame, root: str) -> DataFrame:
+    spark, path = docs.sparkSession, f"{root}/words"
     (docs.select("doc_id", F.xxhash64("text").alias("key"), "text")
      .mapInPandas(_hashed, WORDS).write.option("compression", "zstd").parquet(path))
     words = spark.read.schema(WORDS).parquet(path)
@@ -318,7 +326,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         weights = np.array([float((local[q] ** 2).sum()) for q in queries])
         block.least = float(weights.min())
         passages = staged(words.filter("kind = 0").select("doc_id", "key", "ids").mapInPandas(
-            lambda batches, b=block: _passages(batches, b), PASSAGES), "passages")
+            lambda batches, b=block: _passages(batches, b), PASSAGES),
+            "passages", root)
         basis = latent_basis(
             passages.filter(F.col("weight") >= WEIGHT * float(np.median(weights))), queries, local)
         vectors = _unit(_embedded(queries, local, basis)).astype(np.float32)

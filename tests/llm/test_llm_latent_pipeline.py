@@ -70,7 +70,9 @@ def test_basis_spans_the_leading_directions(spark):
     exact = np.linalg.svd(matrix)[2][:3]
     span, _ = np.linalg.qr(basis)
     assert np.linalg.norm(exact @ span, axis=1).min() > 0.98
-    assert np.allclose(np.linalg.norm(matrix @ basis, axis=0), 1)  # divided by singular values
+    sizes = np.linalg.norm(matrix @ basis, axis=0)  # divided by singular values, damped
+    values = np.linalg.norm(matrix @ span, axis=0) ** 2
+    assert sizes.max() < 1 and sizes[0] ** 2 > 0.9 * values[0] / (values[0] + 8)
 
 
 def test_odd_rows(spark):

@@ -65,26 +65,31 @@ def test_variants(spark, monkeypatch):
     check(spark, variants(2, 60))
 
 
-@pytest.mark.parametrize("letters, most", [(1, 20), (2, 20), (3, 100), (200, 5)])
+@pytest.mark.parametrize("letters, most", [(1, 20), (2, 20), (3, 100), (200, 5), (2, 1)])
 def test_sort(letters, most):
     rng = np.random.default_rng(letters)
-    text = rng.integers(0, letters, 700).astype(np.uint8)
-    starts = rng.permutation(700 - most)[:400]
+    rows = rng.integers(0, letters, (400, most)).astype(np.uint8)
+    rows[200:300] = rows[:100]
     segment = np.sort(rng.integers(0, 5, 400))
-    order, equal = ss.equal_neighbours(text, starts, segment, most)
-    key = [(segment[i], text[starts[i]:starts[i] + most].tobytes()) for i in range(400)]
+    order, common = ss.sorted_rows(rows, segment)
+    key = [(segment[i], rows[i].tobytes()) for i in range(400)]
     assert order.tolist() == sorted(range(400), key=lambda i: (key[i], i))
-    assert equal.tolist() == [i > 0 and key[order[i]] == key[order[i - 1]] for i in range(400)]
+    for i in range(1, 400):
+        a, b = key[order[i - 1]], key[order[i]]
+        same = next((k for k in range(most) if a[1][k] != b[1][k]), most)
+        assert common[i] == (same if a[0] == b[0] else 0)
+    number = ss.depths(rows, segment)
+    for d in (0, 1, most // 2, most):
+        assert len(set(number(d))) == len({(s, r[:d]) for s, r in key})
 
 
 def test_collisions_are_caught(monkeypatch):
     """With hashes that call all strings equal, the bytes still decide."""
     monkeypatch.setattr(ss.PrefixHashes, "of", lambda self, at, n: np.zeros(len(at), np.uint64))
-    text = np.frombuffer(b"abcabdabcabe", dtype=np.uint8)
-    starts = np.array([0, 3, 6, 9])
-    order, equal = ss.equal_neighbours(text, starts, np.zeros(4, dtype=np.int64), 3)
-    assert [(bytes(text[s:s + 3]), bool(e)) for s, e in zip(starts[order], equal)] == [
-        (b"abc", False), (b"abc", True), (b"abd", False), (b"abe", False)]
+    rows = np.frombuffer(b"abdabcabeabc", dtype=np.uint8).reshape(4, 3)
+    order, common = ss.sorted_rows(rows, np.zeros(4, dtype=np.int64))
+    assert [rows[i].tobytes() for i in order] == [b"abc", b"abc", b"abd", b"abe"]
+    assert common.tolist() == [0, 3, 2, 2]
 
 
 def test_odd_rows(spark):
