@@ -5,9 +5,9 @@ array of the whole corpus would move every byte's suffix; here windows of LENGTH
 are dealt by the least hash of the GRAM-byte strings inside them, so that equal windows
 meet, and neighbouring windows with the same least string travel as one run. Runs whose
 bytes are equal (64 bits of the string's hash and 64 of the run's) keep only their first;
-where different runs share a string, their windows are put in order by the
-hash-compared suffix sort of ``suffix_sort``, and equal neighbours found there are
-verified byte by byte.
+where different runs share a string, the bytes on either side of it are put in order by
+the hash-compared suffix sort of ``suffix_sort``, verified byte by byte, which tells how
+far any two runs agree.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
 from .common import partitions, staged
-from .suffix_sort import PrefixHashes, equal_neighbours
+from .suffix_sort import PrefixHashes, depths
 
 LENGTH = 100
 GRAM = 32
@@ -217,32 +217,46 @@ def _cut(batches: Iterator[pd.DataFrame], length: int) -> Iterator[pd.DataFrame]
 
 def _sorted_windows(batches: Iterator[pd.DataFrame], length: int,
                     gram: int) -> Iterator[pd.DataFrame]:
-    """Windows that equal an earlier one, by suffix sort within each string's group."""
+    """Windows that equal an earlier one, within each string's group.
+
+    A window that begins ``d`` bytes before the string is known by the ``d`` bytes to its
+    left and ``length - gram - d`` to its right. Both contexts of every run are suffix
+    sorted, the left ones read backwards; runs whose contexts agree to some depth then
+    stand together, and a window is repeated if an earlier run has the same place on
+    either side at its depths. The work grows with the runs, not with pairs of them.
+    """
     size = lambda b: int(b.bytes.map(len).sum())
+    deep = length - gram
     for rows in _whole_groups(batches, SLAB_TEXT, size):
         rows = rows.sort_values(["h", "doc", "key", "lo"], ignore_index=True)
         text = np.frombuffer(b"".join(rows.bytes.tolist()), dtype=np.uint8)
         n = rows.n.to_numpy().astype(np.int64)
-        begins = np.r_[0, np.cumsum(n + length - 1)[:-1]]
-        row = np.repeat(np.arange(len(rows)), n)
-        offset = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
-        starts = begins[row] + offset
-        # Windows are equal only if the string lies at the same distance from the start.
+        ends = np.cumsum(n + length - 1)
+        begins = ends - (n + length - 1)
         hashes = PrefixHashes(text)
         group = rows.h.to_numpy()
         anchors = np.array([_anchor(hashes, b, k, gram, h) for b, k, h in zip(
             begins.tolist(), (n + length - 1).tolist(), group.tolist(), strict=True)])
-        distance = anchors[row] - offset
-        number = np.cumsum(np.r_[False, group[1:] != group[:-1]])[row]
-        segment = number * (length + 1) + distance
-        by = np.argsort(segment, kind="stable")
-        segment, starts, row, offset = segment[by], starts[by], row[by], offset[by]
-        order, equal = equal_neighbours(text, starts, segment, length, hashes)
-        gone = order[equal]
-        found = pd.DataFrame({
-            "doc": rows.doc.to_numpy()[row[gone]], "key": rows.key.to_numpy()[row[gone]],
-            "lo": rows.lo.to_numpy()[row[gone]] + offset[gone], "n": 1})
-        yield _joined_spans(found, length)
+        number = np.cumsum(np.r_[False, group[1:] != group[:-1]])
+
+        def context(at: np.ndarray, step: int, low=begins, high=ends, bytes_=text) -> np.ndarray:
+            """``deep`` bytes from ``at`` on; zeros beyond the run, where no window lies."""
+            place = at[:, None] + step * np.arange(deep)
+            inside = (place >= low[:, None]) & (place < high[:, None])
+            return np.where(inside, bytes_[np.clip(place, 0, len(bytes_) - 1)], 0).astype(np.uint8)
+
+        left = depths(context(begins + anchors - 1, -1), number)
+        right = depths(context(begins + anchors + gram, 1), number)
+        again = [np.zeros(0, dtype=np.int64)] * 2
+        for d in range(max(0, int((anchors - n).min()) + 1), min(deep, int(anchors.max())) + 1):
+            have = np.flatnonzero((anchors >= d) & (anchors - n < d))
+            seen = pd.Series(left(d)[have] * (len(rows) + 1) + right(deep - d)[have]).duplicated()
+            found = have[seen.to_numpy()]
+            again = [np.r_[again[0], found], np.r_[again[1], anchors[found] - d]]
+        row, offset = again
+        yield _joined_spans(pd.DataFrame({
+            "doc": rows.doc.to_numpy()[row], "key": rows.key.to_numpy()[row],
+            "lo": rows.lo.to_numpy()[row] + offset, "n": 1}), length)
 
 
 def _anchor(hashes: PrefixHashes, begin: int, size: int, gram: int, h: int) -> int:

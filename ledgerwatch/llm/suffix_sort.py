@@ -97,36 +97,45 @@ def merge_sorted(hashes: PrefixHashes, starts: np.ndarray, segment: np.ndarray,
     return order
 
 
-def equal_neighbours(text: np.ndarray, starts: np.ndarray, segment: np.ndarray, most: int,
-                     hashes: PrefixHashes | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """The sorted order, and for each sorted place whether its suffix equals the one
-    before it in its segment. Bytes decide in the end."""
-    hashes = hashes or PrefixHashes(text)
-    order = merge_sorted(hashes, starts, segment, most)
-    n = len(starts)
-    equal = np.zeros(n, dtype=bool)
-    if n < 2:
-        return order, equal
-    views = np.lib.stride_tricks.sliding_window_view(text, most)
-    wrong: list[int] = []
-    step = max(1, (1 << 24) // most)
-    together = segment[order[1:]] == segment[order[:-1]]
-    for i in range(0, n - 1, step):
-        here = np.flatnonzero(together[i:i + step]) + i
-        a, b = views[starts[order[here]]], views[starts[order[here + 1]]]
+def sorted_rows(rows: np.ndarray, segment: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The order of equally long byte strings (a matrix) within their segments, and how
+    many bytes each shares with the one before it in its segment (0 for a first one).
+
+    Hashes put them in order; the bytes of neighbours then decide. A segment that a
+    collision has put out of order is sorted by its bytes.
+    """
+    n, most = rows.shape
+    order = merge_sorted(PrefixHashes(rows.reshape(-1)), np.arange(n) * most, segment, most)
+    common = np.zeros(n, dtype=np.int64)
+
+    def compare(places: np.ndarray) -> np.ndarray:
+        """Sets ``common`` at ``places``; those that stand after a greater string."""
+        a, b = rows[order[places - 1]], rows[order[places]]
         differs = a != b
-        any_ = differs.any(axis=1)
-        at = differs.argmax(axis=1)
-        rows = np.arange(len(here))
-        wrong.extend(segment[order[here[any_ & (a[rows, at] > b[rows, at])]]].tolist())
-        equal[here + 1] = ~any_
-    for bad in set(wrong):
+        first = np.where(differs.any(axis=1), differs.argmax(axis=1), most)
+        common[places] = first
+        at, row = np.minimum(first, most - 1), np.arange(len(places))
+        return places[(first < most) & (a[row, at] > b[row, at])]
+
+    together = np.flatnonzero(segment[order[1:]] == segment[order[:-1]]) + 1
+    step = max(1, (1 << 24) // max(most, 1))
+    wrong = [compare(together[i:i + step]) for i in range(0, len(together), step)]
+    for bad in set(segment[order[np.concatenate(wrong)]].tolist()) if wrong else ():
         places = np.flatnonzero(segment[order] == bad)
-        members = sorted(order[places].tolist(),
-                         key=lambda x: (views[starts[x]].tobytes(), x))
-        order[places] = members
-        equal[places[0]] = False
-        for k in range(1, len(places)):
-            equal[places[k]] = bool(
-                (views[starts[members[k]]] == views[starts[members[k - 1]]]).all())
-    return order, equal
+        order[places] = sorted(order[places].tolist(), key=lambda x: (rows[x].tobytes(), x))
+        compare(places[1:])
+    return order, common
+
+
+def depths(rows: np.ndarray, segment: np.ndarray):
+    """A function of ``d`` that numbers the byte strings so that two have the same number
+    if and only if they are of one segment and agree in their first ``d`` bytes."""
+    order, common = sorted_rows(rows, segment)
+    new = np.r_[True, segment[order[1:]] != segment[order[:-1]]]
+
+    def at(d: int) -> np.ndarray:
+        out = np.empty(len(order), dtype=np.int64)
+        out[order] = np.cumsum(new | (common < d))
+        return out
+
+    return at
