@@ -1,14 +1,19 @@
 """Benchmark decontamination by latent semantic retrieval.
 
 Passages are windows of PASSAGE words, cut at every STRIDE, weighted by TF-IDF over the
-whole corpus. Those with enough of their weight in words of the benchmark are embedded
-by a distributed randomised SVD, each is compared with the benchmark's windows by
-cosine, and every candidate is judged by the longest common subsequence with its item
-and by whether the item's answer (its last sentence) is there as well.
+whole corpus. Those that can share enough words with an item are embedded by a
+distributed randomised SVD, each is compared with the windows of these items by cosine,
+and every candidate is judged by the longest common subsequence with its item and by
+whether the item's answer (its last sentence) is there as well.
+
+A passage is left out only where no place around it can be judged a leak: a common
+subsequence of h of an item's m words holds at least j of any m - h + j of them, so a
+place without j of the item's rarest m - h + j words is none.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -33,16 +38,15 @@ CHUNK = 1 << 12
 RANK = 128
 DAMPING = 4
 OVERSAMPLE = 8
-#: Least share of a passage's squared weight in the benchmark's words: half of the words
-#: of a passage that tells an item are the item's.
-SHARE = 0.45
-#: Least squared weight of a passage's benchmark words, as a share of the query's that it
-#: is to match; the latent space is fitted to the passages that reach it for the median
-#: query (passages of common words alone would fill it), and all are searched.
+#: One in this many of an item's words is j (see above), at least one.
+SPARE = 4
+#: The latent space is fitted to the passages with this share of the squared weight of
+#: the median query (passages of common words alone would fill it); all are searched.
 WEIGHT = 0.5
 COSINE = 0.5
-#: Passages compared with all queries at once.
+#: Passages embedded at once, and words searched at once (or one text).
 ROWS = 2_000
+SPAN = 200_000
 #: A passage is a leak if this share of the item's words is there in order, or the lower
 #: one together with ANSWER of the words of its answer.
 MATCH = 0.8
@@ -54,8 +58,10 @@ SLACK = 0.25
 _WORD = re.compile(r"[^\W_]+")
 
 WORDS = "kind int, doc_id long, key long, ids binary"
-PASSAGES = ("doc_id long, key long, at long, features array<int>, weight double, from long, "
-            "around binary")
+#: A stretch of a text: its words from ``from`` on, where its passages begin (``at``),
+#: and pairs of a place in ``at`` and an item. Rows with ``features`` are for the fit.
+PASSAGES = ("doc_id long, key long, from long, around binary, at array<int>, "
+            "passage array<int>, item array<int>, features array<int>")
 
 
 def word_hashes(texts: list[str | None]) -> list[np.ndarray]:
@@ -78,7 +84,38 @@ class Block:
     items: list[tuple[int, np.ndarray, np.ndarray]]  # item_id, words, words of the answer
     vocabulary: np.ndarray = field(default=None)
     idf: np.ndarray = field(default=None)
-    least: float = 0.0  # squared weight of the lightest query
+    first: np.ndarray = field(default=None)  # for each word of the vocabulary, its items
+    holders: np.ndarray = field(default=None)
+    need: np.ndarray = field(default=None)  # for each item, j and the reach of a place
+    reach: np.ndarray = field(default=None)
+    fit: float = 0.0  # least squared weight of the passages the space is fitted to
+
+    def prepare(self, idf: np.ndarray) -> None:
+        self.vocabulary = np.unique(np.concatenate([w for _, w, _ in self.items]))
+        self.idf = idf
+        need, reach, pairs = [], [], []
+        for i, (_, words, _) in enumerate(self.items):
+            spare = max(1, len(words) // SPARE)
+            rarest = np.argsort(-idf[words & np.uint32(BUCKETS - 1)], kind="stable")
+            rarest = np.unique(words[rarest[:len(words) - least_common(len(words)) + spare]])
+            need.append(spare)
+            reach.append(len(words) + slack_of(len(words)))
+            pairs.append(np.stack([np.searchsorted(self.vocabulary, rarest),
+                                   np.full(len(rarest), i)]))
+        pairs = np.concatenate(pairs, axis=1)
+        pairs = pairs[:, np.argsort(pairs[0], kind="stable")]
+        self.first = np.searchsorted(pairs[0], np.arange(len(self.vocabulary) + 1))
+        self.holders = pairs[1].astype(np.uint16)  # sorted by radix
+        self.need, self.reach = np.array(need), np.array(reach)
+
+
+def least_common(n: int) -> int:
+    """Least common words of a leak of an item of ``n`` words."""
+    return math.ceil(MATCH_WITH_ANSWER * n)
+
+
+def slack_of(n: int) -> int:
+    return max(4, int(n * SLACK))
 
 
 def answer_of(text: str) -> str:
@@ -128,39 +165,99 @@ def _total(parts: DataFrame, kind: str) -> bytes:
     return b"".join(bytes(r["ids"]) for r in sorted(found, key=lambda r: r["doc_id"]))
 
 
+def _spread(first: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of all ranges, and which range each is of."""
+    of = np.repeat(np.arange(len(size)), size)
+    return np.arange(len(of)) - np.repeat(np.cumsum(size) - size, size) + first[of], of
+
+
+def _inside(ids: np.ndarray, vocabulary: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    place = np.minimum(np.searchsorted(vocabulary, ids), len(vocabulary) - 1)
+    return place, vocabulary[place] == ids
+
+
+def _texts(batch: pd.DataFrame) -> Iterator[list[tuple]]:
+    """Texts that have words, SPAN words or one text at a time."""
+    some, size = [], 0
+    for doc_id, key, raw in zip(batch.doc_id.tolist(), batch.key.tolist(),
+                                batch.ids.tolist(), strict=True):
+        if not raw:
+            continue
+        if some and size + len(raw) // 4 > SPAN:
+            yield some
+            some, size = [], 0
+        some.append((doc_id, key, np.frombuffer(raw, dtype=np.uint32)))
+        size += len(raw) // 4
+    if some:
+        yield some
+
+
 def _passages(batches: Iterator[pd.DataFrame], block: Block) -> Iterator[pd.DataFrame]:
-    """Passages with enough weight in the block's words, with the words around."""
-    vocabulary, idf = block.vocabulary, block.idf
-    reach = max(len(words) for _, words, _ in block.items)
-    reach += int(reach * SLACK) + 1
+    """The stretches of texts that can hold a leak, with the items in question."""
+    far = int(block.reach.max())
+    count = np.diff(block.first)
     for batch in batches:
         rows = []
-        for doc_id, key, raw in zip(batch.doc_id.tolist(), batch.key.tolist(),
-                                    batch.ids.tolist(), strict=True):
-            ids = np.frombuffer(raw, dtype=np.uint32)
-            n = len(ids)
-            if n == 0:
+        for texts in _texts(batch):
+            lengths = np.array([len(ids) for _, _, ids in texts])
+            base = np.cumsum(lengths + 4 * far) - lengths - 4 * far  # no place spans two
+            ids = np.concatenate([ids for _, _, ids in texts])
+            at = np.arange(len(ids)) + np.repeat(
+                base - np.cumsum(lengths) + lengths, lengths)
+            place, inside = _inside(ids, block.vocabulary)
+            some = np.nonzero(inside)[0]
+            which, of = _spread(block.first[place[some]], count[place[some]])
+            item = block.holders[which]
+            order = np.argsort(item, kind="stable")
+            item, pos = item[order].astype(np.int64), at[some[of[order]]]
+            end = np.arange(len(item)) + block.need[item] - 1
+            i = np.nonzero(end < len(item))[0]
+            end = end[i]
+            reach = block.reach[item[i]]
+            near = (item[end] == item[i]) & (pos[end] - pos[i] < 2 * reach)
+            i, end, reach = i[near], end[near], reach[near]
+            if not len(i):
                 continue
-            place = np.minimum(np.searchsorted(vocabulary, ids), len(vocabulary) - 1)
-            inside = vocabulary[place] == ids
-            if not inside.any():
+
+            last = np.maximum(0, lengths - PASSAGE)
+            number = -(-last // STRIDE) + 1
+            step, text = _spread(np.zeros(len(texts), dtype=np.int64), number)
+            starts = np.minimum(step * STRIDE, last[text])
+            low = np.searchsorted(base[text] + starts, pos[end] - reach)
+            high = np.searchsorted(base[text] + starts, pos[i] + reach, side="right")
+            which, of = _spread(low, np.maximum(high - low, 0))
+            pairs = np.unique(which * len(block.items) + item[i][of])
+            which, item = np.divmod(pairs, len(block.items))
+
+            begin = (np.cumsum(lengths) - lengths)[text] + starts
+            stop = begin + np.minimum(PASSAGE, lengths[text])
+            own = np.r_[0, np.cumsum(inside)]
+            told = own[stop] > own[begin]
+            which, item = which[told[which]], item[told[which]]
+            square = np.r_[0, np.cumsum(
+                np.where(inside, block.idf[ids & np.uint32(BUCKETS - 1)] ** 2, 0))]
+            kept, pair = np.unique(which, return_index=True)
+            if not len(kept):
                 continue
-            square = idf[ids & np.uint32(BUCKETS - 1)] ** 2
-            last = max(0, n - PASSAGE)
-            starts = np.unique(np.r_[np.arange(0, last + 1, STRIDE), last])
-            stops = np.minimum(starts + PASSAGE, n)
-            whole = np.r_[0, np.cumsum(square)]
-            own = np.r_[0, np.cumsum(square * inside)]
-            total, part = whole[stops] - whole[starts], own[stops] - own[starts]
-            keep = (part >= SHARE * total) & (part >= WEIGHT * block.least) & (part > 0)
-            for a, b, weight in zip(starts[keep].tolist(), stops[keep].tolist(),
-                                    part[keep].tolist(), strict=True):
-                features = place[a:b][inside[a:b]]
-                low, high = max(0, a - reach), min(n, b + reach)
-                rows.append((doc_id, key, a, features.astype(np.int32), weight, low,
-                             ids[low:high].tobytes()))
-        yield pd.DataFrame(rows, columns=["doc_id", "key", "at", "features", "weight", "from",
-                                          "around"]).astype({"doc_id": "Int64"})
+            heavy = kept[square[stop[kept]] - square[begin[kept]] >= block.fit]
+            rows.extend((None, 0, 0, None, None, None, None,
+                         place[a:b][inside[a:b]].astype(np.int32))
+                        for a, b in zip(begin[heavy].tolist(), stop[heavy].tolist(), strict=True))
+            new = (np.diff(text[kept]) != 0) | (np.diff(starts[kept]) > 2 * far + PASSAGE)
+            cuts = [0, *(np.nonzero(new)[0] + 1).tolist(), len(kept)]
+            pair = [*pair.tolist(), len(which)]
+            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+                doc_id, key, words = texts[text[kept[a]]]
+                at_ = starts[kept[a:b]]
+                since = max(0, int(at_[0]) - far)
+                of = slice(pair[a], pair[b])
+                rows.append((doc_id, key, since,
+                             words[since:int(at_[-1]) + PASSAGE + far].tobytes(),
+                             at_.astype(np.int32),
+                             np.searchsorted(kept[a:b], which[of]).astype(np.int32),
+                             item[of].astype(np.int32), None))
+        yield pd.DataFrame(rows, columns=["doc_id", "key", "from", "around", "at", "passage",
+                                          "item", "features"]).astype({"doc_id": "Int64"})
 
 
 def _embedded(features: list[np.ndarray], idf: np.ndarray, matrix: np.ndarray) -> np.ndarray:
@@ -232,40 +329,53 @@ def _unit(rows: np.ndarray) -> np.ndarray:
 
 
 def _judged(batches: Iterator[pd.DataFrame], block: Block, local: np.ndarray,
-            basis: np.ndarray, vectors: np.ndarray, weights: np.ndarray, owner: np.ndarray,
+            basis: np.ndarray, vectors: np.ndarray, first: np.ndarray,
             offset: np.ndarray) -> Iterator[pd.DataFrame]:
     """Leaks among the passages: cosine search, then common subsequences. A place is
-    judged once for each item, whichever of its windows led there."""
-    columns = ("doc_id", "key", "at", "features", "weight", "from", "around")
+    judged once for each item, whichever of its windows led there. ``first`` has the
+    place of each item's first query."""
+    columns = ("doc_id", "key", "from", "around", "at", "passage", "item")
+    known = [(words.tolist(), set(words.tolist())) for _, words, _ in block.items]
+    number = np.diff(first)
     for batch in batches:
         rows, seen = [], set()
-        data = {c: batch[c].tolist() for c in columns}
-        for i in range(0, len(batch), ROWS):
-            features = [np.asarray(x) for x in data["features"][i:i + ROWS]]
-            near = _unit(_embedded(features, local, basis)).astype(np.float32) @ vectors.T
-            own = np.array(data["weight"][i:i + ROWS])
-            pairs = np.nonzero((near >= COSINE) & (own[:, None] >= WEIGHT * weights[None, :]))
-            for p, q in zip(*(x.tolist() for x in pairs), strict=True):
-                item, words, answer = block.items[owner[q]]
-                begin = data["at"][i + p] - int(offset[q])
-                slack = max(4, int(len(words) * SLACK))
-                what = (data["doc_id"][i + p], data["key"][i + p], owner[q], begin // slack)
-                if what in seen:
-                    continue
-                seen.add(what)
-                around = np.frombuffer(data["around"][i + p], dtype=np.uint32)
-                since = data["from"][i + p]
-                low = max(0, begin - slack - since)
-                high = max(0, begin + len(words) + slack - since)
-                text = around[low:high].tolist()
-                n = common_length(words.tolist(), text)
-                if n < MATCH_WITH_ANSWER * len(words):
-                    continue
-                told = len(answer) > 0 and (
-                    common_length(answer.tolist(), text) >= ANSWER * len(answer))
-                if told or n >= MATCH * len(words):
-                    rows.append((*what[:2], item, n, len(words), low + since, told,
-                                 float(near[p, q])))
+        for doc_id, key, since, raw, starts, passage, which in zip(
+                *(batch[c].tolist() for c in columns), strict=True):
+            around = np.frombuffer(raw, dtype=np.uint32)
+            place, inside = _inside(around, block.vocabulary)
+            passage, which = np.asarray(passage), np.asarray(which)
+            for i in range(0, len(starts), ROWS):
+                features = [place[a:a + PASSAGE][inside[a:a + PASSAGE]]
+                            for a in (np.asarray(starts[i:i + ROWS]) - since).tolist()]
+                here = (passage >= i) & (passage < i + ROWS)
+                q, of = _spread(first[which[here]], number[which[here]])
+                p, item = passage[here][of], which[here][of]
+                rows_of = _unit(_embedded(features, local, basis)).astype(np.float32)
+                near = np.einsum("ij,ij->i", rows_of[p - i], vectors[q])
+                found = np.nonzero(near >= COSINE)[0]
+                begins = np.asarray(starts)[p[found]] - offset[q[found]]
+                for k, begin, owner in zip(found.tolist(), begins.tolist(),
+                                           item[found].tolist(), strict=True):
+                    item_id, _, answer = block.items[owner]
+                    words, distinct = known[owner]
+                    slack = slack_of(len(words))
+                    what = (doc_id, key, owner, begin // slack)
+                    if what in seen:
+                        continue
+                    seen.add(what)
+                    low = max(0, begin - slack - since)
+                    high = max(0, begin + len(words) + slack - since)
+                    text = around[low:high].tolist()
+                    if sum(map(distinct.__contains__, text)) < MATCH_WITH_ANSWER * len(words):
+                        continue
+                    n = common_length(words, text)
+                    if n < MATCH_WITH_ANSWER * len(words):
+                        continue
+                    told = len(answer) > 0 and (
+                        common_length(answer.tolist(), text) >= ANSWER * len(answer))
+                    if told or n >= MATCH * len(words):
+                        rows.append((doc_id, key, item_id, n, len(words), low + since, told,
+                                     float(near[k])))
         yield pd.DataFrame(rows, columns=["doc_id", "key", "item_id", "n_common", "n_words",
                                           "place", "answer", "cosine"]
                            ).astype({"doc_id": "Int64"})
@@ -313,8 +423,7 @@ def _leaks(docs: DataFrame, benchmark: DataFrame, root: str) -> DataFrame:
 
     found = None
     for block in _blocks(benchmark):
-        block.vocabulary = np.unique(np.concatenate([w for _, w, _ in block.items]))
-        block.idf = idf
+        block.prepare(idf)
         local = idf[block.vocabulary & np.uint32(BUCKETS - 1)]
         queries, owner, offset = [], [], []
         for i, (_, item, _) in enumerate(block.items):
@@ -323,16 +432,16 @@ def _leaks(docs: DataFrame, benchmark: DataFrame, root: str) -> DataFrame:
                 queries.append(np.searchsorted(block.vocabulary, item[a:a + PASSAGE]))
                 owner.append(i)
                 offset.append(a)
-        weights = np.array([float((local[q] ** 2).sum()) for q in queries])
-        block.least = float(weights.min())
+        weights = [float((local[q] ** 2).sum()) for q in queries]
+        block.fit = WEIGHT * float(np.median(weights))
         passages = staged(words.filter("kind = 0").select("doc_id", "key", "ids").mapInPandas(
             lambda batches, b=block: _passages(batches, b), PASSAGES),
             "passages", root)
-        basis = latent_basis(
-            passages.filter(F.col("weight") >= WEIGHT * float(np.median(weights))), queries, local)
+        basis = latent_basis(passages.filter("features is not null"), queries, local)
         vectors = _unit(_embedded(queries, local, basis)).astype(np.float32)
-        judged = passages.mapInPandas(
-            lambda batches, a=(block, local, basis, vectors, weights, owner, offset):
+        first = np.searchsorted(owner, np.arange(len(block.items) + 1))
+        judged = passages.filter("features is null").mapInPandas(
+            lambda batches, a=(block, local, basis, vectors, first, np.array(offset)):
             _judged(batches, *a),
             "doc_id long, key long, item_id long, n_common long, n_words long, place long, "
             "answer boolean, cosine double")

@@ -46,6 +46,45 @@ def test_paraphrases_and_clean_texts(spark):
     assert found <= leaky and len(found) >= 0.95 * len(leaky)
 
 
+def test_common_items_among_rare_words(spark):
+    """Items of common words whose copies hold or stand among rare ones, which outweigh
+    them: recall against the longest common subsequence at every place."""
+    rng = random.Random(9)
+    pool = words(70, 150).split(" ")
+    items = [(i, rng.sample(pool, 16 if i % 2 else 8)) for i in range(40)]
+    docs, planted = [], set()
+    for i in range(400):
+        rare = words(5_000 + i, 90).split(" ")
+        if i < 300:
+            text = rng.choices(pool, k=60)
+        else:
+            item, part = items[i % 40]
+            part = list(part)
+            for k in (3, 8, 12) if len(part) > 8 else ():
+                part[k] = rare.pop() + "x"
+            text = rare[:40] + part + rare[40:]
+            planted.add((i, item))
+        docs.append((i, " ".join(text)))
+    found = {(r.doc_id, r.item_id) for r in latent.leak_report(
+        spark.createDataFrame(docs, "doc_id long, text string"),
+        spark.createDataFrame([(i, " ".join(w)) for i, w in items],
+                              "item_id long, text string")).collect()}
+
+    def leaks(text, item):
+        slack = max(4, len(item) // 4)
+        for at in range(-slack, len(text)):
+            part = text[max(0, at):at + len(item) + 2 * slack]
+            n = latent.common_length(item, part)
+            if n >= 0.6 * len(item):  # one sentence, which is the answer too
+                return True
+        return False
+
+    expected = {(d, i) for d, text in docs if d >= 300 for i, w in items
+                if leaks(text.split(" "), w)}
+    assert planted <= expected
+    assert {x for x in found if x[0] >= 300} == expected
+
+
 def test_common_length():
     rng = random.Random(1)
     for _ in range(50):
