@@ -28,7 +28,7 @@ from .common import staged, workspace
 PASSAGE = 16
 STRIDE = 8
 QUERY_STRIDE = 4
-#: Items of fewer words occur by chance and are not searched for.
+#: Items of fewer words occur by chance in parts; they are searched for word by word.
 MIN_ITEM = 8
 #: Items searched at once; a larger benchmark is searched in blocks.
 BLOCK_ITEMS = 2_000
@@ -55,17 +55,25 @@ ANSWER = 0.6
 #: Words looked at beyond the item's own length, as a share of it.
 SLACK = 0.25
 
-_WORD = re.compile(r"[^\W_]+")
+#: Scripts without spaces between words (Thai, Lao, Burmese, Khmer, kana, Han): each
+#: character, also a vowel sign, is a word.
+_SINGLE = ("\u0E01-\u0E4E\u0E50-\u0E59\u0E81-\u0EDF\u1000-\u1049\u1050-\u109F\u1780-\u17D3"
+           "\u17E0-\u17E9\u3005-\u3007\u3041-\u3096\u30A1-\u30FA\u30FC-\u30FF\u31F0-\u31FF"
+           "\u3400-\u4DBF\u4E00-\u9FFF\uF900-\uFAFF\uFF66-\uFF9F\U00020000-\U0003FFFF")
+_WORD = re.compile(rf"[{_SINGLE}]|[^\W_{_SINGLE}]+")
 
 WORDS = "kind int, doc_id long, key long, ids binary"
 #: A stretch of a text: its words from ``from`` on, where its passages begin (``at``),
 #: and pairs of a place in ``at`` and an item. Rows with ``features`` are for the fit.
 PASSAGES = ("doc_id long, key long, from long, around binary, at array<int>, "
             "passage array<int>, item array<int>, features array<int>")
+FINDS = ("doc_id long, key long, item_id long, n_common long, n_words long, place long, "
+         "answer boolean, cosine double")
 
 
 def word_hashes(texts: list[str | None]) -> list[np.ndarray]:
-    """32-bit hashes of the words (letters and digits, lower-cased) of each text."""
+    """32-bit hashes of the words (letters and digits, lower-cased; single characters in
+    scripts without spaces) of each text."""
     import xxhash
     known: dict[str, int] = {}
     out = []
@@ -82,6 +90,7 @@ def word_hashes(texts: list[str | None]) -> list[np.ndarray]:
 class Block:
     """The items of one block and what is derived from them."""
     items: list[tuple[int, np.ndarray, np.ndarray]]  # item_id, words, words of the answer
+    short: list[tuple[int, np.ndarray]]  # items under MIN_ITEM words
     vocabulary: np.ndarray = field(default=None)
     idf: np.ndarray = field(default=None)
     first: np.ndarray = field(default=None)  # for each word of the vocabulary, its items
@@ -120,7 +129,7 @@ def slack_of(n: int) -> int:
 
 def answer_of(text: str) -> str:
     """The last sentence, or the last five words where that has fewer than two."""
-    sentences = [s for s in re.split(r"[.!?\n]+", text) if _WORD.search(s)]
+    sentences = [s for s in re.split(r"[.!?\n。！？]+", text) if _WORD.search(s)]
     last = sentences[-1] if sentences else ""
     return last if len(_WORD.findall(last)) >= 2 else " ".join(_WORD.findall(text)[-5:])
 
@@ -337,6 +346,8 @@ def _judged(batches: Iterator[pd.DataFrame], block: Block, local: np.ndarray,
     columns = ("doc_id", "key", "from", "around", "at", "passage", "item")
     known = [(words.tolist(), set(words.tolist())) for _, words, _ in block.items]
     number = np.diff(first)
+    scaled = (basis * local[:, None]).astype(np.float32)
+    ones = np.ones(len(local), dtype=np.float32)
     for batch in batches:
         rows, seen = [], set()
         for doc_id, key, since, raw, starts, passage, which in zip(
@@ -350,7 +361,7 @@ def _judged(batches: Iterator[pd.DataFrame], block: Block, local: np.ndarray,
                 here = (passage >= i) & (passage < i + ROWS)
                 q, of = _spread(first[which[here]], number[which[here]])
                 p, item = passage[here][of], which[here][of]
-                rows_of = _unit(_embedded(features, local, basis)).astype(np.float32)
+                rows_of = _unit(_embedded(features, ones, scaled))
                 near = np.einsum("ij,ij->i", rows_of[p - i], vectors[q])
                 found = np.nonzero(near >= COSINE)[0]
                 begins = np.asarray(starts)[p[found]] - offset[q[found]]
@@ -381,19 +392,56 @@ def _judged(batches: Iterator[pd.DataFrame], block: Block, local: np.ndarray,
                            ).astype({"doc_id": "Int64"})
 
 
+def _copies(batches: Iterator[pd.DataFrame],
+            short: list[tuple[int, np.ndarray]]) -> Iterator[pd.DataFrame]:
+    """The first place of each short item in each text, all its words in a row."""
+    def mixed(ids: np.ndarray, n: int) -> np.ndarray:
+        out = np.zeros(len(ids) - n + 1, dtype=np.uint64)
+        for k in range(n):
+            out = out * np.uint64(0x9E3779B97F4A7C15) + ids[k:len(ids) - n + 1 + k]
+        return out
+
+    tables: dict[int, dict[int, list]] = {}
+    for item_id, words in short:
+        group = tables.setdefault(len(words), {})
+        group.setdefault(int(mixed(words, len(words))[0]), []).append((item_id, words))
+    wanted = {n: np.array(sorted(group), dtype=np.uint64) for n, group in tables.items()}
+    for batch in batches:
+        rows = []
+        for doc_id, key, raw in zip(batch.doc_id.tolist(), batch.key.tolist(),
+                                    batch.ids.tolist(), strict=True):
+            ids = np.frombuffer(raw, dtype=np.uint32)
+            for n, table in wanted.items():
+                if len(ids) < n:
+                    continue
+                grams = mixed(ids, n)
+                at = np.minimum(np.searchsorted(table, grams), len(table) - 1)
+                places = np.nonzero(table[at] == grams)[0]
+                some, first = np.unique(grams[places], return_index=True)
+                for gram, place in zip(some.tolist(), places[first].tolist(), strict=True):
+                    rows.extend((doc_id, key, item_id, n, n, place, True, 1.0)
+                                for item_id, words in tables[n][gram]
+                                if np.array_equal(words, ids[place:place + n]))
+        yield pd.DataFrame(rows, columns=["doc_id", "key", "item_id", "n_common", "n_words",
+                                          "place", "answer", "cosine"]
+                           ).astype({"doc_id": "Int64", "item_id": "Int64"})
+
+
 def _blocks(benchmark: DataFrame) -> Iterator[Block]:
     """The items in blocks; one block at a time is on the driver."""
     items = benchmark.filter("text is not null").select("item_id", "text")
     number = -(-max(items.count(), 1) // BLOCK_ITEMS)
     for i in range(number):
         rows = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(number)) == i).collect()
-        found = []
+        found, short = [], []
         for row in rows:
             words, answer = word_hashes([row["text"], answer_of(row["text"])])
             if len(words) >= MIN_ITEM:
                 found.append((row["item_id"], words, answer))
-        if found:
-            yield Block(found)
+            elif len(words):
+                short.append((row["item_id"], words))
+        if found or short:
+            yield Block(found, short)
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -423,6 +471,12 @@ def _leaks(docs: DataFrame, benchmark: DataFrame, root: str) -> DataFrame:
 
     found = None
     for block in _blocks(benchmark):
+        if block.short:
+            copies = words.filter("kind = 0").select("doc_id", "key", "ids").mapInPandas(
+                lambda batches, short=block.short: _copies(batches, short), FINDS)
+            found = copies if found is None else found.unionByName(copies)
+        if not block.items:
+            continue
         block.prepare(idf)
         local = idf[block.vocabulary & np.uint32(BUCKETS - 1)]
         queries, owner, offset = [], [], []
@@ -443,12 +497,10 @@ def _leaks(docs: DataFrame, benchmark: DataFrame, root: str) -> DataFrame:
         judged = passages.filter("features is null").mapInPandas(
             lambda batches, a=(block, local, basis, vectors, first, np.array(offset)):
             _judged(batches, *a),
-            "doc_id long, key long, item_id long, n_common long, n_words long, place long, "
-            "answer boolean, cosine double")
+            FINDS)
         found = judged if found is None else found.unionByName(judged)
     if found is None:
-        return spark.createDataFrame([], "doc_id long, key long, item_id long, n_common long, "
-                                     "n_words long, place long, answer boolean, cosine double")
+        return spark.createDataFrame([], FINDS)
     best = F.max(F.struct("n_common", (-F.col("place")).alias("p"), "n_words", "answer",
                           "cosine")).alias("x")
     return staged(found.groupBy("doc_id", "key", "item_id").agg(best).select(

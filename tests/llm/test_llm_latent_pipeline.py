@@ -85,6 +85,19 @@ def test_common_items_among_rare_words(spark):
     assert {x for x in found if x[0] >= 300} == expected
 
 
+def test_short_items_and_scripts_without_spaces(spark):
+    thai, han = "เมืองหลวงของประเทศฝรั่งเศสคืออะไร", "法国的首都是哪一座城市？巴黎是法国的首都。"
+    items = [(1, "What is the capital of France?"), (2, "Paris"), (3, thai), (4, han),
+             (5, "首都"), (6, "?"), (7, "What is the capital of France?")]
+    docs = [(1, "well, what is the CAPITAL of France then"), (2, "the capital of France is what"),
+            (3, f"คำถาม{thai}ครับ"), (4, f"问题：{han}谢谢"), (5, "巴黎是首都"), (6, "in paris"),
+            (7, "parisian"), (8, han[:5]), (9, None), (10, "")]
+    found = {(r.doc_id, r.item_id) for r in latent.leak_report(
+        spark.createDataFrame(docs, "doc_id long, text string"),
+        spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert found == {(1, 1), (1, 7), (3, 3), (4, 4), (4, 5), (5, 5), (6, 2), (8, 5)}
+
+
 def test_common_length():
     rng = random.Random(1)
     for _ in range(50):
