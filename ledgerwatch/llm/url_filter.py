@@ -13,15 +13,15 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, staged
+from .common import ascii_lower, small, staged
 
-#: The models' alphabet: place in this string is the code; code 0 stands for every
-#: other character and for what comes before the first one.
-ALPHABET = "\0abcdefghijklmnopqrstuvwxyz0./-%"
+#: The models' alphabet is Unicode: place in this string is the code. Code 0 stands for
+#: what comes before the first character. Digits 1-9 count as 0.
+ALPHABET = "".join(map(chr, range(0x110000)))
 SYMBOLS = len(ALPHABET)
-#: Longest context is ORDER - 1 characters, so a model has at most
-#: SYMBOLS ** ORDER entries, whatever the input.
-ORDER = 3
+#: Longest context is ORDER - 1 characters. A model has an entry for each gram that the
+#: URLs have, so it grows with them.
+ORDER = 6
 #: Scores and log ratios are whole micro-units: sums do not depend on row order.
 UNIT = 1_000_000
 #: One URL in this many is held out for calibration, by a hash of the URL.
@@ -57,73 +57,79 @@ def rule_for(host: Column, path: Column, rules: Sequence[tuple[str, str, str]])
 
 
 def grams(urls: DataFrame, key: str = "url") -> DataFrame:
-    """One row for each character: ``key`` and ``code``, which holds the character
-    and the ORDER - 1 before it, in base SYMBOLS."""
+    """One row for each character: the columns but ``key``, and ``gram``, the character
+    and the ORDER - 1 before it."""
     plain = ascii_lower(F.regexp_replace(F.col(key), r"(?s)^.*?://", ""))
     plain = F.translate(plain, "123456789", "0" * 9)
-    known = F.lit(ALPHABET[1:])
-    code = F.transform(F.filter(F.split(plain, ""), lambda c: c != ""),
-                       lambda c: F.instr(known, c).cast("long"))
-    padded = F.concat(F.array_repeat(F.lit(0).cast("long"), ORDER - 1), code)
-    coded = urls.withColumn("__lw_codes", padded)
-    last = F.size("__lw_codes") - ORDER
+    chars = F.filter(F.split(plain, ""), lambda c: c != "")
+    padded = F.concat(F.array_repeat(F.lit("\0"), ORDER - 1), chars)
+    kept = [c for c in urls.columns if c != key]
+    coded = urls.select(*kept, padded.alias("__lw_chars"))
+    last = F.size("__lw_chars") - ORDER
     placed = coded.filter(last >= 0).withColumn(
         "__lw_at", F.explode(F.sequence(F.lit(0), last)))
-    return placed.select(*urls.columns, reduce(
-        lambda a, b: a * SYMBOLS + b,
-        [F.get("__lw_codes", F.col("__lw_at") + k) for k in range(ORDER)]).alias("code"))
+    return placed.select(*kept, F.concat(
+        *[F.get("__lw_chars", F.col("__lw_at") + k) for k in range(ORDER)]).alias("gram"))
 
 
-def ratio_model(labelled: DataFrame) -> DataFrame:
-    """``code``, ``ratio``: micro-units of log P(accepted) - log P(rejected) of the
-    last character of each gram, for all SYMBOLS ** ORDER grams.
+def ratio_model(labelled: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``gram``, ``ratio``: micro-units of log P(accepted) - log P(rejected) of the
+    last character of each of the distinct grams of ``wanted``.
 
-    ``labelled`` has ``code``, ``accepted`` and ``n``. Contexts of every length are
+    ``labelled`` has ``gram``, ``accepted`` and ``n``. Contexts of every length are
     mixed: P_k = (count + types * P_(k-1)) / (total + types), where ``types`` is the
     number of different characters seen after the context, so an unseen context falls
-    back to the shorter one. Both models start from a uniform distribution.
+    back to the shorter one. Both models start from a uniform distribution. Every length
+    has its own tables of counts, which are joined; only those of contexts under two
+    characters, which have at most one row for each character, are broadcast.
     """
-    spark = labelled.sparkSession
-    top = staged(labelled.groupBy("code").agg(
+    top = staged(labelled.groupBy("gram").agg(
         F.sum(F.when(F.col("accepted"), F.col("n")).otherwise(0)).alias("yes"),
         F.sum(F.when(F.col("accepted"), 0).otherwise(F.col("n"))).alias("no")), "grams")
     model = None
     for k in range(1, ORDER + 1):
-        size = SYMBOLS ** k
-        counts = (top.groupBy((F.col("code") % size).alias("code"))
-                  .agg(F.sum("yes").alias("yes"), F.sum("no").alias("no")))
-        totals = counts.groupBy(F.floor(F.col("code") / SYMBOLS).alias("before")).agg(
+        tail = F.substring("gram", ORDER - k + 1, k)
+        counts = top if k == ORDER else (
+            top.groupBy(tail.alias("gram"))
+            .agg(F.sum("yes").alias("yes"), F.sum("no").alias("no")))
+        totals = counts.groupBy(F.substring("gram", 1, k - 1).alias("before")).agg(
             F.sum("yes").alias("yes_all"), F.sum("no").alias("no_all"),
             F.sum((F.col("yes") > 0).cast("long")).alias("yes_types"),
             F.sum((F.col("no") > 0).cast("long")).alias("no_types"))
-        grid = spark.range(size).select(
-            F.col("id").alias("code"), F.floor(F.col("id") / SYMBOLS).alias("before"),
-            (F.col("id") % (size // SYMBOLS)).alias("shorter"))
-        full = (grid.join(counts, "code", "left").join(totals, "before", "left")
+        full = wanted.select(tail.alias("gram")).distinct().select(
+            "gram", F.substring("gram", 1, k - 1).alias("before"),
+            F.substring("gram", 2, k).alias("shorter"))
+        full = (full.join(counts, "gram", "left")
+                .join(F.broadcast(totals) if k <= 2 else totals, "before", "left")
                 .fillna(0, ["yes", "no", "yes_all", "no_all", "yes_types", "no_types"]))
         if model is None:
             full = full.withColumns({"p_yes": F.lit(1.0 / SYMBOLS),
                                      "p_no": F.lit(1.0 / SYMBOLS)})
         else:
-            full = full.join(model.withColumnRenamed("code", "shorter"), "shorter")
+            full = full.join(F.broadcast(model) if k <= 2 else model, "shorter")
 
         def mixed(c: str) -> Column:
             return F.when(F.col(f"{c}_all") == 0, F.col(f"p_{c}")).otherwise(
                 (F.col(c) + F.col(f"{c}_types") * F.col(f"p_{c}"))
                 / (F.col(f"{c}_all") + F.col(f"{c}_types")))
 
-        model = full.select("code", mixed("yes").alias("p_yes"), mixed("no").alias("p_no"))
-    return model.select("code", F.round(
+        model = staged(full.select("gram", mixed("yes").alias("p_yes"),
+                                   mixed("no").alias("p_no")).withColumnRenamed(
+            "gram", "gram" if k == ORDER else "shorter"), "model")
+    return model.select("gram", F.round(
         (F.log("p_yes") - F.log("p_no")) * UNIT).cast("long").alias("ratio"))
 
 
 def scores(urls: DataFrame, model: DataFrame) -> DataFrame:
-    """``url``, ``score`` (micro-units per character) of distinct URLs. The model has a
-    fixed number of entries and is broadcast; a URL's characters meet in the task that
-    cut it, so one row for each URL is shuffled."""
-    return (grams(urls).join(F.broadcast(model), "code")
-            .groupBy("url").agg(F.sum("ratio").alias("sum"), F.count("*").alias("n"))
-            .select("url", F.floor(F.col("sum") / F.col("n")).cast("long").alias("score")))
+    """``url``, ``score`` (micro-units per character) of distinct URLs. Grams meet the
+    model with two hashes in place of their URL; the model is broadcast while it is small,
+    else both are shuffled."""
+    named = urls.select("url", F.xxhash64("url").alias("h"),
+                        F.xxhash64("url", F.lit(1)).alias("g"))
+    found = (grams(named).join(small(model), "gram")
+             .groupBy("h", "g").agg(F.sum("ratio").alias("sum"), F.count("*").alias("n"))
+             .select("h", "g", F.floor(F.col("sum") / F.col("n")).cast("long").alias("score")))
+    return named.join(found, ["h", "g"]).select("url", "score")
 
 
 def cutoff(held: DataFrame, false_rejects: float = FALSE_REJECTS) -> int | None:
@@ -167,9 +173,10 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str, str]], url: str = "u
         .withColumn("held", F.pmod(F.xxhash64("url"), F.lit(FOLDS)) == 0), "urls")
 
     learned = (grams(distinct.filter("action is not null and not held"))
-               .groupBy("code", (F.col("action") == "allow").alias("accepted"))
+               .groupBy("gram", (F.col("action") == "allow").alias("accepted"))
                .agg(F.sum("n").alias("n")))
-    model = staged(ratio_model(learned), "model")
+    wanted = staged(grams(distinct.select("url")).distinct(), "wanted")
+    model = staged(ratio_model(learned, wanted), "model")
     scored = staged(scores(distinct.select("url"), model), "scores")
     both = distinct.agg(F.count_if(F.col("action") == "allow").alias("yes"),
                         F.count_if(F.col("action") == "block").alias("no")).first()

@@ -89,6 +89,24 @@ def test_scores_match_brute_force(spark):
     assert blocked and max(blocked) < min(allowed, default=float("inf"))
 
 
+def test_characters_beyond_trigrams_and_ascii_count(spark):
+    """Words in raw scripts have the same lengths in accepted and rejected URLs: only
+    the real characters tell them apart."""
+    good = ["abcabc?x=q", "новости", "天気予報"]
+    bad = ["acbacb&y:q", "игранов", "気天報予"]
+    rules = [("allow", "good.org", ""), ("block", "good.net", "")]
+    pages = [(i * 10 + k, f"http://good.{'org' if ok else 'net'}/{w}/{i}/{w}")
+             for i in range(60) for k, (w, ok) in enumerate(
+                 [(w, True) for w in good] + [(w, False) for w in bad])]
+    free = [(10_000 + k, f"http://free.info/{w}/{w}/{w}") for k, w in enumerate(good + bad)]
+    out = uf.judge(spark.createDataFrame(pages + free, "page_id long, url string"), rules)
+    found = {r.page_id - 10_000: r.url_filter.score for r in
+             out.filter("page_id >= 10000").collect()}
+    for k in range(3):
+        assert found[k] - found[k + 3] > 0.5
+    assert uf.grams(spark.createDataFrame([("http://é天", )], "url string")).count() == 2
+
+
 def test_odd_rows(spark):
     pages = spark.createDataFrame(
         [(1, None, "a"), (1, None, "a"), (None, "http://a.net/es/1", "b"), (2, "", "c"),
