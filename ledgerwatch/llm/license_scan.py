@@ -94,23 +94,84 @@ BARE = {"apache": 70, "gnu": 70, "mozilla": 70, "eclipse": 70, "creative": 70,
 #: Of these, words that need "license" after them.
 WEAK = ("mit", "bsd", "isc", "zlib")
 
+#: Texts and usual notices of licenses, which need not name them: pattern (its first
+#: word is the keyword), label, priority. Distinctive clauses only.
+NOTICES = [
+    # MIT and its kin grant all that their text does; ISC and 0BSD share a grant.
+    (r"permission is hereby granted free of charge to any person obtaining a copy of this"
+     r" (software|font software)( and associated documentation files)?", "mit", 90),
+    (r"permission is hereby granted free of charge to any person obtaining a copy of the font"
+     r" software", "ofl-1.1", 94),
+    (r"permission is hereby granted free of charge to any person or organization obtaining a copy",
+     "boost-1", 94),
+    (r"permission to use copy modify and( or)? distribute this software( and its documentation)?"
+     r" for any purpose", "isc", 88),
+    (r"redistribution and use in source and binary forms( with or without modification)?", "bsd", 88),
+    (r"redistributions (of source code|in binary form) must (retain|reproduce) the above copyright"
+     r" notice", "bsd", 84),
+    (r"neither the names? of .{1,90}? contributors may be used to endorse or promote",
+     "bsd-3-clause", 92),
+    (r"views and conclusions contained in the software and documentation are those of"
+     r" the authors", "bsd-2-clause", 86),
+    # "either version N of the License", "version N only" and notices without a version.
+    *((rf"gnu {kind}public license( {short})?( as)? published by the free software foundation"
+       rf"( inc)?( either)? version {number}( 0)?", label, 94)
+      for kind, short, number, label in (
+          ("(general|genral) ", "gpl", "2", "gpl-2"), ("(general|genral) ", "gpl", "3", "gpl-3"),
+          ("lesser general ", "lgpl", "2( 1)?", "lgpl-2.1"),
+          ("library general ", "lgpl", "2( 1)?", "lgpl-2.1"),
+          ("lesser general ", "lgpl", "3", "lgpl-3"),
+          ("affero general ", "agpl", "3", "agpl-3"))),
+    (r"gnu (general|genral) public license", "gpl", 50),
+    (r"gnu (lesser|library) general public license", "lgpl", 50),
+    (r"mozilla public license", "mpl", 50),
+    (r"eclipse public license", "epl", 50),
+    (r"apache (software )?license", "apache", 50),
+    # Titles and first lines of the licenses' own texts.
+    (r"everyone is permitted to copy and distribute verbatim copies of this license document",
+     "gnu-license-text", 80),
+    (r"everyone is permitted to copy and distribute verbatim or modified copies of this license"
+     r" document", "wtfpl", 92),
+    (r"terms and conditions for use reproduction and distribution 1 definitions", "apache-2", 90),
+    (r"unless required by applicable law or agreed to in writing software distributed under the"
+     r" license is distributed on an as is basis", "apache-2", 88),
+    (r"source code form is subject to the terms of the mozilla public license v ?2", "mpl-2", 95),
+    (r"software is provided as is without any express or implied warranty in no event will"
+     r" the authors", "zlib", 88),
+    (r"free and unencumbered software released into the public domain", "unlicense", 95),
+]
+#: What disclaims a warranty says that there is a license, not which.
+NOTICES += [
+    (r"software is provided as is (without warranty of any kind|and the author disclaims all"
+     r" warranties)", "warranty-disclaimer", 40),
+    (r"software is provided by the (copyright holders?( and contributors)?|authors?"
+     r"( and contributors)?|regents and contributors) as is", "warranty-disclaimer", 40),
+    (r"implied warranty of merchantability", "warranty-disclaimer", 40),
+]
+
 #: Traces without which neither a phrase nor a rule fits. The strings are looked for
 #: first (all of a row must occur), the expression decides.
 TRACES = [["licen"], ["spdx"], ["apache"], ["gnu"], ["gpl"], ["mozilla"], ["mpl"],
           ["epl"], ["eclipse"], ["creative"], ["bsd"], ["cc0"], ["cddl"], ["wtfpl"],
           ["expat"], ["public", "domain"], ["cc", "by"], ["under", "mit"],
-          ["governed", "mit"], ["subject", "mit"]]
+          ["governed", "mit"], ["subject", "mit"], ["permission", "granted"],
+          ["permission", "copy"], ["redistribution"], ["endorse", "promote"],
+          ["views", "conclusions"], ["everyone", "permitted"], ["warrant"],
+          ["provided", "as", "is"]]
 TRACE = (r"(?i)licen[cs]e|spdx|apache|gnu|gpl|mozilla|mpl|epl|eclipse|creative|bsd|cc0"
          rf"|cddl|wtfpl|expat|public{GAP}domain|cc{GAP}by"
+         rf"|permission{GAP}(is|to){GAP}(hereby|use)|redistributions?{GAP}(and|of|in){GAP}"
+         rf"|neither{GAP}the{GAP}names?|views{GAP}and{GAP}conclusions|everyone{GAP}is{GAP}permitted"
+         rf"|provided{GAP}(as|by)|implied{GAP}warranty"
          rf"|(under|into|by|to|of|the){GAP}mit")
 
 #: No rule covers more words than this.
-REACH = 24
+REACH = 40
 
 
 def signature_rules() -> list[tuple[str, str, str, int]]:
     """``(keyword, pattern, label, priority)`` in order of precedence: every name in
-    every wording, then the bare names. Longer names come first."""
+    every wording, then the bare names, then texts and notices. Longer names come first."""
     def spelled(name: str) -> str:
         head, mark, rest = name.replace(" ?V(", " V(").partition(" V(")
         if not mark:
@@ -133,6 +194,8 @@ def signature_rules() -> list[tuple[str, str, str, int]]:
             if re.match(rf"[(]*({first}\b|[a-z ]+[)][?]?{first}\b|[a-z]+[|]{first}\b)", name):
                 needs = "(?<=license )" if first in WEAK else ""
                 rules.append((first, f"^(?={first} )({name}) {needs}", label, priority))
+    for pattern, label, priority in NOTICES:
+        rules.append((pattern.partition(" ")[0], f"^{pattern} ", label, priority))
     return rules
 
 

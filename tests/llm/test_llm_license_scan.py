@@ -61,6 +61,35 @@ def test_table(spark):
         assert tuple(row)[1:] == brute(texts[row.doc_id])
 
 
+NOTICES = {
+    "gpl-3": """This program is free software: you can redistribute it and/or modify it under the
+        terms of the GNU General Public License as published by the Free Software Foundation, either
+        version 3 of the License, or (at your option) any later version.""",
+    "lgpl-2.1": """under the terms of the GNU Lesser General Public License as published by the
+        Free Software Foundation; either version 2.1 of the License, or any later version""",
+    "mit": """Permission is hereby granted, free of charge, to any person obtaining a copy of this
+        software and associated documentation files (the "Software"), to deal in the Software""",
+    "isc": """Permission to use, copy, modify, and/or distribute this software for any purpose with
+        or without fee is hereby granted""",
+    "bsd-3-clause": """Neither the name of the copyright holder nor the names of its contributors may
+        be used to endorse or promote products derived from this software""",
+    "bsd": """ * Redistribution and use in source and binary forms, with or without
+        * modification, are permitted provided that the following conditions are met:""",
+    "boost-1": """Permission is hereby granted, free of charge, to any person or organization
+        obtaining a copy of the software and accompanying documentation""",
+    "unlicense": "This is free and unencumbered software released into the public domain.",
+    "warranty-disclaimer": 'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND',
+    "gpl": "See the GNU General Public License for more details.",
+}
+
+
+def test_license_texts_and_notices(spark):
+    docs = spark.createDataFrame(list(NOTICES.items()), "doc_id string, text string")
+    for row in ls.license_report(docs).collect():
+        assert row.doc_id in row.labels.split(","), (row.doc_id, row.labels)
+        assert row.score > 0 and tuple(row)[1:] == brute(NOTICES[row.doc_id])
+
+
 def test_rules():
     rules = ls.signature_rules()
     assert len(rules) > 300 and len({(r[1], r[2]) for r in rules}) == len(rules)
