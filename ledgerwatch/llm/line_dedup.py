@@ -1,8 +1,8 @@
 """Repeated passages of three consecutive lines.
 
 A window is three lines that follow each other in a document (cut at ``\\n``, blank
-lines left out, white space at the ends and repeated inside ignored). The first
-window of the corpus with given lines, in order of document and place, stays; the
+lines left out, spaces, tabs and carriage returns at the ends ignored, those inside
+compared as they are). The first window of the corpus with given lines, in order of document and place, stays; the
 lines covered by any later one are removed.
 """
 
