@@ -68,4 +68,78 @@ ORACLES = {
                sha256(coalesce(rest, '')) as kept_sha256
         from d left join kept on kept.doc_id = d.doc_id
                left join counted on counted.doc_id = d.doc_id""",
+    "op11_merkle_manifest": """
+        with recursive
+        hits as (
+            select doc_id, list_reduce(
+                list_prepend(4294967295::bigint,
+                    list_transform(string_split(doc_id::varchar, ''), lambda c: ascii(c)::bigint)),
+                lambda crc, byte: list_reduce(
+                    list_prepend(xor(crc, byte), [0::bigint, 0, 0, 0, 0, 0, 0, 0]),
+                    lambda x, y: case when x & 1 = 1 then xor(x >> 1, 3988292384::bigint)
+                                   else x >> 1 end)) as crc
+            from (select distinct doc_id from documents)),
+        fields as (
+            select d.doc_id, lang, n_chars,
+                   coalesce(strlen(d.doc_id::varchar) || ':' || d.doc_id, '-')
+                   || coalesce(strlen(source) || ':' || source, '-')
+                   || coalesce(strlen(lang) || ':' || lang, '-') as head,
+                   coalesce(strlen(n_chars::varchar) || ':' || n_chars, '-') as mid,
+                   case when n_chars is null then '-' else
+                       strlen((n_chars::hugeint + 1)::varchar) || ':' || (n_chars::hugeint + 1)
+                   end as longer,
+                   coalesce(strlen(text) || ':' || text, '-') as tail,
+                   xor(crc, 4294967295::bigint) % 7 = 0 as hit
+            from documents d left join hits on hits.doc_id = d.doc_id),
+        leaves as (
+            select *, row_number() over (partition by lang order by doc_id nulls first, leaf) - 1
+                      as pos
+            from (select doc_id, lang, sha256(head || mid || tail) as leaf,
+                         case when hit then sha256(head || longer || tail) end as other
+                  from fields)),
+        langs as (
+            select lang, count(*) as n, row_number() over (order by lang nulls first) - 1 as place
+            from leaves group by lang),
+        low as (
+            select place, 0 as lvl, pos, leaf as node, n
+            from leaves join langs on langs.lang is not distinct from leaves.lang
+            union all
+            select place, any_value(lvl) + 1, pos // 2, sha256(string_agg(node, '' order by pos)),
+                   (any_value(n) + 1) // 2
+            from low where n > 1 group by place, pos // 2),
+        high as (
+            select 0 as lvl, place as pos, node, (select count(*) from langs) as n
+            from low where n = 1
+            union all
+            select any_value(lvl) + 1, pos // 2, sha256(string_agg(node, '' order by pos)),
+                   (any_value(n) + 1) // 2
+            from high where n > 1 group by pos // 2),
+        climb as (
+            select doc_id, leaf, place, 0 as stage, 0 as lvl, pos, n, langs.place as home,
+                   coalesce(other, leaf) as node, '' as proof
+            from leaves join langs on langs.lang is not distinct from leaves.lang
+            union all
+            select c.doc_id, c.leaf, c.place,
+                   case when c.n = 1 then 1 else c.stage end,
+                   case when c.n = 1 then 0 else c.lvl + 1 end,
+                   case when c.n = 1 then c.home else c.pos // 2 end,
+                   case when c.n = 1 then (select count(*) from langs) else (c.n + 1) // 2 end,
+                   c.home,
+                   case when c.n = 1 then c.node
+                        when c.pos % 2 = 1 then sha256(s.node || c.node)
+                        else sha256(c.node || coalesce(s.node, '')) end,
+                   c.proof || coalesce(s.node, '')
+            from climb c left join (
+                select 0 as stage, place, lvl, pos, node from low
+                union all select 1, null, lvl, pos, node from high) s
+                on c.n > 1 and s.stage = c.stage and s.lvl = c.lvl
+                   and s.pos = xor(c.pos, 1::bigint)
+                   and (c.stage = 1 or s.place = c.place)
+            where c.stage = 0 or c.n > 1)
+        select doc_id, leaf, sub.node as subroot, root.node as root,
+               sha256(proof) as proof_sha256, climb.node as folded_root,
+               climb.node = root.node as verified
+        from climb join low sub on sub.place = climb.home and sub.n = 1
+             join high root on root.n = 1
+        where climb.stage = 1 and climb.n = 1""",
 }
