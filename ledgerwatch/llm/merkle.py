@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ranked, staged
+from .common import partitions, ranked, staged
 
 #: Nodes that one task appends; a power of two.
 BLOCK_BITS = 12
@@ -90,7 +90,7 @@ def _appended(nodes: DataFrame) -> DataFrame:
     """One round: every block of ``nodes`` (``tree``, ``place``, ``node``) streamed into
     a frontier. Adds ``block``, the witness up to the block's root, and that root as
     ``top``. A tree's only block is as high as its leaves ask for."""
-    sizes = nodes.groupBy("tree").agg(F.count("*").alias("size"))
+    sizes = staged(nodes.groupBy("tree").agg(F.count("*").alias("size")), "sizes")
     dealt = nodes.join(sizes, "tree").withColumn("block", F.shiftright("place", BLOCK_BITS))
     more = "lefts array<string>, rights array<string>, top string"
     columns = [c for c in dealt.columns if c != "size"]
@@ -104,7 +104,9 @@ def _appended(nodes: DataFrame) -> DataFrame:
         top = frontier.close(BLOCK_BITS if size > BLOCK else (size - 1).bit_length())
         return rows[columns].assign(lefts=frontier.lefts, rights=frontier.rights, top=top)
 
-    return staged(dealt.groupBy("tree", "block").applyInPandas(append, f"{schema}, {more}"),
+    # Dealt by both keys: the join alone would leave a tree's blocks in one task.
+    spread = dealt.repartition(partitions(nodes.sparkSession), "tree", "block")
+    return staged(spread.groupBy("tree", "block").applyInPandas(append, f"{schema}, {more}"),
                   "blocks")
 
 

@@ -142,4 +142,40 @@ ORACLES = {
         from climb join low sub on sub.place = climb.home and sub.n = 1
              join high root on root.n = 1
         where climb.stage = 1 and climb.n = 1""",
+    "op12_collocations": r"""
+        with p as (
+            select row_number() over () as piece, lang, w
+            from (
+                select coalesce(lang, 'und') as lang, unnest(string_split_regex(
+                    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                    '[.,;:!?\n\x0B\f\r]')) as t
+                from documents where text is not null)
+            cross join lateral (select regexp_extract_all(t, '[^ \t]+') as w)),
+        n as (select lang, sum(len(w))::bigint as n from p group by lang),
+        c as (
+            select lang, m, array_to_string(w[i:i + m - 1], ' ') as phrase, count(*) as f
+            from p, unnest([1, 2, 3, 4]) as s(m), unnest(range(1, len(w) - m + 2)) as u(i)
+            group by all having count(*) >= 30),
+        x as (select *, string_split(phrase, ' ') as w from c where m > 1),
+        cuts as (
+            select x.lang, x.phrase, x.f as a, k, h.f as l, t.f as r,
+                   (2000000::hugeint * x.f // (h.f + t.f))::bigint as score
+            from x, unnest(range(1, m)) as u(k)
+            join c h on h.lang = x.lang and h.phrase = array_to_string(w[:k], ' ')
+            join c t on t.lang = x.lang and t.phrase = array_to_string(w[k + 1:], ' ')),
+        best as (
+            select * from cuts
+            qualify row_number() over (partition by lang, phrase order by score, k) = 1),
+        inside as (
+            select lang, array_to_string(w[i:i + s - 1], ' ') as phrase, max(f) as longest
+            from x, unnest(range(2, m)) as v(s), unnest(range(1, m - s + 2)) as u(i)
+            group by all),
+        ranked as (
+            select best.*, row_number() over (
+                partition by best.lang order by score desc, a desc, best.phrase) as rank
+            from best left join inside
+                on inside.lang = best.lang and inside.phrase = best.phrase
+            where longest is null or 100::hugeint * longest < 80::hugeint * a)
+        select ranked.lang, rank, phrase, a, l, r, n, score
+        from ranked join n on n.lang = ranked.lang where rank <= 2000""",
 }

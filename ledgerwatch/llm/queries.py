@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (latent, license_scan, line_dedup, merkle, mixing, quality, sharding, simhash,
+from . import (collocations, latent, license_scan, line_dedup, merkle, mixing, quality, sharding, simhash,
                suffix_dedup, token_files, url_filter)
 from .oracles import ORACLES
 
@@ -48,4 +48,5 @@ QUERIES = {
     "op9_license_scan": _over("documents", license_scan.license_report),
     "op10_sharding": _over("documents", sharding.shard_report),
     "op11_merkle_manifest": _over("documents", merkle.manifest_report),
+    "op12_collocations": _over("documents", collocations.collocation_report),
 }
