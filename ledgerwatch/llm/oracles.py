@@ -178,4 +178,39 @@ ORACLES = {
             where longest is null or 100::hugeint * longest < 80::hugeint * a)
         select ranked.lang, rank, phrase, a, l, r, n, score
         from ranked join n on n.lang = ranked.lang where rank <= 2000""",
+    "op13_minhash": r"""
+        with recursive
+        d as (
+            select doc_id, regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^ \t\n\x0B\f\r]+') as w
+            from documents),
+        s as (
+            select doc_id, list_distinct(case
+                when coalesce(len(w), 0) = 0 then [] when len(w) = 1 then w
+                else list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])
+                end) as set
+            from d),
+        sets as (select set, any_value(doc_id) as id, min(doc_id) as least, len(set) as n
+                 from (select doc_id, list_sort(set) as set from s where len(set) > 0)
+                 group by set),
+        t as (select id, n, unnest(set) as token from sets),
+        pairs as (
+            select a.id as a, b.id as b
+            from t a join t b on a.token = b.token and a.id < b.id
+                 and 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
+            group by a.id, b.id, a.n, b.n
+            having 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+        edges as (select a, b from pairs union select b, a from pairs),
+        reach as (
+            select id as node, id as other from sets
+            union
+            select reach.node, edges.b from reach join edges on edges.a = reach.other),
+        comp as (
+            select node, min(least) as component_id
+            from reach join sets on sets.id = reach.other group by node)
+        select s.doc_id, len(s.set) as n_shingles,
+               coalesce(component_id, s.doc_id) as component_id,
+               s.doc_id is not distinct from coalesce(component_id, s.doc_id) as kept
+        from s left join sets on sets.set = list_sort(s.set) left join comp on comp.node = sets.id""",
 }

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (collocations, latent, license_scan, line_dedup, merkle, mixing, quality, sharding, simhash,
+from . import (chosen_path, collocations, latent, license_scan, line_dedup, merkle, mixing, quality, sharding, simhash,
                suffix_dedup, token_files, url_filter)
 from .oracles import ORACLES
 
@@ -49,4 +49,5 @@ QUERIES = {
     "op10_sharding": _over("documents", sharding.shard_report),
     "op11_merkle_manifest": _over("documents", merkle.manifest_report),
     "op12_collocations": _over("documents", collocations.collocation_report),
+    "op13_minhash": _over("documents", chosen_path.similar_report),
 }
