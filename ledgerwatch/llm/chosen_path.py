@@ -32,10 +32,10 @@ FUNCTIONS = 64
 #: A pair is looked at if this many of its functions agree. At a similarity of 0.8 the
 #: number is binomial, and smaller with a probability below 1e-7.
 AGREE = 34
-#: Nodes of up to this many sets are compared exhaustively, as are larger ones (up to
-#: CELL) that have few pairs left for each of their sets.
+#: Nodes of up to this many sets are compared exhaustively, as are those of up to CELL
+#: sets that their pivots do not connect.
 LEAF = 48
-CELL = 4096
+CELL = 2048
 PIVOTS = 4
 #: Levels after which nodes are compared whatever their size, cut into cells.
 DEPTH = 12
@@ -114,11 +114,11 @@ SETS = ("doc_id long, tokens array<long>, n long, high long, low long, signature
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     import xxhash
     known = _Hashes()
-    for batch in batches:
+    for batch in (b.slice(i, 1024) for b in batches for i in range(0, b.num_rows, 1024)):
         sets = []
         for text in batch.column("text").cast(pa.binary()):
             sets.append(shingles(text.as_py(), known))
-            if len(known) > 1_000_000:
+            if len(known) > 1 << 18:
                 known.clear()
         sizes = np.array([len(x) for x in sets], dtype=np.int64)
         keys = np.frombuffer(b"".join(xxhash.xxh3_128_digest(x.tobytes()) for x in sets),
@@ -327,12 +327,10 @@ def similar_sets(sets: DataFrame, ids: DataFrame, count: int | None = None) -> D
 
         # What is left of the large nodes: pairs of different roots.
         large = staged(_rooted(large.drop("root"), roots), "large")
-        same = large.groupBy("node", "size", "root").agg(F.count("*").alias("n"))
-        left = (same.groupBy("node", "size").agg(F.sum(F.col("n") * F.col("n")).alias("inside"))
-                .withColumn("open", (F.col("size") * F.col("size") - F.col("inside")) / 2)
-                .filter("open > 0"))
-        few = (F.col("size") <= CELL) & (F.col("open") <= F.col("size") * LEAF)
-        left = staged(left.select("node", (few | F.lit(level == DEPTH)).alias("few")), "left")
+        few = (F.col("size") <= CELL) | F.lit(level == DEPTH)
+        left = staged(large.groupBy("node", "size").agg(F.min("root").alias("a"),
+                                                        F.max("root").alias("b"))
+                      .filter("a <> b").select("node", few.alias("few")), "left")
         finish = large.join(left.filter("few").select("node"), "node", "left_semi")
         roots = _connected(_exhaustive(finish), sets, roots)
         going = large.join(left.filter("not few").select("node"), "node", "left_semi")
