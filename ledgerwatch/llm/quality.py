@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from .common import staged
+from .common import small, staged
 
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
@@ -44,7 +44,7 @@ DELTA = 0.05
 PENALTY = 20
 
 #: Words handled at once in a task.
-BATCH_WORDS = 2_000_000
+BATCH_WORDS = 500_000
 
 
 def _repeated(words: list[list[bytes]]) -> np.ndarray:
@@ -98,13 +98,14 @@ def text_metrics(texts: list[str | None]) -> pd.DataFrame:
 
 
 def measured(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` with a struct ``metrics`` of METRICS. Only the text goes to Python."""
+    """``docs`` with a struct ``metrics`` of METRICS. Only the text goes to Python, once:
+    a function that counts as not deterministic is not copied below joins and filters."""
     @pandas_udf(", ".join(f"{m} long" for m in METRICS))
     def metrics(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             yield text_metrics(batch.tolist())
 
-    return docs.withColumn("metrics", metrics(F.col(text)))
+    return docs.withColumn("metrics", metrics.asNondeterministic()(F.col(text)))
 
 
 def base_failed() -> Column:
@@ -194,7 +195,7 @@ def judged(values: DataFrame, rules: DataFrame, stratum: str, out: str = "qualit
         F.map_from_entries(F.collect_list(F.struct("feature", "cutoff"))).alias("__lw_cut")),
         "rules")
     joined = values.join(
-        spread, F.col(stratum).cast("string").eqNullSafe(F.col("__lw_stratum")), "left")
+        small(spread), F.col(stratum).cast("string").eqNullSafe(F.col("__lw_stratum")), "left")
     over = F.array_compact(F.array(*[
         F.when(F.expr(e) > F.element_at("__lw_cut", F.lit(name)), F.lit(name))
         for name, e in FEATURES.items()]))
@@ -208,11 +209,12 @@ def judged(values: DataFrame, rules: DataFrame, stratum: str, out: str = "qualit
 
 def learned_rules(docs: DataFrame, labels: DataFrame, stratum: str = "lang") -> DataFrame:
     """Thresholds from the labelled documents among ``docs``, all of them."""
-    wanted = labels.filter("quality is not null").select(
-        F.col("doc_id").alias("__lw_id")).distinct()
+    wanted = staged(labels.filter("quality is not null").select(
+        F.col("doc_id").alias("__lw_id")).distinct(), "labelled")
     labelled = docs.select("doc_id", stratum, "text").join(
-        wanted, F.col("doc_id") == F.col("__lw_id"), "left_semi")
-    return staged(thresholds(measured(labelled), labels, stratum), "thresholds")
+        small(wanted), F.col("doc_id") == F.col("__lw_id"), "left_semi")
+    values = staged(measured(labelled).drop("text"), "metrics")
+    return staged(thresholds(values, labels, stratum), "thresholds")
 
 
 def good_documents(docs: DataFrame, labels: DataFrame, stratum: str = "lang") -> DataFrame:

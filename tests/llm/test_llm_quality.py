@@ -90,3 +90,11 @@ def test_odd_rows(spark):
     assert sorted(r.doc_id or 0 for r in kept.collect()) == [0, 1, 1, 1, 5, 6, 8, 9]
     assert q.quality_report(docs, labels(spark)).count() == 15
     assert q.quality_report(empty_documents(spark), labels(spark)).count() == 0
+
+
+def test_texts_go_to_python_once(spark, capsys):
+    docs = table(spark, "documents")
+    q.good_documents(docs, table(spark, "labels")).explain("formatted")
+    plan = capsys.readouterr().out.split("\n\n")[0]
+    assert plan.count("ArrowEvalPython") == 1
+    assert "SortMergeJoin" not in plan and "Exchange hash" not in plan
