@@ -43,6 +43,14 @@ BLOCKS = ("part int, block int, first_token long, n_tokens long, doc_ids array<l
 #: White space beside a space, where pieces cannot be told by that space.
 _UNEVEN = re.compile(r"\s | \s|^ | $")
 _CUTS = re.compile(r"(?<=\S)(?= \S)")
+_ASCII_WHITE = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f"
+
+
+def _uneven(text: str) -> bool:
+    if not text.isascii():
+        return _UNEVEN.search(text) is not None
+    return (text[:1] == " " or text[-1:] == " " or "  " in text
+            or any(c in text and (c + " " in text or " " + c in text) for c in _ASCII_WHITE))
 
 
 class Encoder:
@@ -87,36 +95,45 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian ids (``kind``) of each text."""
-        plans: list[tuple[str, list[str]] | None] = []
+        known = self.known
+        if len(known) > KNOWN:
+            known.clear()
+        plans: list[tuple[str, list[str], list[bytes | None]] | None] = []
         wanted: set[str] = set()
         for text in texts:
             if not self.in_pieces or any(a in text for a in self.added):
                 plans.append(None)
                 continue
-            if _UNEVEN.search(text):
+            if _uneven(text):
                 head, *rest = _CUTS.split(text)
                 rest = [x[1:] for x in rest]
             else:
                 head, *rest = text.split(" ")
-            plans.append((head, rest))
-            wanted.update(rest)
-        known = self.known
-        if len(known) > KNOWN:
-            known.clear()
+            found = list(map(known.get, rest))
+            if None in found:
+                wanted.update(x for x, ids in zip(rest, found, strict=True) if ids is None)
+            plans.append((head, rest, found))
         once: dict[str, bytes] = {}
-        missing = [x for x in wanted if x not in known]
-        blank = [x for x in missing if x[0].isspace() or x[-1].isspace()]
+        blank = [x for x in wanted if x[0].isspace() or x[-1].isspace()]
         once.update(zip(blank, self._whole([" " + x for x in blank]), strict=True))
-        missing = [x for x in missing if x not in once]
+        missing = [x for x in wanted if x not in once]
         for i in range(0, len(missing), 5_000):
             some = missing[i:i + 5_000]
             for piece, ids in zip(some, self._pieces(some), strict=True):
-                (known if len(piece) <= KNOWN_LENGTH else once)[piece] = ids
-        if once:
-            known = known | once
+                once[piece] = ids
+                if len(piece) <= KNOWN_LENGTH:
+                    known[piece] = ids
         heads = iter(self._whole([p[0] if p else t for p, t in zip(plans, texts, strict=True)]))
-        return [next(heads) if plan is None
-                else next(heads) + b"".join([known[x] for x in plan[1]]) for plan in plans]
+        out = []
+        for plan in plans:
+            parts = [next(heads)]
+            if plan is not None:
+                _, rest, found = plan
+                parts += (found if None not in found else
+                          [once[x] if ids is None else ids
+                           for x, ids in zip(rest, found, strict=True)])
+            out.append(b"".join(parts))
+        return out
 
 
 def _encoder(spec: str) -> Encoder:
