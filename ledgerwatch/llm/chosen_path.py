@@ -30,13 +30,11 @@ PERCENT = 80
 #: Minwise functions of a set.
 FUNCTIONS = 64
 #: A pair is looked at if this many of its functions agree. At a similarity of 0.8 the
-#: number is binomial, and smaller with a probability below 1e-7.
-AGREE = 34
-#: Nodes of up to this many sets are compared exhaustively, as are those of up to CELL
-#: sets that their pivots do not connect.
-LEAF = 48
+#: number is binomial, and smaller with a probability below 1e-3; above 0.85, 1e-5.
+AGREE = 41
+#: Nodes of up to this many sets are compared exhaustively, larger ones go on.
 CELL = 2048
-PIVOTS = 4
+PIVOTS = 3
 #: Levels after which nodes are compared whatever their size, cut into cells.
 DEPTH = 12
 #: Chance that a pair at the threshold meets in a small node of one of the trees.
@@ -237,21 +235,9 @@ def _merged(roots: DataFrame | None, links: DataFrame) -> DataFrame:
 
 
 def _connected(pairs: DataFrame, sets: DataFrame, roots: DataFrame | None) -> DataFrame | None:
-    """The roots after all candidate ``pairs`` were looked at. Each id is first compared
-    with one partner; that connects most, and only pairs still apart are compared then."""
-    pairs = staged(pairs.distinct(), "pairs")
-    if pairs.isEmpty():
-        return roots
-    first = staged(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "first")
-    roots = _merged(roots, staged(_alike(first, sets), "links"))
-    others = pairs.join(first, ["a", "b"], "left_anti")
-    for side in ("a", "b"):
-        others = _rooted(others.withColumnRenamed(side, "id"), roots).withColumnsRenamed(
-            {"id": side, "root": f"root_{side}"})
-    rest = staged(others.filter("root_a <> root_b").select("a", "b"), "rest")
-    if rest.isEmpty():
-        return roots
-    return _merged(roots, staged(_alike(rest, sets), "links"))
+    """The roots after all candidate ``pairs`` were looked at."""
+    links = staged(_alike(staged(pairs.distinct(), "pairs"), sets), "links")
+    return roots if links.isEmpty() else _merged(roots, links)
 
 
 def _pivots(large: DataFrame) -> DataFrame:
@@ -304,38 +290,35 @@ def similar_sets(sets: DataFrame, ids: DataFrame, count: int | None = None) -> D
 
     Rows of a level are small (a node, an id) until their node has another set; then they
     get the sketch. Nodes are hashes of paths, so a large one is only ever joined by id or
-    cut into cells. Every level is staged; its links are confirmed on whole sets before
-    the next one begins.
+    cut into cells. Every level is staged; what its large nodes' pivots connect is
+    confirmed on whole sets before the next one begins.
     """
     count = count or trees()
     start = (sets.select("id", "signature").join(small(ids.select("id")), "id", "left_semi")
              .withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(count - 1))))
              .withColumn("node", F.col("tree").cast("long")))
     rows, roots = staged(_children(start, 0), "level"), None
+    compared = rows.select("node", F.lit(0).cast("long").alias("size"), "id",
+                           F.lit(None).cast("binary").alias("sketch")).limit(0)
     for level in range(1, DEPTH + 1):
         sizes = staged(rows.groupBy("node").agg(F.count("*").alias("size")).filter("size > 1"),
                        "sizes")
-        if sizes.isEmpty():
+        rows = staged(rows.join(sizes, "node").join(sets.select("id", "sketch"), "id"), "members")
+        ready = rows if level == DEPTH else rows.filter(F.col("size") <= CELL)
+        compared = compared.unionByName(ready.select(*compared.columns))
+        large = rows.filter(F.col("size") > CELL)
+        if level == DEPTH or large.isEmpty():
             break
-        rows = _rooted(rows.join(sizes, "node"), roots)
-        rows = staged(rows.join(sets.select("id", "sketch"), "id"), "members")
-        leaves, large = rows.filter(F.col("size") <= LEAF), rows.filter(F.col("size") > LEAF)
-        if large.isEmpty():
-            roots = _connected(_exhaustive(leaves), sets, roots)
-            break
-        roots = _connected(_exhaustive(leaves).unionByName(_near_pivots(large)), sets, roots)
-
-        # What is left of the large nodes: pairs of different roots.
-        large = staged(_rooted(large.drop("root"), roots), "large")
-        few = (F.col("size") <= CELL) | F.lit(level == DEPTH)
-        left = staged(large.groupBy("node", "size").agg(F.min("root").alias("a"),
-                                                        F.max("root").alias("b"))
-                      .filter("a <> b").select("node", few.alias("few")), "left")
-        finish = large.join(left.filter("few").select("node"), "node", "left_semi")
-        roots = _connected(_exhaustive(finish), sets, roots)
-        going = large.join(left.filter("not few").select("node"), "node", "left_semi")
-        rows = staged(_children(going.select("tree", "node", "id").join(
-            sets.select("id", "signature"), "id"), level), "level")
+        roots = _connected(_near_pivots(_rooted(large, roots)), sets, roots)
+        large = staged(_rooted(large, roots), "large")
+        apart = staged(large.groupBy("node").agg(F.min("root").alias("a"), F.max("root").alias("b"))
+                       .filter("a <> b").select("node"), "apart")
+        going = large.join(apart, "node", "left_semi").select("tree", "node", "id")
+        rows = staged(_children(going.join(sets.select("id", "signature"), "id"), level), "level")
+    # Each set with the pivots of its nodes; that connects most of what is alike. All other
+    # pairs are compared only where they are still apart.
+    roots = _connected(_near_pivots(_rooted(compared, roots)), sets, roots)
+    roots = _connected(_exhaustive(_rooted(compared, roots)), sets, roots)
     if roots is None:
         return ids.select(F.col("id").alias("of"), F.col("id").alias("to")).limit(0)
     return roots

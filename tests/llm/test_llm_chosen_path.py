@@ -58,7 +58,6 @@ def family(rng, base, share, n):
 
 def test_families_chains_and_large_nodes(spark, monkeypatch):
     """Nodes are large, cut into cells, and hold sets just below and above the threshold."""
-    monkeypatch.setattr(cp, "LEAF", 6)
     monkeypatch.setattr(cp, "CELL", 25)
     monkeypatch.setattr(cp, "SLAB", 50)
     rng = random.Random(3)
