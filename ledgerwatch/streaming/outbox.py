@@ -19,13 +19,15 @@ from ..operators import metrics
 from ..operators import outbox as ob
 from ..operators.joins import lookup_join
 from ..operators.reference import latest_per_key
-from . import runner
+from . import manifest, runner
 
 TRANSACTIONS = "transactions"
 OUTBOX = "outbox"
 REJECTED = "rejected"
 RESULTS = "results"
-RELAYED = "relayed"
+FOLDED = "results_folded"
+#: Passes after which their results are folded.
+FOLD_EVERY = 64
 ACCEPT_COUNTERS = "accept_counters"
 RELAY_COUNTERS = "relay_counters"
 
@@ -60,16 +62,24 @@ def start_accept(requests: DataFrame, accounts: Callable[[SparkSession], DataFra
     return runner.run_stream(requests, handle, checkpoint, every=every)
 
 
-def _state(spark: SparkSession, tables: str) -> tuple[int, int, DataFrame | None,
+def _results(spark: SparkSession, tables: str, state: dict) -> DataFrame | None:
+    """Results of all committed passes: of those since the last fold, and the fold with
+    the number of the pass it was made after."""
+    parts = [runner.read_batches(spark, f"{tables}/{RESULTS}", state.get("passes", []))]
+    if state.get("fold"):
+        parts.append(spark.read.parquet(f"{tables}/{state['fold']}").withColumn(
+            runner.BATCH, F.lit(state["folded"])))
+    parts = [p for p in parts if p is not None]
+    return reduce(DataFrame.unionByName, parts) if parts else None
+
+
+def _state(spark: SparkSession, tables: str) -> tuple[int, dict, DataFrame | None,
                                                       DataFrame | None]:
-    """Last finished pass; first accepted batch with rows never tried; those rows, with
-    their batch as ``accepted``; results of all finished passes."""
-    passes = runner.versions(spark, f"{tables}/{RELAYED}")
-    last = passes[-1] if passes else -1
-    low = runner.read_batch(spark, f"{tables}/{RELAYED}", last).first()["low"] if passes else 0
-    results = runner.read_batches(
-        spark, f"{tables}/{RESULTS}",
-        [v for v in runner.versions(spark, f"{tables}/{RESULTS}") if v <= last])
+    """Number and content of the last commit; accepted rows never tried, with their batch
+    as ``accepted``; results of all committed passes."""
+    commit, state = manifest.latest(spark, tables)
+    low = state.get("low", 0)
+    results = _results(spark, tables, state)
     accepted = [v for v in runner.versions(spark, f"{tables}/{OUTBOX}") if v >= low]
     untried = runner.read_batches(spark, f"{tables}/{OUTBOX}", accepted)
     if untried is not None:
@@ -77,7 +87,7 @@ def _state(spark: SparkSession, tables: str) -> tuple[int, int, DataFrame | None
         if results is not None:
             tried = results.filter(F.col("accepted") >= low).select("id")
             untried = lookup_join(untried, tried, "id", "left_anti")
-    return last, low, untried, results
+    return commit, state, untried, results
 
 
 def _failed(results: DataFrame) -> DataFrame:
@@ -88,7 +98,7 @@ def _failed(results: DataFrame) -> DataFrame:
 
 def current_outbox(spark: SparkSession, tables: str) -> DataFrame | None:
     """All outbox rows as they are now; none before the first request."""
-    _, _, untried, results = _state(spark, tables)
+    untried, results = _state(spark, tables)[2:]
     parts = []
     if untried is not None:
         parts.append(untried.drop("accepted"))
@@ -106,7 +116,7 @@ def untried_left(spark: SparkSession, tables: str) -> bool:
 
 def relay(spark: SparkSession, tables: str, publish: Callable[[DataFrame, int], None],
           limit: int | None = ob.BATCH, now: Column | None = None,
-          manual_last: bool = False) -> DataFrame | None:
+          manual_last: bool = False, fold_every: int = FOLD_EVERY) -> DataFrame | None:
     """One pass: take the oldest pending rows, publish, record the results.
 
     ``publish`` gets ``id, topic, key, value, created_at`` rows, those of a key in one
@@ -115,11 +125,12 @@ def relay(spark: SparkSession, tables: str, publish: Callable[[DataFrame, int],
     pending. With ``manual_last``, rows that failed too often wait until no other is
     pending, instead of holding up what came later.
 
-    A pass writes the rows it tried and nothing else. It is finished by its last write;
+    A pass writes the rows it tried and nothing else. It is finished by its commit;
     one that dies before runs again under its number: at least once. It reads the
     accepted batches from the first with untried rows on, and the rows that ever failed.
+    After ``fold_every`` passes their results are folded into one part.
     """
-    last, low, untried, results = _state(spark, tables)
+    commit, state, untried, results = _state(spark, tables)
     parts = [] if untried is None else [
         untried.withColumn("needs_manual", F.lit(False))]
     if results is not None:
@@ -127,7 +138,7 @@ def relay(spark: SparkSession, tables: str, publish: Callable[[DataFrame, int],
     if not parts:
         return None
     backlog = reduce(DataFrame.unionByName, parts)
-    number = last + 1
+    number, low = state.get("last", -1) + 1, state.get("low", 0)
     first = ["needs_manual"] if manual_last else []
     batch = runner.staged(ob.outbox_pending(backlog, limit, first), f"{tables}/relay", number)
     if batch.isEmpty():
@@ -149,25 +160,42 @@ def relay(spark: SparkSession, tables: str, publish: Callable[[DataFrame, int],
         known = runner.versions(spark, f"{tables}/{OUTBOX}")[-1]
         lowest = left.agg(F.min("accepted")).first()[0]
         low = known + 1 if lowest is None else lowest
-    runner.write_batch(spark.range(1).select(F.lit(low).cast("long").alias("low")),
-                       f"{tables}/{RELAYED}", number)
-    runner.remove_before(spark, f"{tables}/{RELAYED}", number - 1)
+    passes = [*state.get("passes", []), number]
+    manifest.commit(spark, tables, commit + 1,
+                    {**state, "last": number, "low": low, "passes": passes})
+    if len(passes) >= fold_every:
+        _fold(spark, tables, lambda rows: rows)
     return tried.drop("accepted")
 
 
+def _fold(spark: SparkSession, tables: str,
+          keep: Callable[[DataFrame], DataFrame]) -> None:
+    """The results as one new part with what ``keep`` leaves of them, committed; then what
+    no commit names any more goes. Dying before the commit leaves the state as it was,
+    dying after it leaves parts for the next fold to remove."""
+    commit, state, _, results = _state(spark, tables)
+    if results is None:
+        return
+    part = manifest.new_part(FOLDED)
+    last_state = latest_per_key(results, "id", runner.BATCH).drop(runner.BATCH)
+    keep(last_state).write.parquet(f"{tables}/{part}")
+    manifest.commit(spark, tables, commit + 1, {
+        **state, "passes": [], "fold": part, "folded": state["last"]})
+    for number in runner.versions(spark, f"{tables}/{RESULTS}"):
+        if number <= state["last"]:
+            runner.remove(spark, f"{tables}/{RESULTS}/{runner.BATCH}={number}")
+    for name in runner.children(spark, f"{tables}/{FOLDED}"):
+        if f"{FOLDED}/{name}" != part:
+            runner.remove(spark, f"{tables}/{FOLDED}/{name}")
+    runner.remove_before(spark, f"{tables}/{OUTBOX}", state["low"])
+
+
 def retain(spark: SparkSession, tables: str, now: Column, keep: str = ob.KEEP) -> None:
     """Fold the results of all finished passes into one part: the last state of each
     row, without those published longer than ``keep`` ago (OP10). Accepted batches
     that were tried as a whole go, as soon as their results are folded.
 
-    The fold takes the number of the last pass, so a reader sees either the old parts or
-    the fold; run it between passes.
+    The commit names either the old parts or the fold. Old parts are removed after it, so
+    run it between passes.
     """
-    last, low, _, results = _state(spark, tables)
-    if results is None:
-        return
-    folded = latest_per_key(results, "id", runner.BATCH).drop(runner.BATCH)
-    staged = runner.stored(ob.outbox_retain(folded, now, keep), f"{tables}/fold", last)
-    runner.write_batch(staged, f"{tables}/{RESULTS}", last)
-    runner.remove_before(spark, f"{tables}/{RESULTS}", last)
-    runner.remove_before(spark, f"{tables}/{OUTBOX}", low)
+    _fold(spark, tables, lambda rows: ob.outbox_retain(rows, now, keep))

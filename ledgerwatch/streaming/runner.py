@@ -83,6 +83,30 @@ def remove(spark: SparkSession, path: str) -> None:
     system.delete(target, True)
 
 
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file as text."""
+    system, target = _files(spark, path)
+    stream = system.open(target)
+    try:
+        return bytes(spark._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode()
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    system, target = _files(spark, path)
+    stream = system.create(target, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+
+
+def rename(spark: SparkSession, old: str, new: str) -> bool:
+    system, source = _files(spark, old)
+    return system.rename(source, _files(spark, new)[1])
+
+
 def write_batch(df: DataFrame, folder: str, batch_id: int) -> None:
     """Write a micro-batch as its own part of a table, replacing an earlier try."""
     df.write.mode("overwrite").parquet(f"{folder}/{BATCH}={batch_id}")

@@ -1,7 +1,9 @@
+import shutil
 from datetime import datetime, timedelta
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from helpers import A1, DAY, accounts, rows, uid
@@ -10,7 +12,7 @@ from ledgerwatch.functions import wire
 from ledgerwatch.operators import outbox as ob
 from ledgerwatch.sources import codecs
 from ledgerwatch.streaming import outbox as job
-from ledgerwatch.streaming import runner
+from ledgerwatch.streaming import manifest, runner
 
 def now():
     return F.lit(datetime(2024, 3, 20)).cast("timestamp")
@@ -154,7 +156,10 @@ def test_relay_through_an_outage(spark, tmp_path):
     for n in runner.versions(spark, f"{work}/{job.RESULTS}"):
         assert runner.read_batch(spark, f"{work}/{job.RESULTS}", n).count() <= 100
     job.retain(spark, work, now())
-    assert runner.versions(spark, f"{work}/{job.RESULTS}") == [8]
+    state = manifest.latest(spark, work)[1]
+    assert state["passes"] == [] and state["folded"] == 8
+    assert runner.versions(spark, f"{work}/{job.RESULTS}") == []
+    assert len(runner.children(spark, f"{work}/{job.FOLDED}")) == 1
     assert runner.versions(spark, f"{work}/{job.OUTBOX}") == [1]
     assert rows(job.current_outbox(spark, work).filter("published"), "id") == [
         (g,) for g in good]
@@ -198,14 +203,11 @@ def test_rows_that_failed_too_often_go_last(spark, tmp_path):
 def test_unfinished_pass_runs_again(spark, tmp_path, monkeypatch):
     work, published = str(tmp_path), []
     runner.write_batch(box(spark, [pending(n) for n in range(5)]), f"{work}/{job.OUTBOX}", 0)
-    real = runner.write_batch
 
-    def dies(df, folder, number):
-        if folder.endswith(job.RELAYED):
-            raise RuntimeError("lost")
-        real(df, folder, number)
+    def dies(*args):
+        raise RuntimeError("lost")
 
-    monkeypatch.setattr(runner, "write_batch", dies)
+    monkeypatch.setattr(manifest, "commit", dies)
     with pytest.raises(RuntimeError):
         job.relay(spark, work, lambda r, n: published.append(r.count()), now=now())
     monkeypatch.undo()
@@ -221,3 +223,85 @@ def test_pending_filter_reaches_the_scan(spark, tmp_path, capsys):
     plan = capsys.readouterr().out
     assert "published" in plan.split("PushedFilters: ")[1].split("]")[0]
     assert "TakeOrderedAndProject" in plan
+
+
+class Killed(RuntimeError):
+    pass
+
+
+def killed_at(monkeypatch, step):
+    """Let the process die in its ``step``-th write, commit or removal: a write that
+    replaces something has already removed it by then."""
+    left = [step]
+
+    def dying(real, before=lambda *a: None):
+        def call(*args, **kwargs):
+            left[0] -= 1
+            if left[0] == 0:
+                before(*args)
+                raise Killed
+            return real(*args, **kwargs)
+        return call
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", dying(
+        DataFrameWriter.parquet, lambda writer, path: shutil.rmtree(path, ignore_errors=True)))
+    monkeypatch.setattr(runner, "write_text", dying(runner.write_text))
+    monkeypatch.setattr(runner, "rename", dying(runner.rename))
+    monkeypatch.setattr(runner, "remove", dying(runner.remove))
+
+
+def test_no_row_is_lost_wherever_a_job_dies(spark, tmp_path, monkeypatch):
+    """Relay, fold and retention killed at each of their steps in turn: every row is found
+    again, and after another run the state is that of jobs which never died."""
+    def down(records, number):
+        raise RuntimeError("broker down")
+
+    def start(work):
+        runner.write_batch(box(spark, [pending(n) for n in range(6)]), f"{work}/{job.OUTBOX}", 0)
+        job.relay(spark, work, down, limit=4, now=now())
+        runner.write_batch(box(spark, [pending(n) for n in range(6, 9)]),
+                           f"{work}/{job.OUTBOX}", 1)
+
+    def everything(work):
+        return rows(job.current_outbox(spark, work), "id", "published", "retry_count")
+
+    jobs = {"relay": lambda w: job.relay(spark, w, lambda r, n: r.count(), limit=4, now=now(),
+                                         fold_every=2),
+            "retain": lambda w: job.retain(spark, w, now())}
+    fresh = str(tmp_path / "fresh")
+    start(fresh)
+    for name, run in jobs.items():
+        calm = shutil.copytree(fresh, str(tmp_path / f"{name}-calm"))
+        before = everything(calm)
+        run(calm)
+        after = everything(calm)
+        assert [r[0] for r in before] == [r[0] for r in after] == [uid(n) for n in range(9)]
+        for step in range(1, 30):
+            work = shutil.copytree(fresh, str(tmp_path / f"{name}-{step}"))
+            with monkeypatch.context() as patch:
+                killed_at(patch, step)
+                try:
+                    run(work)
+                    break
+                except Killed:
+                    pass
+            found = everything(work)
+            assert found in (before, after)
+            if found == before:
+                run(work)
+            else:
+                job.retain(spark, work, now())
+            assert everything(work) == after
+        assert 3 < step < 29
+
+
+def test_of_two_writers_one_fails(spark, tmp_path):
+    manifest.commit(spark, str(tmp_path), 1, {"a": 1})
+    with pytest.raises(ValueError):
+        manifest.commit(spark, str(tmp_path), 1, {"a": 2})
+    for n in range(2, 6):
+        manifest.commit(spark, str(tmp_path), n, {"a": n})
+    assert manifest.latest(spark, str(tmp_path)) == (5, {"a": 5})
+    assert len([x for x in runner.children(spark, f"{tmp_path}/manifest")
+                if x.endswith(".json")]) == 2
+    assert manifest.latest(spark, f"{tmp_path}/none") == (0, {})
