@@ -43,8 +43,8 @@ RECALL = 0.9999
 SLAB = 1 << 18
 
 _RANDOM = np.random.default_rng(13)
-_MULTIPLY = _RANDOM.integers(0, 1 << 63, FUNCTIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_ADD = _RANDOM.integers(0, 1 << 63, FUNCTIONS, dtype=np.uint64)
+_MULTIPLY = _RANDOM.integers(0, 1 << 31, (FUNCTIONS, 1), dtype=np.uint32) * np.uint32(2) + np.uint32(1)
+_ADD = _RANDOM.integers(0, 1 << 32, (FUNCTIONS, 1), dtype=np.uint32)
 
 
 def functions_of(level: int) -> float:
@@ -95,14 +95,15 @@ def shingles(text: bytes | None, known: dict[bytes, int]) -> np.ndarray:
 
 
 def minima(tokens: np.ndarray) -> np.ndarray:
-    """The minwise token of each function, as 32 bits of its hash."""
-    least = np.full(FUNCTIONS, np.iinfo(np.uint64).max, dtype=np.uint64)
-    for i in range(0, len(tokens), 4096):
-        part = tokens[i:i + 4096, None] * _MULTIPLY + _ADD
-        part ^= part >> np.uint64(32)
-        part *= np.uint64(0x9E3779B97F4A7C15)
-        least = np.minimum(least, part.min(axis=0))
-    return (least >> np.uint64(32)).astype(np.uint32).view(np.int32)
+    """The minwise token of each function, as 32 bits of its hash. Tokens are mixed hashes
+    already, so an odd factor and a shift make a function."""
+    least = np.full(FUNCTIONS, np.iinfo(np.uint32).max, dtype=np.uint32)
+    folded = (tokens >> np.uint64(32)).astype(np.uint32)
+    for i in range(0, len(folded), 1024):
+        part = _MULTIPLY * folded[i:i + 1024]
+        part += _ADD
+        np.minimum(least, part.min(axis=1), out=least)
+    return least.view(np.int32)
 
 
 SETS = ("doc_id long, tokens array<long>, n long, high long, low long, signature array<int>, "
