@@ -12,7 +12,7 @@ from ..functions import texts
 from ..functions.durations import epoch_micros
 from ..functions.ids import alert_id
 from ..functions.tiers import TIER_LIMITS, lowest_limit, tier_threshold
-from . import velocity
+from . import asof, velocity
 from .joins import lookup_join
 from .quality import APART, apart_without
 from .slices import running
@@ -54,15 +54,23 @@ def enrich(tx: DataFrame, accounts: DataFrame, key: str = "account_id") -> DataF
 
 def high_value_alerts(tx: DataFrame, accounts: DataFrame,
                       limits: Mapping = TIER_LIMITS,
-                      ts: str = "occurred_at") -> DataFrame:
+                      ts: str = "occurred_at", since: str | None = None,
+                      at: str | None = None) -> DataFrame:
     """Amounts above the limit of the account's tier (FLT1, PRJ6).
 
-    Amounts no tier objects to are dropped at the scan, before the join.
+    Amounts no tier objects to are dropped at the scan, before the join. With ``since``
+    ``accounts`` has all versions of the accounts, and a transaction meets the one that was
+    current at ``at`` (its ``ts`` unless named), whatever has changed by now.
     """
-    large = (tx.select("transaction_id", "account_id", "amount", ts)
+    at = at or ts
+    large = (tx.select(*dict.fromkeys(("transaction_id", "account_id", "amount", ts, at)))
              .filter(F.col("amount") > lowest_limit(limits)))
-    hits = (enrich(large, accounts.select("account_id", "tier"))
-            .filter(F.col("amount") > tier_threshold(F.col("tier"), limits)))
+    if since is None:
+        known = enrich(large, accounts.select("account_id", "tier"))
+    else:
+        known = asof.current_versions(large, accounts.select("account_id", "tier", since),
+                                      at=at, since=since)
+    hits = known.filter(F.col("amount") > tier_threshold(F.col("tier"), limits))
     return _alert(
         hits, HIGH_VALUE,
         account=F.col("account_id"), subject=F.col("transaction_id"),

@@ -236,6 +236,16 @@ ORACLES = {
         select tx.event_id, tx.account_id, cast(tx.amount as double) as amount,
                tx.occurred_at, acc.owner_name, acc.tier
         from tx join acc on tx.account_id = acc.account_id"""),
+    "enriched_as_of": _with(["tx"], """
+        select paid.event_id, paid.account_id, cast(paid.amount as double) as amount,
+               paid.occurred_at, v.since, v.version, v.status
+        from tx as paid
+        asof join (select account_id, occurred_at as since, max(event_id) as version,
+                          arg_max(description, event_id) as status
+                   from tx where description not in ('purchase', 'click')
+                   group by account_id, occurred_at) as v
+          on paid.account_id = v.account_id and paid.occurred_at >= v.since
+        where paid.description in ('purchase', 'click') and v.status <> 'error'"""),
     "alert_rows_json": _with(["ord", "acc"], f"""
         select alert_id as id, account_id, alert_type,
                '{{"transaction_id":"' || transaction_id || '","reason":"' || reason ||

@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import texts, wire
-from ..operators import consume, lateness, metrics, quality, reference, rules, velocity
+from ..operators import (asof, consume, lateness, metrics, quality, reference, rules,
+                         velocity)
 from ..operators import outbox as ob
 from ..sources import codecs, tables
 
@@ -145,6 +146,19 @@ def enriched_transactions(spark, folder):
                 "tier"), "amount")
 
 
+@query
+def enriched_as_of(spark, folder):
+    """Purchases and clicks with what their account last did before; errors end it."""
+    events = tables.transactions(spark, folder)
+    paid = F.col("description").isin("purchase", "click")
+    versions = events.filter(~paid).select(
+        "account_id", F.col("occurred_at").alias("since"),
+        F.col("event_id").alias("version"), F.col("description").alias("status"))
+    return as_double(asof.current_versions(
+        events.filter(paid).select("event_id", "account_id", "amount", "occurred_at"),
+        versions, order_by=["version"], deleted=F.col("status") == "error"), "amount")
+
+
 @query
 def alert_rows_json(spark, folder):
     return rules.alert_rows(high_value_alerts(spark, folder))

@@ -22,16 +22,17 @@ KEEP_SECONDS = 6 * 3600
 
 
 def read_changes(records: DataFrame, fmt: str = "confluent_avro",
-                 schema=ACCOUNT_AVRO) -> DataFrame:
+                 schema=ACCOUNT_AVRO, since: str | None = None) -> DataFrame:
     """Records of the account topic as changes. A record without a value deletes
-    the account of its key; one whose value cannot be read is left out."""
+    the account of its key; one whose value cannot be read is left out. ``since`` names
+    the record's column, such as ``timestamp``, to keep as the time of the change."""
     decoded = codecs.decode_events(records, fmt, schema)
     return (decoded.filter(F.col("decoded") | F.col("value").isNull())
             .select(F.coalesce("accountId", F.col("key").cast("string"))
                     .alias("account_id"),
                     F.col("accountNumber").alias("account_number"),
                     F.col("ownerName").alias("owner_name"), "tier", "status",
-                    "offset"))
+                    "offset", *([F.col(since).alias("since")] if since else [])))
 
 
 def start_account_table(changes: DataFrame, folder: str, checkpoint: str,
@@ -65,3 +66,21 @@ def current_accounts(spark: SparkSession, folder: str, key: str = "account_id",
     table = runner.read_batch(spark, folder, runner.versions(spark, folder)[-1])
     values = [F.col(c) for c in table.columns if c != key and c not in order]
     return table.filter(F.coalesce(*values).isNotNull()).drop(*order)
+
+
+def start_version_log(changes: DataFrame, folder: str, checkpoint: str,
+                      every: str | None = "1 minute") -> StreamingQuery:
+    """Keep every change, which rules need that look up what was current at a time. A
+    micro-batch writes its own changes and nothing else."""
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        runner.write_batch(batch, folder, batch_id)
+
+    return runner.run_stream(changes, handle, checkpoint, every=every)
+
+
+def account_versions(spark: SparkSession, folder: str) -> DataFrame:
+    """All changes of a version log; deletions are rows whose values are null."""
+    found = runner.read_batches(spark, folder, runner.versions(spark, folder))
+    if found is None:
+        raise ValueError(f"{folder} has no changes yet")
+    return found.drop(runner.BATCH)

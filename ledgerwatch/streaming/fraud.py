@@ -11,6 +11,7 @@ from pyspark.sql.streaming.query import StreamingQuery
 from ..functions.durations import micros
 from ..functions.tiers import TIER_LIMITS, lowest_limit
 from ..operators import rules, velocity
+from ..operators.joins import lookup_join
 from ..operators.lateness import GRACE
 from ..sources import streams
 from . import runner
@@ -19,16 +20,21 @@ from . import runner
 def start_high_value(tx: DataFrame, accounts: Callable[[SparkSession], DataFrame],
                      sink: runner.Handler, checkpoint: str,
                      limits: Mapping = TIER_LIMITS, work: str | None = None,
+                     since: str | None = None, at: str | None = None,
                      every: str | None = runner.ONE_SECOND) -> StreamingQuery:
     """``accounts`` is called per micro-batch, so each sees the accounts as they
-    are then. With an account table too large to broadcast a micro-batch is read
+    are then. With ``since`` it gives their versions (``accounts.account_versions``) and a
+    transaction meets the one current at ``at``: a replayed micro-batch raises the same
+    alerts after accounts have changed. With an account table too large to broadcast a micro-batch is read
     several times; ``work`` names a folder to stage its large amounts in first."""
     def handle(batch: DataFrame, batch_id: int) -> None:
         large = batch.filter(F.col("amount") > lowest_limit(limits))
         if work is not None:
             large = runner.staged(large, work, batch_id)
-        sink(rules.high_value_alerts(large, accounts(batch.sparkSession), limits),
-             batch_id)
+        known = accounts(batch.sparkSession)
+        if since is not None:  # history of the accounts of this micro-batch only
+            known = lookup_join(known, large, "account_id", "left_semi")
+        sink(rules.high_value_alerts(large, known, limits, since=since, at=at), batch_id)
 
     return runner.run_stream(tx, handle, checkpoint, every=every)
 
