@@ -508,6 +508,18 @@ ORACLES = {
                           then 'DLQ' when delivery > 1 then 'DUPLICATE' else 'SENT' end
                        as status
               from raw)"""),
+    "stream_consumer_retries": _with(["raw"], """
+        select '00000000-0000-0000-0000-' || lpad(cast(event_id as varchar), 12, '0')
+                 as event_id, "offset", status, attempts,
+               cast((pow(2, case status when 'DUPLICATE' then attempts else attempts - 1 end)
+                     - 1) * 1000 as bigint) as backoff_ms,
+               case status when 'DLQ' then 'attempt 3 failed' end as reason
+        from (select *, case when event_id % 4 = 3 then 'DLQ' when delivery = 1 then 'SENT'
+                        else 'DUPLICATE' end as status,
+                     cast(case event_id % 4 when 3 then 3 when 2 then 4 - delivery
+                          else case delivery when 1 then event_id % 4 + 1 else 0 end end
+                          as integer) as attempts
+              from raw)"""),
 }
 
 # A stream that has processed a whole table ends with the batch result.

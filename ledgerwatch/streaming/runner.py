@@ -107,9 +107,10 @@ def rename(spark: SparkSession, old: str, new: str) -> bool:
     return system.rename(source, _files(spark, new)[1])
 
 
-def write_batch(df: DataFrame, folder: str, batch_id: int) -> None:
-    """Write a micro-batch as its own part of a table, replacing an earlier try."""
-    df.write.mode("overwrite").parquet(f"{folder}/{BATCH}={batch_id}")
+def write_batch(df: DataFrame, folder: str, batch_id: int, by: str | None = None) -> None:
+    """Write a micro-batch as its own part of a table, replacing an earlier try. With
+    ``by``, the part has a folder for each value of that column."""
+    df.write.mode("overwrite").parquet(f"{folder}/{BATCH}={batch_id}", partitionBy=by)
 
 
 def write_all(batch_id: int, outputs: Mapping[str, DataFrame]) -> None:
