@@ -29,7 +29,7 @@ from .functions import texts
 from .operators import consume, outbox, rules
 from .session import build_session, use_utc
 from .sources import codecs, streams
-from .streaming import accounts, consumer, fraud, runner
+from .streaming import accounts, consumer, fraud, retries, runner
 from .streaming import outbox as outbox_job
 
 RELAY_DELAY_SECONDS = 1.0
@@ -118,28 +118,33 @@ def start_fraud(spark: SparkSession, args: argparse.Namespace) -> list[Streaming
 
 def start_consume(spark: SparkSession, args: argparse.Namespace) -> list[StreamingQuery]:
     """Topic records are ordered by offset, rows of files by time and copy. Within
-    a topic the copies of an event share its account's partition."""
+    a topic the copies of an event share its account's partition. With ``--retry``,
+    failed records wait for their next attempt; ``--once`` leaves them to the next run."""
     events, every = _events(spark, args), _every(args)
     checkpoint = f"{args.out}/checkpoint"
+    queue = retries.RetryQueue() if args.retry else None
 
-    def failure():
+    def failure(attempt=None):
         return texts.simulated_failure(F.col("amount"))
 
+    def ticking(rows):
+        return retries.with_ticks(rows) if args.retry and not args.once else rows
+
     if args.files:
         return [consumer.start_consumer(
-            events, args.out, checkpoint, failure,
+            ticking(events), args.out, checkpoint, failure,
             order_by=["occurred_at", *_other_columns(events), "copy"],
-            prepare=consume.numbered_copies, every=every)]
+            prepare=consume.numbered_copies, queue=queue, every=every)]
     if args.records:
         return [consumer.start_consumer(
-            events, args.out, checkpoint, failure,
+            ticking(events), args.out, checkpoint, failure,
             order_by=["batch_id", "occurred_at", *sorted(
                 set(events.columns) - {"batch_id", "occurred_at"}), "copy"],
-            decoded="decoded", prepare=consume.numbered_copies, every=every)]
+            decoded="decoded", prepare=consume.numbered_copies, queue=queue, every=every)]
     return [consumer.start_consumer(
-        events, args.out, checkpoint, failure, order_by=["partition", "offset"],
+        ticking(events), args.out, checkpoint, failure, order_by=["partition", "offset"],
         decoded="decoded", on_dead_letters=consumer.publish_dead_letters(args.kafka),
-        every=every)]
+        queue=queue, every=every)]
 
 
 def _other_columns(events: DataFrame) -> list[str]:
@@ -217,7 +222,9 @@ def parser() -> argparse.ArgumentParser:
     rules_job = job("fraud", "accounts", "out")
     rules_job.add_argument("--alert-servers")
     stream(rules_job, records=True)
-    stream(job("consume", "out"), records=True)
+    consume_job = job("consume", "out")
+    consume_job.add_argument("--retry", action="store_true")
+    stream(consume_job, records=True)
     accept_job = job("accept", "files", "accounts", "out")
     accept_job.add_argument("--format", default=WIRE_FORMAT)
     accept_job.add_argument("--max-files", type=int)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from helpers import A1, A2, DAY, accounts, rows, tx, uid
 from ledgerwatch import jobs, schemas
 from ledgerwatch.operators import rules
-from ledgerwatch.streaming import consumer, runner
+from ledgerwatch.streaming import consumer, retries, runner
 from ledgerwatch.streaming import outbox as outbox_job
 
 
@@ -77,6 +77,17 @@ def test_consume(spark, work):
         + [(uid(4), "DLQ", 2)], key=str)
 
 
+def test_consume_with_retries(spark, work):
+    """Records that fail are no outcome until their attempts are used up."""
+    whole = events(spark, work)
+    whole.write.mode("append").parquet(f"{work}/tx")
+    run(spark, "consume", "--files", f"{work}/tx", "--out", f"{work}/out", "--once", "--retry")
+    outcomes = spark.read.parquet(f"{work}/out/{consumer.OUTCOMES}")
+    assert outcomes.count() == 8 and outcomes.filter("status = 'DLQ'").isEmpty()
+    waiting = spark.read.parquet(f"{work}/out/{retries.WAITING}/batch_id=0")
+    assert rows(waiting, "event_id", "tries") == [(uid(4), 1)] * 2
+
+
 def test_accept_and_relay(spark, work):
     line = f'{{"accountId":"{A1}","amount":"5.00","type":"DEBIT"}}'
     spark.createDataFrame([(line,)] * 3 + [("junk",)], "value STRING").coalesce(1) \
