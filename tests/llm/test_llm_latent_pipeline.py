@@ -127,6 +127,36 @@ def test_basis_spans_the_leading_directions(spark):
     assert sizes.max() < 1 and sizes[0] ** 2 > 0.9 * values[0] / (values[0] + 8)
 
 
+def test_the_space_is_fitted_to_every_passage(spark, monkeypatch):
+    """Also to those of common words and those that no item can be in."""
+    pool = words(70, 60).split(" ")
+    rng = random.Random(3)
+    docs = [(i, " ".join(rng.choices(pool, k=rng.randint(1, 70)) + ["x%d" % i])) for i in range(50)]
+    docs += [(50, None), (51, ""), (52, "nothing shared")]
+    items = [(i, " ".join(rng.sample(pool, 12))) for i in range(5)]
+    seen, fit = [], latent.latent_basis
+
+    def record(passages, queries, idf, **more):
+        read = more.get("read") or (lambda batches: (
+            (np.concatenate(b.features.tolist()), np.array(list(map(len, b.features))))
+            for b in batches if len(b)))
+        seen.extend(tuple(sorted(x)) for flat, sizes in read([passages.toPandas()])
+                    for x in np.split(flat, np.cumsum(sizes)[:-1]))
+        return fit(passages, queries, idf, **more)
+
+    monkeypatch.setattr(latent, "latent_basis", record)
+    latent.leaks(spark.createDataFrame(docs, "doc_id long, text string"),
+                 spark.createDataFrame(items, "item_id long, text string"))
+    known = np.unique(np.concatenate(latent.word_hashes([t for _, t in items]))).tolist()
+    expected = []
+    for ids in latent.word_hashes([t for _, t in docs]):
+        last = max(0, len(ids) - latent.PASSAGE)
+        for at in sorted({*range(0, last, latent.STRIDE), last}):
+            row = [known.index(x) for x in ids[at:at + latent.PASSAGE].tolist() if x in known]
+            expected += [tuple(sorted(row))] if row else []
+    assert sorted(seen) == sorted(expected)
+
+
 def test_odd_rows(spark):
     docs = odd_documents(spark)
     bench = spark.createDataFrame([(1, PASSAGE), (1, PASSAGE), (2, None), (3, ""), (None, "a b c"),
