@@ -28,6 +28,8 @@ RESULTS = "results"
 FOLDED = "results_folded"
 #: Passes after which their results are folded.
 FOLD_EVERY = 64
+#: A pass of more rows is cut by ranges; Spark merges a smaller one in one task.
+MERGED = 100_000
 ACCEPT_COUNTERS = "accept_counters"
 RELAY_COUNTERS = "relay_counters"
 
@@ -96,6 +98,32 @@ def _failed(results: DataFrame) -> DataFrame:
             .filter(~F.col("published")).drop(runner.BATCH))
 
 
+def _oldest(backlog: DataFrame, limit: int | None, first: list[str], folder: str,
+            number: int) -> DataFrame:
+    """``ob.outbox_pending``, for a limit of any size: a large one is found by ranges of the
+    order, of which only the sizes and the last row of the pass are looked up, so no task
+    merges it. Only what rows are ordered by is staged; copies of the last row go with it."""
+    if limit is None or limit <= MERGED:
+        return ob.outbox_pending(backlog, limit, first)
+    order = [*first, "created_at", "id"]
+    pending = ob.outbox_pending(backlog, None)
+    # A row's place in its task; range partitions are in order of their numbers.
+    place = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
+    ranges = runner.staged(
+        pending.select(*order).repartitionByRange(*order).sortWithinPartitions(*order)
+        .select("*", F.spark_partition_id().alias("_part"), place.alias("_place")),
+        folder, number)
+    left = limit
+    for part, size in sorted(map(tuple, ranges.groupBy("_part").count().collect())):
+        if left <= size:
+            cut = (ranges.filter((F.col("_part") == part) & (F.col("_place") == left - 1))
+                   .select(F.struct(*order).alias("_cut")))
+            return (pending.join(F.broadcast(cut), F.struct(*order) <= F.col("_cut"))
+                    .drop("_cut"))
+        left -= size
+    return pending
+
+
 def current_outbox(spark: SparkSession, tables: str) -> DataFrame | None:
     """All outbox rows as they are now; none before the first request."""
     untried, results = _state(spark, tables)[2:]
@@ -125,7 +153,7 @@ def relay(spark: SparkSession, tables: str, publish: Callable[[DataFrame, int],
     pending. With ``manual_last``, rows that failed too often wait until no other is
     pending, instead of holding up what came later.
 
-    A pass writes the rows it tried and nothing else. It is finished by its commit;
+    A pass writes the rows it tried and, with a large limit, the order of the backlog. It is finished by its commit;
     one that dies before runs again under its number: at least once. It reads the
     accepted batches from the first with untried rows on, and the rows that ever failed.
     After ``fold_every`` passes their results are folded into one part.
@@ -140,7 +168,8 @@ def relay(spark: SparkSession, tables: str, publish: Callable[[DataFrame, int],
     backlog = reduce(DataFrame.unionByName, parts)
     number, low = state.get("last", -1) + 1, state.get("low", 0)
     first = ["needs_manual"] if manual_last else []
-    batch = runner.staged(ob.outbox_pending(backlog, limit, first), f"{tables}/relay", number)
+    rows = _oldest(backlog, limit, first, f"{tables}/order", number)
+    batch = runner.staged(rows, f"{tables}/relay", number)
     if batch.isEmpty():
         return None
 

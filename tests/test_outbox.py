@@ -305,3 +305,19 @@ def test_of_two_writers_one_fails(spark, tmp_path):
     assert len([x for x in runner.children(spark, f"{tmp_path}/manifest")
                 if x.endswith(".json")]) == 2
     assert manifest.latest(spark, f"{tmp_path}/none") == (0, {})
+
+
+def test_large_passes_are_cut_by_ranges(spark, tmp_path, monkeypatch):
+    """As sorting in one task, also with nulls and equal times; nothing is merged in one task."""
+    rows = [(f"id{i:03d}", i % 9 == 0, f"2024-01-0{i % 3 + 1} 00:00:00" if i % 7 else None, i % 2 == 0)
+            for i in range(200)]
+    data = (spark.createDataFrame(rows, "id string, published boolean, created_at string, late boolean")
+            .withColumn("created_at", F.col("created_at").cast("timestamp"))).repartition(5)
+    for limit in (2, 50, 177, 178, 500):
+        expected = {r.id for r in ob.outbox_pending(data, limit, ["late"]).collect()}
+        monkeypatch.setattr(job, "MERGED", 1)
+        got = job._oldest(data, limit, ["late"], str(tmp_path / "order"), limit)
+        assert sorted(r.id for r in got.collect()) == sorted(expected)
+        assert got.columns == data.columns
+        plan = got._jdf.queryExecution().toString()
+        assert "GlobalLimit" not in plan and "TakeOrdered" not in plan
