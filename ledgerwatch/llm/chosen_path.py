@@ -19,10 +19,10 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, partitions, small, staged
+from .common import components, few, partitions, small, staged
 
 SHINGLE = 2
 PERCENT = 80
@@ -41,6 +41,8 @@ DEPTH = 12
 RECALL = 0.9999
 #: Pairs of a task that are compared at once.
 SLAB = 1 << 18
+#: Shingles of a part of a group whose whole sets are compared.
+TOKENS = 1 << 20
 
 _RANDOM = np.random.default_rng(13)
 _MULTIPLY = _RANDOM.integers(0, 1 << 31, (FUNCTIONS, 1), dtype=np.uint32) * np.uint32(2) + np.uint32(1)
@@ -141,21 +143,42 @@ def token_sets(docs: DataFrame) -> DataFrame:
     return staged(sets.withColumn("id", F.monotonically_increasing_id()), "sets")
 
 
+def _flat(parent: list[int]) -> np.ndarray:
+    """The root of each node of a forest."""
+    roots = np.array(parent, dtype=np.int64)
+    while (roots[roots] != roots).any():
+        roots = roots[roots]
+    return roots
+
+
 def _compared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Pairs of whole cells that agree in AGREE functions and have different roots, the
-    smaller id as ``a``. Rows come sorted by cell; ``side`` tells the halves of a cell of
-    two parts, of which only pairs across count."""
+    """Pairs of whole cells that agree in AGREE functions and have different roots, with
+    their roots ``ra`` and ``rb``: not all of them, but a forest of each cell and a pair of
+    each set that has one, so at most two for each row. Rows come sorted by cell; ``side``
+    tells the halves of a cell of two parts, of which only pairs across count."""
     held: list[pd.DataFrame] = []
 
     def pairs(rows: pd.DataFrame) -> Iterator[pd.DataFrame]:
         keys = rows[["node", "i", "j"]].to_numpy()
         ids, roots, side = (rows[c].to_numpy() for c in ("id", "root", "side"))
         sketch = np.frombuffer(b"".join(rows.sketch), dtype=np.uint8).reshape(-1, FUNCTIONS)
-        starts = np.flatnonzero(np.r_[True, (keys[1:] != keys[:-1]).any(axis=1)])
+        new = np.r_[True, (keys[1:] != keys[:-1]).any(axis=1)]
+        starts = np.flatnonzero(new)
         ends = np.r_[starts[1:], len(rows)]
         place = np.arange(len(rows))
         partners = np.repeat(ends, ends - starts) - place - 1  # rows after each in its cell
         reach = np.cumsum(partners)
+        # What hangs together in its cell, and the rows that have a pair.
+        _, tree = np.unique(np.stack([np.cumsum(new), roots]), axis=1, return_inverse=True)
+        tree = tree.ravel()
+        parent = list(range(int(tree.max()) + 1))
+        seen = np.zeros(len(rows), dtype=bool)
+
+        def find(x: int) -> int:
+            while parent[x] != x:
+                parent[x] = x = parent[parent[x]]
+            return x
+
         at = 0
         while at < len(rows):  # rows whose pairs fill a slab
             done = max(at + 1, int(np.searchsorted(
@@ -166,9 +189,19 @@ def _compared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             at = done
             open_ = (roots[a] != roots[b]) & ((keys[a, 1] == keys[a, 2]) | (side[a] != side[b]))
             a, b = a[open_], b[open_]
+            now = _flat(parent)[tree]
+            fresh = (now[a] != now[b]) | ~seen[a] | ~seen[b]
+            a, b = a[fresh], b[fresh]
             near = (sketch[a] == sketch[b]).sum(axis=1) >= AGREE
-            a, b = ids[a[near]], ids[b[near]]
-            yield pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+            chosen = []
+            for x, y in zip(a[near].tolist(), b[near].tolist(), strict=True):
+                one, two = find(tree[x]), find(tree[y])
+                if one != two or not (seen[x] and seen[y]):
+                    parent[two] = one
+                    seen[x] = seen[y] = True
+                    chosen.append((x, y))
+            a, b = np.array(chosen, dtype=np.int64).reshape(-1, 2).T
+            yield pd.DataFrame({"a": ids[a], "b": ids[b], "ra": roots[a], "rb": roots[b]})
 
     size = 0
     for batch in batches:
@@ -187,26 +220,124 @@ def _compared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield from pairs(pd.concat(held, ignore_index=True))
 
 
-def _exhaustive(rows: DataFrame) -> DataFrame:
-    """Candidate pairs of all pairs of each node (``node``, ``size``, ``id``, ``root``,
-    ``sketch``). Nodes beyond CELL are cut into parts, each pair of parts a cell."""
-    parts = F.ceil(F.col("size") / CELL).cast("int")
+def _cells(rows: DataFrame, parts: Column, *columns: str) -> DataFrame:
+    """``rows`` of each node cut into ``parts``; each pair of parts is a cell (``node``,
+    ``i``, ``j``), whose rows come together and in the order of ``side``."""
+    parts = parts.cast("int")
     mine = F.pmod(F.xxhash64("id", "node"), parts).cast("int")
     cells = (rows.withColumn("parts", parts).withColumn("mine", mine)
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
              .select("node", F.least("mine", "other").cast("long").alias("i"),
                      F.greatest("mine", "other").cast("long").alias("j"),
                      (F.col("mine") > F.col("other")).cast("int").alias("side"),
-                     "id", "root", "sketch"))
+                     "id", "root", *columns))
     return (cells.repartition(partitions(rows.sparkSession), "node", "i", "j")
-            .sortWithinPartitions("node", "i", "j").mapInPandas(_compared, "a long, b long"))
+            .sortWithinPartitions("node", "i", "j", "side"))
+
+
+def _exhaustive(rows: DataFrame) -> DataFrame:
+    """Candidate pairs of all pairs of each node (``node``, ``size``, ``id``, ``root``,
+    ``sketch``), as many as hold together what all of them would. Nodes beyond CELL are cut
+    into parts, each pair of parts a cell."""
+    return (_cells(rows, F.ceil(F.col("size") / CELL), "sketch")
+            .mapInPandas(_compared, "a long, b long, ra long, rb long"))
+
+
+def _links(ids: np.ndarray, roots: np.ndarray, side: np.ndarray, across: bool,
+           sizes: np.ndarray, tokens: np.ndarray) -> list[tuple[int, int]]:
+    """A forest of the links of one cell; whole sets are compared wherever two rows do not
+    hang together yet. ``across``: only rows of different sides."""
+    known, codes = np.unique(tokens, return_inverse=True)
+    ends = np.cumsum(sizes)
+    starts = ends - sizes
+    second = int(np.searchsorted(side, 1))
+    tree, found = roots.copy(), []
+    mark = np.zeros(len(known), dtype=np.int32)
+    for i in range(second if across else len(ids) - 1):
+        first = second if across else i + 1
+        n = sizes[first:]
+        apart = tree[first:] != tree[i]
+        apart &= np.minimum(n, sizes[i]) * 100 >= np.maximum(n, sizes[i]) * PERCENT
+        asked = np.flatnonzero(apart)
+        if not len(asked):
+            continue
+        own = codes[starts[i]:ends[i]]
+        mark[own] = 1
+        if len(asked) > 16:
+            both = np.add.reduceat(mark[codes[starts[first]:]], starts[first:] - starts[first])
+            both = both[asked].astype(np.int64)
+        else:
+            both = np.array([int(mark[codes[starts[first + j]:ends[first + j]]].sum())
+                             for j in asked.tolist()], dtype=np.int64)
+        mark[own] = 0
+        alike = both * 100 >= (n[asked] + sizes[i] - both) * PERCENT
+        for j in (first + asked[alike]).tolist():
+            if tree[j] != tree[i]:
+                tree[tree == tree[j]] = tree[i]
+                found.append((int(ids[i]), int(ids[j])))
+    return found
+
+
+def _confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The forests of links of all cells; rows come sorted by cell and side."""
+    held: list[tuple[np.ndarray, ...]] = []
+    cell: tuple[int, int, int] | None = None
+
+    def done() -> pa.RecordBatch:
+        ids, roots, side, sizes, tokens = (np.concatenate(x) for x in zip(*held, strict=True))
+        found = _links(ids, roots, side, cell[1] != cell[2], sizes, tokens)
+        a, b = np.array(found, dtype=np.int64).reshape(-1, 2).T
+        return pa.record_batch([pa.array(a), pa.array(b)], names=["a", "b"])
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = np.stack([batch.column(c).to_numpy() for c in ("node", "i", "j")], axis=1)
+        cuts = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1
+        for begin, end in zip([0, *cuts.tolist()], [*cuts.tolist(), len(keys)], strict=True):
+            now = tuple(keys[begin].tolist())
+            if held and now != cell:
+                yield done()
+                held = []
+            cell, part = now, batch.slice(begin, end - begin)
+            held.append((*(part.column(c).to_numpy() for c in ("id", "root", "side", "n")),
+                         part.column("tokens").flatten().to_numpy()))
+    if held:
+        yield done()
+
+
+def _grouped(near: DataFrame, sets: DataFrame, roots: DataFrame | None) -> DataFrame | None:
+    """The roots after the candidates ``near`` (``a``, ``b``, their roots) were looked at:
+    what candidates hold together is a group, and within it whole sets are compared, each
+    read once. Groups beyond CELL sets or TOKENS shingles are cut into parts, each pair of
+    parts a cell."""
+    near = staged(near, "near")
+    rows = near.count()
+    if not rows:
+        return roots
+    groups = components(near.select(F.col("ra").alias("a"), F.col("rb").alias("b")), rows)
+    ends = F.explode(F.array(F.struct(F.col("a").alias("id"), F.col("ra").alias("of")),
+                             F.struct(F.col("b").alias("id"), F.col("rb").alias("of"))))
+    asked = (few(near.select(ends.alias("x")).select("x.*").distinct(), 2 * rows)
+             .join(groups.select(F.col("node").alias("of"), F.col("root").alias("node")), "of")
+             .withColumnRenamed("of", "root"))
+    asked = staged(asked.join(sets.select("id", "n"), "id"), "asked")
+    size = asked.count()
+    parts = few(asked.groupBy("node").agg(F.greatest(
+        F.ceil(F.count("*") / CELL), F.ceil(F.sum("n") / TOKENS)).alias("cut")), size)
+    members = staged(asked.drop("n").join(parts, "node"), "members")
+    cells = _cells(sets.select("id", "n", "tokens").join(small(members), "id"), F.col("cut"),
+                   "n", "tokens")
+    links = staged(cells.mapInArrow(_confirmed, "a long, b long"), "links")
+    return roots if links.isEmpty() else _merged(roots, links)
 
 
 def _alike(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The ``pairs`` whose whole sets are similar enough."""
-    asked = pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "id")
+    count = pairs.count()
+    asked = few(pairs.select("a").union(pairs.select("b")).distinct(), 2 * count)
     wanted = staged(sets.select("id", "tokens", "n").join(
-        small(staged(asked, "asked")), "id", "left_semi"), "wanted")
+        small(staged(asked.withColumnRenamed("a", "id"), "asked")), "id", "left_semi"), "wanted")
     left = wanted.select(F.col("id").alias("a"), F.col("tokens").alias("ta"),
                          F.col("n").alias("na"))
     right = wanted.select(F.col("id").alias("b"), F.col("tokens").alias("tb"),
@@ -231,29 +362,29 @@ def _merged(roots: DataFrame | None, links: DataFrame) -> DataFrame:
     """``of``, ``to``: every id with a link, and the smallest id it is connected with."""
     if roots is not None:
         links = links.unionByName(roots.select(F.col("of").alias("a"), F.col("to").alias("b")))
-    return staged(components(links).select(F.col("node").alias("of"), F.col("root").alias("to")),
+    return staged(components(links, links.count()).select(F.col("node").alias("of"), F.col("root").alias("to")),
                   "roots")
 
 
 def _connected(pairs: DataFrame, sets: DataFrame, roots: DataFrame | None) -> DataFrame | None:
-    """The roots after all candidate ``pairs`` were looked at."""
-    links = staged(_alike(staged(pairs.distinct(), "pairs"), sets), "links")
+    """The roots after all candidate ``pairs`` (none twice) were looked at."""
+    links = staged(_alike(staged(pairs, "pairs"), sets), "links")
     return roots if links.isEmpty() else _merged(roots, links)
 
 
-def _pivots(large: DataFrame) -> DataFrame:
-    """A few sets of each node, those with the smallest hashes."""
+def _pivots(large: DataFrame, rows: int) -> DataFrame:
+    """A few sets of each node (``rows`` in all), those with the smallest hashes."""
     chosen = [F.min(F.struct(F.xxhash64("id", "node", F.lit(p)).alias("h"), "id", "root",
                              "sketch")).alias(f"p{p}") for p in range(PIVOTS)]
-    return (large.groupBy("node").agg(*chosen)
+    return (few(large.groupBy("node").agg(*chosen), rows)
             .select("node", F.explode(F.array(*[f"p{p}" for p in range(PIVOTS)])).alias("p"))
             .select(F.col("node").alias("at"), F.col("p.id").alias("pivot"),
                     F.col("p.root").alias("pivot_root"), F.col("p.sketch").alias("pivot_sketch"))
             .distinct())
 
 
-def _near_pivots(large: DataFrame) -> DataFrame:
-    """Candidate pairs of each set of a node with the node's pivots."""
+def _near_pivots(large: DataFrame, rows: int) -> DataFrame:
+    """Candidate pairs of each set of a node (``rows`` in all) with the node's pivots."""
     def near(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
             mine, other = (np.frombuffer(b"".join(rows[c]), dtype=np.uint8).reshape(-1, FUNCTIONS)
@@ -262,7 +393,7 @@ def _near_pivots(large: DataFrame) -> DataFrame:
             yield pd.DataFrame({"a": np.minimum(rows["id"], rows["pivot"]),
                                 "b": np.maximum(rows["id"], rows["pivot"])})
 
-    return (large.join(small(staged(_pivots(large), "pivots")), F.col("node") == F.col("at"))
+    return (large.join(small(staged(_pivots(large, rows), "pivots")), F.col("node") == F.col("at"))
             .filter("root <> pivot_root").select("id", "sketch", "pivot", "pivot_sketch")
             .mapInPandas(near, "a long, b long"))
 
@@ -302,24 +433,25 @@ def similar_sets(sets: DataFrame, ids: DataFrame, count: int | None = None) -> D
     compared = rows.select("node", F.lit(0).cast("long").alias("size"), "id",
                            F.lit(None).cast("binary").alias("sketch")).limit(0)
     for level in range(1, DEPTH + 1):
-        sizes = staged(rows.groupBy("node").agg(F.count("*").alias("size")).filter("size > 1"),
-                       "sizes")
+        sizes = staged(few(rows.groupBy("node").agg(F.count("*").alias("size")), rows.count())
+                       .filter("size > 1"), "sizes")
         rows = staged(rows.join(sizes, "node").join(sets.select("id", "sketch"), "id"), "members")
         ready = rows if level == DEPTH else rows.filter(F.col("size") <= CELL)
         compared = compared.unionByName(ready.select(*compared.columns))
         large = rows.filter(F.col("size") > CELL)
-        if level == DEPTH or large.isEmpty():
+        many = large.count()
+        if level == DEPTH or not many:
             break
-        roots = _connected(_near_pivots(_rooted(large, roots)), sets, roots)
+        near = few(_near_pivots(few(_rooted(large, roots), many), many).distinct(), PIVOTS * many)
+        roots = _connected(near, sets, roots)
         large = staged(_rooted(large, roots), "large")
-        apart = staged(large.groupBy("node").agg(F.min("root").alias("a"), F.max("root").alias("b"))
+        apart = staged(few(large.groupBy("node").agg(F.min("root").alias("a"),
+                                                     F.max("root").alias("b")), many)
                        .filter("a <> b").select("node"), "apart")
         going = large.join(apart, "node", "left_semi").select("tree", "node", "id")
         rows = staged(_children(going.join(sets.select("id", "signature"), "id"), level), "level")
-    # Each set with the pivots of its nodes; that connects most of what is alike. All other
-    # pairs are compared only where they are still apart.
-    roots = _connected(_near_pivots(_rooted(compared, roots)), sets, roots)
-    roots = _connected(_exhaustive(_rooted(compared, roots)), sets, roots)
+    # All other pairs are compared where they are still apart.
+    roots = _grouped(_exhaustive(_rooted(compared, roots)), sets, roots)
     if roots is None:
         return ids.select(F.col("id").alias("of"), F.col("id").alias("to")).limit(0)
     return roots
@@ -332,10 +464,10 @@ def similar_report(docs: DataFrame) -> DataFrame:
     of only such rows has a null component and keeps them. Other columns are not read."""
     sets = token_sets(docs)
     key = ("high", "low", "n")
-    copies = staged(sets.filter("n > 0").groupBy(*key).agg(
-        F.min("id").alias("id"), F.min("doc_id").alias("least")), "copies")
+    copies = staged(few(sets.filter("n > 0").groupBy(*key).agg(
+        F.min("id").alias("id"), F.min("doc_id").alias("least")), sets.count()), "copies")
     rooted = _rooted(copies, similar_sets(sets, copies))
-    least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    least = few(rooted.groupBy("root").agg(F.min("least").alias("component_id")), copies.count())
     found = staged(rooted.join(least, "root").select(*key, "component_id"), "found")
     rows = sets.select("doc_id", *key).join(small(found), list(key), "left").select(
         "doc_id", F.col("n").alias("n_shingles"),

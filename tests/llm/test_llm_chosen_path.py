@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pandas as pd
 
 from ledgerwatch.llm import chosen_path as cp
 from llm_fixtures import empty_documents, odd_documents
@@ -77,6 +78,34 @@ def test_families_chains_and_large_nodes(spark, monkeypatch):
     assert result(docs) == brute(rows)
 
 
+def test_candidates_of_a_group_grow_with_its_sets():
+    """In a group whose sets are all candidates of one another, what is passed on still holds
+    the group together, has every set, and is no square of it."""
+    n = 500
+    rows = pd.DataFrame({"node": [1] * n + [2, 2], "i": 0, "j": 0, "side": 0,
+                         "id": range(n + 2), "root": [*range(n), n, n],
+                         "sketch": [bytes(cp.FUNCTIONS)] * (n + 2)})
+    found = pd.concat(list(cp._compared(iter([rows]))))
+    assert len(found) <= 2 * n
+    assert set(found.a) | set(found.b) == set(range(n))
+    group = {0}
+    for _ in range(n):
+        group |= {y for x, y in zip(found.ra, found.rb) if x in group}
+        group |= {x for x, y in zip(found.ra, found.rb) if y in group}
+    assert group == set(range(n))
+
+
+def test_links_of_a_cell_are_a_forest():
+    """Whole sets decide; parts of a cell are compared across only."""
+    sets = [np.arange(k, k + 100) for k in (0, 5, 10, 40, 1000, 1005)]
+    args = [np.arange(6), np.arange(6), np.array([0, 0, 0, 1, 1, 1])]
+    tail = [np.full(6, 100), np.concatenate(sets)]
+    assert cp._links(*args, False, *tail) == [(0, 1), (0, 2), (4, 5)]
+    assert cp._links(*args, True, *tail) == []
+    args[2] = np.array([0, 0, 1, 1, 1, 1])
+    assert cp._links(*args, True, *tail) == [(0, 2), (1, 2)]
+
+
 def test_recall_of_pairs_at_the_threshold(spark):
     """Pairs of similarity 0.80 to 0.82 in one crowd: at least 0.99 of them are found."""
     rng = random.Random(8)
