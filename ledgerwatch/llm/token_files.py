@@ -18,6 +18,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -98,42 +100,50 @@ class Encoder:
         known = self.known
         if len(known) > KNOWN:
             known.clear()
-        plans: list[tuple[str, list[str], list[bytes | None]] | None] = []
-        wanted: set[str] = set()
-        for text in texts:
-            if not self.in_pieces or any(a in text for a in self.added):
-                plans.append(None)
-                continue
-            if _uneven(text):
-                head, *rest = _CUTS.split(text)
-                rest = [x[1:] for x in rest]
-            else:
-                head, *rest = text.split(" ")
-            found = list(map(known.get, rest))
-            if None in found:
-                wanted.update(x for x, ids in zip(rest, found, strict=True) if ids is None)
-            plans.append((head, rest, found))
-        once: dict[str, bytes] = {}
-        blank = [x for x in wanted if x[0].isspace() or x[-1].isspace()]
-        once.update(zip(blank, self._whole([" " + x for x in blank]), strict=True))
-        missing = [x for x in wanted if x not in once]
-        for i in range(0, len(missing), 5_000):
-            some = missing[i:i + 5_000]
-            for piece, ids in zip(some, self._pieces(some), strict=True):
-                once[piece] = ids
-                if len(piece) <= KNOWN_LENGTH:
-                    known[piece] = ids
-        heads = iter(self._whole([p[0] if p else t for p, t in zip(plans, texts, strict=True)]))
-        out = []
-        for plan in plans:
-            parts = [next(heads)]
-            if plan is not None:
-                _, rest, found = plan
-                parts += (found if None not in found else
-                          [once[x] if ids is None else ids
-                           for x, ids in zip(rest, found, strict=True)])
-            out.append(b"".join(parts))
-        return out
+        # Texts cut at every space, the others by hand; the first piece of a text is its head.
+        whole = [not self.in_pieces or any(a in text for a in self.added) for text in texts]
+        by_hand = {i: [text] if alone else _CUTS.split(text)
+                   for i, (text, alone) in enumerate(zip(texts, whole, strict=True))
+                   if alone or _uneven(text)}
+        cut = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+        if by_hand:
+            cut = cut.to_pylist()
+            for i, (head, *rest) in by_hand.items():
+                cut[i] = [head, *(x[1:] for x in rest)]
+            cut = pa.array(cut, pa.list_(pa.large_string()))
+        pieces = cut.flatten()
+        counts = pc.list_value_length(cut).to_numpy().astype(np.int64)
+        ends = np.cumsum(counts)
+        first = np.zeros(len(pieces), dtype=bool)
+        first[ends - counts] = True
+        heads = pieces.filter(pa.array(first)).to_pylist()
+        # Pieces are numbered, so that each is looked up once and numpy puts its ids in place.
+        numbered = pieces.filter(pa.array(~first)).dictionary_encode()
+        distinct = numbered.dictionary.to_pylist()
+        parts = list(map(known.get, distinct))
+        missing = [i for i, ids in enumerate(parts) if ids is None]
+        blank = [i for i in missing if distinct[i][0].isspace() or distinct[i][-1].isspace()]
+        for i, ids in zip(blank, self._whole([" " + distinct[i] for i in blank]), strict=True):
+            parts[i] = ids
+        missing = [i for i in missing if parts[i] is None]
+        for at in range(0, len(missing), 5_000):
+            some = missing[at:at + 5_000]
+            for i, ids in zip(some, self._pieces([distinct[i] for i in some]), strict=True):
+                parts[i] = ids
+                if len(distinct[i]) <= KNOWN_LENGTH:
+                    known[distinct[i]] = ids
+        parts += self._whole(heads)
+        flat, size = np.frombuffer(b"".join(parts), dtype=self.kind), self.kind.itemsize
+        sizes = np.fromiter(map(len, parts), dtype=np.int64, count=len(parts)) // size
+        order = np.empty(len(pieces), dtype=np.int64)
+        order[first] = len(distinct) + np.arange(len(texts))
+        order[~first] = numbered.indices.to_numpy()
+        lengths = sizes[order]
+        reach = np.cumsum(lengths)
+        moved = (np.cumsum(sizes) - sizes)[order] - (reach - lengths)
+        out = flat[np.repeat(moved, lengths) + np.arange(lengths.sum())].tobytes()
+        cuts = [0, *(reach[ends - 1] * size).tolist()]
+        return [out[a:b] for a, b in zip(cuts, cuts[1:])]
 
 
 def _encoder(spec: str) -> Encoder:

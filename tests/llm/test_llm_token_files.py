@@ -47,6 +47,23 @@ def test_pieces_equal_whole_texts(tokenizer):
         assert got == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+def test_a_piece_is_looked_up_once_for_all_its_places(tokenizer):
+    class Counted(dict):
+        asked = 0
+
+        def get(self, key):
+            self.asked += 1
+            return super().get(key)
+
+    encoder = tf.Encoder(open(PATH, encoding="utf-8").read())
+    encoder.known = Counted()
+    texts = ["the quick fox " * 500 + "end", "", "  fox the", "quick"] * 3
+    got = [np.frombuffer(x, encoder.kind).tolist() for x in encoder.encode(texts)]
+    assert got == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert 0 < encoder.known.asked < 20
+    assert encoder.encode([]) == [] and encoder.encode([""]) == [b""]
+
+
 def expected(rows, tokenizer):
     start, out = 0, []
     for doc_id, text in rows:
