@@ -37,22 +37,25 @@ BATCH_CHARS = 4_000_000
 #: Pieces of text whose ids a worker keeps, and their greatest length.
 KNOWN = 1_000_000
 KNOWN_LENGTH = 48
+#: Pieces tokenised as one text.
+TOGETHER = 500
 
 BLOCKS = ("part int, block int, first_token long, n_tokens long, doc_ids array<long>, "
           "lengths array<long>, freq binary, payload binary, payload_crc32 long, "
           "ids_crc32 long")
 
-#: White space beside a space, where pieces cannot be told by that space.
-_UNEVEN = re.compile(r"\s | \s|^ | $")
+#: White space, and where it is beside a space, so that pieces cannot be told by that space.
+_WHITE = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000"
+          + "".join(map(chr, range(0x2000, 0x200B))))
+_UNEVEN = f"[{_WHITE}] | [{_WHITE}]|^ | $"
 _CUTS = re.compile(r"(?<=\S)(?= \S)")
-_ASCII_WHITE = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f"
 
-
-def _uneven(text: str) -> bool:
-    if not text.isascii():
-        return _UNEVEN.search(text) is not None
-    return (text[:1] == " " or text[-1:] == " " or "  " in text
-            or any(c in text and (c + " " in text or " " + c in text) for c in _ASCII_WHITE))
+#: Letters, digits and marks (no apostrophe) that are sure to be a pre-token each, and pieces
+#: that hold nothing else but single line ends between them.
+_LETTERS = "A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u024F"
+_MARKS = r"!-&(-/:-@\[-`{-~"
+_PARTS = re.compile(rf" ?[{_LETTERS}]+| ?[0-9]+| ?[{_MARKS}]+|\n")
+_PLAIN = re.compile(rf" (?:[{_LETTERS}0-9{_MARKS}]++\n?)++(?<!\n)")
 
 
 class Encoder:
@@ -78,65 +81,97 @@ class Encoder:
         self.widths = np.zeros(self.tokenizer.get_vocab_size(), dtype=np.int64)
         for token, number in self.tokenizer.get_vocab().items():
             self.widths[number] = len(token)
-        self.known: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {}  # pieces and their parts, with the space before
 
     def _pieces(self, pieces: list[str]) -> list[bytes]:
-        """Ids of pieces, each after a space. They are tokenised as one text, in which
-        every piece begins a pre-token; the bytes of the tokens tell the pieces apart."""
+        """Ids of pieces that begin with a space or line end. They are tokenised as one text,
+        in which each begins a pre-token; the bytes of the tokens tell the pieces apart."""
         ids = np.array(self.tokenizer.encode_batch_fast(
-            [" " + " ".join(pieces)], add_special_tokens=False)[0].ids, dtype=self.kind)
-        ends = np.cumsum([len(x.encode()) + 1 for x in pieces])
+            ["".join(pieces)], add_special_tokens=False)[0].ids, dtype=self.kind)
+        ends = np.cumsum([len(x.encode()) for x in pieces])
         cuts = np.searchsorted(np.cumsum(self.widths[ids]), ends) + 1
         flat, size = ids.tobytes(), self.kind.itemsize
         return [flat[a * size:b * size]
                 for a, b in zip([0, *cuts[:-1].tolist()], cuts.tolist(), strict=True)]
 
+    def _learn(self, pieces: list[str]) -> None:
+        """Keep the ids of pieces and parts that are not known. What is not after a space is
+        tokenised after a line end, a pre-token of its own."""
+        self.known["\n"] = self._whole(["\n"])[0]
+        line = len(self.known["\n"])
+        for lead, some in (("", [x for x in pieces if x[0] == " "]),
+                           ("\n", [x for x in pieces if x[0] not in " \n"])):
+            for at in range(0, len(some), TOGETHER):
+                now = some[at:at + TOGETHER]
+                found = self._pieces([lead + x for x in now] if lead else now)
+                self.known.update(zip(now, [x[line:] for x in found] if lead else found,
+                                      strict=True))
+
+    def _made_up(self, pieces: list[str]) -> list[bytes]:
+        """Ids of pieces that are _PLAIN, put together from those of their parts."""
+        known = self.known
+        if not pieces:
+            return []
+        parts = _PARTS.findall("".join(pieces))
+        self._learn(list({x for x in parts if x not in known}))
+        ids = list(map(known.__getitem__, parts))
+        flat, at = b"".join(ids), np.cumsum([0, *map(len, ids)])
+        first = at[:-1][np.fromiter((x[0] == " " for x in parts), dtype=bool, count=len(parts))]
+        return [flat[a:b] for a, b in zip(first.tolist(), [*first[1:].tolist(), len(flat)],
+                                          strict=True)]
+
     def _whole(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, dtype=self.kind).tobytes() for x in found]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian ids (``kind``) of each text."""
-        known = self.known
-        if len(known) > KNOWN:
-            known.clear()
-        # Texts cut at every space, the others by hand; the first piece of a text is its head.
+        if len(self.known) > KNOWN:
+            self.known.clear()
+        # Texts are cut at every space, some by hand; the first piece of a text is its head.
+        given = pa.array(texts, pa.large_string())
+        uneven = pc.match_substring_regex(given, _UNEVEN).to_numpy(zero_copy_only=False)
         whole = [not self.in_pieces or any(a in text for a in self.added) for text in texts]
-        by_hand = {i: [text] if alone else _CUTS.split(text)
-                   for i, (text, alone) in enumerate(zip(texts, whole, strict=True))
-                   if alone or _uneven(text)}
-        cut = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
-        if by_hand:
-            cut = cut.to_pylist()
-            for i, (head, *rest) in by_hand.items():
-                cut[i] = [head, *(x[1:] for x in rest)]
-            cut = pa.array(cut, pa.list_(pa.large_string()))
-        pieces = cut.flatten()
-        counts = pc.list_value_length(cut).to_numpy().astype(np.int64)
+        by_hand = np.flatnonzero(uneven | np.array(whole, dtype=bool)).tolist()
+        if not by_hand:
+            return self._put(*_cut(given))
+        out = dict(zip(by_hand, self._put(*_listed(
+            [[texts[i]] if whole[i] else _CUTS.split(texts[i]) for i in by_hand])), strict=True))
+        others = [i for i in range(len(texts)) if i not in out]
+        out.update(zip(others, self._put(*_cut(given.take(pa.array(others, pa.int64())))),
+                       strict=True))
+        return [out[i] for i in range(len(texts))]
+
+    def _put(self, pieces: pa.Array, counts: np.ndarray) -> list[bytes]:
+        """Ids of texts of which the first has the first ``counts[0]`` pieces, and so on."""
+        known = self.known
         ends = np.cumsum(counts)
         first = np.zeros(len(pieces), dtype=bool)
         first[ends - counts] = True
-        heads = pieces.filter(pa.array(first)).to_pylist()
+        heads = _strings(pieces.filter(pa.array(first)))
         # Pieces are numbered, so that each is looked up once and numpy puts its ids in place.
         numbered = pieces.filter(pa.array(~first)).dictionary_encode()
-        distinct = numbered.dictionary.to_pylist()
+        distinct = _strings(numbered.dictionary)
         parts = list(map(known.get, distinct))
         missing = [i for i, ids in enumerate(parts) if ids is None]
-        blank = [i for i in missing if distinct[i][0].isspace() or distinct[i][-1].isspace()]
-        for i, ids in zip(blank, self._whole([" " + distinct[i] for i in blank]), strict=True):
+        blank = [i for i in missing if distinct[i][1].isspace() or distinct[i][-1].isspace()]
+        for i, ids in zip(blank, self._whole([distinct[i] for i in blank]), strict=True):
+            parts[i] = ids
+        missing = [i for i in missing if parts[i] is None]
+        plain = [i for i in missing if _PLAIN.fullmatch(distinct[i])]
+        for i, ids in zip(plain, self._made_up([distinct[i] for i in plain]), strict=True):
             parts[i] = ids
         missing = [i for i in missing if parts[i] is None]
-        for at in range(0, len(missing), 5_000):
-            some = missing[at:at + 5_000]
-            for i, ids in zip(some, self._pieces([distinct[i] for i in some]), strict=True):
-                parts[i] = ids
-                if len(distinct[i]) <= KNOWN_LENGTH:
-                    known[distinct[i]] = ids
+        self._learn([distinct[i] for i in missing])
+        for i in missing:
+            parts[i] = known[distinct[i]]
+        for x in [x for x in map(distinct.__getitem__, missing) if len(x) > KNOWN_LENGTH]:
+            del known[x]
         parts += self._whole(heads)
         flat, size = np.frombuffer(b"".join(parts), dtype=self.kind), self.kind.itemsize
         sizes = np.fromiter(map(len, parts), dtype=np.int64, count=len(parts)) // size
         order = np.empty(len(pieces), dtype=np.int64)
-        order[first] = len(distinct) + np.arange(len(texts))
+        order[first] = len(distinct) + np.arange(len(counts))
         order[~first] = numbered.indices.to_numpy()
         lengths = sizes[order]
         reach = np.cumsum(lengths)
@@ -146,6 +181,28 @@ class Encoder:
         return [out[a:b] for a, b in zip(cuts, cuts[1:])]
 
 
+def _strings(array: pa.Array) -> list[str]:
+    return array.to_numpy(zero_copy_only=False).tolist()
+
+
+def _listed(pieces: list[list[str]]) -> tuple[pa.Array, np.ndarray]:
+    return (pa.array([x for some in pieces for x in some], pa.large_string()),
+            np.array([len(some) for some in pieces], dtype=np.int64))
+
+
+def _cut(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The pieces of all texts, cut before each space, and their number in each text."""
+    at = np.frombuffer(texts.buffers()[1], dtype=np.int64)[
+        texts.offset:texts.offset + len(texts) + 1]
+    data = texts.buffers()[2]
+    space = np.flatnonzero(np.frombuffer(data, dtype=np.uint8)[:at[-1]] == 32) if data else at[:0]
+    # An empty text is one empty piece.
+    places = np.sort(np.r_[at, space], kind="stable")
+    counts = np.searchsorted(space, at[1:]) - np.searchsorted(space, at[:-1]) + 1
+    return pa.LargeStringArray.from_buffers(
+        len(places) - 1, pa.py_buffer(places), data or pa.py_buffer(b"")), counts
+
+
 def _encoder(spec: str) -> Encoder:
     """One encoder for a worker process, kept from task to task."""
     store = sys.modules.setdefault("_token_encoders", types.ModuleType("_token_encoders"))

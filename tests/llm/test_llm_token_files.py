@@ -64,6 +64,23 @@ def test_a_piece_is_looked_up_once_for_all_its_places(tokenizer):
     assert encoder.encode([]) == [] and encoder.encode([""]) == [b""]
 
 
+def test_a_word_is_tokenised_once_whatever_follows_it(tokenizer, monkeypatch):
+    encoder, asked = tf.Encoder(tokenizer.to_str()), []
+    pieces = encoder._pieces
+    monkeypatch.setattr(encoder, "_pieces", lambda some: (
+        asked.extend(x.strip() for x in some) or pieces(some)))
+    texts = ["a wondrously b", "a wondrously, b", "a wondrously.\nGeschöß %%% c", "x don't's 's. t",
+             "a b.\n\nc d", "q it's.\nIt're!'ll e", "a 12th,34.5%x _y_ z\n\u00aam \u0130\u01c5.", "a \n. b",
+             "a !\u00d7? b\u00b2.c", "a\u00a0. b\u3000 c.", "a x.\ry. b\tc,d", "", "\n",
+             " ", "b \u2003c d", "e  f. g ", "\na b\n"]
+    for _ in range(2):
+        for text, ids in zip(texts, encoder.encode(texts), strict=True):
+            assert np.frombuffer(ids, encoder.kind).tolist() == tokenizer.encode(
+                text, add_special_tokens=False).ids
+    assert asked.count("wondrously") == 1
+    assert not {"wondrously,", "wondrously.\nGeschöß"} & set(asked)
+
+
 def expected(rows, tokenizer):
     start, out = 0, []
     for doc_id, text in rows:
