@@ -108,11 +108,14 @@ def minima(tokens: np.ndarray) -> np.ndarray:
     return least.view(np.int32)
 
 
-SETS = ("doc_id long, tokens array<long>, n long, high long, low long, signature array<int>, "
-        "sketch binary")
+KEYS = ("key", "n", "high", "low")
+SETS = "doc_id long, key long, n long, high long, low long, signature array<int>, sketch binary"
+WHOLE = "key long, n long, high long, low long, tokens array<long>"
 
 
-def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _sets(batches: Iterator[pa.RecordBatch]
+          ) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray], list[pa.Array]]]:
+    """Some rows, their sets and KEYS."""
     import xxhash
     known = _Hashes()
     for batch in (b.slice(i, 1024) for b in batches for i in range(0, b.num_rows, 1024)):
@@ -124,25 +127,46 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sizes = np.array([len(x) for x in sets], dtype=np.int64)
         keys = np.frombuffer(b"".join(xxhash.xxh3_128_digest(x.tobytes()) for x in sets),
                              dtype=np.int64).reshape(-1, 2)
+        yield batch, sets, [batch.column("key"), pa.array(sizes), pa.array(keys[:, 0]),
+                            pa.array(keys[:, 1])]
+
+
+def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch, sets, keys in _sets(batches):
         least = np.array([minima(x) for x in sets], dtype=np.int32).reshape(-1, FUNCTIONS)
-        offsets = np.r_[0, np.cumsum(sizes)].astype(np.int32)
-        tokens = np.concatenate([np.zeros(0, np.uint64), *sets]).view(np.int64)
         yield pa.record_batch(
-            [batch.column("doc_id"), pa.ListArray.from_arrays(offsets, tokens),
-             pa.array(sizes), pa.array(keys[:, 0]), pa.array(keys[:, 1]),
-             pa.ListArray.from_arrays(
-                 np.arange(len(sets) + 1, dtype=np.int32) * FUNCTIONS, least.ravel()),
+            [batch.column("doc_id"), *keys, pa.ListArray.from_arrays(
+                np.arange(len(sets) + 1, dtype=np.int32) * FUNCTIONS, least.ravel()),
              pa.array([x.tobytes() for x in least.astype(np.uint8)], pa.binary())],
-            names=["doc_id", "tokens", "n", "high", "low", "signature", "sketch"])
+            names=["doc_id", *KEYS, "signature", "sketch"])
+
+
+def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for _, sets, keys in _sets(batches):
+        offsets = np.r_[0, np.cumsum([len(x) for x in sets])].astype(np.int32)
+        tokens = np.concatenate([np.zeros(0, np.uint64), *sets]).view(np.int64)
+        yield pa.record_batch([*keys, pa.ListArray.from_arrays(offsets, tokens)],
+                              names=[*KEYS, "tokens"])
 
 
 def token_sets(docs: DataFrame) -> DataFrame:
-    """Each row's ``doc_id`` and set, with a number ``id``; staged. Equal sets have equal
-    ``high`` and ``low`` (128 bits of a hash)."""
-    sets = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_read, SETS)
+    """What stands for each row's set, with its ``doc_id`` and a number ``id``; staged. Equal
+    sets have equal ``high`` and ``low`` (128 bits of a hash); ``key`` is a hash of the text,
+    by which ``whole_sets`` reads it again."""
+    sets = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("key"),
+                       "text").mapInArrow(_read, SETS)
     return staged(sets.withColumn("id", F.monotonically_increasing_id()), "sets")
 
 
+def whole_sets(docs: DataFrame, asked: DataFrame) -> DataFrame:
+    """``asked`` (staged, with KEYS; no two equal) with the ``tokens`` of each, made again
+    from the texts: few sets are ever compared, and all of them would take more room than the
+    texts. A text of many rows is read once."""
+    texts = (docs.select(F.xxhash64("text").alias("key"), "text")
+             .join(small(asked.select("key")), "key", "left_semi").distinct())
+    return texts.mapInArrow(_tokens, WHOLE).join(small(asked), list(KEYS))
+
+
 def _flat(parent: list[int]) -> np.ndarray:
     """The root of each node of a forest."""
     roots = np.array(parent, dtype=np.int64)
@@ -306,7 +330,8 @@ def _confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield done()
 
 
-def _grouped(near: DataFrame, sets: DataFrame, roots: DataFrame | None) -> DataFrame | None:
+def _grouped(near: DataFrame, docs: DataFrame, sets: DataFrame,
+             roots: DataFrame | None) -> DataFrame | None:
     """The roots after the candidates ``near`` (``a``, ``b``, their roots) were looked at:
     what candidates hold together is a group, and within it whole sets are compared, each
     read once. Groups beyond CELL sets or TOKENS shingles are cut into parts, each pair of
@@ -321,23 +346,23 @@ def _grouped(near: DataFrame, sets: DataFrame, roots: DataFrame | None) -> DataF
     asked = (few(near.select(ends.alias("x")).select("x.*").distinct(), 2 * rows)
              .join(groups.select(F.col("node").alias("of"), F.col("root").alias("node")), "of")
              .withColumnRenamed("of", "root"))
-    asked = staged(asked.join(sets.select("id", "n"), "id"), "asked")
+    asked = staged(asked.join(sets.select("id", *KEYS), "id"), "asked")
     size = asked.count()
     parts = few(asked.groupBy("node").agg(F.greatest(
         F.ceil(F.count("*") / CELL), F.ceil(F.sum("n") / TOKENS)).alias("cut")), size)
-    members = staged(asked.drop("n").join(parts, "node"), "members")
-    cells = _cells(sets.select("id", "n", "tokens").join(small(members), "id"), F.col("cut"),
-                   "n", "tokens")
+    members = staged(asked.join(parts, "node"), "members")
+    cells = _cells(whole_sets(docs, members), F.col("cut"), "n", "tokens")
     links = staged(cells.mapInArrow(_confirmed, "a long, b long"), "links")
     return roots if links.isEmpty() else _merged(roots, links)
 
 
-def _alike(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _alike(pairs: DataFrame, docs: DataFrame, sets: DataFrame) -> DataFrame:
     """The ``pairs`` whose whole sets are similar enough."""
     count = pairs.count()
     asked = few(pairs.select("a").union(pairs.select("b")).distinct(), 2 * count)
-    wanted = staged(sets.select("id", "tokens", "n").join(
-        small(staged(asked.withColumnRenamed("a", "id"), "asked")), "id", "left_semi"), "wanted")
+    asked = staged(sets.select("id", *KEYS).join(
+        small(staged(asked.withColumnRenamed("a", "id"), "asked")), "id", "left_semi"), "keys")
+    wanted = staged(whole_sets(docs, asked).select("id", "tokens", "n"), "wanted")
     left = wanted.select(F.col("id").alias("a"), F.col("tokens").alias("ta"),
                          F.col("n").alias("na"))
     right = wanted.select(F.col("id").alias("b"), F.col("tokens").alias("tb"),
@@ -366,9 +391,10 @@ def _merged(roots: DataFrame | None, links: DataFrame) -> DataFrame:
                   "roots")
 
 
-def _connected(pairs: DataFrame, sets: DataFrame, roots: DataFrame | None) -> DataFrame | None:
+def _connected(pairs: DataFrame, docs: DataFrame, sets: DataFrame,
+               roots: DataFrame | None) -> DataFrame | None:
     """The roots after all candidate ``pairs`` (none twice) were looked at."""
-    links = staged(_alike(staged(pairs, "pairs"), sets), "links")
+    links = staged(_alike(staged(pairs, "pairs"), docs, sets), "links")
     return roots if links.isEmpty() else _merged(roots, links)
 
 
@@ -415,10 +441,11 @@ def _children(rows: DataFrame, level: int) -> DataFrame:
     return rows.select("id", F.explode(kids).alias("kid")).select("kid.tree", "kid.node", "id")
 
 
-def similar_sets(sets: DataFrame, ids: DataFrame, count: int | None = None) -> DataFrame:
+def similar_sets(docs: DataFrame, sets: DataFrame, ids: DataFrame,
+                 count: int | None = None) -> DataFrame:
     """``of``, ``to``: every set of ``ids`` (their ``id``; no two equal) that is linked with
-    another, and the smallest id that links lead to. ``sets`` has each id's ``n``,
-    ``tokens``, ``signature`` and ``sketch``.
+    another, and the smallest id that links lead to. ``sets`` has each id's KEYS,
+    ``signature`` and ``sketch``, ``docs`` the texts (``text``) that they are of.
 
     Rows of a level are small (a node, an id) until their node has another set; then they
     get the sketch. Nodes are hashes of paths, so a large one is only ever joined by id or
@@ -443,7 +470,7 @@ def similar_sets(sets: DataFrame, ids: DataFrame, count: int | None = None) -> D
         if level == DEPTH or not many:
             break
         near = few(_near_pivots(few(_rooted(large, roots), many), many).distinct(), PIVOTS * many)
-        roots = _connected(near, sets, roots)
+        roots = _connected(near, docs, sets, roots)
         large = staged(_rooted(large, roots), "large")
         apart = staged(few(large.groupBy("node").agg(F.min("root").alias("a"),
                                                      F.max("root").alias("b")), many)
@@ -451,7 +478,7 @@ def similar_sets(sets: DataFrame, ids: DataFrame, count: int | None = None) -> D
         going = large.join(apart, "node", "left_semi").select("tree", "node", "id")
         rows = staged(_children(going.join(sets.select("id", "signature"), "id"), level), "level")
     # All other pairs are compared where they are still apart.
-    roots = _grouped(_exhaustive(_rooted(compared, roots)), sets, roots)
+    roots = _grouped(_exhaustive(_rooted(compared, roots)), docs, sets, roots)
     if roots is None:
         return ids.select(F.col("id").alias("of"), F.col("id").alias("to")).limit(0)
     return roots
@@ -466,7 +493,7 @@ def similar_report(docs: DataFrame) -> DataFrame:
     key = ("high", "low", "n")
     copies = staged(few(sets.filter("n > 0").groupBy(*key).agg(
         F.min("id").alias("id"), F.min("doc_id").alias("least")), sets.count()), "copies")
-    rooted = _rooted(copies, similar_sets(sets, copies))
+    rooted = _rooted(copies, similar_sets(docs, sets, copies))
     least = few(rooted.groupBy("root").agg(F.min("least").alias("component_id")), copies.count())
     found = staged(rooted.join(least, "root").select(*key, "component_id"), "found")
     rows = sets.select("doc_id", *key).join(small(found), list(key), "left").select(

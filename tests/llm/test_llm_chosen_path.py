@@ -140,3 +140,29 @@ def test_odd_rows(spark):
     assert result(empty_documents(spark)) == []
     blank = spark.createDataFrame([(3, None), (4, "  ")], "doc_id long, text string")
     assert result(blank) == brute([(3, None), (4, "  ")])
+
+
+def test_only_compared_sets_are_made_whole(spark, monkeypatch):
+    """Sets without candidates are not written with their shingles; a repeated text is read
+    once, and equal sets of different texts are one."""
+    rng = random.Random(6)
+    base = [f"w{i}" for i in range(60)]
+    near = [" ".join(base), " ".join([*base[:-1], "x"]), " ".join(base).upper()]
+    texts = [" ".join(f"u{rng.randrange(10 ** 9)}" for _ in range(60)) for _ in range(80)]
+    rows = list(enumerate(texts + near * 3))
+    made, staged = [], cp.staged
+
+    def seen(df, name, *rest):
+        out = staged(df, name, *rest)
+        if "tokens" in out.columns:
+            made.append(name)
+        return out
+
+    whole = []
+    monkeypatch.setattr(cp, "staged", seen)
+    monkeypatch.setattr(cp, "whole_sets", lambda *a, of=getattr(cp, "whole_sets", None): (
+        whole.append(of(*a).count()) or of(*a)), raising=False)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert result(docs) == brute(rows)
+    assert "sets" not in made
+    assert whole == [2]
