@@ -1,7 +1,9 @@
 import random
 import re
+import time
 
 import numpy as np
+import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -110,6 +112,75 @@ def test_common_length():
         assert latent.common_length(a, b) == row[-1]
 
 
+def test_words_are_hashed_within_twice_the_time_a_pattern_finds_them():
+    """The hashes are those of the words that the pattern finds."""
+    texts = [words(i, 2_000) for i in range(100)] + [
+        words(i, 2_000).replace("a", "é") for i in range(100)]
+
+    def found():
+        return [latent._WORD.findall(text.lower()) for text in texts]
+
+    def least(step):
+        spent = []
+        for _ in range(3):
+            start = time.process_time()
+            step()
+            spent.append(time.process_time() - start)
+        return min(spent)
+
+    latent.word_hashes(texts[:1])
+    assert least(lambda: latent.word_hashes(texts)) < 2 * least(found)
+    for hashes, expected in zip(latent.word_hashes(texts), found(), strict=True):
+        assert hashes.tolist() == [xxhash.xxh32_intdigest(w) for w in expected]
+
+
+def test_words_of_every_script(monkeypatch):
+    rng = random.Random(2)
+    texts = [None, "", " ", "İSTANBUL", "ΟΔΟΣ. Σ ΑΣ", "a" * 300 + " _b_", "日本語 text 日", "\U0001F600x"]
+    texts += ["".join(chr(rng.choice([rng.randrange(32, 127), rng.randrange(32, 0xD800),
+                                      rng.randrange(0xE000, 0x110000)]))
+                      for _ in range(rng.randrange(80))) for _ in range(200)]
+    for size in (1 << 19, 40, 3):  # texts longer than that are cut between words
+        monkeypatch.setattr(latent, "CHARS", size)
+        for text, hashes in zip(texts, latent.word_hashes(texts), strict=True):
+            assert hashes.dtype == np.uint32 and hashes.tolist() == [
+                xxhash.xxh32_intdigest(w) for w in latent._WORD.findall((text or "").lower())]
+
+
+def test_places_in_a_vocabulary():
+    rng = np.random.default_rng(4)
+    top = np.iinfo(np.uint32).max
+    for vocabulary in ([7], [top], range(300), [0, *range(top - 300, top)],
+                       rng.integers(0, top, 5_000)):
+        vocabulary = np.unique(np.array(vocabulary, dtype=np.uint32))
+        ids = np.concatenate([vocabulary, vocabulary + np.uint32(1), vocabulary - np.uint32(1),
+                              rng.integers(0, top, 5_000, dtype=np.uint32)])
+        place, inside = latent._finder(vocabulary)(ids)
+        expected = np.minimum(np.searchsorted(vocabulary, ids), len(vocabulary) - 1)
+        assert np.array_equal(place, expected)
+        assert np.array_equal(inside, np.isin(ids, vocabulary))
+
+
+def test_pairs_of_features_give_the_same_space(spark, monkeypatch):
+    rng = np.random.default_rng(1)
+    rows = [([int(x) for x in rng.integers(0, 40, rng.integers(1, 17))],) for _ in range(500)]
+    passages = spark.createDataFrame(rows, "features array<int>")
+    idf, queries = rng.uniform(1, 3, 40), [np.array([0, 1, 1])]
+    monkeypatch.setattr(latent, "PAIR_SIDE", 0)
+    direct = latent.latent_basis(passages, queries, idf, rank=8)
+    monkeypatch.setattr(latent, "PAIR_SIDE", 40)
+    monkeypatch.setattr(latent, "PAIR_ROWS", 1 << 20)
+    monkeypatch.setattr(latent, "PAIR_BATCH", 50)
+    counted = latent.latent_basis(passages, queries, idf, rank=8)
+    assert np.allclose(direct @ direct.T, counted @ counted.T, atol=1e-5)
+    matrix = np.zeros((len(rows), 40))
+    for i, (f,) in enumerate(rows):
+        np.add.at(matrix[i], f, 1)
+    pairs = latent._Pairs(40)
+    pairs.add(*latent._flat([np.array(f) for f, in rows]))
+    assert np.allclose(pairs.times(np.eye(40)), matrix.T @ matrix)
+
+
 def test_basis_spans_the_leading_directions(spark):
     rng = np.random.default_rng(0)
     topics = np.split(rng.permutation(60)[:12], 3)  # far apart, so the spectrum has a gap
