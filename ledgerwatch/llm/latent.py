@@ -17,7 +17,6 @@ import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from functools import cache
 
 import numpy as np
 import pandas as pd
@@ -79,7 +78,6 @@ FINDS = ("doc_id long, key long, item_id long, n_common long, n_words long, plac
          "answer boolean, cosine double")
 
 
-@cache
 def _kinds() -> np.ndarray:
     """Of each code point: 0 between words, 1 in a word, 2 a word of its own."""
     every = "".join(map(chr, range(0x110000)))
@@ -709,13 +707,14 @@ def _copies(batches: Iterator[pd.DataFrame],
 
 def _blocks(benchmark: DataFrame) -> Iterator[Block]:
     """The items in blocks; one block at a time is on the driver."""
+    kinds = _kinds()
     items = benchmark.filter("text is not null").select("item_id", "text")
     number = -(-max(items.count(), 1) // BLOCK_ITEMS)
     for i in range(number):
         rows = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(number)) == i).collect()
         found, short = [], []
         for row in rows:
-            words, answer = word_hashes([row["text"], answer_of(row["text"])])
+            words, answer = word_hashes([row["text"], answer_of(row["text"])], kinds)
             if len(words) >= MIN_ITEM:
                 found.append((row["item_id"], words, answer))
             elif len(words):

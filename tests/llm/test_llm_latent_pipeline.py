@@ -1,9 +1,12 @@
 import random
 import re
+import subprocess
+import sys
 import time
 
 import numpy as np
 import xxhash
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -128,8 +131,8 @@ def test_words_are_hashed_within_twice_the_time_a_pattern_finds_them():
             spent.append(time.process_time() - start)
         return min(spent)
 
-    latent.word_hashes(texts[:1])
-    assert least(lambda: latent.word_hashes(texts)) < 2 * least(found)
+    kinds = latent._kinds()
+    assert least(lambda: latent.word_hashes(texts, kinds)) < 2 * least(found)
     for hashes, expected in zip(latent.word_hashes(texts), found(), strict=True):
         assert hashes.tolist() == [xxhash.xxh32_intdigest(w) for w in expected]
 
@@ -147,6 +150,14 @@ def test_words_of_every_script(monkeypatch):
                 xxhash.xxh32_intdigest(w) for w in latent._WORD.findall((text or "").lower())]
 
 
+def test_task_functions_need_no_package():
+    steps = [latent._hashed, latent._all_features, latent._passages, latent._judged,
+             latent._copies, latent._Pairs, latent.latent_basis]
+    code = "import sys; from pyspark import cloudpickle; cloudpickle.loads(sys.stdin.buffer.read())"
+    subprocess.run([sys.executable, "-I", "-c", code], input=cloudpickle.dumps(steps), check=True,
+                   cwd="/", timeout=120)
+
+
 def test_places_in_a_vocabulary():
     rng = np.random.default_rng(4)
     top = np.iinfo(np.uint32).max
